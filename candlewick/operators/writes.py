@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import literal, stage
 
@@ -47,7 +48,7 @@ def append_new_only(
     order = None if order_by is None else F.col(order_by)
     firsts = _one_per_key(batch, keys, order, last=False)
     new_rows = firsts.join(log.select(*keys), keys, "left_anti").select(*batch.columns)
-    return log.unionByName(new_rows), new_rows
+    return log.unionByName(new_rows.select(*log.columns)), new_rows
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -72,6 +73,53 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _month(fields: StructType, month_of: str) -> Column:
+    if fields[month_of].dataType.typeName() == "date":
+        return F.date_format(month_of, "yyyyMM")
+    return F.floor(F.col(month_of) / 100).cast("string")
+
+
+def _touched(spark: SparkSession, path: str, batch: DataFrame, schema: str) -> DataFrame:
+    """Stored rows of the months in ``batch``; other months are not read."""
+    if not _exists(spark, path):
+        return literal(spark, [], schema)
+    # one row per month
+    months = [r.month for r in batch.select("month").distinct().collect()]
+    stored = spark.read.schema(f"{schema}, month string").parquet(path)
+    return stored.filter(F.col("month").isin(months)).drop("month")
+
+
+def _write_months(rows: DataFrame, path: str, mode: str) -> None:
+    # one shuffle by month, split where a month is large
+    rows.hint("rebalance", "month").write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("month").parquet(path)
+
+
+def append_to_log(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    *,
+    schema: str,
+    month_of: str,
+    keys: list[str],
+    order_by: str | None = None,
+) -> DataFrame:
+    """Append rows with new keys to a log stored by month; returns those rows.
+
+    Repeating a batch appends nothing. The returned rows are staged, so they
+    do not change once the log contains them.
+    """
+    fields = StructType.fromDDL(schema)
+    batch = batch.withColumn("month", _month(fields, month_of))
+    log = _touched(spark, path, batch, schema)
+    _, new_rows = append_new_only(log, batch.drop("month"), keys=keys, order_by=order_by)
+    new_rows = stage(new_rows.withColumn("month", _month(fields, month_of)), "new_rows")
+    _write_months(new_rows.select(*fields.names, "month"), path, "append")
+    return new_rows.drop("month")
+
+
 def merge_table(
     spark: SparkSession,
     path: str,
@@ -89,23 +137,9 @@ def merge_table(
     so a job that dies while merging leaves the table as it was; repeating
     the same batch gives the same table.
     """
-    fields = literal(spark, [], schema).schema
-    columns = fields.names
-    if fields[month_of].dataType.typeName() == "date":
-        month = F.date_format(month_of, "yyyyMM")
-    else:
-        month = F.floor(F.col(month_of) / 100).cast("string")
-    batch = stage(batch.select(*columns).withColumn("month", month), "batch")
-    rows = batch.select(*columns)
-    if not _exists(spark, path):
-        merged = merge(literal(spark, [], schema), rows)
-    else:
-        # one row per month
-        months = [r.month for r in batch.select("month").distinct().collect()]
-        stored = spark.read.schema(f"{schema}, month string").parquet(path)
-        merged = merge(stored.filter(F.col("month").isin(months)).select(*columns), rows)
-    merged = stage(merged.select(*columns).withColumn("month", month), "merged")
-    # one shuffle by month, split by rows where a month is large
-    merged.hint("rebalance", "month").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("month").parquet(path)
+    fields = StructType.fromDDL(schema)
+    month = _month(fields, month_of)
+    batch = stage(batch.select(*fields.names).withColumn("month", month), "batch")
+    merged = merge(_touched(spark, path, batch, schema), batch.drop("month"))
+    merged = stage(merged.select(*fields.names).withColumn("month", month), "merged")
+    _write_months(merged, path, "overwrite")
