@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 from functools import reduce
 
 import numpy as np
@@ -138,24 +139,28 @@ def forecast_naive(panel: DataFrame, *, cutoff: Column | None = None, min_rows:
 
 
 def fit_ets(panel: DataFrame, *, cutoff: Column | None = None, min_rows: int = V.MIN_HISTORY_ROWS) -> DataFrame:
-    """Simple exponential smoothing: (symbol, target_name, alpha, level, sse).
+    """Simple exponential smoothing: (symbol, target_name, alpha, level, sse, last).
 
     Twenty alphas are tried on one-step-ahead squared error, the smallest
-    winning ties. Series and alphas fold inside one row per symbol and
-    target, so nothing is shuffled after the series are gathered.
+    winning ties; ``last`` is the newest value itself. Series and alphas fold
+    inside one row per symbol and target, so nothing is shuffled after the
+    series are gathered.
     """
 
     def fold(alpha: Column, values: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
             miss = x - acc["level"]
             return F.struct(
-                (alpha * x + (F.lit(1.0) - alpha) * acc["level"]).alias("level"),
                 (acc["sse"] + miss * miss).alias("sse"),
+                (alpha * x + (F.lit(1.0) - alpha) * acc["level"]).alias("level"),
             )
 
-        start = F.struct(F.get(values, F.lit(0)).alias("level"), F.lit(0.0).alias("sse"))
+        def finish(acc: Column) -> Column:
+            return F.struct(acc["sse"].alias("sse"), alpha.alias("alpha"), acc["level"].alias("level"))
+
+        start = F.struct(F.lit(0.0).alias("sse"), F.get(values, F.lit(0)).alias("level"))
         rest = F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0)))
-        return F.aggregate(rest, start, step)
+        return F.aggregate(rest, start, step, finish)
 
     history = _history(panel, cutoff, min_rows)
     entries = [
@@ -163,15 +168,14 @@ def fit_ets(panel: DataFrame, *, cutoff: Column | None = None, min_rows: int = V
         for name, (series, _, _) in TARGETS.items()
     ]
     per_target = history.select("symbol", F.inline(F.array(*entries)))
-
-    def tried(i: Column) -> Column:
-        alpha = i / F.lit(float(V.ALPHA_STEPS))
-        folded = fold(alpha, F.col("_values"))
-        return F.struct(folded["sse"].alias("sse"), alpha.alias("alpha"), folded["level"].alias("level"))
-
-    grid = F.transform(F.sequence(F.lit(1), F.lit(V.ALPHA_STEPS)), tried)
-    best = per_target.select("symbol", "target_name", F.array_min(grid).alias("_best"))
-    return best.select("symbol", "target_name", "_best.alpha", "_best.level", "_best.sse")
+    grid = F.transform(
+        F.sequence(F.lit(1), F.lit(V.ALPHA_STEPS)),
+        lambda i: fold(i / F.lit(float(V.ALPHA_STEPS)), F.col("_values")),
+    )
+    best = per_target.select(
+        "symbol", "target_name", F.array_min(grid).alias("_best"), F.element_at("_values", -1).alias("last")
+    )
+    return best.select("symbol", "target_name", "_best.alpha", "_best.level", "_best.sse", "last")
 
 
 def forecast_ets(panel: DataFrame, *, cutoff: Column | None = None, min_rows: int = V.MIN_HISTORY_ROWS) -> DataFrame:
@@ -285,22 +289,45 @@ def ensemble(forecasts: DataFrame, *, by: list[str], min_models: int = 2) -> Dat
     return grouped.filter(F.col("_n") >= min_models).drop("_n").withColumn("model_name", F.lit("ensemble"))
 
 
-def _labelled(rows: DataFrame, model: str, cutoff: Column, target_date: Column) -> DataFrame:
-    if "model_params" not in rows.columns:
-        rows = rows.withColumn("model_params", F.lit(None).cast("string"))
-    return rows.withColumns(
-        {
-            "cutoff": cutoff,
-            "target_date": target_date,
-            "model_name": F.lit(model),
-            "horizon_days": F.lit(V.HORIZON_DAYS),
-        }
+def _model(name: str, value: Column, params: Column | None = None) -> Column:
+    params = F.lit(None).cast("string") if params is None else params
+    return F.struct(
+        F.lit(name).alias("model_name"), value.alias("predicted_value"), params.alias("model_params")
+    )
+
+
+def _model_rows(forecasts: DataFrame) -> DataFrame:
+    """Forecast rows of ``models`` arrays, with the ensemble as one more model.
+
+    An array holds the few models of one symbol, day and target, so the mean
+    is taken inside the row, without grouping the forecasts again.
+    """
+    models = F.array_sort("models")
+    total = F.aggregate(models, F.lit(0.0), lambda acc, m: acc + m["predicted_value"])
+    names = F.array_join(F.transform(models, lambda m: m["model_name"]), "+")
+    mean = _model("ensemble", total / F.size(models), names)
+    with_mean = F.when(F.size(models) >= 2, F.concat(models, F.array(mean))).otherwise(models)
+    return forecasts.select(
+        "symbol",
+        "cutoff",
+        "target_date",
+        "target_name",
+        F.lit(V.HORIZON_DAYS).alias("horizon_days"),
+        F.inline(with_mean),
     ).select(*FORECAST_COLUMNS)
 
 
-def with_ensemble(forecasts: DataFrame) -> DataFrame:
-    by = ["symbol", "cutoff", "target_date", "target_name", "horizon_days"]
-    return forecasts.unionByName(ensemble(forecasts, by=by).select(*FORECAST_COLUMNS))
+def _join_trees(models: DataFrame, trees: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Add boosted-tree forecasts to ``models``; either side may lack a row."""
+    if trees is None:
+        return models
+    fitted = trees.select(
+        *keys, _model("gbt", F.col("predicted_value"), F.col("model_params")).alias("_tree")
+    )
+    joined = models.join(fitted, keys, "full")
+    known = F.coalesce("models", F.array().cast(models.schema["models"].dataType))
+    both = F.when(F.col("_tree").isNull(), known).otherwise(F.concat(known, F.array("_tree")))
+    return joined.withColumn("models", both).drop("_tree")
 
 
 def forecast_round(
@@ -315,21 +342,26 @@ def forecast_round(
 
     Without ``features`` the boosted trees are left out.
     """
-    rounds = [
-        _labelled(forecast_naive(panel, cutoff=cutoff), "naive", cutoff, target_date),
-        _labelled(forecast_ets(panel, cutoff=cutoff), "ets", cutoff, target_date),
-    ]
-    if features is not None:
-        trees = forecast_trees(features, cutoff=cutoff, max_iter=max_iter)
-        if trees is not None:
-            rounds.append(_labelled(trees.drop("trade_date"), "gbt", cutoff, target_date))
-    return with_ensemble(reduce(DataFrame.unionByName, rounds))
+    fitted = fit_ets(panel, cutoff=cutoff)
+    models = fitted.select(
+        "symbol",
+        "target_name",
+        F.array(
+            _model("naive", F.col("last")), _model("ets", F.col("level"), _alpha_text(F.col("alpha")))
+        ).alias("models"),
+    )
+    trees = None if features is None else forecast_trees(features, cutoff=cutoff, max_iter=max_iter)
+    models = _join_trees(models, trees, ["symbol", "target_name"])
+    return _model_rows(models.withColumns({"cutoff": cutoff, "target_date": target_date}))
 
 
 def daily_cutoff(panel: DataFrame) -> tuple[Column, Column]:
-    """(cutoff, target date) of a daily run: the last day and the day after."""
-    cutoff = panel.agg(F.max("trade_date").alias("cutoff")).scalar()
-    return cutoff, F.date_add(cutoff, 1)
+    """(cutoff, target date) of a daily run: the last day and the day after.
+
+    One date comes to the driver, so that it can prune scans as a literal.
+    """
+    last = panel.agg(F.max("trade_date").alias("last")).first()["last"]
+    return F.lit(last), F.lit(last + timedelta(days=1))
 
 
 # ----------------------------------------------------------- all cutoffs
@@ -414,22 +446,23 @@ def _running_ets(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def running_ets(panel: DataFrame) -> DataFrame:
-    """(symbol, trade_date, and alpha and level of each series up to there).
+    """(symbol, trade_date, and last value, alpha and level of each series there).
 
     The recursion has no built-in form with all of its intermediate states,
     so each symbol's series (one row per day) folds in numpy once, rather
     than once per cutoff.
     """
     schema = "symbol string, trade_date date, " + ", ".join(
-        f"{name}_alpha double, {name}_level double" for name in TARGETS
+        f"{name}_last double, {name}_alpha double, {name}_level double" for name in TARGETS
     )
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("trade_date")
         out = {"symbol": pdf["symbol"], "trade_date": pdf["trade_date"]}
         for name, (series, _, _) in TARGETS.items():
-            alpha, level = _running_ets(pdf[series].to_numpy(dtype=float))
-            out[f"{name}_alpha"], out[f"{name}_level"] = alpha, level
+            values = pdf[series].to_numpy(dtype=float)
+            out[f"{name}_last"] = values
+            out[f"{name}_alpha"], out[f"{name}_level"] = _running_ets(values)
         return pd.DataFrame(out)
 
     return panel.select("symbol", "trade_date", *_SERIES).groupBy("symbol").applyInPandas(fold, schema)
@@ -455,11 +488,24 @@ def backtest_ets(
 def backtest(
     panel: DataFrame, *, min_train: int = V.BACKTEST_MIN_TRAIN, trees: DataFrame | None = None
 ) -> DataFrame:
-    """Walk-forward forecasts of all models and their ensemble."""
-    models = backtest_naive(panel, min_train=min_train).unionByName(backtest_ets(panel, min_train=min_train))
-    if trees is not None:
-        models = models.unionByName(trees)
-    return with_ensemble(models)
+    """Walk-forward forecasts of all models and their ensemble.
+
+    Naive and smoothing forecasts stand on the same rows, so both come out
+    of one pass over the panel.
+    """
+    standing = _over_steps(running_ets(panel), backtest_steps(panel, min_train), V.MIN_HISTORY_ROWS)
+    entries = [
+        F.struct(
+            F.lit(name).alias("target_name"),
+            F.array(
+                _model("naive", F.col(f"{name}_last")),
+                _model("ets", F.col(f"{name}_level"), _alpha_text(F.col(f"{name}_alpha"))),
+            ).alias("models"),
+        )
+        for name in TARGETS
+    ]
+    models = standing.select("symbol", "cutoff", "target_date", F.inline(F.array(*entries)))
+    return _model_rows(_join_trees(models, trees, ["symbol", "cutoff", "target_date", "target_name"]))
 
 
 def backtest_gbt(

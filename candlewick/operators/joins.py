@@ -123,8 +123,8 @@ def pairs(
     no second shuffle of the quadratic rows, and a busy date is spread over
     all cells instead of sitting in one task.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if blocks is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # blocks * (blocks + 1) / 2 cells: about two per shuffle partition
         blocks = max(2, math.isqrt(4 * partitions))
     block = F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
@@ -145,8 +145,10 @@ def pairs(
         F.col(on).alias("_r_on"),
         *[F.col(c).alias(f"_r_{c}") for c in [item, *values]],
     )
-    left = left.repartition("cell")
-    right = right.repartition("_r_cell")
+    # A fixed number: sized by its small input, AQE would merge the cells into
+    # a few tasks, and the join makes each of them many times larger.
+    left = left.repartition(partitions, "cell")
+    right = right.repartition(partitions, "_r_cell")
     l_item, r_item = F.col(f"_l_{item}"), F.col(f"_r_{item}")
     joined = left.join(
         right,

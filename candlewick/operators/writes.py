@@ -61,7 +61,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table, or no rows of its schema before its first write."""
     if not _exists(spark, path):
         return literal(spark, [], schema)
-    return spark.read.schema(schema).parquet(path)
+    # a table stored by month has that column as well
+    return spark.read.schema(schema).parquet(path).select(*StructType.fromDDL(schema).names)
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

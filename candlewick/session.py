@@ -23,6 +23,7 @@ def build_session(master: str = "local[8]", app: str = "candlewick", shuffle_par
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 

@@ -84,7 +84,7 @@ def parse_series_map(payloads: DataFrame, *, max_rows: int | None = None) -> Dat
         .select("symbol", "_series", F.explode(newest).alias("_key"))
         .select("symbol", "_key", F.col("_series")[F.col("_key")].alias("_v"))
     )
-    day = F.when(F.col("_key").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date("_key", F.lit("yyyy-M-d")))
+    day = F.when(F.col("_key").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date("_key", "yyyy-M-d"))
     return rows.select(
         F.col("symbol").alias("__symbol__"),
         day.alias("__date__"),
