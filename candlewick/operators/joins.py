@@ -125,8 +125,8 @@ def pairs(
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if blocks is None:
-        # blocks * (blocks + 1) / 2 cells: about two per shuffle partition
-        blocks = max(2, math.isqrt(4 * partitions))
+        # blocks * (blocks + 1) / 2 cells: about four per shuffle partition
+        blocks = max(2, math.isqrt(8 * partitions))
     block = F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
     rows = df.select(on, item, *values).withColumn("_block", block)
 

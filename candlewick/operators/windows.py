@@ -57,15 +57,11 @@ def rolling(
     return df.withColumns(out)
 
 
-def _guarded_corr(x: Column, y: Column, over=None) -> Column:
+def _guarded_corr(x: Column, y: Column) -> Column:
     """Pearson correlation, NULL (not an error) for a constant side."""
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x), F.when(both, y)
-    parts = [F.covar_pop(x, y), F.stddev_pop(x), F.stddev_pop(y)]
-    if over is not None:
-        parts = [p.over(over) for p in parts]
-    covariance, sx, sy = parts
-    return covariance / F.nullif(sx * sy, F.lit(0.0))
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
 def rolling_corr(
@@ -77,15 +73,51 @@ def rolling_corr(
     y: str,
     rows: dict[str, int],
     counts: dict[str, int] | None = None,
+    digits: int = 4,
 ) -> DataFrame:
-    """Add rolling correlations and row counts: ``{name: rows}`` each."""
+    """Add rolling Pearson correlations and row counts: ``{name: rows}`` each.
+
+    ``x`` and ``y`` have at most ``digits`` decimals, so in units of the last
+    digit all moments are whole numbers. A frame's moments are then exactly
+    the running totals at its end minus those before its start: the cost per
+    row does not grow with the frame, nothing drifts, and a constant side is
+    recognised by a variance of exactly zero, which gives NULL.
+    """
     series = _series(by, order)
-    out = {}
-    for name, n in rows.items():
-        out[name] = _guarded_corr(F.col(x), F.col(y), series.rowsBetween(-(n - 1), 0))
-    for name, n in (counts or {}).items():
-        out[name] = F.count(F.lit(1)).over(series.rowsBetween(-(n - 1), 0))
-    return df.withColumns(out)
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+
+    def whole(c: str) -> Column:
+        return F.when(both, F.round(F.col(c) * 10**digits)).cast("decimal(13,0)")
+
+    units = df.withColumns({"_x": whole(x), "_y": whole(y)})
+    moments = {
+        "_n": both.cast("int"),
+        "_sx": F.col("_x").cast("bigint"),
+        "_sy": F.col("_y").cast("bigint"),
+        "_xy": F.col("_x") * F.col("_y"),
+        "_xx": F.col("_x") * F.col("_x"),
+        "_yy": F.col("_y") * F.col("_y"),
+    }
+    so_far = series.rowsBetween(W.unboundedPreceding, 0)
+    running = units.withColumns(
+        {m: F.coalesce(F.sum(value).over(so_far), F.lit(0)) for m, value in moments.items()}
+        | {name: F.least(F.row_number().over(series), F.lit(n)).cast("bigint") for name, n in (counts or {}).items()}
+    )
+    before = {f"{m}{n}": F.lag(m, n).over(series) for n in rows.values() for m in moments}
+    framed = running.withColumns(before)
+
+    def corr(n: int) -> Column:
+        def within(m: str) -> Column:
+            return F.col(m) - F.coalesce(F.col(f"{m}{n}"), F.lit(0))
+
+        def spread(m: str, a: str, b: str) -> Column:
+            product = within(a).cast("decimal(19,0)") * within(b).cast("decimal(19,0)")
+            return (within("_n") * within(m) - product).cast("double")
+
+        vx, vy = spread("_xx", "_sx", "_sx"), spread("_yy", "_sy", "_sy")
+        return spread("_xy", "_sx", "_sy") / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0))
+
+    return framed.withColumns({name: corr(n) for name, n in rows.items()}).drop("_x", "_y", *moments, *before)
 
 
 def autocorrelation(df: DataFrame, *, by: str, order: str, col: str, lags: list[int]) -> DataFrame:

@@ -13,9 +13,11 @@ from pyspark.sql.types import StructType
 _LOCAL_DIRS: dict[str, str] = {}
 
 
-def build_session(master: str = "local[8]", app: str = "candlewick", shuffle_partitions: int = 8) -> SparkSession:
+def build_session(
+    master: str = "local[8]", app: str = "candlewick", shuffle_partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
-    return configure(
+    builder = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -24,8 +26,10 @@ def build_session(master: str = "local[8]", app: str = "candlewick", shuffle_par
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return configure(builder.getOrCreate())
 
 
 # Trading days are UTC days. The second setting lets a join keep a
