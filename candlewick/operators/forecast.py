@@ -221,7 +221,7 @@ def forecast_trees(
         return forecast_gbt(features, cutoff=cutoff, target=target, max_iter=max_iter, min_rows=min_rows)
 
     with ThreadPoolExecutor(len(TARGETS)) as pool:
-        fitted = [rows for rows in pool.map(inheritable_thread_target(one), TARGETS) if rows is not None]
+        fitted = [rows for rows in pool.map(inheritable_thread_target(features.sparkSession)(one), TARGETS) if rows is not None]
     return reduce(DataFrame.unionByName, fitted) if fitted else None
 
 
@@ -400,7 +400,7 @@ def _over_steps(rows: DataFrame, steps: DataFrame, min_rows: int) -> DataFrame:
             "_first": final.select("first").scalar(),
             "_final": final.select("final").scalar(),
         }
-    ).filter(F.col("_seen") >= min_rows)
+    ).filter((F.col("_seen") >= min_rows) & limits[0].isNotNull())
     begin = F.greatest(F.col("step"), limits[0])
     end = F.least(F.coalesce(F.col("_next") - 1, limits[1]), limits[1])
     filled = spans.filter(begin <= end).withColumn("_at", F.explode(F.sequence(begin, end)))

@@ -21,7 +21,10 @@ def _one_per_key(batch: DataFrame, keys: list[str], order: Column | None, last:
     if not rest:
         return batch.distinct()
     row = F.struct(*rest)
-    rank = row if order is None else F.struct(order, row)
+    # maps have no order of their own
+    kinds = dict(batch.dtypes)
+    ordered = [F.array_sort(F.map_entries(c)) if kinds[c].startswith("map") else F.col(c) for c in rest]
+    rank = F.struct(*ordered) if order is None else F.struct(order, *ordered)
     pick = F.max_by(row, rank) if last else F.min_by(row, rank)
     return batch.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*batch.columns)
 

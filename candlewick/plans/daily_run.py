@@ -288,6 +288,8 @@ def run_forecasts(
     """Forecast tomorrow, or every past day, and store by key."""
     panel = stage(M.completed_panel(metrics, F.lit(as_of)), "panel")
     if backtest:
+        if M.backtest_steps(panel).filter("is_step").isEmpty():
+            raise ValueError(f"history is too short: more than {V.BACKTEST_MIN_TRAIN + 1} days are needed")
         made = M.backtest(panel, trees=M.backtest_gbt(panel) if trees else None)
     else:
         cutoff, target_date = M.daily_cutoff(panel)
