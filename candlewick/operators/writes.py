@@ -69,8 +69,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    """Full rebuild. The rows are staged first, so ``df`` may read ``path``."""
-    stage(df, "rebuild").write.mode("overwrite").parquet(path)
+    """Full rebuild of a table that ``df`` does not read."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Full rebuild from the table's own rows, staged before it is replaced."""
+    overwrite_table(stage(df, "rebuild"), path)
 
 
 def append_table(df: DataFrame, path: str) -> None:
@@ -116,7 +121,7 @@ def append_to_log(
     do not change once the log contains them.
     """
     fields = StructType.fromDDL(schema)
-    batch = batch.withColumn("month", _month(fields, month_of))
+    batch = stage(batch.withColumn("month", _month(fields, month_of)), "batch")
     log = _touched(spark, path, batch, schema)
     _, new_rows = append_new_only(log, batch.drop("month"), keys=keys, order_by=order_by)
     new_rows = stage(new_rows.withColumn("month", _month(fields, month_of)), "new_rows")

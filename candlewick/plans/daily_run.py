@@ -27,6 +27,7 @@ from ..operators.writes import (
     merge_table,
     overwrite_table,
     read_or_empty,
+    replace_table,
     upsert,
 )
 from ..session import configure, literal, stage
@@ -158,14 +159,14 @@ def ingest(
             at.alias("run_timestamp"),
         )
         log = read_or_empty(spark, _path(root, "state", "pipeline_logs"), S.RUN_LOG)
-        overwrite_table(upsert(log, row, keys=["run_id", "source"]), _path(root, "state", "pipeline_logs"))
+        replace_table(upsert(log, row, keys=["run_id", "source"]), _path(root, "state", "pipeline_logs"))
         statuses.append(status)
 
     if not statuses:
         raise ValueError("no active connections")
     outcome = config.run_status(reduce(DataFrame.unionByName, statuses)).first()["run_status"]
     moved = advance_control(control, status=F.lit(outcome), now=at)
-    overwrite_table(moved, _path(root, "state", "etl_control"))
+    replace_table(moved, _path(root, "state", "etl_control"))
     return outcome
 
 
@@ -234,15 +235,15 @@ def build_models(
 
     marts: dict[str, DataFrame] = {}
 
-    def store(name: str, df: DataFrame, layer: str = "marts") -> DataFrame:
+    def store(name: str, df: DataFrame, layer: str = "marts", write=overwrite_table) -> DataFrame:
         path = _path(root, layer, name)
-        overwrite_table(df, path)
+        write(df, path)
         marts[name] = spark.read.schema(df.schema).parquet(path)
         return marts[name]
 
     known = read_or_empty(spark, _path(root, "marts", "dim_asset"), S.DIM_ASSET)
     current = None if known.isEmpty() else known
-    dim_asset = store("dim_asset", dims.dim_asset(dims.asset_snapshot(spot, stocks), current))
+    dim_asset = store("dim_asset", dims.dim_asset(dims.asset_snapshot(spot, stocks), current), write=replace_table)
     dim_date = store("dim_date", dims.dim_date(unified, stocks))
     dim_source = store("dim_source", dims.dim_source(spark))
 
@@ -333,7 +334,7 @@ def write_summary(spark: SparkSession, root: str, marts: dict[str, DataFrame]) -
     )
     path = _path(root, "marts", "market_summaries")
     stored = read_or_empty(spark, path, S.SUMMARIES)
-    overwrite_table(upsert(stored, text, keys=["summary_date", "period_type"]), path)
+    replace_table(upsert(stored, text, keys=["summary_date", "period_type"]), path)
     overwrite_table(reports.snapshot_lines(latest, rolled, related, as_of), _path(root, "reports", "snapshot_lines"))
     return read_or_empty(spark, path, S.SUMMARIES)
 

@@ -87,12 +87,15 @@ def fact_forecast_accuracy(detail: DataFrame, *, baseline: str = "naive") -> Dat
 
 
 def leaderboard(accuracy: DataFrame) -> DataFrame:
-    """Per target and model: mean over assets of MAPE and gain on naive."""
+    """Per target and model: mean over assets of MAPE and gain on naive.
+
+    Both are decimals of a few digits, so they are averaged as such.
+    """
     return accuracy.groupBy("target_name", "model_name").agg(
         F.count(F.lit(1)).alias("assets"),
         F.sum("n_predictions").alias("n_predictions"),
-        F.round(F.avg("mape"), 3).alias("mean_mape"),
-        F.round(F.avg("vs_naive_pct"), 2).alias("mean_vs_naive_pct"),
+        F.round(F.avg(F.col("mape").cast("decimal(18,4)")), 3).cast("double").alias("mean_mape"),
+        F.round(F.avg(F.col("vs_naive_pct").cast("decimal(18,2)")), 2).cast("double").alias("mean_vs_naive_pct"),
     )
 
 

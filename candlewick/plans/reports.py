@@ -38,7 +38,7 @@ def pair_type_correlation(correlations: DataFrame) -> DataFrame:
     )
     newest = latest_per(known, by=["symbol_a", "symbol_b"], order="date_key")
     return newest.groupBy("pair_type").agg(
-        F.round(F.avg("correlation_30d"), 2).alias("avg_correlation"),
+        F.round(F.avg(F.col("correlation_30d").cast("decimal(10,4)")), 2).cast("double").alias("avg_correlation"),
         F.count(F.lit(1)).alias("pair_count"),
     )
 

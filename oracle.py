@@ -17,6 +17,11 @@ def r(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
 
 
+def mean(x: str, digits: int, scale: int) -> str:
+    """Mean of numbers with ``scale`` decimals, rounded to ``digits``."""
+    return r(f"CAST(sum(CAST({x} AS DECIMAL(18,{scale}))) AS DOUBLE) / count({x})", digits)
+
+
 def text(x: str, digits: int) -> str:
     return f"CAST(CAST({r(x, digits)} AS DECIMAL(38,{digits})) AS VARCHAR)"
 
@@ -690,7 +695,7 @@ ORACLE_SQL["forecast_accuracy"] = sql("SELECT " + cols(
     [], rounds(3, "mae", "rmse", "mape"), ["* EXCLUDE (mae, rmse, mape)"]) + " FROM s_accuracy")
 ORACLE_SQL["leaderboard"] = sql(f"""
 SELECT target_name, model_name, count(*) AS assets, CAST(sum(n_predictions) AS BIGINT) AS n_predictions,
-       {r('avg(mape)', 3)} AS mean_mape, {r('avg(vs_naive_pct)', 2)} AS mean_vs_naive_pct
+       {mean('mape', 3, 4)} AS mean_mape, {mean('vs_naive_pct', 2, 2)} AS mean_vs_naive_pct
 FROM s_accuracy GROUP BY 1, 2""")
 step("s_lagged", "SELECT symbol, daily_return_pct AS x, " + ", ".join(
     f"lag(daily_return_pct, {k}) OVER (PARTITION BY symbol ORDER BY date) AS p{k}" for k in (1, 2, 5))
@@ -745,7 +750,7 @@ def _rollup(alerts: str, day: str) -> str:
 
 ORACLE_SQL["alert_rollup"] = sql(_rollup("s_c_alerts", "(SELECT max(date) FROM s_c_alerts)"))
 step("s_pair_types", f"""
-  SELECT pair_type, {r('avg(correlation_30d)', 2)} AS avg_correlation, count(*) AS pair_count
+  SELECT pair_type, {mean('correlation_30d', 2, 4)} AS avg_correlation, count(*) AS pair_count
   FROM (SELECT *, row_number() OVER (PARTITION BY symbol_a, symbol_b ORDER BY date_key DESC) AS rn
         FROM s_w_correlations WHERE correlation_30d IS NOT NULL) WHERE rn = 1 GROUP BY 1""")
 ORACLE_SQL["pair_type_correlation"] = sql("SELECT * FROM s_pair_types")

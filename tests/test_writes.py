@@ -9,6 +9,7 @@ from candlewick.operators.writes import (
     merge_table,
     overwrite_table,
     read_or_empty,
+    replace_table,
     upsert,
 )
 
@@ -80,8 +81,8 @@ def test_log_append_is_exactly_once(spark, table, tmp_path):
     assert rows(read_or_empty(spark, path, schema), "k", "msg") == [("a", "x"), ("b", "y")]
 
 
-def test_overwrite_may_read_what_it_replaces(spark, table, tmp_path):
+def test_replacing_may_read_what_it_replaces(spark, table, tmp_path):
     path = str(tmp_path / "t")
     overwrite_table(table("v int", (1,), (2,)), path)
-    overwrite_table(read_or_empty(spark, path, "v int").filter("v > 1"), path)
+    replace_table(read_or_empty(spark, path, "v int").filter("v > 1"), path)
     assert rows(read_or_empty(spark, path, "v int")) == [(2,)]
