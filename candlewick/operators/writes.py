@@ -7,6 +7,7 @@ to a stored table and touches only the month partitions the batch falls in.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,9 +69,33 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*StructType.fromDDL(schema).names)
 
 
-def overwrite_table(df: DataFrame, path: str) -> None:
-    """Full rebuild of a table that ``df`` does not read."""
-    df.write.mode("overwrite").parquet(path)
+def newest_stored(spark: SparkSession, path: str, schema: str, *, column: str):
+    """Largest ``column`` of a table stored by month, or None without rows.
+
+    The newest month is known from the partition names; only that month is
+    scanned.
+    """
+    if not _exists(spark, path):
+        return None
+    stored = spark.read.schema(f"{schema}, month string").parquet(path)
+    month = stored.agg(F.max("month").alias("month")).first()["month"]
+    return stored.filter(F.col("month") == month).agg(F.max(column).alias("newest")).first()["newest"]
+
+
+def read_since(spark: SparkSession, path: str, schema: str, *, date_col: str, since: date) -> DataFrame:
+    """Rows from ``since`` on of a table stored by month; older months are not read."""
+    if not _exists(spark, path):
+        return literal(spark, [], schema)
+    stored = spark.read.schema(f"{schema}, month string").parquet(path)
+    return stored.filter((F.col("month") >= f"{since:%Y%m}") & (F.col(date_col) >= since)).drop("month")
+
+
+def overwrite_table(df: DataFrame, path: str, *, month_of: str | None = None) -> None:
+    """Full rebuild of a table that ``df`` does not read, by month if it has dates."""
+    if month_of is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        _write_months(df.withColumn("month", _month(df.schema, month_of)), path, "overwrite", "static")
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -98,10 +123,10 @@ def _touched(spark: SparkSession, path: str, batch: DataFrame, schema: str) -> D
     return stored.filter(F.col("month").isin(months)).drop("month")
 
 
-def _write_months(rows: DataFrame, path: str, mode: str) -> None:
+def _write_months(rows: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
     # one shuffle by month, split where a month is large
     rows.hint("rebalance", "month").write.mode(mode).option(
-        "partitionOverwriteMode", "dynamic"
+        "partitionOverwriteMode", overwrite
     ).partitionBy("month").parquet(path)
 
 

@@ -8,7 +8,7 @@ keyed and repeating them changes nothing.
 from __future__ import annotations
 
 import time
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from .. import values as V
 from ..operators import forecast as M
-from ..operators.incremental import advance_control, backfill_days, incremental_filter
+from ..operators.incremental import advance_control, backfill_days
 from ..operators.joins import ticker_map
 from ..operators.quality import invariant_checks, mart_checks, require_clean, run_checks
 from ..operators.writes import (
@@ -25,8 +25,10 @@ from ..operators.writes import (
     append_to_log,
     delete_insert,
     merge_table,
+    newest_stored,
     overwrite_table,
     read_or_empty,
+    read_since,
     replace_table,
     upsert,
 )
@@ -170,37 +172,20 @@ def ingest(
     return outcome
 
 
-def _incremental(
-    spark: SparkSession, path: str, build, *, schema: str, date_col: str, keys: list[str], lookback: int
-) -> DataFrame:
-    """Rebuild the look-back of a stored model and return the whole table."""
-    target = read_or_empty(spark, path, schema)
-    fresh = incremental_filter(build, target, date=date_col, lookback_days=lookback)
-    merge_table(
-        spark, path, fresh, schema=schema, month_of=date_col, merge=partial(delete_insert, keys=keys)
-    )
-    return read_or_empty(spark, path, schema)
+def _look_back(spark: SparkSession, path: str, schema: str, column: str, days: int) -> date:
+    """First day to reprocess of a stored model: its newest day less ``days``."""
+    newest = newest_stored(spark, path, schema, column=column)
+    if newest is None:
+        newest = date.fromisoformat(V.EPOCH_SENTINEL)
+    elif isinstance(newest, int):
+        newest = datetime.strptime(str(newest), "%Y%m%d").date()
+    return newest - timedelta(days=days)
 
 
-def _incremental_fact(
-    spark: SparkSession,
-    path: str,
-    rows: DataFrame,
-    keyed,
-    dim_date: DataFrame,
-    *,
-    schema: str,
-    keys: list[str],
+def _replace_keys(
+    spark: SparkSession, path: str, batch: DataFrame, *, schema: str, month_of: str, keys: list[str]
 ) -> DataFrame:
-    target = read_or_empty(spark, path, schema)
-    days = dim_date.select("date_key", "full_date")
-    loaded = target.select("date_key").distinct().join(days, "date_key")
-    recent = incremental_filter(
-        rows, loaded, date="date", target_date="full_date", lookback_days=V.FACTS_LOOKBACK
-    )
-    merge_table(
-        spark, path, keyed(recent), schema=schema, month_of="date_key", merge=partial(delete_insert, keys=keys)
-    )
+    merge_table(spark, path, batch, schema=schema, month_of=month_of, merge=partial(delete_insert, keys=keys))
     return read_or_empty(spark, path, schema)
 
 
@@ -210,23 +195,24 @@ def build_models(
     """Bring all models up to date from the raw tables and store them."""
     configure(spark)
     tickers = ticker_map(spark) if tickers is None else tickers
-    raw = {t: read_or_empty(spark, _path(root, "raw", t), s) for t, s in FEED_TABLES.items()}
-    stocks = raw["alpha_vantage"]
-
-    spot = _incremental(
-        spark, _path(root, "intermediate", "coingecko_daily"), feeds.spot_daily(raw["coingecko_daily"]),
-        schema=SPOT_DAILY_SCHEMA, date_col="date", keys=["coin_id", "date"], lookback=V.METRICS_LOOKBACK,
+    raw = {t: _path(root, "raw", t) for t in FEED_TABLES}
+    stocks = read_or_empty(spark, raw["alpha_vantage"], S.STOCKS)
+
+    # Only the look-back of the raw tables is read and rewritten.
+    spot_path = _path(root, "intermediate", "coingecko_daily")
+    since = _look_back(spark, spot_path, SPOT_DAILY_SCHEMA, "date", V.METRICS_LOOKBACK)
+    fresh = read_since(spark, raw["coingecko_daily"], S.SPOT, date_col="date", since=since)
+    spot = _replace_keys(
+        spark, spot_path, feeds.spot_daily(fresh),
+        schema=SPOT_DAILY_SCHEMA, month_of="date", keys=["coin_id", "date"],
     )
     metrics_path = _path(root, "intermediate", "binance_metrics")
-    stored = read_or_empty(spark, metrics_path, METRICS_SCHEMA)
-    fresh = incremental_filter(
-        raw["binance_daily"], stored, date="date", target_date="trade_date", lookback_days=V.METRICS_LOOKBACK
+    since = _look_back(spark, metrics_path, METRICS_SCHEMA, "trade_date", V.METRICS_LOOKBACK)
+    fresh = read_since(spark, raw["binance_daily"], S.CANDLES, date_col="date", since=since)
+    metrics = _replace_keys(
+        spark, metrics_path, feeds.candle_metrics(fresh),
+        schema=METRICS_SCHEMA, month_of="trade_date", keys=["symbol", "trade_date"],
     )
-    merge_table(
-        spark, metrics_path, feeds.candle_metrics(fresh), schema=METRICS_SCHEMA, month_of="trade_date",
-        merge=partial(delete_insert, keys=["symbol", "trade_date"]),
-    )
-    metrics = read_or_empty(spark, metrics_path, METRICS_SCHEMA)
 
     unified = feeds.unified_feed(spot, metrics)
     # Read by returns, volume, volatility and alerts: stored once.
@@ -235,44 +221,57 @@ def build_models(
 
     marts: dict[str, DataFrame] = {}
 
-    def store(name: str, df: DataFrame, layer: str = "marts", write=overwrite_table) -> DataFrame:
+    def store(name: str, df: DataFrame, layer: str = "marts", month_of: str | None = "date_key") -> DataFrame:
         path = _path(root, layer, name)
-        write(df, path)
-        marts[name] = spark.read.schema(df.schema).parquet(path)
+        overwrite_table(df, path, month_of=month_of)
+        marts[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
         return marts[name]
 
     known = read_or_empty(spark, _path(root, "marts", "dim_asset"), S.DIM_ASSET)
     current = None if known.isEmpty() else known
-    dim_asset = store("dim_asset", dims.dim_asset(dims.asset_snapshot(spot, stocks), current), write=replace_table)
-    dim_date = store("dim_date", dims.dim_date(unified, stocks))
-    dim_source = store("dim_source", dims.dim_source(spark))
-
-    marts["fact_market_prices"] = _incremental_fact(
-        spark, _path(root, "marts", "fact_market_prices"),
-        facts.price_rows(unified, stocks, tickers),
-        lambda rows: facts.fact_market_prices(rows, dim_asset, dim_date, dim_source),
-        dim_date, schema=S.PRICE_FACT, keys=["asset_key", "date_key", "source_key"],
+    dim = stage(dims.dim_asset(dims.asset_snapshot(spot, stocks), current), "dim_asset")
+    dim_asset = store("dim_asset", dim, month_of=None)
+    dim_date = store("dim_date", dims.dim_date(unified, stocks), month_of=None)
+    dim_source = store("dim_source", dims.dim_source(spark), month_of=None)
+
+    prices_path = _path(root, "marts", "fact_market_prices")
+    since = _look_back(spark, prices_path, S.PRICE_FACT, "date_key", V.FACTS_LOOKBACK)
+    recent = feeds.unified_feed(
+        read_since(spark, spot_path, SPOT_DAILY_SCHEMA, date_col="date", since=since),
+        read_since(spark, metrics_path, METRICS_SCHEMA, date_col="trade_date", since=since),
+    )
+    recent_stocks = read_since(spark, raw["alpha_vantage"], S.STOCKS, date_col="date", since=since)
+    price_rows = facts.price_rows(recent, recent_stocks, tickers)
+    marts["fact_market_prices"] = _replace_keys(
+        spark, prices_path, facts.fact_market_prices(price_rows, dim_asset, dim_date, dim_source),
+        schema=S.PRICE_FACT, month_of="date_key", keys=["asset_key", "date_key", "source_key"],
     )
-    marts["fact_price_trends"] = _incremental_fact(
-        spark, _path(root, "marts", "fact_price_trends"),
-        feeds.price_with_averages(unified, tickers),
-        lambda rows: facts.fact_price_trends(rows, dim_asset, dim_date),
-        dim_date, schema=S.TREND_FACT, keys=["asset_key", "date_key"],
+    # Averages reach back further than the look-back: whole history first, then the filter.
+    trends_path = _path(root, "marts", "fact_price_trends")
+    since = _look_back(spark, trends_path, S.TREND_FACT, "date_key", V.FACTS_LOOKBACK)
+    averages = feeds.price_with_averages(unified, tickers).filter(F.col("date") >= since)
+    marts["fact_price_trends"] = _replace_keys(
+        spark, trends_path, facts.fact_price_trends(averages, dim_asset, dim_date),
+        schema=S.TREND_FACT, month_of="date_key", keys=["asset_key", "date_key"],
     )
     volumes = store("fact_volume_analysis", facts.fact_volume_analysis(feeds.volume_analysis(market), dim_asset, dim_date))
     volatility = store(
         "fact_market_volatility", facts.fact_market_volatility(feeds.price_volatility(market), dim_asset, dim_date)
     )
     store("fact_asset_correlation", facts.fact_asset_correlation(returns, dim_asset, dim_date))
-    store("fact_market_alerts", facts.fact_market_alerts(market, volumes, volatility, dim_asset, dim_date))
-    store("top_gainers_losers", feeds.top_gainers_losers(metrics), layer="reports")
+    store(
+        "fact_market_alerts",
+        facts.fact_market_alerts(market, volumes, volatility, dim_asset, dim_date),
+        month_of="date",
+    )
+    store("top_gainers_losers", feeds.top_gainers_losers(metrics), layer="reports", month_of="trade_date")
 
     predictions = read_or_empty(spark, _path(root, "marts", "fact_price_forecast"), S.FORECASTS)
     detail = store(
         "fact_forecast_detail",
         forecasts.fact_forecast_detail(predictions, metrics, tickers, dim_asset, dim_date, as_of=F.lit(as_of)),
     )
-    store("fact_forecast_accuracy", forecasts.fact_forecast_accuracy(detail))
+    store("fact_forecast_accuracy", forecasts.fact_forecast_accuracy(detail), month_of=None)
     return marts | {"binance_metrics": metrics, "asset_returns": returns}
 
 

@@ -7,8 +7,10 @@ from candlewick.operators.writes import (
     append_to_log,
     delete_insert,
     merge_table,
+    newest_stored,
     overwrite_table,
     read_or_empty,
+    read_since,
     replace_table,
     upsert,
 )
@@ -86,3 +88,16 @@ def test_replacing_may_read_what_it_replaces(spark, table, tmp_path):
     overwrite_table(table("v int", (1,), (2,)), path)
     replace_table(read_or_empty(spark, path, "v int").filter("v > 1"), path)
     assert rows(read_or_empty(spark, path, "v int")) == [(2,)]
+
+
+def test_newest_and_recent_rows_of_a_table_by_month(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    assert newest_stored(spark, path, SCHEMA, column="day") is None
+    assert read_since(spark, path, SCHEMA, date_col="day", since=d("2024-01-01")).count() == 0
+    days = ["2023-12-31", "2024-01-31", "2024-02-01", "2024-02-20"]
+    overwrite_table(table(SCHEMA, *[("a", d(x), i, 0) for i, x in enumerate(days)]), path, month_of="day")
+    assert newest_stored(spark, path, SCHEMA, column="day") == d("2024-02-20")
+    recent = read_since(spark, path, SCHEMA, date_col="day", since=d("2024-01-31"))
+    assert rows(recent, "v") == [(1,), (2,), (3,)]
+    scan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in scan and "202401" in scan
