@@ -199,7 +199,7 @@ step("s_dim_asset", """
          first_seen AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current
   FROM s_snapshot""")
 step("s_dim_source", """
-  SELECT * FROM (VALUES (1, 'Alpha Vantage'), (2, 'Binance'), (3, 'CoinGecko')) t(source_key, source_name)""")
+  SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'Alpha Vantage'), (2, 'Binance'), (3, 'CoinGecko')) t(source_key, source_name)""")
 
 CORR = "corr(return_a, return_b) OVER {0}"
 PAIR = "symbol_a, symbol_b"
@@ -224,7 +224,7 @@ def _build(tag: str, candles: str, with_spot: bool) -> None:
     step(f"s_{tag}_rolled_volume", _rolled_volume(k))
     step(f"s_{tag}_rolled_price", _rolled_price(k))
     step(dates, f"""
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date, day(d) AS day, month(d) AS month,
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS full_date, day(d) AS day, month(d) AS month,
          quarter(d) AS quarter, year(d) AS year, weekofyear(d) AS week, dayname(d) AS day_name,
          monthname(d) AS month_name, isodow(d) >= 6 AS is_weekend
   FROM (SELECT date AS d FROM {u} UNION SELECT date FROM s_stocks)""")
@@ -338,13 +338,13 @@ step("s_grid", """
   SELECT s.cutoff, s.target_date, k.symbol, k.target_name
   FROM s_steps s, (SELECT DISTINCT symbol, target_name FROM s_long) k""")
 step("s_back_naive", """
-  SELECT g.symbol, g.cutoff, g.target_date, g.target_name, 'naive' AS model_name, 1 AS horizon_days,
+  SELECT g.symbol, g.cutoff, g.target_date, g.target_name, 'naive' AS model_name, CAST(1 AS BIGINT) AS horizon_days,
          l.x AS predicted_value, CAST(NULL AS VARCHAR) AS model_params
   FROM s_grid g ASOF JOIN s_long l
     ON g.symbol = l.symbol AND g.target_name = l.target_name AND g.cutoff >= l.trade_date
   WHERE l.i >= 30""")
 step("s_back_ets", f"""
-  SELECT g.symbol, g.cutoff, g.target_date, g.target_name, 'ets' AS model_name, 1 AS horizon_days,
+  SELECT g.symbol, g.cutoff, g.target_date, g.target_name, 'ets' AS model_name, CAST(1 AS BIGINT) AS horizon_days,
          l.level AS predicted_value, {_alpha('l.alpha')} AS model_params
   FROM s_grid g ASOF JOIN s_ets l
     ON g.symbol = l.symbol AND g.target_name = l.target_name AND g.cutoff >= l.trade_date
@@ -353,7 +353,7 @@ step("s_back_ets", f"""
 
 def _ensemble(a: str, b: str) -> str:
     return f"""
-  SELECT n.symbol, n.cutoff, n.target_date, n.target_name, 'ensemble' AS model_name, 1 AS horizon_days,
+  SELECT n.symbol, n.cutoff, n.target_date, n.target_name, 'ensemble' AS model_name, CAST(1 AS BIGINT) AS horizon_days,
          (n.predicted_value + e.predicted_value) / 2 AS predicted_value, 'ets+naive' AS model_params
   FROM {a} n JOIN {b} e USING (symbol, cutoff, target_date, target_name)"""
 
@@ -598,13 +598,13 @@ step("s_status", """
          string_agg(symbol, ', ' ORDER BY symbol) FILTER (inserted = 0) AS failed
   FROM s_loaded GROUP BY 1""")
 ORACLE_SQL["source_status"] = sql("""
-SELECT source, records, failed_symbols, status, failed, 0 AS part FROM s_status""")
+SELECT source, records, failed_symbols, status, failed, CAST(0 AS BIGINT) AS part FROM s_status""")
 ORACLE_SQL["run_status"] = sql("""
 SELECT count(*) AS sources, CAST(sum(records) AS BIGINT) AS records,
        CASE WHEN sum(records) = 0 THEN 'FAILED' WHEN max(failed_symbols) > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS run_status
 FROM s_status""")
 ORACLE_SQL["load_errors"] = sql(f"""
-SELECT 'run-1' AS run_id, 3 AS connection_id, symbol AS source_symbol,
+SELECT 'run-1' AS run_id, CAST(3 AS BIGINT) AS connection_id, symbol AS source_symbol,
        repeat(source || ': 0 rows inserted; ', 100)[1:2000] AS error_message, '{NOW} 00:00:00' AS occurred_at
 FROM s_loaded WHERE inserted = 0""")
 
@@ -672,10 +672,10 @@ step("s_newest", """
   SELECT e.*, l.x FROM s_ets e JOIN s_long l USING (symbol, target_name, i)
   JOIN (SELECT symbol, target_name, max(i) AS i FROM s_long GROUP BY 1, 2) USING (symbol, target_name, i) WHERE i >= 30""")
 step("s_round_naive", """
-  SELECT symbol, cutoff, target_date, target_name, 'naive' AS model_name, 1 AS horizon_days, x AS predicted_value,
+  SELECT symbol, cutoff, target_date, target_name, 'naive' AS model_name, CAST(1 AS BIGINT) AS horizon_days, x AS predicted_value,
          CAST(NULL AS VARCHAR) AS model_params FROM s_newest, s_last_day""")
 step("s_round_ets", f"""
-  SELECT symbol, cutoff, target_date, target_name, 'ets' AS model_name, 1 AS horizon_days, level AS predicted_value,
+  SELECT symbol, cutoff, target_date, target_name, 'ets' AS model_name, CAST(1 AS BIGINT) AS horizon_days, level AS predicted_value,
          {_alpha('alpha')} AS model_params FROM s_newest, s_last_day""")
 step("s_round_ensemble", _ensemble("s_round_naive", "s_round_ets"))
 ORACLE_SQL["forecast_round"] = sql(" UNION ALL ".join(
@@ -701,7 +701,7 @@ step("s_lagged", "SELECT symbol, daily_return_pct AS x, " + ", ".join(
     f"lag(daily_return_pct, {k}) OVER (PARTITION BY symbol ORDER BY date) AS p{k}" for k in (1, 2, 5))
     + " FROM s_w_returns WHERE daily_return_pct IS NOT NULL")
 ORACLE_SQL["autocorrelation"] = sql(" UNION ALL ".join(
-    f"SELECT symbol, {k} AS lag, {r(f'corr(x, p{k})', 4)} AS autocorrelation, "
+    f"SELECT symbol, CAST({k} AS BIGINT) AS lag, {r(f'corr(x, p{k})', 4)} AS autocorrelation, "
     f"{r(f'corr(abs(x), abs(p{k}))', 4)} AS abs_autocorrelation, count(p{k}) AS observations FROM s_lagged GROUP BY 1"
     for k in (1, 2, 5)))
 
@@ -744,7 +744,7 @@ ORACLE_SQL["dq_raw"] = "\nUNION ALL ".join(
 # reports
 def _rollup(alerts: str, day: str) -> str:
     return f"""
-  SELECT alert_type, 0 AS part, count(*) AS alert_count, string_agg(DISTINCT symbol, ', ' ORDER BY symbol) AS symbols
+  SELECT alert_type, CAST(0 AS BIGINT) AS part, count(*) AS alert_count, string_agg(DISTINCT symbol, ', ' ORDER BY symbol) AS symbols
   FROM {alerts} WHERE date = {day} GROUP BY 1"""
 
 
@@ -780,7 +780,7 @@ step("s_price_lines", _lines("s_w_latest"))
 ORACLE_SQL["format_snapshot"] = sql(_lines("s_w_returns"))
 step("s_w_rollup", _rollup("s_w_alerts", "(SELECT d FROM s_as_of)"))
 ORACLE_SQL["snapshot_lines"] = sql(f"""
-SELECT 0 AS section, '' AS item, 'Market data for ' || CAST(d AS VARCHAR) || ':' AS line FROM s_as_of
+SELECT CAST(0 AS BIGINT) AS section, '' AS item, 'Market data for ' || CAST(d AS VARCHAR) || ':' AS line FROM s_as_of
 UNION ALL SELECT DISTINCT CASE asset_type WHEN 'Crypto' THEN 1 ELSE 2 END, '', upper(asset_type) || ':' FROM s_price_lines
 UNION ALL SELECT CASE asset_type WHEN 'Crypto' THEN 1 ELSE 2 END, symbol, line FROM s_price_lines
 UNION ALL SELECT 3, '', CASE WHEN count(*) = 0 THEN 'ACTIVE ALERTS: none'
