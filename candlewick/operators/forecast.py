@@ -370,43 +370,42 @@ def daily_cutoff(panel: DataFrame) -> tuple[Column, Column]:
 def backtest_steps(panel: DataFrame, min_train: int = V.BACKTEST_MIN_TRAIN) -> DataFrame:
     """Dates numbered in order, with the next one as target.
 
-    (step, cutoff, target_date); steps before ``min_train`` only train. The
-    window runs over distinct days, a few hundred rows a year.
+    (step, cutoff, target_date, is_step); dates before ``min_train`` only
+    train. The window runs over distinct days, a few hundred rows a year, and
+    the result is stored: joins see how small it is.
     """
     days = panel.select(F.col("trade_date").alias("cutoff")).distinct()
     w = W.orderBy("cutoff")
-    return days.select(
+    steps = days.select(
         (F.row_number().over(w) - 1).alias("step"),
         "cutoff",
         F.lead("cutoff").over(w).alias("target_date"),
     ).withColumn("is_step", (F.col("step") >= min_train) & F.col("target_date").isNotNull())
+    return stage(steps, "steps")
 
 
 def _over_steps(rows: DataFrame, steps: DataFrame, min_rows: int) -> DataFrame:
     """Each row at every cutoff where it is the newest its symbol has.
 
-    A row stands from its own date until the symbol's next one, and the last
-    one until the end, so the rows fill exactly the cutoffs that forecast
-    from them; symbols and dates are never crossed.
+    ``rows`` know how many of their symbol they have ``seen`` and its
+    ``next_date``. A row stands from its own date until the next one, and the
+    last one until the end, so the rows fill exactly the cutoffs that
+    forecast from them; symbols and dates are never crossed.
     """
-    numbered = rows.join(steps.select("step", F.col("cutoff").alias("trade_date")), "trade_date")
-    series = W.partitionBy("symbol").orderBy("trade_date")
-    final = steps.filter("is_step").agg(F.max("step").alias("final"), F.min("step").alias("first"))
-    limits = (F.col("_first"), F.col("_final"))
-    spans = numbered.withColumns(
-        {
-            "_seen": F.row_number().over(series),
-            "_next": F.lead("step").over(series),
-            "_first": final.select("first").scalar(),
-            "_final": final.select("final").scalar(),
-        }
-    ).filter((F.col("_seen") >= min_rows) & limits[0].isNotNull())
-    begin = F.greatest(F.col("step"), limits[0])
-    end = F.least(F.coalesce(F.col("_next") - 1, limits[1]), limits[1])
+    bounds = steps.filter("is_step").agg(F.min("step").alias("first"), F.max("step").alias("last")).first()
+    first, last = F.lit(bounds["first"]).cast("int"), F.lit(bounds["last"]).cast("int")
+    own = steps.select(F.col("step").alias("_own"), F.col("cutoff").alias("trade_date"))
+    after = steps.select(F.col("step").alias("_next"), F.col("cutoff").alias("next_date"))
+    spans = (
+        rows.filter((F.col("seen") >= min_rows) & first.isNotNull())
+        .join(own, "trade_date")
+        .join(after, "next_date", "left")
+    )
+    begin = F.greatest(F.col("_own"), first)
+    end = F.least(F.coalesce(F.col("_next") - 1, last), last)
     filled = spans.filter(begin <= end).withColumn("_at", F.explode(F.sequence(begin, end)))
-    filled = filled.drop("step", "trade_date", "_seen", "_next", "_first", "_final")
     at = steps.select(F.col("step").alias("_at"), "cutoff", "target_date")
-    return filled.join(at, "_at").drop("_at")
+    return filled.drop("_own", "_next", "seen", "next_date", "trade_date").join(at, "_at").drop("_at")
 
 
 def _finish(long: DataFrame, model: str) -> DataFrame:
@@ -419,7 +418,11 @@ def backtest_naive(
     panel: DataFrame, *, min_train: int = V.BACKTEST_MIN_TRAIN, min_rows: int = V.MIN_HISTORY_ROWS
 ) -> DataFrame:
     """Naive forecasts of every backtest cutoff, in one pass."""
-    standing = _over_steps(panel, backtest_steps(panel, min_train), min_rows)
+    series = W.partitionBy("symbol").orderBy("trade_date")
+    placed = panel.withColumns(
+        {"seen": F.row_number().over(series), "next_date": F.lead("trade_date").over(series)}
+    )
+    standing = _over_steps(placed, backtest_steps(panel, min_train), min_rows)
     long = _long(standing, ["symbol", "cutoff", "target_date"])
     return _finish(
         long.withColumnRenamed("value", "predicted_value").withColumn("model_params", F.lit(None).cast("string")),
@@ -448,17 +451,24 @@ def _running_ets(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def running_ets(panel: DataFrame) -> DataFrame:
     """(symbol, trade_date, and last value, alpha and level of each series there).
 
+    ``seen`` counts the symbol's rows so far and ``next_date`` is its next day.
+
     The recursion has no built-in form with all of its intermediate states,
     so each symbol's series (one row per day) folds in numpy once, rather
     than once per cutoff.
     """
-    schema = "symbol string, trade_date date, " + ", ".join(
+    schema = "symbol string, trade_date date, seen int, next_date date, " + ", ".join(
         f"{name}_last double, {name}_alpha double, {name}_level double" for name in TARGETS
     )
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("trade_date")
-        out = {"symbol": pdf["symbol"], "trade_date": pdf["trade_date"]}
+        out = {
+            "symbol": pdf["symbol"],
+            "trade_date": pdf["trade_date"],
+            "seen": np.arange(1, len(pdf) + 1),
+            "next_date": pdf["trade_date"].shift(-1),
+        }
         for name, (series, _, _) in TARGETS.items():
             values = pdf[series].to_numpy(dtype=float)
             out[f"{name}_last"] = values
