@@ -75,8 +75,21 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="candlewick-"))
 
 
+def _staging_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/candlewick-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/candlewick/{uuid.uuid4().hex}/{name}"
+    return f"{_staging_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete everything this application staged, once its results are stored.
+
+    DataFrames that still read staged tables cannot be used afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_staging_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -603,6 +603,9 @@ ORACLE_SQL["run_status"] = sql("""
 SELECT count(*) AS sources, CAST(sum(records) AS BIGINT) AS records,
        CASE WHEN sum(records) = 0 THEN 'FAILED' WHEN max(failed_symbols) > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS run_status
 FROM s_status""")
+ORACLE_SQL["run_log"] = sql("""
+SELECT 'run-1' AS run_id, source, status, records AS records_inserted FROM s_status
+UNION ALL SELECT 'run-0', source, 'failed', 0 FROM s_status""")
 ORACLE_SQL["load_errors"] = sql(f"""
 SELECT 'run-1' AS run_id, CAST(3 AS BIGINT) AS connection_id, symbol AS source_symbol,
        repeat(source || ': 0 rows inserted; ', 100)[1:2000] AS error_message, '{NOW} 00:00:00' AS occurred_at

@@ -535,6 +535,16 @@ def run_status(spark, sf_dir):
     return present(config.run_status(config.source_status(_loaded(candle_market(spark, sf_dir)))))
 
 
+def run_log(spark, sf_dir):
+    """The run log after a run was repeated: its rows are replaced by source."""
+    status = config.source_status(_loaded(candle_market(spark, sf_dir))).select(
+        F.lit("run-1").alias("run_id"), "source", "status", F.col("records").alias("records_inserted")
+    )
+    earlier = status.withColumns({"status": F.lit("failed"), "records_inserted": F.lit(0).cast("bigint")})
+    other = earlier.withColumn("run_id", F.lit("run-0"))
+    return present(upsert(earlier.unionByName(other), status, keys=["run_id", "source"]))
+
+
 def load_errors(spark, sf_dir):
     """Symbols of a load that brought nothing, as they are logged."""
     errors = _loaded(candle_market(spark, sf_dir)).filter("inserted = 0").select(
@@ -873,7 +883,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fact_asset_correlation, asset_correlation, asset_correlation_wide, market_alerts,
         upsert_last_wins, delete_insert_query, append_new_only_query, unsent_alerts, alert_digest,
         high_water_mark_query, incremental_candles, incremental_per_key, incremental_facts, backfill_window,
-        source_status, run_status, load_errors,
+        source_status, run_status, run_log, load_errors,
         parse_parallel_arrays, parse_klines, parse_series_map, column_mapping, quarantine_bad_rows,
         completed_panel, panel_profile, forecast_features, forecast_naive, ets_alpha, forecast_ets,
         forecast_round, ensemble, backtest_naive, backtest_ets, forecast_upsert, forecast_detail,
