@@ -37,6 +37,10 @@ def _cents(x: str) -> Column:
     return F.sum(F.round(F.col(x) * 100).cast("bigint")).cast("double") / 100
 
 
+def _millionths(x: str) -> Column:
+    return F.sum(F.round(F.col(x) * 1000000).cast("bigint")).cast("double") / 1000000
+
+
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
@@ -82,7 +86,8 @@ def candles(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
 def spot(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = trades(spark, sf_dir).filter("l_returnflag <> 'R'")
     daily = kept.groupBy(F.lower("p_type").alias("coin_id"), "date").agg(
-        F.avg("unit").alias("price"),
+        # averaged in whole millionths, for the same reason as money
+        (_millionths("unit") / F.count("unit")).alias("price"),
         _cents("l_extendedprice").alias("market_cap"),
         _cents("l_extendedprice").alias("total_volume"),
     )

@@ -91,7 +91,8 @@ def _candles(symbol: str) -> str:
 step("s_candles", _candles("upper(p_type) || 'USDT'"))
 step("s_wide_candles", _candles("p_brand || '_' || p_type"))
 step("s_spot", f"""
-  SELECT lower(p_type) AS coin_id, date, avg(unit) AS price,
+  SELECT lower(p_type) AS coin_id, date,
+         CAST(sum(CAST(round(unit * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / count(unit) AS price,
          {CENTS.format('l_extendedprice')} AS market_cap, {CENTS.format('l_extendedprice')} AS total_volume
   FROM s_trades WHERE l_returnflag <> 'R' GROUP BY 1, 2""")
 step("s_walk_base", f"""
