@@ -104,6 +104,11 @@ class Market:
     def market(self) -> DataFrame:
         return feeds.market_comparison(self.unified, self.stocks, self.tickers)
 
+    def stored(self) -> Market:
+        """The same market with its daily table stored, for queries that read it often."""
+        self.market = stage(self.market, "market_comparison")
+        return self
+
     @cached_property
     def returns(self) -> DataFrame:
         return feeds.asset_returns(self.market)
@@ -372,7 +377,7 @@ def asset_correlation_wide(spark, sf_dir):
 
 
 def market_alerts(spark, sf_dir):
-    return present(candle_market(spark, sf_dir).alerts)
+    return present(candle_market(spark, sf_dir).stored().alerts)
 
 
 # ------------------------------------------------------ writes, increments
@@ -417,19 +422,19 @@ def _logged(m: Market) -> tuple[DataFrame, DataFrame]:
 
 
 def append_new_only_query(spark, sf_dir):
-    log, batch = _logged(candle_market(spark, sf_dir))
+    log, batch = _logged(candle_market(spark, sf_dir).stored())
     twice = batch.unionByName(batch)
     return present(append_new_only(log, twice, keys=reports.ALERT_KEY)[1])
 
 
 def unsent_alerts(spark, sf_dir):
-    m = candle_market(spark, sf_dir)
-    log, _ = _logged(m)
-    return present(reports.unsent_alerts(m.alerts, log))
+    log, alerts = _logged(candle_market(spark, sf_dir).stored())
+    named = alerts.withColumnsRenamed({"asset_id": "symbol", "alert_date": "date"})
+    return present(reports.unsent_alerts(named, log))
 
 
 def alert_digest(spark, sf_dir):
-    log, batch = _logged(candle_market(spark, sf_dir))
+    log, batch = _logged(candle_market(spark, sf_dir).stored())
     _, new = append_new_only(log, batch, keys=reports.ALERT_KEY)
     return present(reports.alert_digest(stage(new, "new_alerts")))
 
@@ -767,7 +772,7 @@ def forecast_gbt(spark, sf_dir):
 
 def dq_report(spark, sf_dir):
     """All checks over a whole set of marts, forecasts included."""
-    m = forecast_market(spark, sf_dir)
+    m = forecast_market(spark, sf_dir).stored()
     detail = stage(_detail(m), "detail")
     tables = {
         "dim_date": m.dim_date,
@@ -807,7 +812,7 @@ def dq_raw(spark, sf_dir):
 
 
 def alert_rollup(spark, sf_dir):
-    alerts = stage(candle_market(spark, sf_dir).alerts, "alerts")
+    alerts = stage(candle_market(spark, sf_dir).stored().alerts, "alerts")
     return present(reports.alert_rollup(alerts, alerts.agg(F.max("date").alias("d")).scalar()))
 
 
@@ -830,11 +835,11 @@ def _snapshot(m: Market) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
 
 
 def snapshot_lines(spark, sf_dir):
-    return present(reports.snapshot_lines(*_snapshot(Market(spark, sf_dir))))
+    return present(reports.snapshot_lines(*_snapshot(Market(spark, sf_dir).stored())))
 
 
 def daily_summary(spark, sf_dir):
-    return present(reports.daily_summary(*_snapshot(Market(spark, sf_dir))))
+    return present(reports.daily_summary(*_snapshot(Market(spark, sf_dir).stored())))
 
 
 # --------------------------------------------------------------- streaming
