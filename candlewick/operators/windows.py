@@ -81,7 +81,8 @@ def rolling_corr(
     digit all moments are whole numbers. A frame's moments are then exactly
     the running totals at its end minus those before its start: the cost per
     row does not grow with the frame, nothing drifts, and a constant side is
-    recognised by a variance of exactly zero, which gives NULL.
+    recognised by a variance of exactly zero, which gives NULL. A value of
+    more than thirteen digits in those units is an error, not a wrong result.
     """
     series = _series(by, order)
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
