@@ -207,3 +207,14 @@ def test_stored_forecasts_are_replaced_by_key(table):
     stored = table(S.FORECASTS, ("A", day, "price", "naive", 1, 1.0, None))
     made = table(S.FORECASTS, ("A", day, "price", "naive", 1, 1.123456789, None), ("A", day, "price", "ets", 1, 3.0, None))
     assert rows(FC.store_forecasts(stored, made), "model_name", "predicted_value") == [("ets", 3.0), ("naive", 1.12345679)]
+
+
+def test_tree_backtest_joins_the_ensemble(table):
+    panel = table(PANEL, *[(s, *row) for i, s in enumerate("abcd") for row in series(130, i)])
+    trees = M.backtest_gbt(panel, min_train=125, max_iter=2, refit_every=2, targets=["price"])
+    assert trees.count() == 4 * 4  # symbols x steps
+    assert trees.filter("target_date <> date_add(cutoff, 1)").count() == 0
+    made = M.backtest(panel, min_train=125, trees=trees).filter("model_name = 'ensemble'")
+    assert rows(made.groupBy("target_name", "model_params").count()) == [
+        ("price", "ets+gbt+naive", 16), ("volatility", "ets+naive", 16), ("volume", "ets+naive", 16)
+    ]
