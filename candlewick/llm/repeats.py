@@ -108,7 +108,8 @@ def repeated_segments(rows: DataFrame, kind: str, n: int, k: int) -> DataFrame:
         ),
         "segments",
     )
-    twice = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # stored first: both sides of the join are then shuffled for it, and Spark can split a hot anchor's rows
+    twice = T.staged(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "anchors")
     return T.staged(found.join(twice, "gram", "left_semi"), "repeated")
 
 
@@ -121,7 +122,7 @@ def contested(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "different",
     )
-    shared = segs.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
+    shared = T.staged(segs.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     wanted = segs.join(shared, "gram").select("gram", "seg", "n", "members", F.col("first").alias("doc_id"))
     places = (
         found.join(wanted, ["gram", "seg", "doc_id"])

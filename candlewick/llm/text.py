@@ -158,3 +158,65 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     out = stage(df, name)
     released(spark)
     return out
+
+
+def totals(values: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """Sum of the values of each range."""
+    sums = np.zeros(len(values) + 1, dtype=np.int64)
+    np.cumsum(values, out=sums[1:])
+    return np.diff(sums[ranges])
+
+
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """Which keys occur more than once."""
+    order = np.sort(keys)
+    twice = order[1:][order[1:] == order[:-1]]
+    return np.isin(keys, twice) if len(twice) else np.zeros(len(keys), dtype=bool)
+
+
+def owners(ranges: np.ndarray) -> np.ndarray:
+    """The text of each value."""
+    return np.repeat(np.arange(len(ranges) - 1), np.diff(ranges))
+
+
+def own_keys(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Hashes that differ between texts."""
+    return mixed(hashes + (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def repeated_words(hashes: np.ndarray, ranges: np.ndarray, n: int) -> np.ndarray:
+    """Which words lie in a window of n words that occurs twice or more in its text."""
+    total = len(hashes) - n + 1
+    inside = np.zeros(len(hashes), dtype=bool)
+    if total <= 0:
+        return inside
+    at = np.flatnonzero(across(ranges, n, total))
+    text = np.searchsorted(ranges, at, "right") - 1
+    twice = at[repeated(own_keys(grams(hashes, n)[at], text))]
+    if len(twice):
+        step = np.zeros(len(hashes) + 1, dtype=np.int64)
+        np.add.at(step, twice, 1)
+        np.add.at(step, twice + n, -1)
+        inside = np.cumsum(step[:-1]) > 0
+    return inside
+
+
+def repeated_lines(data: np.ndarray, offs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text, its lines with a word, and those of them that equal an earlier line."""
+    breaks = np.flatnonzero(data == 0x0A)
+    begins = np.union1d(offs[:-1], breaks + 1)
+    begins = begins[begins < len(data)]
+    text_end = offs[np.searchsorted(offs, begins, "right")]
+    ends = np.minimum(np.append(breaks, len(data))[np.searchsorted(breaks, begins)], text_end)
+    first = np.searchsorted(starts, begins)
+    with_word = (first < len(starts)) & (starts[np.minimum(first, max(0, len(starts) - 1))] < ends) if len(starts) else np.zeros(len(begins), dtype=bool)
+    begins, ends = begins[with_word], ends[with_word]
+    text = np.searchsorted(offs, begins, "right") - 1
+    lines = np.bincount(text, minlength=len(offs) - 1)
+    keys = own_keys(spans(prefix_sums(BYTE_VALUES[data]), begins, ends), text)
+    again = repeated(keys)
+    dup = np.zeros(len(offs) - 1, dtype=np.int64)
+    if again.any():
+        some, where = np.unique(keys[again], return_index=True)
+        dup = np.bincount(text[again], minlength=len(dup)) - np.bincount(text[again][where], minlength=len(dup))
+    return lines, dup
