@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from candlewick.llm import sql
 from candlewick.llm.jaccard import op5_ngram_jaccard_join
 from candlewick.llm.licenses import op6_license_scan
 from candlewick.llm.packing import op9_packing
@@ -28,5 +29,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_warc": OP1_SQL,
+    "op2_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op5_ngram_jaccard_join": sql.JACCARD_JOIN,
     "op8_exact_top_k": OP8_SQL,
+    "op10_suffix_array_dedup": sql.SUFFIX_ARRAY_DEDUP,
 }
