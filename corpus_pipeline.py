@@ -1,14 +1,76 @@
-"""A corpus from raw documents: five stages, each one operator of the llm subpackage."""
+"""A training corpus from raw documents, in five stages of one operator each.
+
+Each stage reads all its predecessor kept, and its decisions take effect:
+documents that the classifier or the rules reject go, one document of each
+group of near copies stays (the one with the smallest doc_id), words that an
+earlier document has already go, and the rest is packed into sequences. All
+but the last return the columns of ``documents``.
+
+Rows without a doc_id are judged like others but link with nothing and lose no
+words. Of repeated rows of one doc_id the near-copy stage keeps one.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from candlewick.llm import jaccard, packing, quality, rules, suffix_tree
+from candlewick.llm.text import staged
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the classifier scores below its threshold."""
+    model = quality.quality_model(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select("doc.*")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what fails a rule."""
+    return rules.quality_rules(docs).where("kept").select("doc.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest doc_id of each group."""
+    classes = jaccard.similar_classes(docs.select("doc_id", "text")).where("doc_id IS NOT NULL")
+    marks = classes.groupBy("doc_id").agg((F.min("component_id") < F.col("doc_id")).alias("copy"), F.count("*").alias("n"))
+    marks = staged(marks.where("copy OR n > 1").withColumnRenamed("doc_id", "marked"), "marks")
+    rows = docs.join(marks, docs["doc_id"] == marks["marked"], "left")
+    alone = rows.where("marked IS NULL").select(*[docs[c] for c in docs.columns])
+    again = rows.where("NOT copy").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
+    return alone.unionByName(again)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove passages that an earlier document has; other texts stay as they are."""
+    found = suffix_tree.substring_dedup(docs)
+    text = F.when(F.size("spans") > 0, F.col("kept_text")).otherwise(F.col("doc.text"))
+    new = {"text": text, "n_chars": F.when(F.size("spans") > 0, F.length("kept_text").cast("long")).otherwise(F.col("doc.n_chars"))}
+    return found.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False).drop("ids")
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("packing", pack),
+]
+
+#: SQL has neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    """Apply every stage to the documents of sf_dir."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply every stage to the documents of a folder; each result is stored and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
     return docs
