@@ -14,8 +14,12 @@ anchor stands for a *segment*, the run of windows that name it.
 * What is left - different segments around the same k tokens - is where
   repeats begin and end. One copy of each, with its text, goes to the
   operators' sorting step. An anchor with very many different segments is not
-  gathered: its windows are compared at full length, by hash, in a grouped
-  aggregate that combines on the map side.
+  gathered: its prefix is made longer, step by step, in grouped aggregates that
+  combine on the map side. Its windows are taken in blocks by their distance
+  from the anchor. Blocks that are equal throughout are one; blocks whose
+  common core occurs once cannot repeat; only blocks that share a core and
+  still differ - those in which a repeat begins or ends - are opened, and their
+  windows compared at full length.
 
 Hashes have 64 bits; a window or segment is keyed by two of them.
 """
@@ -33,6 +37,8 @@ from candlewick.llm import text as T
 
 #: Different segments of one anchor that are gathered in a task; the windows of more are aggregated.
 GROUP_ROWS = 512
+#: Blocks into which the windows around a crowded anchor are cut.
+BLOCKS = 12
 
 
 def tokens_of(kind: str, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,70 +138,98 @@ def contested(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return segs, places
 
 
-def _read_segments(kind: str, n: int, rows_most: int) -> Callable:
-    """Text of ordinary segments, window hashes of crowded ones."""
+def _blocks(sums: np.ndarray, start: int, windows: int, anchor: int, n: int, step: int) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+    """Blocks of a segment's windows: number, first window, hash of the core, of the whole, of each window."""
+    before = anchor - np.arange(windows)  # tokens of a window that stand before the anchor
+    number = before // step
+    for block in np.unique(number).tolist():
+        own = np.flatnonzero(number == block)
+        lo, hi = start + own[0], start + own[-1]
+        place = start + anchor
+        edges = np.array([[place - block * step, place - block * step - step + 1 + n], [lo, hi + n]])
+        core, full = T.spans(sums, edges[:, 0], edges[:, 1])
+        full = T.mixed(np.array([full + np.uint64(before[own[0]])], dtype=np.uint64))[0]
+        at = np.arange(lo, hi + 1)
+        yield block, int(own[0]), int(core.view(np.int64)), int(full.view(np.int64)), T.spans(sums, at, at + n).view(np.int64)
+
+
+def _read_segments(kind: str, n: int, k: int, rows_most: int) -> Callable:
+    """Text of ordinary segments, hashes of the blocks of crowded ones."""
+    step = max(1, min((n - k + BLOCKS) // BLOCKS, n // 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = T.utf8(batch.column("text"))
             ids, lists = batch.column("doc_id").to_pylist(), batch.column("places")
             flat = lists.flatten()
-            cols = {f: flat.field(f).to_numpy(zero_copy_only=False) for f in ("gram", "seg", "lo", "windows", "anchor", "members", "n")}
+            cols = {f: flat.field(f).to_pylist() for f in ("gram", "seg", "lo", "windows", "anchor", "members", "n")}
             bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
             for i, j, part, ends in T.pieces(data, offs):
                 if kind == "words":
                     starts, stops, ranges = T.words(part, ends)
                 raw = part.tobytes()
-                out = {f: [] for f in ("gram", "seg", "doc_id", "windows", "anchor", "n", "context")}
-                hot = {f: [] for f in ("gram", "seg", "doc_id", "n", "off", "whole")}
+                out = {f: [] for f in SEGMENT_TYPES}
                 sums = None
                 for row in range(i, j):
                     base = int(ranges[row - i]) if kind == "words" else int(ends[row - i])
                     for p in range(bounds[row], bounds[row + 1]):
-                        a, m = base + int(cols["lo"][p]), int(cols["windows"][p])
+                        a, m = base + cols["lo"][p], cols["windows"][p]
                         z = a + m + n - 1
+                        own = {f: cols[f][p] for f in ("gram", "seg", "windows", "anchor", "n")} | {"doc_id": ids[row]}
                         if cols["members"][p] > rows_most:  # the same for all segments of an anchor
                             if sums is None:
                                 sums = T.prefix_sums(tokens_of(kind, part, ends)[0])
-                            at = np.arange(a, a + m)
-                            hot["whole"].append(T.spans(sums, at, at + n).view(np.int64))
-                            hot["off"].append(np.arange(m, dtype=np.int32))
-                            for f in ("gram", "seg", "n"):
-                                hot[f].append(np.full(m, cols[f][p], np.int64))
-                            hot["doc_id"].append(np.full(m, ids[row], np.int64))
-                            continue
-                        for f in ("gram", "seg", "windows", "anchor", "n"):
-                            out[f].append(cols[f][p])
-                        out["doc_id"].append(ids[row])
-                        if kind == "words":
-                            out["context"].append(b" ".join(raw[starts[a] : stops[z - 1]].split()))
+                            found = [dict(zip(("block", "off", "core", "full", "wholes"), b)) for b in _blocks(sums, a, m, own["anchor"], n, step)]
+                        elif kind == "words":
+                            found = [{"context": b" ".join(raw[starts[a] : stops[z - 1]].split())}]
                         else:
-                            out["context"].append(raw[a:z])
+                            found = [{"context": raw[a:z]}]
+                        for one in found:
+                            for f in out:
+                                out[f].append(own[f] if f in own else one.get(f))
                 if out["gram"]:
-                    yield _segment_batch(out, None)
-                if hot["gram"]:
-                    yield _segment_batch(None, {f: np.concatenate(v) for f, v in hot.items()})
+                    yield pa.RecordBatch.from_arrays([pa.array(out[f], t) for f, t in SEGMENT_TYPES.items()], names=list(SEGMENT_TYPES))
 
     return run
 
 
-SEGMENTS = "gram long, seg long, doc_id long, n long, windows int, anchor int, context binary, off int, whole long"
-
-
-def _segment_batch(out: dict | None, hot: dict | None) -> pa.RecordBatch:
-    src = out or hot
-    size = len(src["gram"])
-    types = {"gram": pa.int64(), "seg": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "windows": pa.int32(), "anchor": pa.int32(), "context": pa.binary(), "off": pa.int32(), "whole": pa.int64()}
-    return pa.RecordBatch.from_arrays([pa.array(src[f], t) if f in src else pa.nulls(size, t) for f, t in types.items()], names=list(types))
+SEGMENT_TYPES = {
+    "gram": pa.int64(), "seg": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "windows": pa.int32(), "anchor": pa.int32(),
+    "context": pa.binary(), "block": pa.int32(), "off": pa.int32(), "core": pa.int64(), "full": pa.int64(), "wholes": pa.list_(pa.int64()),
+}
+SEGMENTS = (
+    "gram long, seg long, doc_id long, n long, windows int, anchor int, context binary, block int, off int, core long, full long, wholes array<long>"
+)
 
 
-def read_segments(rows: DataFrame, places: DataFrame, kind: str, n: int, rows_most: int = GROUP_ROWS) -> DataFrame:
-    """Contested segments with their text, or window by window where an anchor has too many. Stored."""
+def read_segments(rows: DataFrame, places: DataFrame, kind: str, n: int, k: int, rows_most: int = GROUP_ROWS) -> DataFrame:
+    """Contested segments with their text, or the hashes of their blocks where an anchor has too many. Stored."""
     per_doc = places.groupBy("doc_id", "t_key").agg(
         F.collect_list(F.struct("gram", "seg", "lo", "windows", "anchor", "members", "n")).alias("places")
     )
     joined = texts(rows).join(per_doc, ["doc_id", "t_key"]).select("doc_id", "text", "places")
-    return T.staged(joined.mapInArrow(_read_segments(kind, n, rows_most), SEGMENTS), "contexts")
+    return T.staged(joined.mapInArrow(_read_segments(kind, n, k, rows_most), SEGMENTS), "contexts")
+
+
+def crowded(read: DataFrame, by_doc: bool) -> DataFrame:
+    """(gram, seg, a, b): windows of crowded segments that occur in a smaller document, or else anywhere else."""
+    blocks = read.where("context IS NULL").select("gram", "seg", "doc_id", "n", "block", "off", "core", "full", "wholes")
+    key = ["gram", "block", "full"]
+    same = T.staged(
+        blocks.groupBy(*key, "core").agg(F.min("doc_id").alias("least"), F.sum("n").alias("places"), F.first("wholes").alias("wholes")),
+        "blocks",
+    )
+    differ = same.groupBy("gram", "block", "core").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    opened = same.join(differ, ["gram", "block", "core"], "left_semi").select(*key, "least", "places", F.posexplode("wholes").alias("w", "whole"))
+    met = opened.groupBy("gram", "whole").agg(F.min("least").alias("w_least"), F.sum("places").alias("w_places")).where("w_places > 1")
+    hits = opened.join(met, ["gram", "whole"]).where("w_least < least" if by_doc else "w_places > 1")
+    hits = T.staged(hits.groupBy(*key).agg(F.collect_set("w").alias("ws")), "hits")
+    verdict = same.select(*key, "least", "places").join(hits, key, "left")
+    whole = F.col("doc_id") > F.col("least") if by_doc else F.col("places") > 1
+    span = F.array(F.struct(F.col("off").alias("a"), (F.col("off") + F.size("wholes") - 1).alias("b")))
+    some = F.transform("ws", lambda w: F.struct((F.col("off") + w).alias("a"), (F.col("off") + w).alias("b")))
+    found = blocks.join(verdict, key).select("gram", "seg", F.explode(F.when(whole, span).otherwise(some)).alias("o"))
+    return found.select("gram", "seg", "o.a", "o.b")
 
 
 def by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, list]]:

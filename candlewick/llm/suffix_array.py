@@ -165,26 +165,19 @@ def repeated_strings(rows: DataFrame, n: int, k: int, rows_most: int = R.GROUP_R
     spark = rows.sparkSession
     found = R.repeated_segments(rows, "bytes", n, k)
     segs, places = R.contested(found)
-    read = R.read_segments(rows, places, "bytes", n, rows_most)
+    read = R.read_segments(rows, places, "bytes", n, k, rows_most)
     few = read.where("context IS NOT NULL").select("gram", "seg", "windows", "anchor", "context")
     lead = F.substring("context", F.col("anchor") + 1, F.lit(k))
     buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     few = few.withColumn("lead", lead).repartitionByRange(buckets, "lead").sortWithinPartitions("lead", "gram").drop("lead")
     few = few.mapInArrow(_array_windows(n), "gram long, seg long, a int, b int")
-    crowd = read.where("context IS NULL")
-    twice = crowd.groupBy("gram", "whole").agg(F.count("*").alias("places")).where("places > 1").select("gram", "whole")
-    crowd = crowd.join(twice, ["gram", "whole"], "left_semi").select("gram", "seg", F.col("off").alias("a"), F.col("off").alias("b"))
-    own = few.unionByName(crowd).groupBy("gram", "seg").agg(F.collect_set(F.struct("a", "b")).alias("offs"))
-    own = T.staged(own, "flags")
-    many = segs.where("n > 1").select("gram", "seg")
-    whole = found.join(many, ["gram", "seg"], "left_semi").select("doc_id", "t_key", "lo", (F.col("lo") + F.col("windows") - 1).alias("hi"))
-    single = (
-        found.join(segs.where("n = 1").select("gram", "seg"), ["gram", "seg"], "left_semi")
-        .join(own, ["gram", "seg"])
-        .select("doc_id", "t_key", "lo", F.explode("offs").alias("o"))
-        .select("doc_id", "t_key", (F.col("lo") + F.col("o.a")).alias("lo"), (F.col("lo") + F.col("o.b")).alias("hi"))
-    )
-    return whole.unionByName(single)
+    own = few.unionByName(R.crowded(read, by_doc=False)).groupBy("gram", "seg").agg(F.collect_set(F.struct("a", "b")).alias("own"))
+    # a segment that occurs twice repeats as a whole
+    verdict = segs.select("gram", "seg", "n").join(own, ["gram", "seg"], "left").where("n > 1 OR own IS NOT NULL")
+    hit = found.join(T.staged(verdict, "verdict"), ["gram", "seg"])
+    spans = F.when(F.col("n") > 1, F.array(F.struct(F.lit(0).alias("a"), (F.col("windows") - 1).alias("b")))).otherwise(F.col("own"))
+    hit = hit.select("doc_id", "t_key", "lo", F.explode(spans).alias("o"))
+    return hit.select("doc_id", "t_key", (F.col("lo") + F.col("o.a")).alias("lo"), (F.col("lo") + F.col("o.b")).alias("hi"))
 
 
 def _cut(n: int):

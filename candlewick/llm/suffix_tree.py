@@ -2,8 +2,8 @@
 
 Suffixes are split by prefixes of variable length. The short prefix is the k
 words of an anchor (see ``repeats``): a group is all segments of an anchor,
-small enough for a task's memory. A group that is not is split by the longest
-prefix that matters, the n words of a whole window, whose only question - the
+small enough for a task's memory. A group that is not is split by longer and
+longer prefixes, up to the n words of a whole window, whose only question - the
 smallest document - is a plain aggregate.
 
 In a group the suffixes that begin at each window are sorted and the tree over
@@ -88,23 +88,17 @@ def repeated_windows(rows: DataFrame, n: int, k: int, rows_most: int = R.GROUP_R
     """(doc_id, t_key, lo, hi): starts of windows that also begin in a smaller document."""
     found = R.repeated_segments(rows, "words", n, k)
     segs, places = R.contested(found)
-    read = R.read_segments(rows, places, "words", n, rows_most)
+    read = R.read_segments(rows, places, "words", n, k, rows_most)
     few = read.where("context IS NOT NULL").select("gram", "seg", "doc_id", "windows", "context")
     few = few.repartition("gram").sortWithinPartitions("gram").mapInArrow(_first_windows(n), "gram long, seg long, off int")
-    crowd = read.where("context IS NULL")
-    least = crowd.groupBy("gram", "whole").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    crowd = crowd.join(least, ["gram", "whole"]).where("doc_id > least").select("gram", "seg", "off")
-    own = T.staged(few.unionByName(crowd).groupBy("gram", "seg").agg(F.collect_set("off").alias("offs")), "flags")
-    later = found.join(segs.where("first < last").select("gram", "seg", "first"), ["gram", "seg"]).where("doc_id > first")
-    later = later.select("doc_id", "t_key", "lo", (F.col("lo") + F.col("windows") - 1).alias("hi"))
-    firsts = (
-        found.join(own, ["gram", "seg"])
-        .join(segs.select("gram", "seg", "first"), ["gram", "seg"])
-        .where("doc_id = first")
-        .select("doc_id", "t_key", F.explode(F.transform("offs", lambda x: x + F.col("lo"))).alias("lo"))
-        .select("doc_id", "t_key", "lo", F.col("lo").alias("hi"))
-    )
-    return later.unionByName(firsts)
+    few = few.select("gram", "seg", F.col("off").alias("a"), F.col("off").alias("b"))
+    own = few.unionByName(R.crowded(read, by_doc=True)).groupBy("gram", "seg").agg(F.collect_set(F.struct("a", "b")).alias("own"))
+    # a segment's windows are all removed from later documents, and from the first one as ``own`` says
+    verdict = segs.select("gram", "seg", "first", "last").join(own, ["gram", "seg"], "left").where("first < last OR own IS NOT NULL")
+    hit = found.join(T.staged(verdict, "verdict"), ["gram", "seg"]).where("doc_id > first OR own IS NOT NULL")
+    spans = F.when(F.col("doc_id") > F.col("first"), F.array(F.struct(F.lit(0).alias("a"), (F.col("windows") - 1).alias("b")))).otherwise(F.col("own"))
+    hit = hit.select("doc_id", "t_key", "lo", F.explode(spans).alias("o"))
+    return hit.select("doc_id", "t_key", (F.col("lo") + F.col("o.a")).alias("lo"), (F.col("lo") + F.col("o.b")).alias("hi"))
 
 
 def _remove(n: int):
