@@ -225,6 +225,14 @@ def forecast_trees(
     return reduce(DataFrame.unionByName, fitted) if fitted else None
 
 
+def training_rows(features: DataFrame, *, cutoff: Column, min_rows: int = V.TREE_MIN_ROWS) -> DataFrame:
+    """(target_name, training_rows, is_trained): complete rows before the cutoff, and whether they suffice."""
+    before = features.filter(F.col("trade_date") < cutoff).dropna(subset=FEATURES)
+    known = [F.count(F.nanvl(label, F.lit(None).cast("double"))).alias(target) for target, (_, label, _) in TARGETS.items()]
+    counts = F.array(*[F.struct(F.lit(t).alias("target_name"), F.col(t).alias("training_rows")) for t in TARGETS])
+    return before.agg(*known).select(F.inline(counts)).withColumn("is_trained", F.col("training_rows") >= min_rows)
+
+
 def _assembler():
     return VectorAssembler(inputCols=FEATURES, outputCol="_x", handleInvalid="skip")
 

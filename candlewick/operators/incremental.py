@@ -52,10 +52,11 @@ def backfill_days(
     max_days: int = V.MAX_BACKFILL_DAYS,
     override: int | None = None,
 ) -> DataFrame:
-    """Add ``backfill_days``: how far back this run must fetch.
+    """Add ``backfill_days``: how far back this run must fetch, and ``days_uncovered``.
 
     Covers the gap since the last load, within the limits; a first load
-    takes the maximum and an override is taken as it is.
+    takes the maximum and an override is taken as it is. What lies before the
+    window and was never loaded is counted as uncovered.
     """
     last = F.col("last_load_timestamp").cast("date")
     gap = F.datediff(as_of, last) + 1
@@ -65,7 +66,8 @@ def backfill_days(
     )
     if override is not None:
         days = F.lit(override)
-    return control.withColumn("backfill_days", days.cast("int"))
+    uncovered = F.greatest(F.coalesce(gap - days, F.lit(0)), F.lit(0))
+    return control.withColumns({"backfill_days": days.cast("int"), "days_uncovered": uncovered.cast("int")})
 
 
 def advance_control(control: DataFrame, *, status: Column, now: Column) -> DataFrame:

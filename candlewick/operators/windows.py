@@ -201,23 +201,3 @@ def number_rows(df: DataFrame, *, order_by: list[str], name: str, start: int = 1
         .withColumn(name, (F.col("_offset") + F.col("_row") + (start - 1)).cast("bigint"))
         .drop("_part", "_row", "_offset")
     )
-
-
-def list_in_parts(
-    df: DataFrame, *, by: str, item: str, name: str, part_size: int = 10_000, separator: str = ", "
-) -> DataFrame:
-    """Sorted distinct items per group as text, ``part_size`` items a row.
-
-    Up to ``part_size`` items give one row (part 0) with the whole list;
-    longer lists continue in parts 1, 2, ... so no row or task grows without
-    bound and nothing is cut off.
-    """
-    distinct = df.select(by, item).distinct()
-    numbered = number_rows(distinct, order_by=[by, item], name="_n")
-    firsts = numbered.groupBy(by).agg(F.min("_n").alias("_first"))
-    parts = numbered.join(firsts, by).withColumn(
-        "part", F.floor((F.col("_n") - F.col("_first")) / part_size).cast("int")
-    )
-    return parts.groupBy(by, "part").agg(
-        F.array_join(F.array_sort(F.collect_list(item)), separator).alias(name)
-    )

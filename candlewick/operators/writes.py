@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,11 @@ from pyspark.sql.types import StructType
 from ..session import literal, stage
 
 
+def _order(order_by: str | list[str]) -> Column:
+    names = [order_by] if isinstance(order_by, str) else order_by
+    return F.struct(*[F.col(c) for c in names])
+
+
 def _one_per_key(batch: DataFrame, keys: list[str], order: Column | None, last: bool) -> DataFrame:
     # Aggregated map-side, so one key repeated many times stays cheap.
     rest = [c for c in batch.columns if c not in keys]
@@ -30,11 +36,18 @@ def _one_per_key(batch: DataFrame, keys: list[str], order: Column | None, last:
     return batch.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*batch.columns)
 
 
-def upsert(target: DataFrame, batch: DataFrame, *, keys: list[str], order_by: str | None = None) -> DataFrame:
-    """Insert or replace by key; inside the batch the last row wins."""
-    order = None if order_by is None else F.col(order_by)
-    winners = _one_per_key(batch, keys, order, last=True)
-    return target.join(winners.select(*keys), keys, "left_anti").unionByName(winners)
+def upsert(
+    target: DataFrame, batch: DataFrame, *, keys: list[str], order_by: str | list[str] | None
+) -> DataFrame:
+    """Insert or replace by key; inside the batch the last row by ``order_by`` wins.
+
+    Columns of ``order_by`` that the target lacks are dropped once the winner
+    is known. ``None`` says that the batch has one row per key; it is then
+    taken as it is, and needs no aggregate.
+    """
+    winners = batch if order_by is None else _one_per_key(batch, keys, _order(order_by), last=True)
+    winners = winners.select(*target.columns)
+    return target.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(winners)
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, *, keys: list[str]) -> DataFrame:
@@ -46,10 +59,10 @@ def delete_insert(target: DataFrame, batch: DataFrame, *, keys: list[str]) -> Da
 
 
 def append_new_only(
-    log: DataFrame, batch: DataFrame, *, keys: list[str], order_by: str | None = None
+    log: DataFrame, batch: DataFrame, *, keys: list[str], order_by: str | list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(new log, rows that were new): keys already logged are left alone."""
-    order = None if order_by is None else F.col(order_by)
+    order = None if order_by is None else _order(order_by)
     firsts = _one_per_key(batch, keys, order, last=False)
     new_rows = firsts.join(log.select(*keys), keys, "left_anti").select(*batch.columns)
     return log.unionByName(new_rows.select(*log.columns)), new_rows
@@ -103,8 +116,14 @@ def replace_table(df: DataFrame, path: str) -> None:
     overwrite_table(stage(df, "rebuild"), path)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def replace_slice(df: DataFrame, path: str, **values: str) -> None:
+    """Replace the rows of a table that have these values, whatever was stored for them before.
+
+    The slice is a folder of its own, so writing it again gives the same table
+    and others are not touched.
+    """
+    where = "/".join(f"{name}={quote(value, safe='')}" for name, value in values.items())
+    df.drop(*values).write.mode("overwrite").parquet(f"{path}/{where}")
 
 
 def _month(fields: StructType, month_of: str) -> Column:

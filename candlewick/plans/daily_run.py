@@ -21,7 +21,6 @@ from ..operators.incremental import advance_control, backfill_days
 from ..operators.joins import ticker_map
 from ..operators.quality import invariant_checks, mart_checks, require_clean, run_checks
 from ..operators.writes import (
-    append_table,
     append_to_log,
     delete_insert,
     merge_table,
@@ -29,6 +28,7 @@ from ..operators.writes import (
     overwrite_table,
     read_or_empty,
     read_since,
+    replace_slice,
     replace_table,
     upsert,
 )
@@ -102,12 +102,17 @@ def ingest(
         got = payloads[source].join(symbols.select(F.col("source_symbol").alias("symbol")), "symbol", "left_semi")
         got = stage(got, "payloads")
 
-        records = adapters.parse(source, got, max_rows=days)
-        good, bad = adapters.apply_mapping(records, config.active_columns(settings, connection.id))
-        good = good.dropna(subset=keys).withColumn("updated_at", at)
-        batch = stage(good, "batch")
+        if source == V.STOCK_SOURCE:  # this feed sends its whole history
+            records = adapters.parse_newest_series(got, days)
+        else:
+            records = adapters.parse(source, got)
+        good, bad = adapters.apply_mapping(
+            records, config.active_columns(settings, connection.id), required=keys, carry=adapters.ARRIVAL
+        )
+        batch = stage(good.withColumn("updated_at", at), "batch")
         overwrite_table(
-            upsert(literal(spark, [], schema), batch, keys=keys), _path(root, "landing", table)
+            upsert(literal(spark, [], schema), batch, keys=keys, order_by=adapters.ARRIVAL),
+            _path(root, "landing", table),
         )
         landed = spark.read.schema(schema).parquet(_path(root, "landing", table))
         merge_table(
@@ -116,7 +121,7 @@ def ingest(
             landed,
             schema=schema,
             month_of="date",
-            merge=partial(upsert, keys=keys, order_by="updated_at"),
+            merge=partial(upsert, keys=keys, order_by=None),
         )
 
         counts = batch.groupBy(F.col(keys[0]).alias("symbol")).agg(F.count(F.lit(1)).alias("_n"))
@@ -136,32 +141,39 @@ def ingest(
                 F.coalesce("_why", F.lit("0 rows inserted")).alias("error_message"),
             )
         )
-        append_table(
+        replace_slice(
             config.load_error_rows(errors, run_id=run_id, connection_id=connection.id, at=at),
             _path(root, "state", "load_errors"),
+            run_id=run_id, connection_id=str(connection.id),
         )
         quarantined = bad.select(
             F.lit(run_id).alias("run_id"),
             F.lit(source).alias("source"),
             F.col("__symbol__").alias("symbol"),
             F.col("__date__").alias("date"),
+            F.col("__payload__").alias("payload"),
+            F.col("__record__").alias("record"),
             "bad_fields",
         )
-        append_table(quarantined, _path(root, "state", "quarantine"))
+        replace_slice(quarantined, _path(root, "state", "quarantine"), run_id=run_id, source=source)
+        failed = config.failed_symbols(loaded).select(F.lit(run_id).alias("run_id"), "source", "symbol")
+        replace_slice(failed, _path(root, "state", "failed_symbols"), run_id=run_id, source=source)
 
         status = stage(config.source_status(loaded), "status")
-        failed = config.failed_lists(loaded).filter("part = 0").select("source", "failed")
-        row = status.join(failed, "source", "left").select(
+        row = status.select(
             F.lit(run_id).alias("run_id"),
             "source",
             "status",
             F.col("records").alias("records_inserted"),
             F.lit(time.monotonic() - began).alias("duration_seconds"),
-            F.concat(F.lit("failed symbols: "), F.col("failed")).alias("error_message"),
+            F.when(
+                F.col("failed_symbols") > 0, F.concat(F.col("failed_symbols").cast("string"), F.lit(" failed symbols"))
+            ).alias("error_message"),
             at.alias("run_timestamp"),
         )
         log = read_or_empty(spark, _path(root, "state", "pipeline_logs"), S.RUN_LOG)
-        replace_table(upsert(log, row, keys=["run_id", "source"]), _path(root, "state", "pipeline_logs"))
+        log = upsert(log, row, keys=["run_id", "source"], order_by=None)
+        replace_table(log, _path(root, "state", "pipeline_logs"))
         statuses.append(status)
 
     if not statuses:
@@ -302,7 +314,7 @@ def run_forecasts(
         rows.filter(F.col("predicted_value").isNotNull()),
         schema=S.FORECASTS,
         month_of="target_date",
-        merge=partial(upsert, keys=forecasts.FORECAST_KEY),
+        merge=partial(upsert, keys=forecasts.FORECAST_KEY, order_by=None),
     )
 
 
@@ -333,7 +345,7 @@ def write_summary(spark: SparkSession, root: str, marts: dict[str, DataFrame]) -
     )
     path = _path(root, "marts", "market_summaries")
     stored = read_or_empty(spark, path, S.SUMMARIES)
-    replace_table(upsert(stored, text, keys=["summary_date", "period_type"]), path)
+    replace_table(upsert(stored, text, keys=["summary_date", "period_type"], order_by=None), path)
     overwrite_table(reports.snapshot_lines(latest, rolled, related, as_of), _path(root, "reports", "snapshot_lines"))
     return read_or_empty(spark, path, S.SUMMARIES)
 

@@ -17,7 +17,7 @@ FORECAST_KEY = ["symbol", "target_date", "target_name", "model_name", "horizon_d
 def store_forecasts(stored: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Stored forecasts after a run: one row per key, values to 8 digits."""
     rows = forecasts.withColumn("predicted_value", F.round("predicted_value", 8)).select(*stored.columns)
-    return upsert(stored, rows, keys=FORECAST_KEY)
+    return upsert(stored, rows, keys=FORECAST_KEY, order_by=None)
 
 
 def fact_forecast_detail(

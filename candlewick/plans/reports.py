@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import values as V
 from ..functions.scalars import capitalise, fixed, money, signed_pct
-from ..operators.windows import latest_per, list_in_parts
+from ..operators.windows import latest_per
 
 
 def latest_prices(returns: DataFrame) -> DataFrame:
@@ -20,15 +20,12 @@ def latest_prices(returns: DataFrame) -> DataFrame:
 
 
 def alert_rollup(alerts: DataFrame, as_of: Column) -> DataFrame:
-    """Alerts of one day per type, with their symbols in order.
+    """Alerts of one day, counted: a row for each type and symbol.
 
-    (alert_type, part, alert_count, symbols); part 0 is the whole list unless
-    a type has over ten thousand symbols.
+    Whoever prints a type's list sorts and joins its rows.
     """
     today = alerts.filter(F.col("date") == as_of)
-    counts = today.groupBy("alert_type").agg(F.count(F.lit(1)).alias("alert_count"))
-    symbols = list_in_parts(today, by="alert_type", item="symbol", name="symbols")
-    return symbols.join(counts, "alert_type").select("alert_type", "part", "alert_count", "symbols")
+    return today.groupBy("alert_type", "symbol").agg(F.count(F.lit(1)).alias("alert_count"))
 
 
 def pair_type_correlation(correlations: DataFrame) -> DataFrame:
@@ -80,24 +77,16 @@ def snapshot_lines(
         parts.append(any_row.select(*_section(n, "", F.lit(f"{kind.upper()}:"))))
         parts.append(rows.select(*_section(n, F.col("symbol"), F.col("line"))))
 
-    counts = alerts.filter("part = 0").agg(F.sum("alert_count").alias("total"))
+    counts = alerts.agg(F.sum("alert_count").alias("total"))
     title = F.when(F.col("total").isNull(), "ACTIVE ALERTS: none").otherwise(
         F.concat(F.lit("ACTIVE ALERTS ("), F.col("total").cast("string"), F.lit("):"))
     )
     parts.append(counts.select(*_section(3, "", title)))
-    shown = F.array_join(F.transform(F.split("symbols", ", "), capitalise), ", ")
-    parts.append(
-        alerts.select(
-            *_section(
-                3,
-                F.concat(F.col("alert_type"), F.lit(" "), F.lpad(F.col("part").cast("string"), 9, "0")),
-                F.concat(
-                    F.lit("  "), F.col("alert_type"), F.lit(" x"), F.col("alert_count").cast("string"),
-                    F.lit(": "), shown,
-                ),
-            )
-        )
-    )
+    kinds = alerts.groupBy("alert_type").agg(F.sum("alert_count").alias("alert_count"))
+    heading = F.concat(F.lit("  "), F.col("alert_type"), F.lit(" x"), F.col("alert_count").cast("string"), F.lit(":"))
+    parts.append(kinds.select(*_section(3, F.col("alert_type"), heading)))
+    shown = F.concat(F.lit("    "), capitalise(F.col("symbol")))
+    parts.append(alerts.select(*_section(3, F.concat_ws(" ", "alert_type", "symbol"), shown)))
 
     any_pair = correlations.agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
     parts.append(
@@ -120,13 +109,17 @@ def snapshot_lines(
 
 
 def best_worst(latest: DataFrame) -> DataFrame:
-    """Best and weakest asset by return; assets without one are left out."""
+    """First and last asset by falling return; assets without one are left out.
+
+    Ties keep the order of asset type and symbol, so the first of the best and
+    the last of the weakest are named.
+    """
     known = latest.filter(F.col("daily_return_pct").isNotNull())
-    rank = F.struct("daily_return_pct", "symbol")
+    rank = F.struct((-F.col("daily_return_pct")).alias("fall"), "asset_type", "symbol")
     return known.agg(
-        F.max_by("symbol", rank).alias("best_symbol"),
+        F.min_by("symbol", rank).alias("best_symbol"),
         F.max("daily_return_pct").alias("best_pct"),
-        F.min_by("symbol", rank).alias("worst_symbol"),
+        F.max_by("symbol", rank).alias("worst_symbol"),
         F.min("daily_return_pct").alias("worst_pct"),
     )
 
@@ -137,9 +130,9 @@ def daily_summary(
     """(summary_date, summary_text): the day in a few sentences, one row."""
     best = best_worst(latest)
     # three alert types and three pair types: a fixed few rows
-    active = alerts.filter("part = 0").agg(
+    active = alerts.agg(
         F.sum("alert_count").alias("total"),
-        F.array_join(F.array_sort(F.collect_list("alert_type")), ", ").alias("types"),
+        F.array_join(F.array_sort(F.collect_set("alert_type")), ", ").alias("types"),
     )
     by_type = correlations.agg(
         F.max(F.when(F.col("pair_type") == "Crypto-Crypto", F.col("avg_correlation"))).alias("crypto"),

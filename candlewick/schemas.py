@@ -35,6 +35,10 @@ LOAD_ERRORS = (
     "run_id string, connection_id int, source_symbol string, error_message string, "
     "occurred_at timestamp"
 )
+QUARANTINE = (
+    "run_id string, source string, symbol string, date date, payload bigint, record bigint, bad_fields string"
+)
+FAILED_SYMBOLS = "run_id string, source string, symbol string"
 CONTROL = (
     "pipeline_name string, last_load_timestamp timestamp, is_first_load boolean, "
     "last_run_status string, updated_at timestamp"

@@ -1,8 +1,10 @@
 """From landed JSON payloads to typed rows.
 
 Payload tables have the columns ``symbol`` and ``payload`` (one API response
-as text). Every adapter yields raw records with ``__symbol__`` and
-``__date__``; the column mapping, which is data, then names and casts them.
+as text), and ``position`` if a symbol has several. Every adapter yields raw
+records with ``__symbol__``, ``__date__`` and their place of arrival
+(``__payload__``, ``__record__``); the column mapping, which is data, then
+names and casts them.
 """
 
 from __future__ import annotations
@@ -28,6 +30,14 @@ KLINE_FIELDS = {
 }
 
 
+#: Place of arrival of a record: of two with one key the later one wins.
+ARRIVAL = ["__payload__", "__record__"]
+
+
+def _position(payloads: DataFrame) -> Column:
+    return (F.col("position") if "position" in payloads.columns else F.lit(0)).cast("bigint").alias("__payload__")
+
+
 def _arrays(payload: Column) -> Column:
     return F.from_json(payload, ARRAYS_SCHEMA)
 
@@ -40,28 +50,32 @@ def _zipped(parsed: Column) -> Column:
     return F.arrays_zip(*[F.slice(p, F.lit(1), shortest).alias(c) for c, p in parts.items()])
 
 
-def parse_parallel_arrays(payloads: DataFrame, *, max_rows: int | None = None) -> DataFrame:
+def parse_parallel_arrays(payloads: DataFrame) -> DataFrame:
     """Three parallel arrays of ``[millis, value]`` -> daily rows."""
-    rows = payloads.select("symbol", F.explode(_zipped(_arrays(F.col("payload")))).alias("_r"))
+    rows = payloads.select(
+        "symbol", _position(payloads), F.posexplode(_zipped(_arrays(F.col("payload")))).alias("__record__", "_r")
+    )
     return rows.select(
         F.col("symbol").alias("__symbol__"),
         day_from_millis(F.get("_r.prices", F.lit(0))).alias("__date__"),
         F.get("_r.prices", F.lit(1)).alias("price"),
         F.get("_r.market_caps", F.lit(1)).alias("market_cap"),
         F.get("_r.total_volumes", F.lit(1)).alias("total_volume"),
+        *ARRIVAL,
     )
 
 
-def parse_klines(payloads: DataFrame, *, max_rows: int | None = None) -> DataFrame:
+def parse_klines(payloads: DataFrame) -> DataFrame:
     """Arrays of positional fields, numbers as text -> daily rows."""
     rows = payloads.select(
-        "symbol", F.explode(F.from_json("payload", KLINES_SCHEMA)).alias("_k")
+        "symbol", _position(payloads), F.posexplode(F.from_json("payload", KLINES_SCHEMA)).alias("__record__", "_k")
     )
     millis = F.get("_k", F.lit(0)).try_cast("bigint")
     return rows.select(
         F.col("symbol").alias("__symbol__"),
         day_from_millis(millis).alias("__date__"),
         *[F.get("_k", F.lit(i)).alias(name) for name, i in KLINE_FIELDS.items()],
+        *ARRIVAL,
     )
 
 
@@ -69,20 +83,27 @@ def _series(payload: Column) -> Column:
     return F.from_json(payload, SERIES_SCHEMA)["Time Series (Daily)"]
 
 
-def parse_series_map(payloads: DataFrame, *, max_rows: int | None = None) -> DataFrame:
-    """A map of date text -> fields, newest ``max_rows`` dates only.
+def parse_series_map(payloads: DataFrame) -> DataFrame:
+    """A map of date text -> fields, all dates of it."""
+    return _series_rows(payloads, F.array_sort(F.map_keys("_series")))
+
+
+def parse_newest_series(payloads: DataFrame, newest: int) -> DataFrame:
+    """The newest dates of each map, as a fetch window asks for.
 
     Dates are compared as text and counted before they are validated, so an
     invalid one still uses up a slot. All of it happens inside the payload's
     own row: nothing is shuffled.
     """
-    newest = F.reverse(F.array_sort(F.map_keys("_series")))
-    if max_rows is not None:
-        newest = F.slice(newest, 1, max_rows)
+    keys = F.slice(F.reverse(F.array_sort(F.map_keys("_series"))), 1, newest)
+    return _series_rows(payloads, keys)
+
+
+def _series_rows(payloads: DataFrame, keys: Column) -> DataFrame:
     rows = (
-        payloads.select("symbol", _series(F.col("payload")).alias("_series"))
-        .select("symbol", "_series", F.explode(newest).alias("_key"))
-        .select("symbol", "_key", F.col("_series")[F.col("_key")].alias("_v"))
+        payloads.select("symbol", _position(payloads), _series(F.col("payload")).alias("_series"))
+        .select("symbol", "__payload__", "_series", F.posexplode(keys).alias("__record__", "_key"))
+        .select("symbol", *ARRIVAL, "_key", F.col("_series")[F.col("_key")].alias("_v"))
     )
     day = F.when(F.col("_key").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date("_key", "yyyy-M-d"))
     return rows.select(
@@ -93,6 +114,7 @@ def parse_series_map(payloads: DataFrame, *, max_rows: int | None = None) -> Dat
         F.col("_v")["3. low"].alias("low"),
         F.col("_v")["4. close"].alias("close"),
         F.col("_v")["5. volume"].alias("volume"),
+        *ARRIVAL,
     ).filter(F.col("__date__").isNotNull())
 
 
@@ -122,11 +144,11 @@ ADAPTERS: dict[str, tuple[Adapter, Callable[[Column], Column]]] = {
 }
 
 
-def parse(source: str, payloads: DataFrame, *, max_rows: int | None = None) -> DataFrame:
+def parse(source: str, payloads: DataFrame) -> DataFrame:
     """Parse payloads with the adapter of ``source``."""
     if source not in ADAPTERS:
         raise ValueError(f"no adapter for source {source!r}")
-    return ADAPTERS[source][0](payloads, max_rows=max_rows)
+    return ADAPTERS[source][0](payloads)
 
 
 def payload_errors(source: str, payloads: DataFrame) -> DataFrame:
@@ -158,24 +180,32 @@ def _cast(df: DataFrame, field: str, data_type: str) -> Column:
     return col
 
 
-def apply_mapping(df: DataFrame, mapping: list[tuple[str, str, str]]) -> tuple[DataFrame, DataFrame]:
+def apply_mapping(
+    df: DataFrame, mapping: list[tuple[str, str, str]], *, required: list[str] | None = None, carry: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(good, quarantined) rows after renaming and casting by ``mapping``.
 
     Mapping rows are (source field, target column, type); fields the records
     do not have are left out. A value that is present but does not cast
-    sends its row to quarantine, with the fields at fault; NULL stays NULL.
+    sends its row to quarantine, with the fields at fault; NULL stays NULL,
+    except in a ``required`` target column, where it is a fault as well.
+    Columns of ``carry`` go along unchanged.
     """
+    must, carry = set(required or []), list(carry or [])
     present = [(f, t, k) for f, t, k in mapping if f in df.columns]
     casts = {t: _cast(df, f, k) for f, t, k in present}
     faults = F.filter(
         F.array(
-            *[F.when(F.col(f"`{f}`").isNotNull() & casts[t].isNull(), F.lit(f)) for f, t, _ in present]
+            *[
+                F.when((casts[t].isNull() if t in must else F.col(f"`{f}`").isNotNull() & casts[t].isNull()), F.lit(f))
+                for f, t, _ in present
+            ]
         ),
         lambda x: x.isNotNull(),
     )
     marked = df.withColumn("_faults", faults)
-    good = marked.filter(F.size("_faults") == 0).select(*[casts[t].alias(t) for _, t, _ in present])
+    good = marked.filter(F.size("_faults") == 0).select(*[casts[t].alias(t) for _, t, _ in present], *carry)
     bad = marked.filter(F.size("_faults") > 0).select(
-        *[F.col(f"`{f}`") for f, _, _ in present], F.array_join("_faults", ", ").alias("bad_fields")
+        *[F.col(f"`{f}`") for f, _, _ in present], *carry, F.array_join("_faults", ", ").alias("bad_fields")
     )
     return good, bad

@@ -84,8 +84,7 @@ def candles(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
 
 
 def spot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = trades(spark, sf_dir).filter("l_returnflag <> 'R'")
-    daily = kept.groupBy(F.lower("p_type").alias("coin_id"), "date").agg(
+    daily = trades(spark, sf_dir).groupBy(F.lower("p_type").alias("coin_id"), "date").agg(
         # averaged in whole millionths, for the same reason as money
         (_millionths("unit") / F.count("unit")).alias("price"),
         _cents("l_extendedprice").alias("market_cap"),
@@ -129,8 +128,7 @@ def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("date", F.col("o_orderdate").cast("date"))
     order = F.struct("o_orderkey", "o_totalprice")
     daily = (
-        orders.filter(F.weekday("date") < 5)
-        .groupBy(F.col("o_orderpriority").alias("symbol"), "date")
+        orders.groupBy(F.col("o_orderpriority").alias("symbol"), "date")
         .agg(
             F.min_by("o_totalprice", order).alias("open"),
             F.max("o_totalprice").alias("high"),

@@ -8,18 +8,18 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas as S
 from ..operators.writes import append_to_log
 from ..plans.reports import ALERT_KEY
-from ..session import configure, fresh_path
+from ..session import configure
 
 
 def stream_alert_log(
-    alerts: DataFrame, *, sink: str, order_by: str, checkpoint: str | None = None
+    alerts: DataFrame, *, sink: str, order_by: str, checkpoint: str
 ) -> StreamingQuery:
     """Append each alert key once, however often it is raised or retried.
 
     ``alerts`` has the log's columns plus ``order_by``; of several alerts
     with one key the first is logged.
     """
-    spark = configure(alerts.sparkSession)
+    configure(alerts.sparkSession)
 
     def write(batch: DataFrame, _: int) -> None:
         append_to_log(
@@ -29,7 +29,7 @@ def stream_alert_log(
 
     return (
         alerts.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint or fresh_path(spark, "stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()

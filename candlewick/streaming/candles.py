@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.writes import merge_table, upsert
-from ..session import configure, fresh_path
+from ..session import configure
 
 CANDLE_SCHEMA = (
     "symbol string, date date, open_price double, high_price double, low_price double, "
@@ -42,16 +42,19 @@ def stream_candles(
     ticks: DataFrame,
     *,
     sink: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     width: str = "1 day",
     lateness: str = "3 days",
 ) -> StreamingQuery:
     """Keep the candle table at ``sink`` up to date with a tick stream.
 
+    ``checkpoint`` belongs to the sink and is kept with it: a stream that
+    starts without it reads its source again with an empty state.
+
     Each micro-batch replaces the candles it changed, by (symbol, date);
     a repeated batch writes the same rows again.
     """
-    spark = configure(ticks.sparkSession)
+    configure(ticks.sparkSession)
 
     def write(batch: DataFrame, _: int) -> None:
         merge_table(
@@ -66,7 +69,7 @@ def stream_candles(
     return (
         tick_candles(ticks, width=width, lateness=lateness)
         .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint or fresh_path(spark, "stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()

@@ -35,9 +35,6 @@ FACTS_LOOKBACK = 7
 MIN_BACKFILL_DAYS = 1
 MAX_BACKFILL_DAYS = 30
 
-# Longest stored load error.
-MAX_ERROR_CHARS = 2000
-
 # Price change that raises a price_drop alert.
 DROP_THRESHOLD = -0.10
 

@@ -94,7 +94,7 @@ step("s_spot", f"""
   SELECT lower(p_type) AS coin_id, date,
          CAST(sum(CAST(round(unit * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / count(unit) AS price,
          {CENTS.format('l_extendedprice')} AS market_cap, {CENTS.format('l_extendedprice')} AS total_volume
-  FROM s_trades WHERE l_returnflag <> 'R' GROUP BY 1, 2""")
+  FROM s_trades GROUP BY 1, 2""")
 step("s_walk_base", f"""
   SELECT upper(p_type) || 'USDT' AS symbol, date,
          {CENTS.format('l_discount')} / count(*) - CAST(0.05 AS DOUBLE) AS m,
@@ -118,7 +118,7 @@ step("s_stocks", """
          first(o_totalprice ORDER BY o_orderkey, o_totalprice) AS open, max(o_totalprice) AS high,
          min(o_totalprice) AS low, last(o_totalprice ORDER BY o_orderkey, o_totalprice) AS close,
          count(*) AS volume
-  FROM orders WHERE isodow(o_orderdate) <= 5 GROUP BY 1, 2""")
+  FROM orders GROUP BY 1, 2""")
 step("s_tickers", """
   SELECT * FROM (VALUES ('ECONOMYUSDT', 'economy'), ('LARGEUSDT', 'large'), ('MEDIUMUSDT', 'medium'),
                         ('PROMOUSDT', 'promo'), ('SMALLUSDT', 'small')) t(ticker, asset_id)""")
@@ -460,9 +460,9 @@ FROM (SELECT *, rank() OVER (PARTITION BY trade_date ORDER BY price_change_perce
              rank() OVER (PARTITION BY trade_date ORDER BY price_change_percent ASC NULLS LAST) AS loser_rank
       FROM s_w_metrics)""")
 step("s_w_best", """
-  SELECT (SELECT symbol FROM s_w_latest WHERE daily_return_pct IS NOT NULL ORDER BY daily_return_pct DESC, symbol DESC LIMIT 1) AS best_symbol,
+  SELECT (SELECT symbol FROM s_w_latest WHERE daily_return_pct IS NOT NULL ORDER BY daily_return_pct DESC, asset_type, symbol LIMIT 1) AS best_symbol,
          (SELECT max(daily_return_pct) FROM s_w_latest) AS best_pct,
-         (SELECT symbol FROM s_w_latest WHERE daily_return_pct IS NOT NULL ORDER BY daily_return_pct, symbol LIMIT 1) AS worst_symbol,
+         (SELECT symbol FROM s_w_latest WHERE daily_return_pct IS NOT NULL ORDER BY daily_return_pct, asset_type DESC, symbol DESC LIMIT 1) AS worst_symbol,
          (SELECT min(daily_return_pct) FROM s_w_latest) AS worst_pct""")
 ORACLE_SQL["best_worst"] = sql("SELECT * FROM s_w_best")
 
@@ -470,8 +470,7 @@ ORACLE_SQL["best_worst"] = sql("SELECT * FROM s_w_best")
 ORACLE_SQL["dim_date"] = sql(
     "SELECT " + cols(["full_date"], None, ["* EXCLUDE (full_date)"]) + " FROM s_c_dim_date")
 ORACLE_SQL["dim_source"] = sql("""
-SELECT source_name, source_key, n AS price_rows FROM s_dim_source
-LEFT JOIN (SELECT source_name, count(*) AS n FROM s_c_price_rows GROUP BY 1) USING (source_name)""")
+SELECT source_name, source_key, count(*) AS price_rows FROM s_c_price_rows JOIN s_dim_source USING (source_name) GROUP BY 1, 2""")
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
 DIM_COLS = f"asset_key, asset_id, symbol, asset_type, is_current, {STAMP.format('valid_from')}, {STAMP.format('valid_to')}"
 ORACLE_SQL["scd2_initial"] = sql(f"SELECT {DIM_COLS} FROM s_dim_asset")
@@ -540,6 +539,9 @@ ORACLE_SQL["upsert_last_wins"] = sql(_STORED + """(
   SELECT * FROM s_kept UNION ALL
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY seq DESC, price DESC, quantity DESC) AS rn
                               FROM s_batch) WHERE rn = 1)""")
+ORACLE_SQL["upsert_arrival_order"] = sql(f"""
+SELECT lower(p_type) AS coin_id, CAST(date AS VARCHAR) AS date, {r('last(unit ORDER BY l_orderkey, l_linenumber, unit)', 4)} AS price
+FROM s_trades GROUP BY 1, 2""")
 ORACLE_SQL["delete_insert"] = sql(_STORED + "(SELECT * FROM s_kept UNION ALL SELECT * FROM s_batch)")
 _LOG = "symbol AS asset_id, CAST(date AS VARCHAR) AS alert_date, alert_type, alert_message"
 ORACLE_SQL["append_new_only"] = sql(f"SELECT {_LOG} FROM s_c_alerts WHERE date >= DATE '{CUT}'")
@@ -588,18 +590,19 @@ SELECT * FROM s_old_trends o WHERE NOT EXISTS (
 ORACLE_SQL["backfill_window"] = sql(f"""
 SELECT symbol AS pipeline_name, CAST(d AS VARCHAR) AS last_load,
        CASE WHEN n < 10 THEN 30 ELSE greatest(1, least(DATE '{NOW}' - d + 1, 30)) END AS backfill_days,
-       CASE WHEN n < 10 THEN 7 ELSE greatest(1, least(DATE '{NOW}' - d + 1, 7)) END AS capped_days
+       CASE WHEN n < 10 THEN 7 ELSE greatest(1, least(DATE '{NOW}' - d + 1, 7)) END AS capped_days,
+       greatest(DATE '{NOW}' - d + 1 - 30, 0) AS days_uncovered
 FROM (SELECT symbol, max(trade_date) AS d, count(*) AS n FROM s_c_metrics GROUP BY 1)""")
 step("s_loaded", f"""
   SELECT source_name AS source, asset_id AS symbol, CAST(sum(CASE WHEN date >= DATE '{LOAD_FROM}' THEN 1 ELSE 0 END) AS BIGINT) AS inserted
   FROM s_c_price_rows GROUP BY 1, 2""")
 step("s_status", """
   SELECT source, CAST(sum(inserted) AS BIGINT) AS records, count(*) FILTER (inserted = 0) AS failed_symbols,
-         CASE WHEN min(inserted) = 0 THEN 'failed' ELSE 'success' END AS status,
-         string_agg(symbol, ', ' ORDER BY symbol) FILTER (inserted = 0) AS failed
+         CASE WHEN min(inserted) = 0 THEN 'failed' ELSE 'success' END AS status
   FROM s_loaded GROUP BY 1""")
 ORACLE_SQL["source_status"] = sql("""
-SELECT source, records, failed_symbols, status, failed, CAST(0 AS BIGINT) AS part FROM s_status""")
+SELECT source, records, failed_symbols, status FROM s_status""")
+ORACLE_SQL["failed_symbols"] = sql("SELECT source, symbol FROM s_loaded WHERE inserted = 0")
 ORACLE_SQL["run_status"] = sql("""
 SELECT count(*) AS sources, CAST(sum(records) AS BIGINT) AS records,
        CASE WHEN sum(records) = 0 THEN 'FAILED' WHEN max(failed_symbols) > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS run_status
@@ -609,7 +612,7 @@ SELECT 'run-1' AS run_id, source, status, records AS records_inserted FROM s_sta
 UNION ALL SELECT 'run-0', source, 'failed', 0 FROM s_status""")
 ORACLE_SQL["load_errors"] = sql(f"""
 SELECT 'run-1' AS run_id, CAST(3 AS BIGINT) AS connection_id, symbol AS source_symbol,
-       repeat(source || ': 0 rows inserted; ', 100)[1:2000] AS error_message, '{NOW} 00:00:00' AS occurred_at
+       '0 rows inserted' AS error_message, '{NOW} 00:00:00' AS occurred_at
 FROM s_loaded WHERE inserted = 0""")
 
 # adapters: the payloads are made from these tables, so parsing gives them back
@@ -621,7 +624,9 @@ _KLINE = {"open": "open_price", "high": "high_price", "low": "low_price", "close
 ORACLE_SQL["parse_klines"] = sql(
     "SELECT symbol, CAST(date AS VARCHAR) AS date, "
     + ", ".join(f"{r(f'CAST({c} AS DOUBLE)', 4)} AS {name}" for name, c in _KLINE.items()) + " FROM s_candles")
-ORACLE_SQL["parse_series_map"] = sql(f"""
+ORACLE_SQL["parse_series_map"] = sql("""
+SELECT symbol, CAST(date AS VARCHAR) AS date, open, high, low, close, CAST(volume AS DOUBLE) AS volume FROM s_stocks""")
+ORACLE_SQL["newest_series"] = sql(f"""
 SELECT symbol, CAST(date AS VARCHAR) AS date, open, high, low, close, CAST(volume AS DOUBLE) AS volume
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date_trunc('month', date) ORDER BY date DESC) AS rn FROM s_stocks)
 WHERE rn <= {MONTH_ROWS}""")
@@ -684,6 +689,27 @@ step("s_round_ets", f"""
 step("s_round_ensemble", _ensemble("s_round_naive", "s_round_ets"))
 ORACLE_SQL["forecast_round"] = sql(" UNION ALL ".join(
     f"SELECT {_FC} FROM {t}" for t in ("s_round_naive", "s_round_ets", "s_round_ensemble")))
+_KNOWN = " AND ".join(
+    f"{c} IS NOT NULL AND NOT isnan({c})"
+    for c in ("ret", "ret_lag1", "ret_lag2", "ret_lag6", "price_vs_ma7", "price_vs_ma30", "vol_ma_7", "volume_ratio"))
+step("s_complete", f"SELECT * FROM s_features WHERE {_KNOWN} AND volatility_pct IS NOT NULL")
+step("s_training", " UNION ALL ".join(
+    f"SELECT '{t}' AS target_name, count({c}) AS training_rows FROM s_complete, s_last_day WHERE trade_date < cutoff"
+    for t, c in (("price", "target_price_ret"), ("volatility", "target_volatility"), ("volume", "target_volume_ret"))))
+step("s_tree_rows", """
+  SELECT symbol, trade_date, target_date, target_name, training_rows
+  FROM s_complete, s_training, s_last_day WHERE trade_date = cutoff AND training_rows >= 300""")
+ORACLE_SQL["forecast_gbt"] = sql("""
+SELECT symbol, CAST(trade_date AS VARCHAR) AS trade_date, target_name, training_rows, true AS has_value, true AS text_ok
+FROM s_tree_rows""")
+_THERE = "symbol, CAST(cutoff AS VARCHAR) AS cutoff, CAST(target_date AS VARCHAR) AS target_date, target_name"
+ORACLE_SQL["forecast_round_trees"] = sql(f"""
+SELECT {_THERE}, 'naive' AS model_name, CAST(1 AS BIGINT) AS horizon_days, true AS has_value, CAST(NULL AS VARCHAR) AS members FROM s_round_naive
+UNION ALL SELECT {_THERE}, 'ets', CAST(1 AS BIGINT), true, NULL FROM s_round_ets
+UNION ALL SELECT symbol, CAST(trade_date AS VARCHAR), CAST(target_date AS VARCHAR), target_name, 'gbt', CAST(1 AS BIGINT), true, NULL FROM s_tree_rows
+UNION ALL SELECT {_THERE.replace('symbol, ', 'n.symbol, ').replace(', target_name', ', n.target_name').replace('(target_date', '(n.target_date')}, 'ensemble', CAST(1 AS BIGINT), true,
+  CASE WHEN t.symbol IS NULL THEN 'ets+naive' ELSE 'ets+gbt+naive' END
+FROM s_round_naive n LEFT JOIN s_tree_rows t ON t.symbol = n.symbol AND t.target_name = n.target_name""")
 ORACLE_SQL["ensemble"] = sql(f"SELECT {_FC} FROM s_back_ensemble")
 ORACLE_SQL["backtest_naive"] = sql(f"SELECT {_FC} FROM s_back_naive")
 ORACLE_SQL["backtest_ets"] = sql(f"SELECT {_FC} FROM s_back_ets")
@@ -748,8 +774,7 @@ ORACLE_SQL["dq_raw"] = "\nUNION ALL ".join(
 # reports
 def _rollup(alerts: str, day: str) -> str:
     return f"""
-  SELECT alert_type, CAST(0 AS BIGINT) AS part, count(*) AS alert_count, string_agg(DISTINCT symbol, ', ' ORDER BY symbol) AS symbols
-  FROM {alerts} WHERE date = {day} GROUP BY 1"""
+  SELECT alert_type, symbol, count(*) AS alert_count FROM {alerts} WHERE date = {day} GROUP BY 1, 2"""
 
 
 ORACLE_SQL["alert_rollup"] = sql(_rollup("s_c_alerts", "(SELECT max(date) FROM s_c_alerts)"))
@@ -789,8 +814,8 @@ UNION ALL SELECT DISTINCT CASE asset_type WHEN 'Crypto' THEN 1 ELSE 2 END, '', u
 UNION ALL SELECT CASE asset_type WHEN 'Crypto' THEN 1 ELSE 2 END, symbol, line FROM s_price_lines
 UNION ALL SELECT 3, '', CASE WHEN count(*) = 0 THEN 'ACTIVE ALERTS: none'
                              ELSE 'ACTIVE ALERTS (' || CAST(sum(alert_count) AS BIGINT) || '):' END FROM s_w_rollup
-UNION ALL SELECT 3, alert_type || ' 000000000', '  ' || alert_type || ' x' || alert_count || ': ' ||
-  list_aggregate(list_transform(string_split(symbols, ', '), lambda s: {SHOWN.format('s')}), 'string_agg', ', ') FROM s_w_rollup
+UNION ALL SELECT 3, alert_type, '  ' || alert_type || ' x' || CAST(sum(alert_count) AS BIGINT) || ':' FROM s_w_rollup GROUP BY alert_type
+UNION ALL SELECT 3, alert_type || ' ' || symbol, '    ' || {SHOWN.format('symbol')} FROM s_w_rollup
 UNION ALL SELECT 4, '', '30-DAY RETURN CORRELATION (latest per pair, averaged):' WHERE (SELECT count(*) FROM s_pair_types) > 0
 UNION ALL SELECT 4, pair_type, '  ' || pair_type || ': ' || {text('avg_correlation', 2)} || ' (' || pair_count ||
   CASE WHEN pair_count = 1 THEN ' pair)' ELSE ' pairs)' END FROM s_pair_types""")
@@ -799,7 +824,7 @@ SELECT CAST(d AS VARCHAR) AS summary_date,
   'Market summary for ' || CAST(d AS VARCHAR) || '. Best performer: ' || {SHOWN.format('best_symbol')} || ' at ' ||
   ({signed('best_pct')}) || '. Weakest: ' || {SHOWN.format('worst_symbol')} || ' at ' || ({signed('worst_pct')}) || '. ' ||
   (SELECT CASE WHEN count(*) = 0 THEN 'No alerts active.'
-               ELSE CAST(sum(alert_count) AS BIGINT) || ' alert(s) active (' || string_agg(alert_type, ', ' ORDER BY alert_type) || ').' END
+               ELSE CAST(sum(alert_count) AS BIGINT) || ' alert(s) active (' || string_agg(DISTINCT alert_type, ', ' ORDER BY alert_type) || ').' END
    FROM s_w_rollup) ||
   coalesce((SELECT ' Average 30-day crypto correlation: ' || {text('avg_correlation', 2)} FROM s_pair_types WHERE pair_type = 'Crypto-Crypto') ||
            coalesce((SELECT ', crypto-to-stock: ' || {text('avg_correlation', 2)} FROM s_pair_types WHERE pair_type = 'Crypto-Stock'), '') || '.', '')

@@ -28,7 +28,7 @@ from candlewick.streaming.alerts import stream_alert_log
 from candlewick.streaming.candles import CANDLE_SCHEMA, stream_candles
 
 # Literal dates of the test calendar.
-AS_OF = "2001-10-01"
+AS_OF = "2001-11-10"  # after the newest trade: all days are complete
 CUT = "2000-01-01"
 LOAD_FROM = "2001-10-15"
 NOW = "2001-11-10"
@@ -60,15 +60,11 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-_DIMS: dict[tuple[str, str, str], tuple[DataFrame, DataFrame]] = {}
-
-
 class Market:
     """Feeds and models of one price source over one table directory.
 
     ``candles`` are the trades' own prices next to the spot feed; ``walk`` is
-    the random walk alone. Dimensions are stored tables, as in a daily run,
-    built once per session and directory.
+    the random walk alone. Dimensions are stored tables, as in a daily run.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, feed: str = "walk", digits: int | None = None):
@@ -119,13 +115,10 @@ class Market:
 
     @cached_property
     def _dims(self) -> tuple[DataFrame, DataFrame]:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.feed)
-        if key not in _DIMS:
-            _DIMS[key] = (
-                stage(dims.dim_asset(self.snapshot), "dim_asset"),
-                stage(dims.dim_date(self.unified, self.stocks), "dim_date"),
-            )
-        return _DIMS[key]
+        return (
+            stage(dims.dim_asset(self.snapshot), "dim_asset"),
+            stage(dims.dim_date(self.unified, self.stocks), "dim_date"),
+        )
 
     @property
     def dim_asset(self) -> DataFrame:
@@ -282,9 +275,10 @@ def dim_date(spark, sf_dir):
 
 
 def dim_source(spark, sf_dir):
+    """Sources that the feeds have rows of, with the keys of the dimension."""
     m = candle_market(spark, sf_dir)
     counts = m.price_rows.groupBy("source_name").agg(F.count(F.lit(1)).alias("price_rows"))
-    return present(m.dim_source.join(counts, "source_name", "left"))
+    return present(counts.join(m.dim_source, "source_name"))
 
 
 def _first_dim(m: Market) -> DataFrame:
@@ -410,6 +404,25 @@ def upsert_last_wins(spark, sf_dir):
     return present(rounded(upsert(target, batch, keys=KEY, order_by="seq"), 4, "price"))
 
 
+def upsert_arrival_order(spark, sf_dir):
+    """Payloads with every trade as a point, many a day: the last point of a day is stored."""
+    trades = bindings.trades(spark, sf_dir).select(
+        F.lower("p_type").alias("symbol"), "date", "l_orderkey", "l_linenumber", "unit"
+    )
+    points = trades.groupBy("symbol", F.date_format("date", "yyyyMM").cast("int").alias("position")).agg(
+        F.array_sort(F.collect_list(F.struct(_millis("date").alias("t"), "l_orderkey", "l_linenumber", "unit"))).alias("_rows")
+    )
+    series = F.transform("_rows", lambda r: F.array(r["t"].cast("double"), r["unit"]))
+    body = F.struct(series.alias("prices"), series.alias("market_caps"), series.alias("total_volumes"))
+    payloads = points.select("symbol", "position", F.to_json(body).alias("payload"))
+    good, _ = adapters.apply_mapping(
+        adapters.parse(V.SPOT_SOURCE, payloads), config.COLUMNS[V.SPOT_SOURCE], required=["coin_id", "date"], carry=adapters.ARRIVAL
+    )
+    empty = literal(good.sparkSession, [], "coin_id string, date date, price double")
+    batch = good.select("coin_id", "date", "price", *adapters.ARRIVAL)
+    return present(rounded(upsert(empty, batch, keys=["coin_id", "date"], order_by=adapters.ARRIVAL), 4, "price"))
+
+
 def delete_insert_query(spark, sf_dir):
     target, batch = _stored_trades(candle_market(spark, sf_dir))
     return present(rounded(delete_insert(target, batch, keys=KEY), 4, "price"))
@@ -514,7 +527,8 @@ def backfill_window(spark, sf_dir):
     )
     return present(
         days.join(capped, "pipeline_name").select(
-            "pipeline_name", F.col("last_load_timestamp").cast("date").alias("last_load"), "backfill_days", "capped_days"
+            "pipeline_name", F.col("last_load_timestamp").cast("date").alias("last_load"), "backfill_days", "capped_days",
+            "days_uncovered",
         )
     )
 
@@ -530,10 +544,11 @@ def _loaded(m: Market) -> DataFrame:
 
 
 def source_status(spark, sf_dir):
-    loaded = stage(_loaded(candle_market(spark, sf_dir)), "loaded")
-    failed = config.failed_lists(loaded)
-    listed = config.source_status(loaded).join(failed, "source", "left")
-    return present(listed.withColumn("part", F.coalesce("part", F.lit(0))))
+    return present(config.source_status(_loaded(candle_market(spark, sf_dir))))
+
+
+def failed_symbols(spark, sf_dir):
+    return present(config.failed_symbols(_loaded(candle_market(spark, sf_dir))))
 
 
 def run_status(spark, sf_dir):
@@ -547,14 +562,13 @@ def run_log(spark, sf_dir):
     )
     earlier = status.withColumns({"status": F.lit("failed"), "records_inserted": F.lit(0).cast("bigint")})
     other = earlier.withColumn("run_id", F.lit("run-0"))
-    return present(upsert(earlier.unionByName(other), status, keys=["run_id", "source"]))
+    return present(upsert(earlier.unionByName(other), status, keys=["run_id", "source"], order_by=None))
 
 
 def load_errors(spark, sf_dir):
     """Symbols of a load that brought nothing, as they are logged."""
     errors = _loaded(candle_market(spark, sf_dir)).filter("inserted = 0").select(
-        F.col("symbol").alias("source_symbol"),
-        F.repeat(F.concat(F.col("source"), F.lit(": 0 rows inserted; ")), 100).alias("error_message"),
+        F.col("symbol").alias("source_symbol"), F.lit("0 rows inserted").alias("error_message")
     )
     logged = config.load_error_rows(errors, run_id="run-1", connection_id=3, at=day(NOW).cast("timestamp"))
     return present(logged)
@@ -624,7 +638,7 @@ def series_payloads(m: Market, bad_numbers: bool = False) -> DataFrame:
 
 
 def parse_parallel_arrays(spark, sf_dir):
-    rows = adapters.parse("coingecko", spot_payloads(candle_market(spark, sf_dir)))
+    rows = adapters.parse("coingecko", spot_payloads(candle_market(spark, sf_dir))).drop(*adapters.ARRIVAL)
     rows = rows.withColumnsRenamed({"__symbol__": "symbol", "__date__": "date"})
     return present(rounded(rows, 4, "price", "market_cap", "total_volume"))
 
@@ -642,10 +656,7 @@ def parse_klines(spark, sf_dir):
 MONTH_ROWS = 15
 
 
-def parse_series_map(spark, sf_dir):
-    rows = adapters.parse(
-        "alpha_vantage", series_payloads(candle_market(spark, sf_dir)), max_rows=MONTH_ROWS
-    )
+def _typed_series(rows: DataFrame) -> DataFrame:
     typed = rows.select(
         F.col("__symbol__").alias("symbol"),
         F.col("__date__").alias("date"),
@@ -654,6 +665,15 @@ def parse_series_map(spark, sf_dir):
     return present(typed)
 
 
+def parse_series_map(spark, sf_dir):
+    return _typed_series(adapters.parse(V.STOCK_SOURCE, series_payloads(candle_market(spark, sf_dir))))
+
+
+def newest_series(spark, sf_dir):
+    """Of each payload the newest days, as a fetch window takes them."""
+    return _typed_series(adapters.parse_newest_series(series_payloads(candle_market(spark, sf_dir)), MONTH_ROWS))
+
+
 def column_mapping(spark, sf_dir):
     rows = adapters.parse("binance", kline_payloads(candle_market(spark, sf_dir)))
     good, _ = adapters.apply_mapping(rows, config.COLUMNS["binance"])
@@ -763,8 +783,29 @@ def forecast_gbt(spark, sf_dir):
     """Boosted trees for all targets on the last day of the panel."""
     panel = stage(forecast_market(spark, sf_dir).panel, "panel")
     cutoff, _ = M.daily_cutoff(panel)
-    made = M.forecast_trees(stage(M.make_features(panel), "features"), cutoff=cutoff)
-    return present(rounded(made, 6, "predicted_value"))
+    features = stage(M.make_features(panel), "features")
+    made = M.forecast_trees(features, cutoff=cutoff)
+    told = made.join(M.training_rows(features, cutoff=cutoff), "target_name").select(
+        "symbol", "trade_date", "target_name", "training_rows",
+        (F.col("predicted_value").isNotNull() & ~F.isnan("predicted_value")).alias("has_value"),
+        F.col("model_params").rlike(r"^(ret=[+-]|pred=-?)\d+\.\d{4}$").alias("text_ok"),
+    )
+    return present(told)
+
+
+def forecast_round_trees(spark, sf_dir):
+    """One round with all models: which forecasts there are, and of what the ensemble consists."""
+    panel = stage(forecast_market(spark, sf_dir).panel, "panel")
+    cutoff, target_date = M.daily_cutoff(panel)
+    features = stage(M.make_features(panel), "features")
+    made = M.forecast_round(panel, cutoff=cutoff, target_date=target_date, features=features)
+    members = F.when(F.col("model_name") == "ensemble", F.col("model_params"))
+    return present(
+        made.select(
+            "symbol", "cutoff", "target_date", "target_name", "model_name", "horizon_days",
+            F.col("predicted_value").isNotNull().alias("has_value"), members.alias("members"),
+        )
+    )
 
 
 # --------------------------------------------------------- checks, reports
@@ -854,7 +895,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_candles_query(spark, sf_dir):
     configure(spark)
     sink = fresh_path(spark, "candles")
-    stream_candles(_event_stream(spark, sf_dir), sink=sink).awaitTermination()
+    state = fresh_path(spark, "candles_state")
+    stream_candles(_event_stream(spark, sf_dir), sink=sink, checkpoint=state).awaitTermination()
     table = read_or_empty(spark, sink, CANDLE_SCHEMA)
     prices = ["open_price", "high_price", "low_price", "close_price", "quote_volume"]
     return present(rounded(table, 4, *prices))
@@ -872,7 +914,8 @@ def stream_alert_dedupe(spark, sf_dir):
         F.concat(F.lit("Price at "), F.round("price", 2).cast("decimal(38,2)").cast("string")).alias("alert_message"),
         "ts",
     )
-    stream_alert_log(alerts, sink=sink, order_by="ts").awaitTermination()
+    state = fresh_path(spark, "alert_state")
+    stream_alert_log(alerts, sink=sink, order_by="ts", checkpoint=state).awaitTermination()
     return present(read_or_empty(spark, sink, S.ALERT_LOG))
 
 
@@ -886,13 +929,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dim_date, dim_source, scd2_initial, scd2_change, pit_join_query, pit_unmatched_query, return_pairs,
         fact_market_prices, fact_price_trends, fact_volume_analysis, fact_market_volatility,
         fact_asset_correlation, asset_correlation, asset_correlation_wide, market_alerts,
-        upsert_last_wins, delete_insert_query, append_new_only_query, unsent_alerts, alert_digest,
+        upsert_last_wins, upsert_arrival_order, delete_insert_query, append_new_only_query, unsent_alerts, alert_digest,
         high_water_mark_query, incremental_candles, incremental_per_key, incremental_facts, backfill_window,
-        source_status, run_status, run_log, load_errors,
-        parse_parallel_arrays, parse_klines, parse_series_map, column_mapping, quarantine_bad_rows,
+        source_status, failed_symbols, run_status, run_log, load_errors,
+        parse_parallel_arrays, parse_klines, parse_series_map, newest_series, column_mapping, quarantine_bad_rows,
         completed_panel, panel_profile, forecast_features, forecast_naive, ets_alpha, forecast_ets,
         forecast_round, ensemble, backtest_naive, backtest_ets, forecast_upsert, forecast_detail,
-        forecast_accuracy, leaderboard, autocorrelation, forecast_gbt,
+        forecast_accuracy, leaderboard, autocorrelation, forecast_gbt, forecast_round_trees,
         dq_report, dq_raw, alert_rollup, pair_type_correlation, format_snapshot, snapshot_lines, daily_summary,
         stream_candles_query, stream_alert_dedupe,
     )

@@ -4,6 +4,7 @@ import pytest
 from helpers import d, rows
 from pyspark.sql import functions as F
 
+from candlewick.operators.writes import upsert
 from candlewick.sources import adapters, config
 
 DAY = 86400000
@@ -20,7 +21,7 @@ def test_unequal_parallel_arrays_are_cut_to_the_shortest(payload):
         "market_caps": [[0, 10], [DAY, 20]],
         "total_volumes": [[0, 7], [DAY, 8], [2 * DAY, 9]],
     }
-    out = adapters.parse_parallel_arrays(payload(("coin", body)))
+    out = adapters.parse_parallel_arrays(payload(("coin", body))).drop(*adapters.ARRIVAL)
     assert rows(out) == [("coin", d("1970-01-01"), 1.5, 10.0, 7.0), ("coin", d("1970-01-02"), 2.5, 20.0, 8.0)]
 
 
@@ -44,9 +45,10 @@ def test_klines_by_position_with_numbers_as_text(payload):
 def test_series_map_takes_newest_dates_before_checking_them(payload):
     fields = {"1. open": "1", "2. high": "2", "3. low": "0.5", "4. close": "1.5", "5. volume": "100"}
     body = {"Time Series (Daily)": {k: fields for k in ("2024-01-03", "bad", "2024-01-02", "2024-01-01")}}
-    out = adapters.parse_series_map(payload(("T", body)), max_rows=3)
+    out = adapters.parse_newest_series(payload(("T", body)), 3)
     # "bad" sorts first and uses up one of the three
     assert rows(out, "__date__") == [(d("2024-01-02"),), (d("2024-01-03"),)]
+    assert adapters.parse_series_map(payload(("T", body))).count() == 3
 
 
 def test_unknown_source_is_an_error(payload):
@@ -100,7 +102,33 @@ def test_status_of_sources_and_of_the_run(table):
     assert config.run_status(status.limit(0)).first().run_status == "FAILED"
 
 
-def test_load_errors_are_cut(table):
+def test_load_errors_keep_their_whole_message(table):
     errors = table("source_symbol string, error_message string", ("a", "x" * 3000))
     out = config.load_error_rows(errors, run_id="r", connection_id=1, at=F.lit("2024-01-01").cast("timestamp"))
-    assert len(out.first().error_message) == 2000
+    assert len(out.first().error_message) == 3000
+
+
+def test_all_failed_symbols_are_kept(spark):
+    loaded = spark.range(10_050).selectExpr("'a' as source", "concat('s', id) as symbol", "0L as inserted")
+    assert config.failed_symbols(loaded).distinct().count() == 10_050
+
+
+def test_the_last_point_of_a_day_is_stored(table, payload):
+    """A spot feed sends midnight and now: two points of one day, the later one smaller."""
+    body = {"prices": [[0, 100.0], [DAY - 1, 90.0], [DAY, 5.0]], "market_caps": [[0, 1], [0, 2], [0, 3]], "total_volumes": [[0, 1], [0, 2], [0, 3]]}
+    mapping = [("__symbol__", "coin_id", "text"), ("__date__", "date", "date"), ("price", "price", "float")]
+    good, bad = adapters.apply_mapping(
+        adapters.parse("coingecko", payload(("c", body))), mapping, required=["coin_id", "date"], carry=adapters.ARRIVAL
+    )
+    empty = table("coin_id string, date date, price double")
+    stored = upsert(empty, good, keys=["coin_id", "date"], order_by=adapters.ARRIVAL)
+    assert rows(stored) == [("c", d("1970-01-01"), 90.0), ("c", d("1970-01-02"), 5.0)] and bad.count() == 0
+
+
+def test_records_without_a_day_are_quarantined(payload):
+    line = ["x", "1.5", "3", "1", "2.5", "10", 1, "25", 4, "5", "12.5", "0"]
+    rows_ = adapters.parse("binance", payload(("AUSDT", [line, [0, *line[1:]]])))
+    mapping = [("__symbol__", "symbol", "text"), ("__date__", "date", "date"), ("close", "close_price", "float")]
+    good, bad = adapters.apply_mapping(rows_, mapping, required=["symbol", "date"], carry=adapters.ARRIVAL)
+    assert good.count() == 1
+    assert rows(bad, "__symbol__", "__record__", "bad_fields") == [("AUSDT", 0, "__date__")]

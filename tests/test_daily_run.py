@@ -63,8 +63,10 @@ def test_two_days_of_runs(spark, table, root):
     control = daily_run.read_control(spark, root).first()
     assert (control.last_run_status, control.is_first_load) == ("PARTIAL_SUCCESS", False)
     # a fractional volume is quarantined
-    bad = spark.read.parquet(f"{root}/state/quarantine").collect()
-    assert [(r.symbol, r.bad_fields) for r in bad] == [("AAPL", "volume")]
+    bad = read_or_empty(spark, f"{root}/state/quarantine", S.QUARANTINE).collect()
+    assert [(r.run_id, r.source, r.symbol, r.bad_fields) for r in bad] == [("r1", "alpha_vantage", "AAPL", "volume")]
+    failed = read_or_empty(spark, f"{root}/state/failed_symbols", S.FAILED_SYMBOLS)
+    assert ("r1", "alpha_vantage", "TSLA") in rows(failed)
     # thirty newest days of the stock map, weekends not counted
     assert read_or_empty(spark, f"{root}/raw/alpha_vantage", S.STOCKS).count() <= 30
 
@@ -104,6 +106,10 @@ def test_two_days_of_runs(spark, table, root):
     )
     assert rows(third["fact_market_prices"]) == grown
     assert third["alert_digest"].filter("kind = 'line'").count() == 0
+    state = {"load_errors": S.LOAD_ERRORS, "quarantine": S.QUARANTINE, "failed_symbols": S.FAILED_SYMBOLS}
+    for name, schema in state.items():
+        stored = read_or_empty(spark, f"{root}/state/{name}", schema)
+        assert stored.count() == stored.distinct().count()
 
 
 def test_nothing_ingested_fails_and_keeps_the_mark(spark, table, tmp_path):

@@ -43,6 +43,7 @@ def test_backfill_window(table):
     )
     out = backfill_days(control, as_of=F.lit(d("2024-03-31")))
     assert dict(rows(out, "pipeline_name", "backfill_days")) == {"first": 30, "gap0": 1, "gap5": 6, "gap90": 30}
+    assert dict(rows(out, "pipeline_name", "days_uncovered")) == {"first": 0, "gap0": 0, "gap5": 0, "gap90": 61}
     forced = backfill_days(control, as_of=F.lit(d("2024-03-31")), override=200)
     assert {r[0] for r in rows(forced, "backfill_days")} == {200}
 

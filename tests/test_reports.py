@@ -47,8 +47,11 @@ def test_snapshot_text(latest, alerts, related, as_of):
         "STOCK:",
         "  TSLA: $250.00 (n/a) [as of 2024-01-05]",
         "ACTIVE ALERTS (3):",
-        "  price_drop x2: Bitcoin, Cardano",
-        "  volume_spike x1: Bitcoin",
+        "  price_drop x2:",
+        "    Bitcoin",
+        "    Cardano",
+        "  volume_spike x1:",
+        "    Bitcoin",
         "30-DAY RETURN CORRELATION (latest per pair, averaged):",
         "  Crypto-Crypto: 0.80 (1 pair)",
         "  Crypto-Stock: 0.16 (2 pairs)",
@@ -76,6 +79,14 @@ def test_texts_without_alerts_or_pairs(latest, alerts, related, as_of):
     ]
 
 
+def test_ties_keep_the_order_of_asset_type_and_symbol(table):
+    schema = "symbol string, asset_type string, price double, daily_return_pct double, date date"
+    rows_ = [(s, k, 1.0, r, d("2024-01-08")) for s, k, r in
+             (("a", "Stock", 2.0), ("b", "Crypto", 2.0), ("c", "Crypto", 2.0), ("x", "Crypto", -1.0), ("v", "Stock", -1.0), ("w", "Stock", -1.0))]
+    best = reports.best_worst(table(schema, *rows_)).first()
+    assert (best.best_symbol, best.worst_symbol) == ("b", "w")
+
+
 def test_newest_row_of_each_pair_counts(table):
     df = table(
         "symbol_a string, symbol_b string, pair_type string, correlation_30d double, date_key int",

@@ -49,7 +49,7 @@ def test_stream_equals_batch(spark, table, tmp_path):
     start = t("2024-01-01")
     events = [(i, start + timedelta(minutes=37 * i), "AB"[i % 2], float(i % 17)) for i in range(300)]
     land(spark, table, source, *events)
-    stream_candles(stream(spark, source), sink=sink).awaitTermination()
+    stream_candles(stream(spark, source), sink=sink, checkpoint=str(tmp_path / "state")).awaitTermination()
     batch = tick_candles(ticks(spark.read.parquet(source)))
     columns = read_or_empty(spark, sink, CANDLE_SCHEMA).columns
     assert rows(read_or_empty(spark, sink, CANDLE_SCHEMA)) == rows(batch, *columns)

@@ -10,7 +10,6 @@ from candlewick.operators.windows import (
     autocorrelation,
     group_rank,
     latest_per,
-    list_in_parts,
     number_rows,
     rolling,
     rolling_corr,
@@ -95,14 +94,6 @@ def test_number_rows_counts_in_order_over_partitions(spark):
     assert [r.k for r in out] == sorted(r.k for r in out)
 
 
-def test_long_lists_continue_in_parts(table):
-    df = table("g string, s string", *[("x", f"s{i:02d}") for i in range(5)], ("x", "s00"), ("y", "s9"))
-    out = list_in_parts(df, by="g", item="s", name="all", part_size=2)
-    assert rows(out, "g", "part", "all") == [
-        ("x", 0, "s00, s01"), ("x", 1, "s02, s03"), ("x", 2, "s04"), ("y", 0, "s9")
-    ]
-
-
 def test_autocorrelation_matches_brute_force(table):
     rng = random.Random(3)
     x = [round(rng.gauss(0, 1), 4) for _ in range(60)]
