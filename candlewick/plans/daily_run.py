@@ -359,9 +359,10 @@ def run(
     now: datetime,
     tickers: DataFrame | None = None,
     trees: bool = True,
+    override_days: int | None = None,
 ) -> dict[str, DataFrame]:
     """One whole daily run, in order; a failing step stops the ones after it."""
-    outcome = ingest(spark, payloads, root, run_id=run_id, now=now)
+    outcome = ingest(spark, payloads, root, run_id=run_id, now=now, override_days=override_days)
     if outcome == "FAILED":
         raise ValueError("nothing was ingested")
     marts = build_models(spark, root, as_of=now.date(), tickers=tickers)

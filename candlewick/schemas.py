@@ -17,11 +17,7 @@ STOCKS = (
     "volume bigint, updated_at timestamp"
 )
 
-CONNECTIONS = (
-    "id int, source_name string, base_url string, url_type string, auth_type string, "
-    "api_key_env string, api_key_param_name string, static_params map<string,string>, "
-    "rate_limit_sec decimal(10,2), is_active boolean"
-)
+CONNECTIONS = "id int, source_name string, is_active boolean"
 ASSET_MAPPING = "id int, connection_id int, source_symbol string, display_name string, is_active boolean"
 COLUMN_MAPPING = (
     "id int, connection_id int, source_field string, target_column string, "

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from candlewick.sources.config import ASSETS
 from candlewick.operators.quality import Check, invariant_checks, mart_checks
 from queries import AS_OF, CUT, LOAD_FROM, MONTH_ROWS, NOW, RAW_CHECKS, TICK_ALERT
 
@@ -615,6 +616,28 @@ SELECT 'run-1' AS run_id, CAST(3 AS BIGINT) AS connection_id, symbol AS source_s
        '0 rows inserted' AS error_message, '{NOW} 00:00:00' AS occurred_at
 FROM s_loaded WHERE inserted = 0""")
 
+_FEEDS = [(1, "coingecko", "coingecko_daily", "s_spot", "coin_id"), (2, "binance", "binance_daily", "s_candles", "symbol"),
+          (3, "alpha_vantage", "alpha_vantage", "s_good_stocks", "symbol")]
+_SEEDED = {i: len(ASSETS[source]) for i, source, *_ in _FEEDS}
+step("s_good_stocks", "SELECT * FROM s_stocks WHERE NOT high > 400000")
+_RUN = []
+for _i, _source, _table, _rows, _symbol in _FEEDS:
+    _RUN += [
+        f"SELECT 'pipeline_logs' AS item, 'run-1 {_source} failed ' || count(*) AS key, CAST(1 AS BIGINT) AS rows FROM {_rows}",
+        f"SELECT 'load_errors', '{_i} 0 rows inserted', {_SEEDED[_i]}",
+        f"SELECT 'failed_symbols', '{_source}', {_SEEDED[_i]}",
+        f"SELECT 'landing {_table}', '', count(*) FROM {_rows}",
+        f"SELECT 'raw {_table}', '', count(*) FROM {_rows}",
+        f"SELECT 'asset_mapping', '{_i}', {_SEEDED[_i]} + count(DISTINCT {_symbol}) FROM {'s_stocks' if _i == 3 else _rows}",
+    ]
+_RUN += [
+    "SELECT 'quarantine', 'alpha_vantage volume', count(*) FROM s_stocks WHERE high > 400000 HAVING count(*) > 0",
+    "SELECT 'etl_control', 'market_daily PARTIAL_SUCCESS false', 1",
+    "SELECT 'market_summaries', 'daily', 1",
+    f"SELECT 'checks', '0', {len(mart_checks() + invariant_checks())}",
+]
+ORACLE_SQL["daily_run_twice"] = sql("\nUNION ALL ".join(_RUN))
+
 # adapters: the payloads are made from these tables, so parsing gives them back
 ORACLE_SQL["parse_parallel_arrays"] = sql("SELECT " + cols(
     ["date"], rounds(4, "price", "market_cap", "total_volume"), ["coin_id AS symbol"]) + " FROM s_spot")

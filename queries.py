@@ -8,7 +8,8 @@ any other engine; numbers are rounded where their operator does not do so.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from datetime import datetime
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,11 @@ from candlewick import schemas as S
 from candlewick import values as V
 from candlewick.operators import forecast as M
 from candlewick.operators.incremental import backfill_days, high_water_mark, incremental_filter
-from candlewick.operators.joins import map_symbols, pit_join, pit_unmatched
+from candlewick.operators.joins import map_symbols, ticker_map, pit_join, pit_unmatched
 from candlewick.operators.quality import Check, invariant_checks, mart_checks, run_checks
 from candlewick.operators.windows import rolling
-from candlewick.operators.writes import append_new_only, delete_insert, read_or_empty, upsert
-from candlewick.plans import dims, facts, feeds, forecasts, reports
+from candlewick.operators.writes import append_new_only, delete_insert, overwrite_table, read_or_empty, upsert
+from candlewick.plans import daily_run, dims, facts, feeds, forecasts, reports
 from candlewick.session import configure, fresh_path, literal, stage
 from candlewick.sources import adapters, bindings, config
 from candlewick.streaming.alerts import stream_alert_log
@@ -33,6 +34,8 @@ CUT = "2000-01-01"
 LOAD_FROM = "2001-10-15"
 NOW = "2001-11-10"
 TICK_ALERT = 50.0
+# Sources in the order of their connections.
+CONNECTED = [V.SPOT_SOURCE, V.CANDLE_SOURCE, V.STOCK_SOURCE]
 
 
 def day(text: str) -> Column:
@@ -574,12 +577,57 @@ def load_errors(spark, sf_dir):
     return present(logged)
 
 
+def daily_run_twice(spark, sf_dir):
+    """Ingest, models, checks, alerts and summary from payloads of all feeds, the ingest twice for one run.
+
+    The symbols of the tables are configured before the first run; those seeded
+    on top of them have no payload and fail.
+    """
+    m = candle_market(spark, sf_dir)
+    root = fresh_path(spark, "warehouse")
+    payloads = {
+        V.SPOT_SOURCE: spot_payloads(m), V.CANDLE_SOURCE: kline_payloads(m), V.STOCK_SOURCE: series_payloads(m, bad_numbers=True)
+    }
+    own = reduce(
+        DataFrame.unionByName,
+        [p.select(F.lit(i).alias("connection_id"), "symbol").distinct() for i, p in enumerate((payloads[s] for s in CONNECTED), 1)],
+    )
+    own = own.select(
+        F.lit(None).cast("int").alias("id"), "connection_id", F.col("symbol").alias("source_symbol"),
+        F.col("symbol").alias("display_name"), F.lit(True).alias("is_active"),
+    )
+    overwrite_table(own, f"{root}/config/asset_mapping")
+    now = datetime.fromisoformat(NOW)
+    tickers = ticker_map(spark, [*bindings.TEST_TICKERS, ("STANDARDUSDT", "standard")])
+    payloads = {source: stage(df, "payloads") for source, df in payloads.items()}
+    daily_run.ingest(spark, payloads, root, run_id="run-1", now=now, override_days=31)
+    out = daily_run.run(spark, payloads, root, run_id="run-1", now=now, tickers=tickers, trees=False, override_days=31)
+
+    def rows_of(name: str, df: DataFrame, key: Column | None = None) -> DataFrame:
+        key = F.lit("") if key is None else key.cast("string")
+        return df.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("item"), "key", "rows")
+
+    state = {
+        "pipeline_logs": (S.RUN_LOG, F.concat_ws(" ", "run_id", "source", "status", F.col("records_inserted").cast("string"))),
+        "load_errors": (S.LOAD_ERRORS, F.concat_ws(" ", F.col("connection_id").cast("string"), "error_message")),
+        "quarantine": (S.QUARANTINE, F.concat_ws(" ", "source", "bad_fields")),
+        "failed_symbols": (S.FAILED_SYMBOLS, F.col("source")),
+        "etl_control": (S.CONTROL, F.concat_ws(" ", "pipeline_name", "last_run_status", F.col("is_first_load").cast("string"))),
+    }
+    parts = [rows_of(n, read_or_empty(spark, f"{root}/state/{n}", schema), key) for n, (schema, key) in state.items()]
+    for layer in ("landing", "raw"):
+        parts += [rows_of(f"{layer} {t}", read_or_empty(spark, f"{root}/{layer}/{t}", schema)) for t, schema in daily_run.FEED_TABLES.items()]
+    parts += [rows_of("asset_mapping", spark.read.parquet(f"{root}/config/asset_mapping"), F.col("connection_id"))]
+    parts += [rows_of("market_summaries", out["market_summaries"], F.col("period_type")), rows_of("checks", out["checks"], F.col("failures"))]
+    return present(reduce(DataFrame.unionByName, parts))
+
+
 # ---------------------------------------------------------------- adapters
 
 
 def _by_month(df: DataFrame, date: str, *columns: Column) -> DataFrame:
     """One payload's worth of records per symbol and month, in date order."""
-    return df.groupBy("symbol", F.date_format(date, "yyyy-MM").alias("month")).agg(
+    return df.groupBy("symbol", F.date_format(date, "yyyyMM").cast("int").alias("position")).agg(
         F.array_sort(F.collect_list(F.struct(*columns))).alias("_rows")
     )
 
@@ -600,7 +648,7 @@ def spot_payloads(m: Market) -> DataFrame:
         series("market_cap").alias("market_caps"),
         series("total_volume").alias("total_volumes"),
     )
-    return monthly.select("symbol", F.to_json(body).alias("payload"))
+    return monthly.select("symbol", "position", F.to_json(body).alias("payload"))
 
 
 def kline_payloads(m: Market) -> DataFrame:
@@ -615,7 +663,7 @@ def kline_payloads(m: Market) -> DataFrame:
     body = F.transform(
         "_rows", lambda r: F.concat(F.array(r["t"].cast("string")), r["f"])
     )
-    return monthly.select("symbol", F.to_json(body).alias("payload"))
+    return monthly.select("symbol", "position", F.to_json(body).alias("payload"))
 
 
 def series_payloads(m: Market, bad_numbers: bool = False) -> DataFrame:
@@ -633,7 +681,7 @@ def series_payloads(m: Market, bad_numbers: bool = False) -> DataFrame:
     monthly = _by_month(m.stocks, "date", F.col("date").cast("string").alias("d"), fields.alias("v"))
     entries = F.map_from_entries("_rows")
     return monthly.select(
-        "symbol", F.to_json(F.struct(entries.alias("Time Series (Daily)"))).alias("payload")
+        "symbol", "position", F.to_json(F.struct(entries.alias("Time Series (Daily)"))).alias("payload")
     )
 
 
@@ -931,7 +979,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fact_asset_correlation, asset_correlation, asset_correlation_wide, market_alerts,
         upsert_last_wins, upsert_arrival_order, delete_insert_query, append_new_only_query, unsent_alerts, alert_digest,
         high_water_mark_query, incremental_candles, incremental_per_key, incremental_facts, backfill_window,
-        source_status, failed_symbols, run_status, run_log, load_errors,
+        source_status, failed_symbols, run_status, run_log, load_errors, daily_run_twice,
         parse_parallel_arrays, parse_klines, parse_series_map, newest_series, column_mapping, quarantine_bad_rows,
         completed_panel, panel_profile, forecast_features, forecast_naive, ets_alpha, forecast_ets,
         forecast_round, ensemble, backtest_naive, backtest_ets, forecast_upsert, forecast_detail,
