@@ -1,8 +1,8 @@
 """Declarative checks over tables.
 
-A check is (kind, table, column, argument). All not_null and accepted_values
-checks of a table run in one aggregate over it; unique and relationships
-count per key first, so a key with very many rows is one row by the time it
+A check is (kind, table, column, argument). All not_null, accepted_values and
+relationships checks of a table run in one scan of it; references and unique
+keys count per key first, so a key with very many rows is one row by the time it
 is shuffled.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import values as V
+from ..session import literal
 
 
 @dataclass(frozen=True)
@@ -120,13 +121,34 @@ def _row(check: Check, failures: Column) -> Column:
     )
 
 
-def _in_one_pass(table: DataFrame, checks: list[Check]) -> DataFrame:
-    rows = []
-    for check in checks:
+def _in_one_pass(table: DataFrame, checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows that fail not_null, accepted_values or relationships: one scan of the table for all of them.
+
+    A row gives one item per check it fails, or whose reference is still to be
+    looked up; items are counted per check and key before anything is joined.
+    """
+    items, known = [], []
+    for i, check in enumerate(checks):
         c = F.col(check.column)
-        bad = c.isNull() if check.kind == "not_null" else c.isNotNull() & ~c.isin(*check.arg)
-        rows.append(_row(check, F.sum(F.when(bad, 1))))
-    return table.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+        if check.kind == "relationships":
+            parent, field = check.arg
+            items.append(F.when(c.isNotNull(), F.struct(F.lit(i).alias("i"), c.cast("string").alias("key"))))
+            keys = tables[parent].select(F.lit(i).alias("i"), F.col(field).cast("string").alias("key"))
+            known.append(keys.distinct())
+        else:
+            bad = c.isNull() if check.kind == "not_null" else c.isNotNull() & ~c.isin(*check.arg)
+            items.append(F.when(bad, F.struct(F.lit(i).alias("i"), F.lit(None).cast("string").alias("key"))))
+    found = table.select(F.explode(F.array_compact(F.array(*items))).alias("x")).groupBy("x.i", "x.key").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    if known:
+        found = found.join(reduce(DataFrame.unionByName, known), ["i", "key"], "left_anti")
+    counts = found.groupBy("i").agg(F.sum("n").alias("failures"))
+    names = [(i, c.kind, c.model, c.column) for i, c in enumerate(checks)]
+    listed = literal(table.sparkSession, names, "i int, check string, model string, column string")
+    return listed.join(counts, "i", "left").select(
+        "check", "model", "column", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
+    )
 
 
 def _repeated(table: DataFrame, check: Check) -> DataFrame:
@@ -135,14 +157,6 @@ def _repeated(table: DataFrame, check: Check) -> DataFrame:
     return counts.filter("_n > 1").agg(_row(check, F.count(F.lit(1))).alias("_row")).select("_row.*")
 
 
-def _orphans(table: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    field = check.arg[1]
-    children = table.groupBy(F.col(check.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    known = parent.select(F.col(field).alias("_key")).distinct()
-    lost = children.filter(F.col("_key").isNotNull()).join(known, "_key", "left_anti")
-    return lost.agg(_row(check, F.sum("_n")).alias("_row")).select("_row.*")
-
-
 def _overlaps(table: DataFrame, check: Check) -> DataFrame:
     """Versions that begin before the one before them has ended."""
     start, end = check.arg
@@ -158,20 +172,30 @@ def _overlaps(table: DataFrame, check: Check) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """(check, model, column, failures) for every check on a given table."""
-    parts = []
+    """(check, model, column, failures) for every check.
+
+    A check whose table, or whose parent table, is not given counts as one
+    failure, named in ``column``.
+    """
+    parts, absent = [], []
+    for check in checks:
+        needs = [check.model, *([check.arg[0]] if check.kind == "relationships" else [])]
+        if missing := [t for t in needs if t not in tables]:
+            absent.append((check.kind, check.model, f"{check.column}: no table {', '.join(missing)}", 1))
     for model, table in tables.items():
         mine = [c for c in checks if c.model == model]
         fused = [c for c in mine if c.kind in ("not_null", "accepted_values")]
+        fused += [c for c in mine if c.kind == "relationships" and c.arg[0] in tables]
         if fused:
-            parts.append(_in_one_pass(table, fused))
+            parts.append(_in_one_pass(table, fused, tables))
         for check in mine:
             if check.kind in ("unique", "unique_key"):
                 parts.append(_repeated(table, check))
-            elif check.kind == "relationships" and check.arg[0] in tables:
-                parts.append(_orphans(table, tables[check.arg[0]], check))
             elif check.kind == "no_overlap":
                 parts.append(_overlaps(table, check))
+    if absent:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(literal(spark, absent, "check string, model string, column string, failures bigint"))
     return reduce(DataFrame.unionByName, parts)
 
 

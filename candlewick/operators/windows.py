@@ -81,20 +81,21 @@ def rolling_corr(
     digit all moments are whole numbers. A frame's moments are then exactly
     the running totals at its end minus those before its start: the cost per
     row does not grow with the frame, nothing drifts, and a constant side is
-    recognised by a variance of exactly zero, which gives NULL. A value of
-    more than thirteen digits in those units is an error, not a wrong result.
+    recognised by a variance of exactly zero, which gives NULL. Values may have
+    nineteen digits in those units, so a price that grows from a hundred-millionth
+    to hundreds is no outlier too many.
     """
     series = _series(by, order)
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
 
     def whole(c: str) -> Column:
-        return F.when(both, F.round(F.col(c) * 10**digits)).cast("decimal(13,0)")
+        return F.when(both, F.round(F.col(c) * 10**digits)).cast("decimal(19,0)")
 
     units = df.withColumns({"_x": whole(x), "_y": whole(y)})
     moments = {
         "_n": both.cast("int"),
-        "_sx": F.col("_x").cast("bigint"),
-        "_sy": F.col("_y").cast("bigint"),
+        "_sx": F.col("_x"),
+        "_sy": F.col("_y"),
         "_xy": F.col("_x") * F.col("_y"),
         "_xx": F.col("_x") * F.col("_x"),
         "_yy": F.col("_y") * F.col("_y"),

@@ -44,3 +44,14 @@ def test_overlapping_versions_are_found(table):
     )
     check = Check("no_overlap", "dim", "asset_id", ("valid_from", "valid_to"))
     assert rows(run_checks({"dim": dim}, [check]), "failures") == [(1,)]
+
+
+def test_absent_tables_fail_the_gate(table):
+    child = table("id int, parent int", (1, 10))
+    checks = [Check("not_null", "child", "id"), Check("relationships", "child", "parent", ("gone", "id")), Check("unique", "gone", "id")]
+    report = run_checks({"child": child}, checks)
+    assert rows(report, "check", "column", "failures") == [
+        ("not_null", "id", 0), ("relationships", "parent: no table gone", 1), ("unique", "id: no table gone", 1)
+    ]
+    with pytest.raises(ValueError, match="no table gone"):
+        require_clean(report)

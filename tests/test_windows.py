@@ -106,3 +106,14 @@ def test_autocorrelation_matches_brute_force(table):
         assert got["a", k].abs_autocorrelation == pytest.approx(pearson(sizes[k:], sizes[:-k]))
         assert got["a", k].observations == 60 - k
         assert got["flat", k].autocorrelation is None
+
+
+def test_a_huge_return_does_not_stop_the_correlation(table):
+    rng = random.Random(5)
+    x = [round(rng.gauss(0, 1), 4) for _ in range(60)]
+    y = [round(a + rng.gauss(0, 1), 4) for a in x]
+    x[10] = 79999999900.0  # from a hundred-millionth to eight
+    df = table("s string, day date, x double, y double", *[("a", t, a, b) for t, a, b in zip(days("2024-01-01", 60), x, y)])
+    got = rolling_corr(df, by=["s"], order="day", x="x", y="y", rows={"c": 30}).orderBy("day").collect()
+    for i in (30, 39, 45, 59):
+        assert got[i].c == pytest.approx(pearson(x[max(0, i - 29) : i + 1], y[max(0, i - 29) : i + 1]), abs=1e-6)
