@@ -68,10 +68,38 @@ def append_new_only(
     return log.unionByName(new_rows.select(*log.columns)), new_rows
 
 
+def _files(spark: SparkSession, path: str):
+    """File system of a path, and what makes paths of it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    """Is there a table? One whose replacement was broken off is settled first."""
+    fs, at = _files(spark, path)
+    if fs.exists(at(path)):
+        return True
+    for other in (f"{path}.new/_SUCCESS", f"{path}.old/_SUCCESS"):
+        if fs.exists(at(other)):
+            return fs.rename(at(other).getParent(), at(path))
+    return False
+
+
+def _swap(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> None:
+    """Write a new table beside the old one, then put it in its place.
+
+    A job that dies leaves the old table, or both whole under other names;
+    ``_exists`` then takes the new one.
+    """
+    spark = df.sparkSession
+    _exists(spark, path)
+    fs, at = _files(spark, path)
+    write(df, f"{path}.new")
+    fs.delete(at(f"{path}.old"), True)
+    if fs.exists(at(path)):
+        fs.rename(at(path), at(f"{path}.old"))
+    fs.rename(at(f"{path}.new"), at(path))
+    fs.delete(at(f"{path}.old"), True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -106,9 +134,10 @@ def read_since(spark: SparkSession, path: str, schema: str, *, date_col: str, si
 def overwrite_table(df: DataFrame, path: str, *, month_of: str | None = None) -> None:
     """Full rebuild of a table that ``df`` does not read, by month if it has dates."""
     if month_of is None:
-        df.write.mode("overwrite").parquet(path)
+        _swap(df, path, lambda rows, to: rows.write.mode("overwrite").parquet(to))
     else:
-        _write_months(df.withColumn("month", _month(df.schema, month_of)), path, "overwrite", "static")
+        dated = df.withColumn("month", _month(df.schema, month_of))
+        _swap(dated, path, lambda rows, to: _write_months(rows, to, "overwrite", "static"))
 
 
 def replace_table(df: DataFrame, path: str) -> None:

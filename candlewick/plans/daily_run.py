@@ -132,14 +132,14 @@ def ingest(
             "loaded",
         )
         unusable = adapters.payload_errors(source, got)
-        why = unusable.groupBy("source_symbol").agg(F.max("error_message").alias("_why"))
+        why = unusable.groupBy(F.col("source_symbol").alias("symbol")).agg(F.max("error_message").alias("_why"))
+        skipped = bad.groupBy(F.col("__symbol__").alias("symbol")).agg(F.count(F.lit(1)).alias("_skipped"))
+        none = F.concat_ws(", ", F.lit("0 rows inserted"), F.concat(F.col("_skipped").cast("string"), F.lit(" skipped")))
         errors = (
             loaded.filter("inserted = 0")
-            .join(why, F.col("symbol") == F.col("source_symbol"), "left")
-            .select(
-                F.col("symbol").alias("source_symbol"),
-                F.coalesce("_why", F.lit("0 rows inserted")).alias("error_message"),
-            )
+            .join(why, "symbol", "left")
+            .join(skipped, "symbol", "left")
+            .select(F.col("symbol").alias("source_symbol"), F.coalesce("_why", none).alias("error_message"))
         )
         replace_slice(
             config.load_error_rows(errors, run_id=run_id, connection_id=connection.id, at=at),

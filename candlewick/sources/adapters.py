@@ -132,7 +132,10 @@ def _klines_error(payload: Column) -> Column:
 
 def _series_error(payload: Column) -> Column:
     series = _series(payload)
-    return F.when(series.isNull() | (F.size(series) == 0), "no data in response")
+    said = F.coalesce(*[F.get_json_object(payload, f"$['{k}']") for k in ("Note", "Information", "Error Message")])
+    return F.when(
+        series.isNull() | (F.size(series) == 0), F.concat_ws(": ", F.lit("no data in response"), said)
+    )
 
 
 Adapter = Callable[..., DataFrame]

@@ -31,7 +31,8 @@ def test_unusable_payloads_are_reported_and_lose_only_themselves(payload):
     assert rows(adapters.parse("coingecko", got), "__symbol__") == [("ok",)]
     assert rows(adapters.payload_errors("coingecko", got), "source_symbol") == [("empty",), ("none",)]
     assert rows(adapters.payload_errors("binance", payload(("a", []), ("b", {"code": -1}))), "source_symbol") == [("a",), ("b",)]
-    assert rows(adapters.payload_errors("alpha_vantage", payload(("a", {"Note": "limit"}))), "source_symbol") == [("a",)]
+    told = adapters.payload_errors("alpha_vantage", payload(("a", {"Note": "limit"}), ("b", {"Error Message": "no such"}), ("c", {})))
+    assert rows(told) == [("a", "no data in response: limit"), ("b", "no data in response: no such"), ("c", "no data in response")]
 
 
 def test_klines_by_position_with_numbers_as_text(payload):

@@ -11,6 +11,7 @@ from candlewick.operators.writes import (
     overwrite_table,
     read_or_empty,
     read_since,
+    replace_slice,
     replace_table,
     upsert,
 )
@@ -101,3 +102,29 @@ def test_newest_and_recent_rows_of_a_table_by_month(spark, table, tmp_path):
     assert rows(recent, "v") == [(1,), (2,), (3,)]
     scan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in scan and "202401" in scan
+
+
+def test_a_replacement_that_broke_off_is_settled(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(table("k int", (1,)), path)
+    # died after the new table was written and the old one moved aside
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    table("k int", (2,)).write.parquet(f"{path}.new")
+    assert rows(read_or_empty(spark, path, "k int")) == [(2,)]
+    # died while the new table was being written
+    (tmp_path / "t.new").mkdir()
+    assert rows(read_or_empty(spark, path, "k int")) == [(2,)]
+    overwrite_table(table("k int", (3,)), path)
+    assert rows(read_or_empty(spark, path, "k int")) == [(3,)]
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
+
+
+def test_a_slice_is_replaced_alone(spark, table, tmp_path):
+    path, schema = str(tmp_path / "s"), "run string, k int"
+    replace_slice(table(schema, ("a/b", 1), ("a/b", 2)), path, run="a/b")
+    replace_slice(table(schema, ("c", 3)), path, run="c")
+    for _ in range(2):
+        replace_slice(table(schema, ("a/b", 4)), path, run="a/b")
+    assert rows(read_or_empty(spark, path, schema)) == [("a/b", 4), ("c", 3)]
+    replace_slice(table(schema), path, run="c")
+    assert rows(read_or_empty(spark, path, schema)) == [("a/b", 4)]
