@@ -18,18 +18,17 @@ def components(edges: DataFrame) -> DataFrame:
     links sends one row per task.
     """
     links = T.staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        links = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        links = T.staged(links, "links")
+        links = T.staged(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
+        # stars: no node has two centres, and no centre is itself a leaf
+        leaves = links.groupBy("a").agg(F.count("*").alias("centres"))
+        centres = links.select(F.col("b").alias("a")).distinct().join(leaves, "a", "left_semi").limit(1)
+        if not leaves.where("centres > 1").limit(1).select("a").union(centres).count():
+            break
         least = links.groupBy("a").agg(F.min("b").alias("m"))
         down = links.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         links = T.staged(down.where("a <> b").distinct(), "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -1,19 +1,25 @@
 """Join of documents whose word n-gram sets are similar (Jaccard), by adaptive multi-match prefixes.
 
-Tokens are n-grams, in one global order: rare before frequent, as a count
-sketch of fixed size tells, then by hash. Any order gives right results; this
-one keeps frequent n-grams out of the prefixes. Two sets of similarity t or
+Tokens are n-grams, in one global order: those of rare words before those of
+frequent ones, as a count sketch of fixed size tells, then by hash. Any order
+gives right results; this one keeps frequent n-grams out of the prefixes. Words
+that the sketch cannot tell apart have at most the share of one counter each,
+and an n-gram of them the product of n such shares, so the order stays good
+when the corpus grows and the sketch does not. Two sets of similarity t or
 more share at least l tokens within their first ``size - ceil(t * size) + l``
 ones, for every l. Each document lengthens its prefix to the l whose
 candidates are estimated to cost least, from the documents counted at each of
 its tokens; a pair then has to share as many tokens as the smaller of its two l.
 
-Equal sets are one document from the start. Members of a group of near copies
-are not compared pair by pair: in each of a few rounds every document is
-verified against one centre it shares a token with and that is not known to be
-connected with it, and what is found similar becomes one class. Only pairs
-across classes then remain, and each of these that passes the prefix test is
-verified, so no link between classes is lost.
+Equal sets are one document from the start, and tokens that the same documents
+have are one list. Lists are of two kinds. Pairs of a short list are counted
+over all lists, and those that share enough tokens are candidates. Documents of
+long lists are groups of near copies: they form blocks, and so do families of
+candidates that have many pairs. A block is cut into parts, and each pair of
+parts is compared in one task, which returns no more links than connect its
+documents. The other candidates are verified pair by pair. So the rows that
+move grow with a short list's bound or a block's number of parts, and no link
+between classes is lost.
 
 Defined results: a null or empty text has no tokens and links with nothing; a
 text of fewer words than n is one token; rows without a doc_id link with
@@ -33,6 +39,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import text as T
 from candlewick.llm.components import components
+from candlewick.llm.repeats import by_group
 
 GRAM = 3
 PERCENT = 90
@@ -41,38 +48,55 @@ COUNTERS = 1 << 20
 SLICES = 64
 #: Partial sketches that one task adds up.
 FAN_IN = 256
-#: Most tokens that a pair may be required to share.
-MOST_SHARED = 4
-#: Cost of verifying a candidate against that of reading a list entry.
-VERIFY_COST = 8
-#: Rounds of comparing with centres, and comparisons with one centre that a task makes.
-ROUNDS = 6
+#: Tokens that a pair may be required to share: so many, and of a long document this part of its tokens.
+MOST_SHARED = 8
+LONG_PART = 40
+#: Numbers of shared tokens to choose from.
+LEVELS = [1 << i for i in range(11)]
+#: Cost of comparing a token of a candidate against that of reading a list entry.
+VERIFY_COST = 0.05
+#: Times that tokens and documents without partners are left out before documents are compared.
+PRUNINGS = 2
+#: Documents of a list from which it is a long one, and of a part of a block.
+SHORT_LIST = 64
+PART = 256
+#: Comparisons with one document that a task makes.
 TASK_ROWS = 2000
 
 
-def _gram_hashes(part: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each text's n-grams (a shorter text is one), and each text's range."""
-    starts, stops, ranges = T.words(T.lowered(part), ends)
-    words = T.word_hashes(T.lowered(part), starts, stops)
+def _word_hashes(part: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    data = T.lowered(part)
+    starts, stops, ranges = T.words(data, ends)
+    return T.word_hashes(data, starts, stops), ranges
+
+
+def _counter(hashes: np.ndarray, counters: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - (counters.bit_length() - 1))).astype(np.int64)
+
+
+def _tokens(part: np.ndarray, ends: np.ndarray, n: int, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's n-grams (a shorter text is one) as numbers that sort in the global order, and its range of them."""
+    words, ranges = _word_hashes(part, ends)
     counts = np.diff(ranges)
     many = np.where(counts >= n, counts - n + 1, (counts > 0).astype(np.int64))
     out = np.zeros(len(counts) + 1, dtype=np.int64)
     np.cumsum(many, out=out[1:])
     lo = np.repeat(ranges[:-1] - out[:-1], many) + np.arange(out[-1])
-    width = np.repeat(np.minimum(counts, n), many)
-    return T.spans(T.prefix_sums(words), lo, lo + width), out
+    hi = lo + np.repeat(np.minimum(counts, n), many)
+    logs = np.zeros(len(words) + 1, dtype=np.int64)
+    np.cumsum(classes[_counter(words, len(classes))], out=logs[1:])
+    order = np.minimum(63, (logs[hi] - logs[lo]) * 2 // n).astype(np.uint64)
+    return (order << np.uint64(58)) | (T.mixed(T.spans(T.prefix_sums(words), lo, hi)) >> np.uint64(6)), out
 
 
-def _sketch(n: int, counters: int, slices: int):
+def _sketch(counters: int, slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(counters, dtype=np.int64)
-        shift = np.uint64(64 - (counters.bit_length() - 1))
         for batch in batches:
             for _, _, part, ends in T.pieces(*T.utf8(batch.column("text")), most=8 << 20):
-                hashes, _ = _gram_hashes(part, ends, n)
-                total += np.bincount((hashes >> shift).astype(np.int64), minlength=counters)
+                total += np.bincount(_counter(_word_hashes(part, ends)[0], counters), minlength=counters)
         if total.any():
-            parts = total.astype(np.uint32).reshape(slices, -1)
+            parts = np.minimum(total, 2**32 - 1).astype(np.uint32).reshape(slices, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "counts"])
 
     return run
@@ -83,10 +107,10 @@ def _add(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
 
 
-def frequency_classes(texts: DataFrame, n: int = GRAM, counters: int = COUNTERS, slices: int = SLICES) -> np.ndarray:
-    """For each counter the logarithm of its count; its size is that of the sketch, whatever the corpus."""
+def frequency_classes(texts: DataFrame, counters: int = COUNTERS, slices: int = SLICES) -> np.ndarray:
+    """For each counter of words the logarithm of its count; its size is that of the sketch, whatever the corpus."""
     kind = "slice int, counts binary"
-    parts = texts.select("text").mapInArrow(_sketch(n, counters, slices), kind).withColumn("team", F.spark_partition_id() % FAN_IN)
+    parts = texts.select("text").mapInArrow(_sketch(counters, slices), kind).withColumn("team", F.spark_partition_id() % FAN_IN)
     sums = parts.groupBy("slice", "team").applyInPandas(lambda rows: _add(rows), kind)
     rows = sums.groupBy("slice").applyInPandas(lambda rows: _add(rows), kind).collect()
     total = np.zeros(counters, dtype=np.uint32)
@@ -95,19 +119,12 @@ def frequency_classes(texts: DataFrame, n: int = GRAM, counters: int = COUNTERS,
     return np.ceil(np.log2(total.astype(np.float64) + 1)).astype(np.uint8)
 
 
-def _ordered(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Tokens whose value is their place in the global order: frequency class, then hash."""
-    shift = np.uint64(64 - (len(classes).bit_length() - 1))
-    return (classes[(hashes >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (T.mixed(hashes) >> np.uint64(6))
-
-
 def _prefixes(shared, n: int, percent: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for i, j, part, ends in T.pieces(*T.utf8(batch.column("text"))):
-                hashes, ranges = _gram_hashes(part, ends, n)
-                tokens = _ordered(hashes, classes)
+                tokens, ranges = _tokens(part, ends, n, classes)
                 sizes, one, two, firsts = [], [], [], []
                 for a, b in zip(ranges[:-1].tolist(), ranges[1:].tolist()):
                     own = np.unique(tokens[a:b])
@@ -119,7 +136,7 @@ def _prefixes(shared, n: int, percent: int, most: int):
                     spread = T.mixed(own)
                     one.append(int(spread.sum().view(np.int64)))
                     two.append(int(np.bitwise_xor.reduce(T.mixed(spread + np.uint64(size))).view(np.int64)))
-                    firsts.append(own[: size - (percent * size + 99) // 100 + most].view(np.int64))
+                    firsts.append(own[: size - (percent * size + 99) // 100 + max(most, size // LONG_PART)].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
                     names=["doc_id", "size", "one", "two", "tokens"],
@@ -133,8 +150,7 @@ def _sets(shared, n: int):
         classes = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for i, j, part, ends in T.pieces(*T.utf8(batch.column("text"))):
-                hashes, ranges = _gram_hashes(part, ends, n)
-                tokens = _ordered(hashes, classes)
+                tokens, ranges = _tokens(part, ends, n, classes)
                 own = [np.unique(tokens[a:b]).tobytes() for a, b in zip(ranges[:-1].tolist(), ranges[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column("doc").slice(i, j - i), pa.array(own, pa.binary())], names=["doc", "members"])
 
@@ -175,11 +191,71 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, task_rows: int = T
     return rows.mapInArrow(_verify(percent), "a long, b long")
 
 
-def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, rounds: int = ROUNDS, most: int = MOST_SHARED) -> DataFrame:
+def tile_links(docs: list[int], sets: list[np.ndarray], parts: list[int], percent: int, width: int = 1 << 14) -> list[tuple[int, int]]:
+    """Links that connect what is similar among documents of one part, or of two different ones."""
+    order = np.argsort(parts, kind="stable")
+    docs, sets = [docs[i] for i in order], [sets[i] for i in order]
+    cut = int(np.searchsorted(np.array(parts)[order], max(parts))) if min(parts) < max(parts) else 0
+    tokens = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, number, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = times[number] > 1
+    names, number = np.unique(number[shared], return_inverse=True)
+    row = row[shared]
+    left = len(sets) if cut == 0 else cut
+    both = np.zeros((left, len(sets) - cut), dtype=np.float64)
+    by = np.argsort(number, kind="stable")
+    number, row = number[by], row[by]
+    for a in range(0, len(names), width):  # a slice of the tokens at a time
+        lo, hi = np.searchsorted(number, [a, a + width])
+        has = np.zeros((len(sets), min(width, len(names) - a)), dtype=np.float32)
+        has[row[lo:hi], number[lo:hi] - a] = 1
+        both += has[:left] @ has[cut:].T
+    sizes = np.array([len(x) for x in sets])
+    similar = 100 * both >= percent * (sizes[:left, None] + sizes[None, cut:] - both)
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in np.argwhere(similar).tolist():
+        p, q = find(x), find(y + cut)
+        if p != q:
+            root[q] = p
+            out.append((docs[x], docs[y + cut]))
+    return out
+
+
+def _tiles(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in by_group(batches, "tile"):
+            out = tile_links(g["doc"], [np.frombuffer(x, np.uint64) for x in g["members"]], g["part"], percent)
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def block_links(blocks: DataFrame, sets: DataFrame, percent: int, part: int = PART) -> DataFrame:
+    """Links within blocks (doc, block): each pair of a block's parts is one task's work."""
+    counts = blocks.groupBy("block").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    rows = blocks.join(counts, "block").withColumn("part", F.pmod(F.xxhash64("doc"), "parts").cast("int"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
+    tiles = rows.select("doc", "block", "part", F.explode(meets).alias("m"))
+    tiles = tiles.select("doc", "part", F.xxhash64("block", "m.i", "m.j").alias("tile")).join(sets, "doc")
+    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles(percent), "a long, b long")
+
+
+def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most: int = MOST_SHARED, short: int = SHORT_LIST, part: int = PART) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest doc_id that links reach."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(frequency_classes(texts, n).tobytes())
+    shared = spark.sparkContext.broadcast(frequency_classes(texts).tobytes())
     found = T.staged(
         texts.mapInArrow(_prefixes(shared, n, percent, most), "doc_id long, size long, one long, two long, tokens array<long>"),
         "prefixes",
@@ -188,62 +264,70 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, roun
     reps = T.staged(
         whole.groupBy("size", "one", "two").agg(F.min("doc_id").alias("doc"), F.min_by("tokens", "doc_id").alias("tokens")), "sets"
     )
-    need = F.floor((percent * F.col("size") + 99) / 100)
-    entries = reps.select("doc", "size", need.alias("need"), F.posexplode("tokens").alias("pos", "token"))
-    counts = entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    entries = T.staged(entries.join(counts, "token"), "entries")
+    need = F.floor((percent * F.col("size") + 99) / 100).cast("long")
+    most_of = F.greatest(F.lit(most), F.floor(F.col("size") / LONG_PART))
+    sizes = reps.select("doc", "size", need.alias("need"), F.least(need, most_of).alias("most"))
+    entries = reps.select("doc", F.posexplode("tokens").alias("pos", "token"))
+    for _ in range(PRUNINGS):
+        # a token of one document links nothing, nor does a document with fewer tokens of others than a pair has to share
+        counts = T.staged(entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+        entries = T.staged(entries.select("doc", "pos", "token").join(counts, "token"), "entries")
+        able = entries.groupBy("doc").agg(F.count("*").alias("shared")).join(sizes, "doc")
+        able = T.staged(able.where("shared >= most").select("doc", "size", "need", "most"), "able")
+        entries = entries.join(able, "doc")
+    entries = T.staged(entries, "entries")
 
     # the l of least estimated cost, for each document
     first = F.col("size") - F.col("need")
-    sums = entries.groupBy("doc", "size", "need").agg(
-        *[F.sum(F.when(F.col("pos") < first + l, F.col("n") - 1).otherwise(0)).alias(f"s{l}") for l in range(1, most + 1)]
+    sums = entries.groupBy("doc", "size", "need", "most").agg(
+        *[F.sum(F.when(F.col("pos") < first + l, F.col("n") - 1).otherwise(0)).alias(f"s{l}") for l in LEVELS]
     )
-    costs = [F.when(F.col("need") >= l, F.col(f"s{l}") * (1 + VERIFY_COST / l)).otherwise(F.lit(float("inf"))) for l in range(1, most + 1)]
-    level = F.array_position(F.array(*costs), F.array_min(F.array(*costs))).cast("int")
-    levels = sums.select("doc", level.alias("l"))
-    lists = entries.join(levels, "doc").where(F.col("pos") < first + F.col("l")).select("token", "doc", "size", "l")
-    lists = T.staged(lists, "lists")
-
-    wanted = lists.select("doc").distinct()
-    own = texts.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
+    costs = [
+        F.when(F.col("most") >= l, F.struct((F.col(f"s{l}") * (1 + F.col("size") * VERIFY_COST / l)).alias("cost"), F.lit(l).alias("l")))
+        for l in LEVELS
+    ]
+    levels = T.staged(sums.select("doc", F.array_min(F.array_compact(F.array(*costs)))["l"].alias("l")), "levels")
+    lists = entries.select("doc", "size", "need", "pos", "token").join(levels, "doc").where(F.col("pos") < first + F.col("l"))
+    lists = T.staged(lists.select("token", "doc", "size", "l"), "lists")
+
+    # tokens of the same documents are one list, of so much weight
+    same = lists.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("sum"), F.min("doc").alias("centre"))
+    same = same.where("n > 1").groupBy("n", "sum", "centre").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    lists = T.staged(lists.join(T.staged(same.drop("sum"), "same"), "token"), "lists")
+    crowd = lists.where(F.col("n") > short)
+    blocks = components(crowd.select(F.col("doc").alias("a"), F.col("centre").alias("b"))).withColumnsRenamed({"node": "doc", "root": "block"})
+    blocks = T.staged(blocks, "blocks")
+
+    rows = lists.where(F.col("n") <= short).join(blocks, "doc", "left").select("token", "weight", "doc", "size", "l", "block")
+    other = rows.select("token", *[F.col(c).alias(f"o_{c}") for c in ("doc", "size", "l", "block")])
+    near = (F.col("size") * percent <= F.col("o_size") * 100) & (F.col("o_size") * percent <= F.col("size") * 100)
+    apart = F.col("block").isNull() | F.col("o_block").isNull() | (F.col("block") != F.col("o_block"))
+    pairs = rows.join(other, "token").where((F.col("o_doc") < F.col("doc")) & near & apart)
+    # documents that share a long list are of one block, so what others share is in short ones
+    pairs = pairs.groupBy(F.col("o_doc").alias("centre"), "doc").agg(F.sum("weight").alias("shared"), F.min(F.least("l", "o_l")).alias("least"))
+    pairs = pairs.where("shared >= least")
+    pairs = T.staged(pairs.select("centre", "doc"), "pairs")
+
+    # a family of candidates is compared as a block if that sends fewer sets than its pairs
+    families = T.staged(components(pairs.select(F.col("doc").alias("a"), F.col("centre").alias("b"))), "families")
+    docs_of = families.groupBy("root").agg(F.count("*").alias("m"))
+    pairs_of = pairs.join(families.withColumnRenamed("node", "doc"), "doc").groupBy("root").agg(F.count("*").alias("e"))
+    dense = docs_of.join(pairs_of, "root").where(F.col("e") > F.col("m") * F.ceil(F.col("m") / part)).select("root")
+    dense = T.staged(families.join(dense, "root").select(F.col("node").alias("doc"), F.xxhash64(F.lit("family"), "root").alias("block")), "dense")
+    pairs = T.staged(pairs.join(dense.select("doc"), "doc", "left_anti"), "pairs")
+    blocks = blocks.unionByName(dense)
+
+    wanted = pairs.select("doc").union(pairs.select("centre")).union(blocks.select("doc")).distinct()
+    own = texts.select(F.col("doc_id").alias("doc"), "text").join(T.staged(wanted, "wanted"), "doc", "left_semi").dropDuplicates(["doc"])
     sets = T.staged(own.mapInArrow(_sets(shared, n), "doc long, members binary"), "members")
-
-    roots = wanted.select("doc", F.col("doc").alias("root"))
-    near = (F.col("size") * percent <= F.col("c_size") * 100) & (F.col("c_size") * percent <= F.col("size") * 100)
-    links = None
-    for turn in range(rounds):
-        rows = lists.join(roots, "doc")
-        stat = rows.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token")
-        stat = stat.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes")).where("classes > 1")
-        left = stat.agg(F.sum(F.col("n") * F.col("n") - F.col("same")), F.sum("n")).first()
-        if not left[0] or (turn and left[0] <= 8 * left[1]):
-            break
-        pick = F.xxhash64("doc", F.lit(turn))
-        centres = rows.groupBy("token").agg(F.min(pick).alias("pick"), F.min_by("doc", pick).alias("centre"), F.min_by("root", pick).alias("c_root"), F.min_by("size", pick).alias("c_size"))
-        pairs = rows.join(centres, "token").where((F.col("root") != F.col("c_root")) & near)
-        pairs = pairs.groupBy("doc").agg(F.min_by("centre", "pick").alias("centre"))
-        new = T.staged(verified(T.staged(pairs, "pairs"), sets, percent), "links")
-        links = new if links is None else links.unionByName(new)
-        roots = _roots(wanted, links)
-    if links is None or left[0]:
-        rows = lists.join(roots, "doc")
-        other = rows.select("token", F.col("doc").alias("centre"), F.col("root").alias("c_root"), F.col("size").alias("c_size"), F.col("l").alias("c_l"))
-        pairs = rows.join(other, "token").where((F.col("doc") > F.col("centre")) & (F.col("root") != F.col("c_root")) & near)
-        pairs = pairs.groupBy("centre", "doc").agg(F.count("*").alias("shared"), F.min(F.least("l", "c_l")).alias("least")).where("shared >= least")
-        new = T.staged(verified(T.staged(pairs.select("centre", "doc"), "pairs"), sets, percent), "links")
-        links = new if links is None else links.unionByName(new)
-        roots = _roots(wanted, links)
+    links = verified(pairs, sets, percent).unionByName(block_links(blocks, sets, percent, part))
+    roots = components(T.staged(links, "links"))
     out = found.select("doc_id", "size", "one", "two")
     keys = reps.select("size", "one", "two", F.col("doc").alias("rep"))
-    out = out.join(keys, ["size", "one", "two"], "left").join(roots.withColumnRenamed("doc", "rep"), "rep", "left")
+    out = out.join(keys, ["size", "one", "two"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     own_class = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id"))
     return out.select("doc_id", F.col("size").alias("n_shingles"), own_class.alias("component_id"))
 
 
-def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links.select("a", "b")).withColumnRenamed("node", "doc")
-    return T.staged(nodes.join(found, "doc", "left").select("doc", F.coalesce("root", "doc").alias("root")), "roots")
-
-
 def op5_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return similar_classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -49,11 +49,11 @@ def copies(seed, n, edits):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("rounds", [0, 6])  # 0: all pairs pass the prefix test alone
+@pytest.mark.parametrize("short, part", [(64, 256), (3, 5)])  # also with blocks and tiles of a few documents
 @pytest.mark.parametrize("seed", [1, 2])
-def test_classes_against_brute_force(documents, seed, rounds):
+def test_classes_against_brute_force(documents, seed, short, part):
     docs = copies(seed, 18, 6) + [(1000, None), (1001, ""), (1002, "A"), (1003, "a"), (1004, "a B"), (1005, "A b"), (1006, "b a"), (1007, " ")]
-    rows = J.similar_classes(documents(docs, clash=["size", "root", "token"]), rounds=rounds).collect()
+    rows = J.similar_classes(documents(docs, clash=["size", "root", "token"]), short=short, part=part).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == classes(docs)
     assert len({c for _, c in classes(docs).values()}) < len(docs) - 25
 
