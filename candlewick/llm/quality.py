@@ -179,11 +179,13 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(shared.value)
         for batch in batches:
-            for i, j, words, ranges, stats in _features(batch, model.buckets):
+            inputs = pa.RecordBatch.from_arrays([batch.column("doc").field("text"), batch.column("n_chars")], names=["text", "n_chars"])
+            for i, j, words, ranges, stats in _features(inputs, model.buckets):
                 found, _ = model.sums(*model.rows(words, ranges, stats))
                 yield pa.RecordBatch.from_arrays([batch.column("doc").slice(i, j - i), pa.array(1 / (1 + np.exp(-np.clip(found.astype(np.float64), -30, 30))))], names=["doc", "score"])
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *_inputs(docs))
+    typed = [F.col(f"`{c}`").cast("string").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*typed).alias("doc"), _inputs(docs)[1])  # the text goes to Python once
     return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
 
 
