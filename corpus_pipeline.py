@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from candlewick.llm import jaccard, packing, quality, rules, suffix_tree
 from candlewick.llm.text import staged
 
+#: Near copies are of this similarity or more, over shingles of so many words. (op5 has values of its own.)
+SHINGLE = 5
+PERCENT = 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the classifier scores below its threshold."""
@@ -32,7 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest doc_id of each group."""
-    classes = jaccard.similar_classes(docs.select("doc_id", "text")).where("doc_id IS NOT NULL")
+    classes = jaccard.similar_classes(docs.select("doc_id", "text"), n=SHINGLE, percent=PERCENT).where("doc_id IS NOT NULL")
     marks = classes.groupBy("doc_id").agg((F.min("component_id") < F.col("doc_id")).alias("copy"), F.count("*").alias("n"))
     marks = staged(marks.where("copy OR n > 1").withColumnRenamed("doc_id", "marked"), "marks")
     rows = docs.join(marks, docs["doc_id"] == marks["marked"], "left")
