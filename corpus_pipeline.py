@@ -7,7 +7,8 @@ earlier document has already go, and the rest is packed into sequences. All
 but the last return the columns of ``documents``.
 
 Rows without a doc_id are judged like others but link with nothing and lose no
-words. Of repeated rows of one doc_id the near-copy stage keeps one.
+words. Of repeated rows of one doc_id and text the near-copy stage keeps one;
+different texts under one doc_id are different documents.
 """
 
 from __future__ import annotations
@@ -35,13 +36,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group."""
-    classes = jaccard.similar_classes(docs.select("doc_id", "text"), n=SHINGLE, percent=PERCENT).where("doc_id IS NOT NULL")
-    marks = classes.groupBy("doc_id").agg((F.min("component_id") < F.col("doc_id")).alias("copy"), F.count("*").alias("n"))
-    marks = staged(marks.where("copy OR n > 1").withColumnRenamed("doc_id", "marked"), "marks")
-    rows = docs.join(marks, docs["doc_id"] == marks["marked"], "left")
-    alone = rows.where("marked IS NULL").select(*[docs[c] for c in docs.columns])
-    again = rows.where("NOT copy").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
+    """Keep the document with the smallest doc_id of each group; different texts of one doc_id are documents of their own."""
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("text").cast("string")))
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", key.alias("key"))
+    found = jaccard.similar_classes(keyed.select(F.col("key").alias("doc_id"), "text"), n=SHINGLE, percent=PERCENT)
+    found = found.select(F.col("doc_id").alias("key"), "component_id").where("key IS NOT NULL")
+    ids = keyed.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    classes = staged(found.groupBy("key").agg(F.min("component_id").alias("class"), F.count("*").alias("n")).join(ids, "key"), "classes")
+    first = classes.groupBy("class").agg(F.min(F.struct("doc_id", "key"))["key"].alias("first")).select("first")
+    marks = classes.join(first, classes["key"] == first["first"], "left").select(F.col("key").alias("marked"), F.col("first").isNull().alias("copy"), "n")
+    rows = keyed.join(staged(marks.where("copy OR n > 1"), "marks"), F.col("key") == F.col("marked"), "left")
+    alone = rows.where("marked IS NULL").select("doc.*")
+    again = rows.where("NOT copy").dropDuplicates(["doc_id", "key"]).select("doc.*")
     return alone.unionByName(again)
 
 

@@ -44,3 +44,12 @@ def test_near_copies_with_one_passage_changed(spark, documents):
     assert any(similar(a, b) and not similar(a, b, 3, 90) for i, a in docs for j, b in docs[:i])
     rows = pipeline.near_duplicates(spark, documents(docs), "").collect()
     assert {r.doc_id for r in rows} == kept(docs) and len(rows) == len(kept(docs)) < len(docs)
+
+
+def test_different_texts_of_one_id_are_different_documents(spark, documents):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    near = a + " more"
+    docs = [(5, a), (5, b), (5, b), (3, near), (9, b), (9, c), (7, d), (7, None), (7, ""), (None, a), (None, a), (2, c)]
+    rows = pipeline.near_duplicates(spark, documents(docs), "").collect()
+    want = [(3, near), (5, b), (2, c), (7, d), (7, None), (7, ""), (None, a), (None, a)]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in rows))) == sorted(map(repr, want))
