@@ -60,10 +60,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences with their tokens: ``ids`` as little-endian unsigned 32-bit bytes."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False).drop("ids")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

@@ -53,3 +53,20 @@ def test_different_texts_of_one_id_are_different_documents(spark, documents):
     rows = pipeline.near_duplicates(spark, documents(docs), "").collect()
     want = [(3, near), (5, b), (2, c), (7, d), (7, None), (7, ""), (None, a), (None, a)]
     assert sorted(map(repr, ((r.doc_id, r.text) for r in rows))) == sorted(map(repr, want))
+
+
+def test_packed_corpus_holds_the_tokens(spark, documents):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs = [(i, f"text {i} " + "of some words " * (i * 40)) for i in range(20)] + [(20, ""), (21, None)]
+    pieces = {}
+    for r in pipeline.pack(spark, documents(docs), "").collect():
+        assert len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32
+        pieces.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i, text in docs:
+        ids = memoryview(b"".join(x for _, x in sorted(pieces[i]))).cast("I").tolist()
+        assert ids[-1] == 0 and tokenizer.decode(ids[:-1], skip_special_tokens=False) == (text or "")
