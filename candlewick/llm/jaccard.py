@@ -17,13 +17,15 @@ over all lists, and those that share enough tokens are candidates. Documents of
 long lists are groups of near copies: they form blocks, and so do families of
 candidates that have many pairs. A block is cut into parts, and each pair of
 parts is compared in one task, which returns no more links than connect its
-documents. The other candidates are verified pair by pair. So the rows that
+documents, and for each document the number of those it links with. The other
+candidates are verified pair by pair. So the rows that
 move grow with a short list's bound or a block's number of parts, and no link
 between classes is lost.
 
 Defined results: a null or empty text has no tokens and links with nothing; a
 text of fewer words than n is one token; rows without a doc_id link with
-nothing; repeated rows get the same class; further columns are not read.
+nothing; repeated rows get the same class and count once; further columns are
+not read. The rows of one doc_id have one text.
 Tokens are 64-bit hashes.
 """
 
@@ -62,6 +64,8 @@ SHORT_LIST = 64
 PART = 256
 #: Comparisons with one document that a task makes.
 TASK_ROWS = 2000
+#: A link between a and b, and numbers of documents that a and b link with.
+LINKS = "a long, b long, n_a long, n_b long"
 
 
 def _word_hashes(part: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,47 +156,56 @@ def _sets(shared, n: int):
             for i, j, part, ends in T.pieces(*T.utf8(batch.column("text"))):
                 tokens, ranges = _tokens(part, ends, n, classes)
                 own = [np.unique(tokens[a:b]).tobytes() for a, b in zip(ranges[:-1].tolist(), ranges[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column("doc").slice(i, j - i), pa.array(own, pa.binary())], names=["doc", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc").slice(i, j - i), batch.column("weight").slice(i, j - i), pa.array(own, pa.binary())], names=["doc", "weight", "members"])
 
     return run
 
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, held = None, None
+        centre, held, many = None, None, 0
         for batch in batches:
             out = []
-            cols = (batch.column(c).to_pylist() for c in ("centre", "salt", "doc", "members"))
-            for c, salt, doc, members in zip(*cols):
+            cols = (batch.column(c).to_pylist() for c in ("centre", "salt", "doc", "weight", "members"))
+            for c, salt, doc, weight, members in zip(*cols):
                 own = np.frombuffer(members, np.uint64)
                 if doc is None:
-                    centre, held = (c, salt), own
+                    centre, held, many = (c, salt), own, weight
                     continue
                 assert centre == (c, salt)
                 both = len(np.intersect1d(held, own, assume_unique=True))
                 if 100 * both >= percent * (len(held) + len(own) - both):
-                    out.append((c, doc))
+                    out.append((c, doc, weight, many))
             if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield _links(out)
 
     return run
 
 
+def _links(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["a", "b", "n_a", "n_b"])
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Of the pairs (centre, doc) those that are similar. A centre's set is sent once for so many pairs."""
+    """Of the pairs (centre, doc) those that are similar, and how many documents each side links with. A centre's set is sent once for so many pairs."""
     counts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / task_rows).cast("int").alias("salts"))
     salted = pairs.join(counts, "centre").select("centre", F.pmod(F.xxhash64("doc"), "salts").cast("int").alias("salt"), "doc")
-    members = salted.join(sets, "doc").select("centre", "salt", "doc", "members")
+    members = salted.join(sets, "doc").select("centre", "salt", "doc", "weight", "members")
     heads = counts.join(sets.withColumnRenamed("doc", "centre"), "centre").select(
-        "centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("doc"), "members"
+        "centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("doc"), "weight", "members"
     )
     rows = members.unionByName(heads).repartition("centre", "salt").sortWithinPartitions("centre", "salt", F.col("doc").asc_nulls_first())
-    return rows.mapInArrow(_verify(percent), "a long, b long")
+    return rows.mapInArrow(_verify(percent), LINKS)
+
 
+def tile_links(
+    docs: list[int], sets: list[np.ndarray], parts: list[int], percent: int, weights: list[int], homes: list[int | None], width: int = 1 << 14
+) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Links that connect what is similar among documents of one part, or of two different ones.
 
-def tile_links(docs: list[int], sets: list[np.ndarray], parts: list[int], percent: int, width: int = 1 << 14) -> list[tuple[int, int]]:
-    """Links that connect what is similar among documents of one part, or of two different ones."""
+    Also the weight of all that each document is similar to, but for documents
+    of its own home, which are counted there.
+    """
     order = np.argsort(parts, kind="stable")
     docs, sets = [docs[i] for i in order], [sets[i] for i in order]
     cut = int(np.searchsorted(np.array(parts)[order], max(parts))) if min(parts) < max(parts) else 0
@@ -227,32 +240,43 @@ def tile_links(docs: list[int], sets: list[np.ndarray], parts: list[int], percen
         if p != q:
             root[q] = p
             out.append((docs[x], docs[y + cut]))
-    return out
+    weight = np.array(weights, dtype=np.int64)[order]
+    home = np.array([homes[i] or 0 for i in order], dtype=np.int64)
+    housed = np.array([homes[i] is not None for i in order])
+    similar &= ~((home[:left, None] == home[None, cut:]) & housed[:left, None] & housed[None, cut:])
+    if cut:
+        counts = np.concatenate([similar @ weight[cut:], weight[:cut] @ similar])
+    else:
+        np.fill_diagonal(similar, False)
+        counts = similar @ weight
+    return out, [(doc, n) for doc, n in zip(docs, counts.tolist()) if n]
 
 
 def _tiles(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in by_group(batches, "tile"):
-            out = tile_links(g["doc"], [np.frombuffer(x, np.uint64) for x in g["members"]], g["part"], percent)
+            if not g["within"][0] and min(g["part"]) == max(g["part"]):
+                continue  # the other part is empty
+            links, counts = tile_links(g["doc"], [np.frombuffer(x, np.uint64) for x in g["members"]], g["part"], percent, g["weight"], g["home"])
+            out = [(a, b, 0, 0) for a, b in links] + [(doc, doc, n, 0) for doc, n in counts]
             if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield _links(out)
 
     return run
 
 
 def block_links(blocks: DataFrame, sets: DataFrame, percent: int, part: int = PART) -> DataFrame:
-    """Links within blocks (doc, block): each pair of a block's parts is one task's work."""
+    """Links within blocks (doc, block, home): each pair of a block's parts is one task's work."""
     counts = blocks.groupBy("block").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
     rows = blocks.join(counts, "block").withColumn("part", F.pmod(F.xxhash64("doc"), "parts").cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
-    tiles = rows.select("doc", "block", "part", F.explode(meets).alias("m"))
-    tiles = tiles.select("doc", "part", F.xxhash64("block", "m.i", "m.j").alias("tile")).join(sets, "doc")
-    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles(percent), "a long, b long")
+    tiles = rows.select("doc", "block", "home", "part", F.explode(meets).alias("m"))
+    tiles = tiles.select("doc", "home", "part", (F.col("m.i") == F.col("m.j")).alias("within"), F.xxhash64("block", "m.i", "m.j").alias("tile")).join(sets, "doc")
+    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles(percent), LINKS)
 
 
 def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most: int = MOST_SHARED, short: int = SHORT_LIST, part: int = PART) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the smallest doc_id that links reach."""
+    """(doc_id, n_shingles, component_id, n_links) of every row: the smallest doc_id that links reach, and how many other documents are similar."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(frequency_classes(texts).tobytes())
@@ -264,6 +288,8 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
     reps = T.staged(
         whole.groupBy("size", "one", "two").agg(F.min("doc_id").alias("doc"), F.min_by("tokens", "doc_id").alias("tokens")), "sets"
     )
+    twins = whole.select("size", "one", "two", "doc_id").distinct().groupBy("size", "one", "two").agg(F.count("*").alias("weight")).where("weight > 1")
+    twins = T.staged(twins.join(reps.select("size", "one", "two", "doc"), ["size", "one", "two"]).select("doc", "weight"), "twins")
     need = F.floor((percent * F.col("size") + 99) / 100).cast("long")
     most_of = F.greatest(F.lit(most), F.floor(F.col("size") / LONG_PART))
     sizes = reps.select("doc", "size", need.alias("need"), F.least(need, most_of).alias("most"))
@@ -315,19 +341,27 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
     dense = docs_of.join(pairs_of, "root").where(F.col("e") > F.col("m") * F.ceil(F.col("m") / part)).select("root")
     dense = T.staged(families.join(dense, "root").select(F.col("node").alias("doc"), F.xxhash64(F.lit("family"), "root").alias("block")), "dense")
     pairs = T.staged(pairs.join(dense.select("doc"), "doc", "left_anti"), "pairs")
-    blocks = blocks.unionByName(dense)
+    # a pair of one block and one family is compared in both, and counted in the block
+    dense = dense.join(blocks.select("doc", F.col("block").alias("home")), "doc", "left")
+    blocks = blocks.withColumn("home", F.lit(None).cast("long")).unionByName(dense)
 
     wanted = pairs.select("doc").union(pairs.select("centre")).union(blocks.select("doc")).distinct()
-    own = texts.select(F.col("doc_id").alias("doc"), "text").join(T.staged(wanted, "wanted"), "doc", "left_semi").dropDuplicates(["doc"])
-    sets = T.staged(own.mapInArrow(_sets(shared, n), "doc long, members binary"), "members")
+    wanted = wanted.join(twins, "doc", "left").select("doc", F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
+    own = texts.select(F.col("doc_id").alias("doc"), "text").join(T.staged(wanted, "wanted"), "doc").dropDuplicates(["doc"])
+    sets = T.staged(own.mapInArrow(_sets(shared, n), "doc long, weight long, members binary"), "members")
     links = verified(pairs, sets, percent).unionByName(block_links(blocks, sets, percent, part))
-    roots = components(T.staged(links, "links"))
+    links = T.staged(links, "links")
+    roots = components(links.select("a", "b"))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("n_a").alias("n")), F.struct(F.col("b").alias("rep"), F.col("n_b").alias("n"))))
+    others = links.select(ends.alias("e")).select("e.rep", "e.n").groupBy("rep").agg(F.sum("n").alias("others"))
     out = found.select("doc_id", "size", "one", "two")
     keys = reps.select("size", "one", "two", F.col("doc").alias("rep"))
     out = out.join(keys, ["size", "one", "two"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     own_class = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id"))
-    return out.select("doc_id", F.col("size").alias("n_shingles"), own_class.alias("component_id"))
+    out = out.join(others, "rep", "left").join(twins.withColumnRenamed("doc", "rep"), "rep", "left")
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("others", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1).otherwise(0)
+    return out.select("doc_id", F.col("size").alias("n_shingles"), own_class.alias("component_id"), n_links.cast("long").alias("n_links"))
 
 
 def op5_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return similar_classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return similar_classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("n_links")

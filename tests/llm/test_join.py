@@ -78,3 +78,16 @@ def test_components_of_long_paths_and_stars(spark):
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in rows} == {**{i: 100 for i in range(100, 161)}, **{i: 0 for i in range(60)}, 300: 300, 301: 300, 302: 300}
     assert len(rows) == 61 + 60 + 3
+
+
+@pytest.mark.parametrize("short, part", [(64, 256), (3, 5), (12, 5)])
+def test_numbers_of_links_against_brute_force(documents, short, part):
+    docs = copies(7, 18, 4)
+    docs += [(300 + i, t) for i, t in docs[::5]] + [(900, docs[0][1]), (1000, None), (1001, ""), (1002, "a b")]
+    sets = {i: shingles(t) for i, t in docs}
+    similar = lambda x, y: bool(x & y) and 100 * len(x & y) >= 90 * len(x | y)
+    want = {i: sum(similar(x, y) for j, y in sets.items() if j != i) for i, x in sets.items()}
+    assert len(set(want.values())) > 3
+    rows = J.similar_classes(documents(docs + docs[:3] + [(None, docs[0][1])]), short=short, part=part).collect()
+    assert {(r.doc_id, r.n_links) for r in rows} == {*want.items(), (None, 0)}
+    assert {r.doc_id: r.component_id for r in rows if r.doc_id is not None} == {i: c for i, (_, c) in classes(docs).items()}
