@@ -1,4 +1,4 @@
-"""Substring dedup with prefix-partitioned suffix trees.
+"""Substring dedup by sorted windows, grouped by prefixes; no suffix tree is built.
 
 Suffixes are split by prefixes of variable length. The short prefix is the k
 words of an anchor (see ``repeats``): a group is all segments of an anchor,
@@ -6,10 +6,11 @@ small enough for a task's memory. A group that is not is split by longer and
 longer prefixes, up to the n words of a whole window, whose only question - the
 smallest document - is a plain aggregate.
 
-In a group the suffixes that begin at each window are sorted and the tree over
-them is read off neighbours: an internal node at n words or deeper is a run of
-suffixes with equal first n words, a repeat. Of the documents below a node the
-smallest keeps the words.
+In a group the windows, cut to exactly n words, are sorted; runs of equal ones
+are repeats, and of a run's documents the smallest keeps the words. These runs
+are what a suffix tree has below its nodes at depth n. Common prefixes, nodes of
+other depths and maximal repeats are not computed: longer repeats come out as
+windows one after the other, merged where words are removed.
 
 Defined results: a null or empty text has no words and comes back empty; a row
 without a doc_id takes no part and keeps all its words; repeated rows of one
@@ -34,9 +35,9 @@ PREFIX = 10
 
 
 def deep_nodes(suffixes: list[tuple[bytes, int]]) -> Iterator[list[int]]:
-    """Internal nodes of the tree over sorted suffixes, cut at the window's depth.
+    """Runs of at least two equal windows, as a suffix tree would have them below its nodes at that depth.
 
-    A suffix is its first n words and its number; nodes are runs of at least two.
+    A suffix is its first n words and its number.
     """
     order = sorted(range(len(suffixes)), key=lambda x: suffixes[x][0])
     run = order[:1]
