@@ -4,10 +4,13 @@ Suffixes begin at anchors (see ``repeats``). They are dealt out by range of
 their leading bytes: Spark samples the splitters. Splitters compare k bytes,
 the shortest common prefix that a repeat around an anchor can have, so suffixes
 that share a repeat never lie on two sides of a boundary, and a bucket's
-neighbours need no second look. In a bucket the suffixes are sorted by a
-multikey quicksort that takes eight bytes as one key and treats all ties of
-the bucket at once; neighbours then give the longest common prefixes, and the
-intervals of equal prefix are its repeats.
+neighbours need no second look. Spark sorts a bucket by these bytes and the
+anchor's hash. The full sort is per anchor, not per bucket: the segments of one
+anchor, 512 at most, are sorted by radix rounds that take eight bytes as one key
+and treat all ties at once (numpy's lexsort); neighbours then give the longest
+common prefixes, and the intervals of equal prefix are the repeats. Suffixes of
+different anchors are not compared, as no repeat lies in both. Anchors with more
+segments bypass the array: grouped aggregates find their repeats (``repeats``).
 
 A window may begin left of its anchor. In each interval of common prefix r,
 the rows sorted by their reversed left sides give the longest common left side
