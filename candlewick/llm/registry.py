@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from candlewick.llm import sql
+from candlewick.llm.divergence import OP12_SQL, op12_source_divergence
 from candlewick.llm.jaccard import op5_ngram_jaccard_join
 from candlewick.llm.licenses import op6_license_scan
 from candlewick.llm.packing import op9_packing
 from candlewick.llm.quality import op4_quality_classifier
 from candlewick.llm.rules import op7_quality_rules
 from candlewick.llm.sentencepiece import op3_sentencepiece
+from candlewick.llm.sharding import op13_sharding
 from candlewick.llm.suffix_array import op10_suffix_array_dedup
 from candlewick.llm.suffix_tree import op2_substring_dedup
 from candlewick.llm.topk import OP8_SQL, op8_exact_top_k
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_packing": op9_packing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLE_SQL = {
@@ -33,4 +37,5 @@ ORACLE_SQL = {
     "op5_ngram_jaccard_join": sql.JACCARD_JOIN,
     "op8_exact_top_k": OP8_SQL,
     "op10_suffix_array_dedup": sql.SUFFIX_ARRAY_DEDUP,
+    "op12_source_divergence": OP12_SQL,
 }
