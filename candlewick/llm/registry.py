@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from candlewick.llm import sql
+from candlewick.llm.collocations import OP11_SQL, op11_phrase_collocations
 from candlewick.llm.divergence import OP12_SQL, op12_source_divergence
 from candlewick.llm.jaccard import op5_ngram_jaccard_join
 from candlewick.llm.licenses import op6_license_scan
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_packing": op9_packing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_source_divergence": op12_source_divergence,
     "op13_sharding": op13_sharding,
 }
@@ -37,5 +39,6 @@ ORACLE_SQL = {
     "op5_ngram_jaccard_join": sql.JACCARD_JOIN,
     "op8_exact_top_k": OP8_SQL,
     "op10_suffix_array_dedup": sql.SUFFIX_ARRAY_DEDUP,
+    "op11_phrase_collocations": OP11_SQL,
     "op12_source_divergence": OP12_SQL,
 }
