@@ -11,10 +11,11 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import values as V
-from ..session import literal
+from ..session import literal, stage
 
 
 def _validity(fact: DataFrame, dim: DataFrame, key: str, date: str) -> Column:
@@ -102,6 +103,33 @@ def ticker_map(spark, rows: list[tuple[str, str]] | None = None) -> DataFrame:
     return literal(spark, V.TICKERS if rows is None else rows, "ticker string, asset_id string")
 
 
+#: Most pair rows that one cell of the tiled pair join is planned to hold.
+CELL_ROWS = 1 << 19
+
+
+def pair_blocks(df: DataFrame, *, on: str, item: str, cell_rows: int = CELL_ROWS) -> tuple[DataFrame, int]:
+    """The placement table of a pair join, (item, block), and the number of blocks.
+
+    The rows of the join are known before it runs: a date with k items gives
+    k (k - 1) / 2. Blocks are chosen so that a cell, which is one pair of
+    blocks, holds ``cell_rows`` of them. Items are dealt to the blocks back and
+    forth in order of their number of rows, so blocks are of equal size.
+    The table has a row per item; the join has the square of that.
+    """
+    per_date = df.groupBy(on).agg(F.count(F.lit(1)).cast("double").alias("k"))
+    rows = per_date.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2)).first()[0] or 0.0
+    blocks = max(1, math.ceil(math.sqrt(2 * rows / cell_rows)))
+    return _dealt(df, item, blocks), blocks
+
+
+def _dealt(df: DataFrame, item: str, blocks: int) -> DataFrame:
+    sizes = df.groupBy(F.col(item).alias("_placed")).agg(F.count(F.lit(1)).alias("_n"))
+    place = F.row_number().over(W.orderBy(F.col("_n").desc(), "_placed")) - 1
+    forth = F.pmod(place, F.lit(blocks))
+    back = F.floor(place / blocks) % 2 == 1
+    return sizes.select("_placed", F.when(back, blocks - 1 - forth).otherwise(forth).cast("int").alias("_block"))
+
+
 def pairs(
     df: DataFrame,
     *,
@@ -109,29 +137,32 @@ def pairs(
     item: str,
     values: list[str],
     blocks: int | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Every unordered pair of items that share a value of ``on``.
 
     Output: ``cell``, ``on``, ``{item}_a < {item}_b`` and each value as
     ``{value}_a`` / ``{value}_b``.
 
-    The result is quadratic in items, so the work is tiled. Items hash into
-    ``blocks`` blocks and each cell holds one pair of blocks, for all dates:
-    a row is copied ``blocks + 1`` times, whatever the number of items, and
-    every pair of items falls into exactly one cell. Both sides are placed by
-    ``cell`` alone, so a window partitioned by (cell, pair) afterwards needs
-    no second shuffle of the quadratic rows, and a busy date is spread over
-    all cells instead of sitting in one task.
+    The result is quadratic in items, so the work is tiled. Items are dealt to
+    blocks (``pair_blocks``) and each cell holds one pair of blocks, for all
+    dates: a row is copied ``blocks + 1`` times, whatever the number of items,
+    and every pair of items falls into exactly one cell. The cells are numbered
+    and each is a task of its own, so their number and size follow from the data
+    and not from the session. A window partitioned by (cell, pair) afterwards
+    needs no second shuffle of the quadratic rows, and a busy date is spread
+    over all cells instead of sitting in one task.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = stage(df.select(on, item, *values), "pair_items")
     if blocks is None:
-        # blocks * (blocks + 1) / 2 cells: about four per shuffle partition
-        blocks = max(2, math.isqrt(8 * partitions))
-    block = F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
-    rows = df.select(on, item, *values).withColumn("_block", block)
+        placed, blocks = pair_blocks(known, on=on, item=item, cell_rows=cell_rows)
+    else:
+        placed = _dealt(known, item, blocks)
+    rows = known.join(placed, F.col(item) == F.col("_placed")).drop("_placed")
 
     def cell(low: Column, high: Column) -> Column:
-        return low * blocks + high
+        """Numbers the pairs of blocks low <= high from 0."""
+        return (low * blocks - (low * (low - 1) / 2).cast("int") + high - low).cast("int")
 
     last = F.lit(blocks - 1)
     left = rows.withColumn("_other", F.explode(F.sequence("_block", last))).select(
@@ -145,10 +176,9 @@ def pairs(
         F.col(on).alias("_r_on"),
         *[F.col(c).alias(f"_r_{c}") for c in [item, *values]],
     )
-    # A fixed number: sized by its small input, AQE would merge the cells into
-    # a few tasks, and the join makes each of them many times larger.
-    left = left.repartition(partitions, "cell")
-    right = right.repartition(partitions, "_r_cell")
+    cells = blocks * (blocks + 1) // 2
+    left = left.repartitionById(cells, "cell")
+    right = right.repartitionById(cells, "_r_cell")
     l_item, r_item = F.col(f"_l_{item}"), F.col(f"_r_{item}")
     joined = left.join(
         right,

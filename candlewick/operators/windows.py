@@ -64,6 +64,16 @@ def _guarded_corr(x: Column, y: Column) -> Column:
     return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
+#: Values below this, in units of their last digit, are multiplied in whole numbers.
+LIMB_BITS = 31
+WHOLE_LIMIT = 1 << LIMB_BITS
+
+
+def is_extreme(value: Column, digits: int = 4) -> Column:
+    """Is a value too large for moments in whole numbers?"""
+    return F.abs(value) >= WHOLE_LIMIT / 10**digits
+
+
 def rolling_corr(
     df: DataFrame,
     *,
@@ -74,54 +84,92 @@ def rolling_corr(
     rows: dict[str, int],
     counts: dict[str, int] | None = None,
     digits: int = 4,
+    extreme: bool | None = None,
 ) -> DataFrame:
-    """Add rolling Pearson correlations and row counts: ``{name: rows}`` each.
+    """Add rolling Pearson correlations and row counts: ``{name: rows}`` each, of less than 65,536 rows.
 
     ``x`` and ``y`` have at most ``digits`` decimals, so in units of the last
     digit all moments are whole numbers. A frame's moments are then exactly
     the running totals at its end minus those before its start: the cost per
     row does not grow with the frame, nothing drifts, and a constant side is
-    recognised by a variance of exactly zero, which gives NULL. Values may have
-    nineteen digits in those units, so a price that grows from a hundred-millionth
-    to hundreds is no outlier too many.
+    recognised by a variance of exactly zero, which gives NULL.
+
+    Values under 2^31 units (a daily return of 214,748 percent) have products of
+    62 bits, whose upper and lower 31 bits are summed apart. With ``extreme``
+    every frame is computed from its own values instead, centred and scaled by
+    its largest, which takes any finite number and time that grows with the
+    frame. ``None`` looks for such values in ``df`` first, which is a pass over
+    it; where its source is smaller, look there.
     """
+    if extreme is None:
+        extreme = not df.filter(is_extreme(F.col(x), digits) | is_extreme(F.col(y), digits)).isEmpty()
     series = _series(by, order)
+    seen = {name: F.least(F.row_number().over(series), F.lit(n)).cast("bigint") for name, n in (counts or {}).items()}
+    if extreme:
+        return df.withColumns(seen | {name: _frame_corr(F.col(x), F.col(y), series.rowsBetween(1 - n, 0)) for name, n in rows.items()})
+
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    mask = F.lit(WHOLE_LIMIT - 1).cast("bigint")
+
+    def upper(value: Column) -> Column:
+        return F.shiftright(value, LIMB_BITS)
+
+    def lower(value: Column) -> Column:
+        return value.bitwiseAND(mask)
 
     def whole(c: str) -> Column:
-        return F.when(both, F.round(F.col(c) * 10**digits)).cast("decimal(19,0)")
+        return F.coalesce(F.when(both, F.round(F.col(c) * 10**digits)).cast("bigint"), F.lit(0).cast("bigint"))
 
     units = df.withColumns({"_x": whole(x), "_y": whole(y)})
-    moments = {
-        "_n": both.cast("int"),
-        "_sx": F.col("_x"),
-        "_sy": F.col("_y"),
-        "_xy": F.col("_x") * F.col("_y"),
-        "_xx": F.col("_x") * F.col("_x"),
-        "_yy": F.col("_y") * F.col("_y"),
-    }
+    products = {"_xx": F.col("_x") * F.col("_x"), "_yy": F.col("_y") * F.col("_y"), "_xy": F.col("_x") * F.col("_y")}
+    moments = {"_n": both.cast("bigint"), "_sx": F.col("_x"), "_sy": F.col("_y")}
+    for name, product in products.items():
+        moments |= {f"{name}u": upper(product), f"{name}l": lower(product)}
     so_far = series.rowsBetween(W.unboundedPreceding, 0)
-    running = units.withColumns(
-        {m: F.coalesce(F.sum(value).over(so_far), F.lit(0)) for m, value in moments.items()}
-        | {name: F.least(F.row_number().over(series), F.lit(n)).cast("bigint") for name, n in (counts or {}).items()}
-    )
-    before = {f"{m}{n}": F.lag(m, n).over(series) for n in rows.values() for m in moments}
+    running = units.withColumns({m: F.sum(value).over(so_far) for m, value in moments.items()} | seen)
+    before = {f"{m}{n}": F.lag(m, n, 0).over(series) for n in rows.values() for m in moments}
     framed = running.withColumns(before)
 
     def corr(n: int) -> Column:
         def within(m: str) -> Column:
-            return F.col(m) - F.coalesce(F.col(f"{m}{n}"), F.lit(0))
+            return F.col(m) - F.col(f"{m}{n}")
 
-        def spread(m: str, a: str, b: str) -> Column:
-            product = within(a).cast("decimal(19,0)") * within(b).cast("decimal(19,0)")
-            return (within("_n") * within(m) - product).cast("double")
+        def spread(m: str, a: Column, b: Column) -> Column:
+            """Exactly n * sum(a b) - sum(a) * sum(b), as a number of upper limbs and a lower one."""
+            limbs = within("_n") * within(f"{m}u") - upper(a) * lower(b) - lower(a) * upper(b)
+            low = within("_n") * within(f"{m}l") - lower(a) * lower(b)
+            high = limbs - upper(a) * upper(b) * F.lit(WHOLE_LIMIT).cast("bigint") + upper(low)
+            return high.cast("double") * float(WHOLE_LIMIT) + lower(low).cast("double")
 
-        vx, vy = spread("_xx", "_sx", "_sx"), spread("_yy", "_sy", "_sy")
-        return spread("_xy", "_sx", "_sy") / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0))
+        sx, sy = within("_sx"), within("_sy")
+        vx, vy = spread("_xx", sx, sx), spread("_yy", sy, sy)
+        return spread("_xy", sx, sy) / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0))
 
     return framed.withColumns({name: corr(n) for name, n in rows.items()}).drop("_x", "_y", *moments, *before)
 
 
+def _frame_corr(x: Column, y: Column, frame) -> Column:
+    """Pearson correlation of a frame from its values, scaled by the largest of each side."""
+    both = F.collect_list(F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))).over(frame)
+
+    def scaled(side: str) -> Column:
+        values = F.transform(both, lambda r: r[side])
+        largest = F.array_max(F.transform(values, F.abs))
+        return F.transform(values, lambda v: F.coalesce(v / F.nullif(largest, F.lit(0.0)), F.lit(0.0)))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
+
+    def centred(values: Column) -> Column:
+        mean = total(values) / F.size(both)
+        return F.transform(values, lambda v: v - mean)
+
+    dx, dy = centred(scaled("x")), centred(scaled("y"))
+    vx, vy = total(F.transform(dx, lambda v: v * v)), total(F.transform(dy, lambda v: v * v))
+    product = total(F.zip_with(dx, dy, lambda a, b: a * b))
+    return F.when(F.size(both) > 0, product / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0)))
+
+
 def autocorrelation(df: DataFrame, *, by: str, order: str, col: str, lags: list[int]) -> DataFrame:
     """Per series and lag: correlation of ``col`` and |``col``| with their past."""
     series = _series(by, order)

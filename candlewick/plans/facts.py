@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,7 +12,8 @@ from .. import values as V
 from ..functions import labels
 from ..functions.scalars import fixed, null_double, pct, ratio
 from ..operators.joins import map_symbols, pairs, pit_join
-from ..operators.windows import rolling_corr
+from ..operators.windows import is_extreme, rolling_corr
+from ..session import stage
 
 
 def _with_date_key(fact: DataFrame, dim_date: DataFrame, date: str = "date", how: str = "inner") -> DataFrame:
@@ -99,16 +102,90 @@ def return_pairs(returns: DataFrame, extra: list[str] | None = None) -> DataFram
     return pairs(known, on="date", item="symbol", values=["asset_type", "daily_return_pct", *(extra or [])])
 
 
-def pair_correlation(paired: DataFrame) -> DataFrame:
-    """Rolling 30- and 90-row correlation per pair, one Window for all four."""
+#: Rows of the longest frame of a correlation.
+LONGEST_FRAME = 90
+
+
+def pair_correlation(returns: DataFrame, *, extra: list[str] | None = None, since: date | None = None) -> DataFrame:
+    """Rolling 30- and 90-row correlation per pair, one Window for all four.
+
+    With ``since`` only rows from that day on are returned, and only as much
+    history is paired as their frames reach back (``frame_history``). Symbols
+    with a return too large for whole numbers are looked for in the returns,
+    before they are paired; their pairs alone take the slower way.
+    """
+    values = ["asset_type", "daily_return_pct", *(extra or [])]
+    known = stage(returns.filter(F.col("daily_return_pct").isNotNull()).select("date", "symbol", *values), "returns")
+    huge = known.filter(is_extreme(F.col("daily_return_pct"))).select("symbol").distinct()
+    far, start = (None, None) if since is None else frame_history(known, since, LONGEST_FRAME)
+
+    def correlated(rows: DataFrame, only: DataFrame | None = None) -> DataFrame:
+        """Correlations of pairs with one of the symbols ``only`` names, or of all."""
+        flags = {"_huge": huge, "_only": only}
+        for flag, names in flags.items():
+            if names is not None:
+                rows = rows.join(names.withColumn(flag, F.lit(True)), "symbol", "left")
+        flagged = [f for f, names in flags.items() if names is not None]
+        paired = pairs(rows, on="date", item="symbol", values=[*values, *flagged])
+        if only is not None:
+            paired = paired.filter(F.coalesce("_only_a", "_only_b").isNotNull())
+        some = F.coalesce("_huge_a", "_huge_b").isNotNull()
+        out = _pair_windows(paired.filter(~some) if has_huge else paired, extreme=False)
+        if has_huge:
+            out = out.unionByName(_pair_windows(paired.filter(some), extreme=True))
+        return out.drop(*[f"{f}_{side}" for f in flagged for side in "ab"])
+
+    has_huge = not huge.isEmpty()
+    if since is None:
+        return correlated(known)
+    recent = known.filter(F.col("date") >= start)
+    if far is None:
+        return correlated(recent).filter(F.col("date") >= since)
+    near = correlated(recent.join(far, "symbol", "left_anti"))
+    return near.unionByName(correlated(known, only=far)).filter(F.col("date") >= since)
+
+
+#: Days of history tried for the frames of a new day.
+HISTORIES = (120, 180, 270, 400, 600, 900)
+
+
+def frame_history(known: DataFrame, since: date, rows: int) -> tuple[DataFrame | None, date]:
+    """Symbols that need all their history, or None, and the day from which history does for all others.
+
+    Of m days on which anything traded, two symbols with a and b rows have at
+    least ``a + b - m`` rows in common. Symbols with ``(m + rows - 1) / 2`` rows
+    in them therefore find ``rows - 1`` common ones before ``since``, and a symbol
+    without older rows finds all it has. What is left must look further back; m is
+    taken where that costs least. Per symbol one count for each m is formed;
+    the days (one row each) and the sums over all symbols go to the driver.
+    """
+    before = known.filter(F.col("date") < since)
+    most = max(HISTORIES)
+    days = [r.date for r in before.select("date").distinct().orderBy(F.col("date").desc()).limit(most).collect()]
+    if not days:
+        return None, since
+    tried = {m: days[m - 1] for m in HISTORIES if m < len(days)} | ({len(days): days[-1]} if len(days) < most else {})
+    per_symbol = before.groupBy("symbol").agg(
+        F.min("date").alias("first"), *[F.count_if(F.col("date") >= day).alias(f"m{m}") for m, day in tried.items()]
+    )
+    short = {m: (2 * F.col(f"m{m}") < m + rows - 1) & (F.col("first") < day) for m, day in tried.items()}
+    sums = per_symbol.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(s).alias(f"s{m}") for m, s in short.items()]).first()
+    total = before.select("date").distinct().count()
+    best = min(tried, key=lambda m: sums["n"] * m / 2 + sums[f"s{m}"] * total)
+    far = per_symbol.filter(short[best]).select("symbol") if sums[f"s{best}"] else None
+    return far, tried[best]
+
+
+def _pair_windows(paired: DataFrame, *, extreme: bool) -> DataFrame:
     rolled = rolling_corr(
         paired,
         by=["cell", "symbol_a", "symbol_b"],
         order="date",
         x="daily_return_pct_a",
         y="daily_return_pct_b",
-        rows={"_c30": 30, "_c90": 90},
-        counts={"observations_30d": 30, "observations_90d": 90},
+        rows={"_c30": 30, "_c90": LONGEST_FRAME},
+        counts={"observations_30d": 30, "observations_90d": LONGEST_FRAME},
+        extreme=extreme,
     )
     return rolled.withColumns(
         {
@@ -120,16 +197,19 @@ def pair_correlation(paired: DataFrame) -> DataFrame:
     ).drop("_c30", "_c90")
 
 
-def fact_asset_correlation(returns: DataFrame, dim_asset: DataFrame, dim_date: DataFrame) -> DataFrame:
+def fact_asset_correlation(
+    returns: DataFrame, dim_asset: DataFrame, dim_date: DataFrame, *, since: date | None = None
+) -> DataFrame:
     """Keys are looked up once per asset and day, before rows are paired.
 
     Versions never overlap, so a return has at most one key and the lookup
     cannot change which pairs or windows exist; pairs with an unknown asset
-    are dropped at the end, after their rows took part in the windows.
+    are dropped at the end, after their rows took part in the windows. With
+    ``since``, the rows of that day and later ones.
     """
     keyed = pit_join(returns, dim_asset, key="symbol", date="date", how="left")
     keyed = _with_date_key(keyed, dim_date, how="left")
-    rolled = pair_correlation(return_pairs(keyed, extra=["asset_key", "date_key"]))
+    rolled = pair_correlation(keyed, extra=["asset_key", "date_key"], since=since)
     known = (
         F.col("asset_key_a").isNotNull() & F.col("asset_key_b").isNotNull() & F.col("date_key_a").isNotNull()
     )

@@ -350,7 +350,7 @@ def fact_asset_correlation(spark, sf_dir):
 
 def asset_correlation(spark, sf_dir):
     """Correlation of every pair of exchange symbols, unmapped ones included."""
-    rolled = facts.pair_correlation(facts.return_pairs(Market(spark, sf_dir).returns))
+    rolled = facts.pair_correlation(Market(spark, sf_dir).returns)
     return present(rolled.drop("cell", "asset_type_a", "asset_type_b", "daily_return_pct_a", "daily_return_pct_b"))
 
 
@@ -364,7 +364,7 @@ def _wide_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def asset_correlation_wide(spark, sf_dir):
     """Newest correlation of every pair of the wide symbol set."""
-    rolled = facts.pair_correlation(facts.return_pairs(_wide_returns(spark, sf_dir)))
+    rolled = facts.pair_correlation(_wide_returns(spark, sf_dir))
     newest = rolled.groupBy("symbol_a", "symbol_b").agg(
         F.count(F.lit(1)).alias("days"),
         F.max_by("correlation_30d", "date").alias("correlation_30d"),

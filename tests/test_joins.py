@@ -63,12 +63,12 @@ def test_each_pair_of_a_date_appears_once(table, blocks):
 
 
 def test_pair_rows_are_not_shuffled_again_for_their_windows(spark, table):
-    from candlewick.plans.facts import pair_correlation, return_pairs
+    from candlewick.plans.facts import pair_correlation
 
     returns = table(
         "date date, symbol string, asset_type string, daily_return_pct double",
         *[(x, s, "Crypto", float(i)) for x in days("2024-01-01", 3) for i, s in enumerate("abc")],
     )
-    plan = pair_correlation(return_pairs(returns))._jdf.queryExecution().executedPlan().toString()
+    plan = pair_correlation(returns)._jdf.queryExecution().executedPlan().toString()
     window, below = plan.split("Window", 1)[1].split("Join", 1)
     assert "Exchange" not in window and "Exchange" in below
