@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import values as V
@@ -44,6 +46,55 @@ def incremental_filter(
     return marked.filter(F.col(date) >= F.date_sub(mark, lookback_days)).drop("_key", "_mark")
 
 
+def changed_rows(fresh: DataFrame, stored: DataFrame, *, keys: list[str], ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Fresh rows that are not stored yet with just these values.
+
+    What is fetched again every day, and is the same as before, changes nothing
+    downstream. ``ignore`` names columns that do not count, such as times of arrival.
+    """
+    values = [c for c in fresh.columns if c not in keys and c not in ignore]
+    known = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(v).alias(f"_v_{v}") for v in values])
+    same = [F.col(k) == F.col(f"_k_{k}") for k in keys] + [F.col(v).eqNullSafe(F.col(f"_v_{v}")) for v in values]
+    return fresh.join(known, reduce(lambda a, b: a & b, same), "left_anti")
+
+
+def widened(series: DataFrame, changed: DataFrame, *, by: str, order: str, rows: int) -> DataFrame:
+    """Rows of a series whose frame of ``rows`` rows up to them holds a changed row.
+
+    ``changed`` has the columns ``by`` and ``order``; days that are no longer in
+    the series count for the rows after them.
+    """
+    marks = changed.select(F.col(by).alias("_by"), F.col(order).alias("_at")).distinct().withColumn("_changed", F.lit(1))
+    marked = series.join(marks, (series[by] == marks["_by"]) & (series[order] == marks["_at"]), "full_outer")
+    marked = marked.withColumns({"_by": F.coalesce(F.col(by), "_by"), "_at": F.coalesce(F.col(order), "_at")})
+    frame = W.partitionBy("_by").orderBy("_at").rowsBetween(1 - rows, 0)
+    hit = marked.withColumn("_hit", F.max("_changed").over(frame))
+    return hit.filter((F.col("_hit") == 1) & F.col(order).isNotNull()).select(*series.columns)
+
+
+def series_before(read, changed: DataFrame, *, by: str, order: str, rows: int, first: date) -> DataFrame:
+    """As much of a series as frames of ``rows`` rows over all rows from the first change on reach back.
+
+    ``read(day)`` gives the series from a day on, and ``first`` is its oldest
+    day. It is read back further and further, doubling the reach, until every changed
+    symbol has ``rows - 1`` rows before its first change.
+    """
+    starts = changed.groupBy(F.col(by).alias("_by")).agg(F.min(order).alias("_start"))
+    oldest = starts.agg(F.min("_start").alias("d")).first()["d"]
+    reach = 2 * rows
+    while oldest is not None:
+        day = oldest - timedelta(days=reach)
+        series = read(day)
+        if day <= first:
+            return series
+        before = series.join(starts, (series[by] == starts["_by"]) & (series[order] < starts["_start"]), "right")
+        short = before.groupBy("_by").agg(F.count(order).alias("_n")).filter(F.col("_n") < rows - 1)
+        if short.isEmpty():
+            return series
+        reach *= 2
+    return read(first)
+
+
 def backfill_days(
     control: DataFrame,
     *,

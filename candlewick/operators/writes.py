@@ -7,7 +7,7 @@ to a stored table and touches only the month partitions the batch falls in.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,7 +74,7 @@ def _files(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     """Is there a table? One whose replacement was broken off is settled first."""
     fs, at = _files(spark, path)
     if fs.exists(at(path)):
@@ -89,10 +89,10 @@ def _swap(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) ->
     """Write a new table beside the old one, then put it in its place.
 
     A job that dies leaves the old table, or both whole under other names;
-    ``_exists`` then takes the new one.
+    ``table_exists`` then takes the new one.
     """
     spark = df.sparkSession
-    _exists(spark, path)
+    table_exists(spark, path)
     fs, at = _files(spark, path)
     write(df, f"{path}.new")
     fs.delete(at(f"{path}.old"), True)
@@ -104,7 +104,7 @@ def _swap(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) ->
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table, or no rows of its schema before its first write."""
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return literal(spark, [], schema)
     # a table stored by month has that column as well
     return spark.read.schema(schema).parquet(path).select(*StructType.fromDDL(schema).names)
@@ -116,7 +116,7 @@ def newest_stored(spark: SparkSession, path: str, schema: str, *, column: str):
     The newest month is known from the partition names; only that month is
     scanned.
     """
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return None
     stored = spark.read.schema(f"{schema}, month string").parquet(path)
     month = stored.agg(F.max("month").alias("month")).first()["month"]
@@ -125,12 +125,53 @@ def newest_stored(spark: SparkSession, path: str, schema: str, *, column: str):
 
 def read_since(spark: SparkSession, path: str, schema: str, *, date_col: str, since: date) -> DataFrame:
     """Rows from ``since`` on of a table stored by month; older months are not read."""
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return literal(spark, [], schema)
     stored = spark.read.schema(f"{schema}, month string").parquet(path)
     return stored.filter((F.col("month") >= f"{since:%Y%m}") & (F.col(date_col) >= since)).drop("month")
 
 
+def read_arrived(
+    spark: SparkSession, path: str, schema: str, *, date_col: str, since: date, arrived: str, after: datetime | None
+) -> DataFrame:
+    """Rows of a table stored by month that are new: dated from ``since`` on, or arrived at ``after`` or later.
+
+    ``since`` alone would lose what a symbol that lagged behind brings later.
+    Months without new arrivals are skipped by the statistics of their files.
+    Without ``after`` all rows are new.
+    """
+    if not table_exists(spark, path):
+        return literal(spark, [], schema)
+    stored = spark.read.schema(f"{schema}, month string").parquet(path).drop("month")
+    if after is None:
+        return stored
+    return stored.filter((F.col(date_col) >= since) | (F.col(arrived) >= after))
+
+
+def replace_from(spark: SparkSession, path: str, batch: DataFrame, *, month_of: str, since: date) -> None:
+    """Replace all rows from the day ``since`` on; older months are neither read nor rewritten.
+
+    ``month_of`` is a date column or a yyyymmdd integer. The new months are
+    staged first, as in ``merge_table``; months left without rows are removed.
+    """
+    fields, first = batch.schema, f"{since:%Y%m}"
+    if not table_exists(spark, path):
+        overwrite_table(batch, path, month_of=month_of)
+        return
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    day = F.lit(since) if fields[month_of].dataType.typeName() == "date" else F.lit(int(f"{since:%Y%m%d}"))
+    stored = spark.read.schema(f"{ddl}, month string").parquet(path)
+    kept = stored.filter((F.col("month") == first) & (F.col(month_of) < day)).drop("month")
+    merged = stage(kept.unionByName(batch).withColumn("month", _month(fields, month_of)), "merged")
+    months = {r.month for r in merged.select("month").distinct().collect()}  # one row per month
+    _write_months(merged, path, "overwrite")
+    fs, at = _files(spark, path)
+    for status in fs.listStatus(at(path)):
+        name = status.getPath().getName()
+        if name.startswith("month=") and first <= name[6:] and name[6:] not in months:
+            fs.delete(status.getPath(), True)
+
+
 def overwrite_table(df: DataFrame, path: str, *, month_of: str | None = None) -> None:
     """Full rebuild of a table that ``df`` does not read, by month if it has dates."""
     if month_of is None:
@@ -163,7 +204,7 @@ def _month(fields: StructType, month_of: str) -> Column:
 
 def _touched(spark: SparkSession, path: str, batch: DataFrame, schema: str) -> DataFrame:
     """Stored rows of the months in ``batch``; other months are not read."""
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return literal(spark, [], schema)
     # one row per month
     months = [r.month for r in batch.select("month").distinct().collect()]

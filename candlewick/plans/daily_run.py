@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from .. import values as V
 from ..operators import forecast as M
-from ..operators.incremental import advance_control, backfill_days
-from ..operators.joins import ticker_map
+from ..operators.incremental import advance_control, backfill_days, changed_rows, series_before, widened
+from ..operators.joins import map_symbols, ticker_map
 from ..operators.quality import invariant_checks, mart_checks, require_clean, run_checks
 from ..operators.writes import (
     append_to_log,
@@ -26,10 +26,13 @@ from ..operators.writes import (
     merge_table,
     newest_stored,
     overwrite_table,
+    read_arrived,
     read_or_empty,
     read_since,
+    replace_from,
     replace_slice,
     replace_table,
+    table_exists,
     upsert,
 )
 from ..session import configure, literal, stage
@@ -201,6 +204,18 @@ def _replace_keys(
     return read_or_empty(spark, path, schema)
 
 
+def _rekeyed(dim_asset: DataFrame, before: DataFrame) -> DataFrame:
+    """First day on which a fact may get another asset key than before."""
+    new = changed_rows(dim_asset, before, keys=["asset_key"])
+    return new.agg(F.min(F.coalesce("valid_to", "valid_from").cast("date")).alias("d"))
+
+
+def least_date(*tables: DataFrame) -> date | None:
+    """Earliest of some tables' single dates, or None."""
+    found = [d for d in (t.first()[0] for t in tables) if d is not None]
+    return min(found) if found else None
+
+
 def build_models(
     spark: SparkSession, root: str, *, as_of: date, tickers: DataFrame | None = None
 ) -> dict[str, DataFrame]:
@@ -208,22 +223,35 @@ def build_models(
     configure(spark)
     tickers = ticker_map(spark) if tickers is None else tickers
     raw = {t: _path(root, "raw", t) for t in FEED_TABLES}
-    stocks = read_or_empty(spark, raw["alpha_vantage"], S.STOCKS)
-
-    # Only the look-back of the raw tables is read and rewritten.
-    spot_path = _path(root, "intermediate", "coingecko_daily")
-    since = _look_back(spark, spot_path, SPOT_DAILY_SCHEMA, "date", V.METRICS_LOOKBACK)
-    fresh = read_since(spark, raw["coingecko_daily"], S.SPOT, date_col="date", since=since)
-    spot = _replace_keys(
-        spark, spot_path, feeds.spot_daily(fresh),
-        schema=SPOT_DAILY_SCHEMA, month_of="date", keys=["coin_id", "date"],
+    marks = {r.table_name: r.updated_at for r in read_or_empty(spark, _path(root, "state", "build_marks"), S.BUILD_MARKS).collect()}
+    moved: list[DataFrame] = []
+
+    def refresh(table: str, name: str, schema: str, keys: list[str], model, look_back: int) -> tuple[DataFrame, DataFrame, date]:
+        """Bring a copy of a raw table up to date: the copy, its changed keys, and the first day of the look-back.
+
+        New is what lies in the look-back or has arrived since the last build, so
+        a symbol that lags behind loses nothing; rows stored like that already
+        are left alone, and so is all that is made of them.
+        """
+        path, (symbol, day) = _path(root, "intermediate", name), keys
+        since = _look_back(spark, path, schema, day, look_back)
+        fresh = read_arrived(
+            spark, raw[table], FEED_TABLES[table], date_col="date", since=since, arrived="updated_at", after=marks.get(table)
+        )
+        moved.append(fresh.agg(F.max("updated_at").alias("updated_at")).select(F.lit(table).alias("table_name"), "updated_at"))
+        rows = changed_rows(model(fresh), read_or_empty(spark, path, schema), keys=keys, ignore=("updated_at",))
+        rows = stage(rows, "changed")
+        copy = _replace_keys(spark, path, rows, schema=schema, month_of=day, keys=keys)
+        return copy, rows.select(F.col(symbol).alias("symbol"), F.col(day).alias("date")), since
+
+    spot, spot_changed, _ = refresh(
+        "coingecko_daily", "coingecko_daily", SPOT_DAILY_SCHEMA, ["coin_id", "date"], feeds.spot_daily, V.METRICS_LOOKBACK
+    )
+    metrics, metrics_changed, _ = refresh(
+        "binance_daily", "binance_metrics", METRICS_SCHEMA, ["symbol", "trade_date"], feeds.candle_metrics, V.METRICS_LOOKBACK
     )
-    metrics_path = _path(root, "intermediate", "binance_metrics")
-    since = _look_back(spark, metrics_path, METRICS_SCHEMA, "trade_date", V.METRICS_LOOKBACK)
-    fresh = read_since(spark, raw["binance_daily"], S.CANDLES, date_col="date", since=since)
-    metrics = _replace_keys(
-        spark, metrics_path, feeds.candle_metrics(fresh),
-        schema=METRICS_SCHEMA, month_of="trade_date", keys=["symbol", "trade_date"],
+    stocks, stocks_changed, _ = refresh(
+        "alpha_vantage", "stock_daily", S.STOCKS, ["symbol", "date"], lambda rows: rows, V.FACTS_LOOKBACK
     )
 
     unified = feeds.unified_feed(spot, metrics)
@@ -241,27 +269,53 @@ def build_models(
 
     known = read_or_empty(spark, _path(root, "marts", "dim_asset"), S.DIM_ASSET)
     current = None if known.isEmpty() else known
+    known_before = None if current is None else stage(current, "dim_before")
     dim = stage(dims.dim_asset(dims.asset_snapshot(spot, stocks), current), "dim_asset")
     dim_asset = store("dim_asset", dim, month_of=None)
     dim_date = store("dim_date", dims.dim_date(unified, stocks), month_of=None)
     dim_source = store("dim_source", dims.dim_source(spark), month_of=None)
 
+    # Changed days of each asset; candles under the asset they map to, as in the merged feed.
+    mapped = map_symbols(metrics_changed, tickers, col="symbol", to="asset").select(F.col("asset").alias("symbol"), "date")
+    crypto_changed = stage(spot_changed.unionByName(mapped).distinct(), "crypto_changed")
+    changed = stage(crypto_changed.unionByName(stocks_changed).distinct(), "changed")
+
     prices_path = _path(root, "marts", "fact_market_prices")
     since = _look_back(spark, prices_path, S.PRICE_FACT, "date_key", V.FACTS_LOOKBACK)
-    recent = feeds.unified_feed(
-        read_since(spark, spot_path, SPOT_DAILY_SCHEMA, date_col="date", since=since),
-        read_since(spark, metrics_path, METRICS_SCHEMA, date_col="trade_date", since=since),
+
+    def recent(rows: DataFrame, symbol: str, day: str, keys: DataFrame) -> DataFrame:
+        """Rows of the look-back, and changed ones before it."""
+        old = keys.filter(F.col("date") < since).select(F.col("symbol").alias(symbol), F.col("date").alias(day))
+        return rows.filter(F.col(day) >= since).unionByName(rows.join(old, [symbol, day], "left_semi").filter(F.col(day) < since))
+
+    new_feed = feeds.unified_feed(
+        recent(spot, "coin_id", "date", spot_changed), recent(metrics, "symbol", "trade_date", metrics_changed)
     )
-    recent_stocks = read_since(spark, raw["alpha_vantage"], S.STOCKS, date_col="date", since=since)
-    price_rows = facts.price_rows(recent, recent_stocks, tickers)
+    price_rows = facts.price_rows(new_feed, recent(stocks, "symbol", "date", stocks_changed), tickers)
     marts["fact_market_prices"] = _replace_keys(
         spark, prices_path, facts.fact_market_prices(price_rows, dim_asset, dim_date, dim_source),
         schema=S.PRICE_FACT, month_of="date_key", keys=["asset_key", "date_key", "source_key"],
     )
-    # Averages reach back further than the look-back: whole history first, then the filter.
+    # An average changes with any of the rows in its frame: changed days, and the rows that follow them.
     trends_path = _path(root, "marts", "fact_price_trends")
     since = _look_back(spark, trends_path, S.TREND_FACT, "date_key", V.FACTS_LOOKBACK)
-    averages = feeds.price_with_averages(unified, tickers).filter(F.col("date") >= since)
+    paths = (_path(root, "intermediate", "coingecko_daily"), _path(root, "intermediate", "binance_metrics"))
+
+    def merged_since(day: date) -> DataFrame:
+        return feeds.unify_sources(
+            feeds.unified_feed(
+                read_since(spark, paths[0], SPOT_DAILY_SCHEMA, date_col="date", since=day),
+                read_since(spark, paths[1], METRICS_SCHEMA, date_col="trade_date", since=day),
+            ),
+            tickers,
+        )
+
+    reach = merged_since(since).select("symbol", "date")
+    redone = stage(crypto_changed.unionByName(reach).distinct(), "redone")
+    first = dim_date.agg(F.min("full_date").alias("d")).first()["d"] or since
+    series = series_before(merged_since, redone, by="symbol", order="date", rows=feeds.TREND_ROWS, first=first)
+    hit = widened(series, redone, by="symbol", order="date", rows=feeds.TREND_ROWS).select(F.col("symbol").alias("coin_id"), "date")
+    averages = feeds.averages(series).join(hit, ["coin_id", "date"], "left_semi")
     marts["fact_price_trends"] = _replace_keys(
         spark, trends_path, facts.fact_price_trends(averages, dim_asset, dim_date),
         schema=S.TREND_FACT, month_of="date_key", keys=["asset_key", "date_key"],
@@ -270,7 +324,19 @@ def build_models(
     volatility = store(
         "fact_market_volatility", facts.fact_market_volatility(feeds.price_volatility(market), dim_asset, dim_date)
     )
-    store("fact_asset_correlation", facts.fact_asset_correlation(returns, dim_asset, dim_date))
+    # Frames end at their row: what lies before the first changed day stays as it is stored.
+    correlation_path = _path(root, "marts", "fact_asset_correlation")
+    if current is None or not table_exists(spark, correlation_path):
+        since = None
+    else:
+        since = least_date(changed.agg(F.min("date").alias("d")), _rekeyed(dim_asset, known_before))
+    if since is not None or not table_exists(spark, correlation_path):
+        correlations = facts.fact_asset_correlation(returns, dim_asset, dim_date, since=since)
+        if since is None:
+            overwrite_table(correlations, correlation_path, month_of="date_key")
+        else:
+            replace_from(spark, correlation_path, correlations, month_of="date_key", since=since)
+    marts["fact_asset_correlation"] = read_or_empty(spark, correlation_path, S.CORRELATION_FACT)
     store(
         "fact_market_alerts",
         facts.fact_market_alerts(market, volumes, volatility, dim_asset, dim_date),
@@ -284,6 +350,10 @@ def build_models(
         forecasts.fact_forecast_detail(predictions, metrics, tickers, dim_asset, dim_date, as_of=F.lit(as_of)),
     )
     store("fact_forecast_accuracy", forecasts.fact_forecast_accuracy(detail), month_of=None)
+    # Only now: a build that broke off reads the same arrivals again.
+    arrived = reduce(DataFrame.unionByName, moved).filter(F.col("updated_at").isNotNull())
+    marked = upsert(literal(spark, sorted(marks.items()), S.BUILD_MARKS), arrived, keys=["table_name"], order_by=None)
+    replace_table(marked, _path(root, "state", "build_marks"))
     return marts | {"binance_metrics": metrics, "asset_returns": returns}
 
 

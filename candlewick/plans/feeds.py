@@ -98,8 +98,17 @@ def market_comparison(unified: DataFrame, stocks: DataFrame, tickers: DataFrame)
 
 
 def price_with_averages(unified: DataFrame, tickers: DataFrame) -> DataFrame:
-    base = unify_sources(unified, tickers).withColumnRenamed("symbol", "coin_id")
-    days = [7, 14, 30]
+    return averages(unify_sources(unified, tickers))
+
+
+#: Rows of the longest moving average.
+TREND_ROWS = 30
+
+
+def averages(merged: DataFrame) -> DataFrame:
+    """Moving averages of the merged feed."""
+    base = merged.withColumnRenamed("symbol", "coin_id")
+    days = [7, 14, TREND_ROWS]
     averaged = rolling(
         base, by="coin_id", order="date", frames={f"moving_avg_{n}d": ("avg", "price", n) for n in days}
     )

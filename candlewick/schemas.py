@@ -39,6 +39,7 @@ CONTROL = (
     "pipeline_name string, last_load_timestamp timestamp, is_first_load boolean, "
     "last_run_status string, updated_at timestamp"
 )
+BUILD_MARKS = "table_name string, updated_at timestamp"
 RUN_LOG = (
     "run_id string, source string, status string, records_inserted bigint, "
     "duration_seconds double, error_message string, run_timestamp timestamp"
@@ -61,3 +62,8 @@ PRICE_FACT = (
     "asset_key bigint, date_key int, source_key int, price double, total_volume double, "
     "open_price double, high_price double, low_price double"
 )
+CORRELATION_FACT = (
+    "asset_key_a bigint, asset_key_b bigint, date_key int, symbol_a string, symbol_b string, pair_type string, "
+    "correlation_30d double, correlation_90d double, correlation_strength_30d string, "
+    "observations_30d bigint, observations_90d bigint"
+)

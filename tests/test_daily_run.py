@@ -5,8 +5,10 @@ import pytest
 from helpers import days, rows
 
 from candlewick import schemas as S
+from candlewick import values as V
+from candlewick.operators.joins import ticker_map
 from candlewick.operators.writes import read_or_empty
-from candlewick.plans import daily_run
+from candlewick.plans import daily_run, facts, feeds
 
 DAY = 86400000
 EPOCH = datetime(1970, 1, 1)
@@ -49,6 +51,68 @@ def root(tmp_path_factory):
     return str(tmp_path_factory.mktemp("warehouse"))
 
 
+def assert_same_as_rebuilt(spark, root, marts):
+    """Facts that were brought up to date equal those built from the raw tables at once."""
+    raw = {t: read_or_empty(spark, f"{root}/raw/{t}", s) for t, s in daily_run.FEED_TABLES.items()}
+    unified = feeds.unified_feed(feeds.spot_daily(raw["coingecko_daily"]), feeds.candle_metrics(raw["binance_daily"]))
+    tickers, asset, day = ticker_map(spark), marts["dim_asset"], marts["dim_date"]
+    trends = facts.fact_price_trends(feeds.price_with_averages(unified, tickers), asset, day)
+    assert rows(trends) == rows(marts["fact_price_trends"])
+    prices = facts.fact_market_prices(facts.price_rows(unified, raw["alpha_vantage"], tickers), asset, day, marts["dim_source"])
+    assert rows(prices) == rows(marts["fact_market_prices"])
+    returns = feeds.asset_returns(feeds.market_comparison(unified, raw["alpha_vantage"], tickers))
+    rebuilt = facts.fact_asset_correlation(returns, asset, day)
+    names = [f.name for f in marts["fact_asset_correlation"].schema]
+    assert rows(rebuilt, *names) == rows(marts["fact_asset_correlation"], *names) and rebuilt.count() > 0
+
+
+def test_late_rows_and_old_corrections(spark, table, tmp_path, monkeypatch):
+    """A symbol two months behind and a price corrected after two months end up as in a rebuild."""
+    root, now = str(tmp_path / "w"), datetime(2024, 5, 1, 7, 45)
+
+    def build(payloads, day, run_id):
+        at = now + timedelta(days=day)
+        daily_run.ingest(spark, payloads, root, run_id=run_id, now=at, override_days=200)
+        return daily_run.build_models(spark, root, as_of=at.date())
+
+    full = make_payloads(table, "2023-12-01", 152)
+    ends = make_payloads(table, "2023-12-01", 80)
+    only = lambda p, *names: {s: df.filter(df.symbol.isin(*names)) for s, df in p.items()}
+    both = lambda a, b: {s: a[s].unionByName(b[s]) for s in a}
+    # ethereum stops after 80 days, the others go on
+    build(both(only(full, "bitcoin", "BTCUSDT", "AAPL"), only(ends, "ethereum", "ETHUSDT")), 0, "r1")
+
+    # the rest of ethereum arrives, far older than any look-back
+    read = []
+    monkeypatch.setattr(facts, "frame_history", lambda known, since, n, run=facts.frame_history: read.append(since) or run(known, since, n))
+    late = build(only(full, "ethereum", "ETHUSDT"), 1, "r2")
+    assert late["asset_returns"].filter("symbol = 'ethereum'").count() == 152
+    assert read == [days("2023-12-01", 81)[-1]]
+    assert_same_as_rebuilt(spark, root, late)
+
+    # nothing new: no correlation is computed
+    build(only(full, "bitcoin"), 2, "r3")
+    assert len(read) == 1
+
+    # one price of bitcoin is corrected after sixty days
+    fixed = only(full, "bitcoin").copy()
+    old = days("2023-12-01", 92)[-1]
+    point = json.loads(fixed["coingecko"].first().payload)
+    for name in point:
+        point[name] = [[t, v * (3 if t == (datetime.combine(old, datetime.min.time()) - EPOCH).days * DAY else 1)] for t, v in point[name]]
+    fixed["coingecko"] = table("symbol string, payload string", ("bitcoin", json.dumps(point)))
+    hit = []
+    merge = daily_run._replace_keys
+    monkeypatch.setattr(daily_run, "_replace_keys", lambda spark, path, batch, **k: hit.append((path.rsplit("/", 1)[1], batch.count())) or merge(spark, path, batch, **k))
+    corrected = build(fixed, 3, "r4")
+    assert read[1:] == [old]
+    assert_same_as_rebuilt(spark, root, corrected)
+    written = dict(hit)
+    assert written["coingecko_daily"] == 1 and written["binance_metrics"] == 0
+    # the thirty averages with that day in their frame, and the look-back of each asset
+    assert written["fact_price_trends"] == 30 + 2 * (V.FACTS_LOOKBACK + 1)
+
+
 def test_two_days_of_runs(spark, table, root):
     now = datetime(2024, 3, 1, 7, 45)
     out = daily_run.run(
@@ -89,16 +153,7 @@ def test_two_days_of_runs(spark, table, root):
     assert set(before["fact_market_prices"]) <= set(grown) and len(grown) > len(before["fact_market_prices"])
     assert again["dim_asset"].filter("is_current").count() == 3
 
-    # incremental facts equal a rebuild from nothing
-    from candlewick.operators.joins import ticker_map
-    from candlewick.plans import facts, feeds
-
-    raw = {t: read_or_empty(spark, f"{root}/raw/{t}", s) for t, s in daily_run.FEED_TABLES.items()}
-    unified = feeds.unified_feed(feeds.spot_daily(raw["coingecko_daily"]), feeds.candle_metrics(raw["binance_daily"]))
-    rebuilt = facts.fact_price_trends(
-        feeds.price_with_averages(unified, ticker_map(spark)), again["dim_asset"], again["dim_date"]
-    )
-    assert rows(rebuilt) == rows(again["fact_price_trends"])
+    assert_same_as_rebuilt(spark, root, again)
 
     # the same run once more changes nothing and sends nothing
     third = daily_run.run(
