@@ -65,15 +65,18 @@ def fact_forecast_accuracy(detail: DataFrame, *, baseline: str = "naive") -> Dat
 
     The baseline of the same asset, target and horizon is looked up with a
     window over the few rows the aggregate leaves, not a join of it with
-    itself.
+    itself. Errors have eight digits, so they are summed as decimals and the
+    result does not depend on the order of rows.
     """
+    exact = {c: F.col(c).cast("decimal(28,8)") for c in ("abs_error", "abs_pct_error")}
+    n = F.count("abs_error")
     per_model = detail.groupBy(
         "asset_key", "asset_id", "symbol", "target_name", "model_name", "horizon_days"
     ).agg(
         F.count(F.lit(1)).alias("n_predictions"),
-        F.avg("abs_error").alias("mae"),
-        F.sqrt(F.avg(F.col("error") * F.col("error"))).alias("rmse"),
-        F.avg("abs_pct_error").alias("mape"),
+        (F.sum(exact["abs_error"]).cast("double") / n).alias("mae"),
+        F.sqrt(F.sum(F.col("error") * F.col("error")) / n).alias("rmse"),
+        (F.sum(exact["abs_pct_error"]).cast("double") / F.count("abs_pct_error")).alias("mape"),
     )
     same = W.partitionBy("asset_key", "symbol", "target_name", "horizon_days")
     base = F.max(F.when(F.col("model_name") == baseline, F.col("mae"))).over(same)

@@ -384,7 +384,9 @@ step("s_accuracy", f"""
           AND b.target_name = p.target_name AND b.horizon_days = p.horizon_days)""")
 step("s_per_model", """
   SELECT asset_key, asset_id, symbol, target_name, model_name, horizon_days, count(*) AS n_predictions,
-         avg(abs_error) AS mae, sqrt(avg(error * error)) AS rmse, avg(abs_pct_error) AS mape
+         CAST(sum(CAST(abs_error AS DECIMAL(28,8))) AS DOUBLE) / count(abs_error) AS mae,
+         sqrt(sum(error * error) / count(abs_error)) AS rmse,
+         CAST(sum(CAST(abs_pct_error AS DECIMAL(28,8))) AS DOUBLE) / count(abs_pct_error) AS mape
   FROM s_detail GROUP BY ALL""")
 
 
