@@ -7,16 +7,10 @@ model_name, horizon_days, predicted_value, model_params``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import values as V
 from ..functions.scalars import fixed, ratio
 from ..session import stage
+from .boosting import UNIT, bins, boost, whole
 from .windows import rolling
 
 # target -> (series, label column, label is a relative change)
@@ -193,36 +188,57 @@ def _signed(x: Column) -> Column:
     return F.concat(F.when(x < 0, "-").otherwise("+"), fixed(F.abs(x), 4))
 
 
-def forecast_gbt(
-    features: DataFrame,
-    *,
-    cutoff: Column,
-    target: str,
-    max_iter: int = 200,
-    min_rows: int = V.TREE_MIN_ROWS,
-) -> DataFrame | None:
-    """One boosted-tree model over all symbols, or None if rows are too few.
-
-    Relative targets are rebuilt as ``today * (1 + predicted change)``, since
-    trees cannot predict beyond the values they were trained on.
-    """
-    model = fit_gbt(features, cutoff=cutoff, target=target, max_iter=max_iter, min_rows=min_rows)
-    if model is None:
-        return None
-    return predict_gbt(model, features.filter(F.col("trade_date") == cutoff), target=target)
+#: Rounds of boosting, and decimals of the features.
+TREE_ROUNDS = 200
+FEATURE_DIGITS = 6
 
 
 def forecast_trees(
-    features: DataFrame, *, cutoff: Column, max_iter: int = 200, min_rows: int = V.TREE_MIN_ROWS
-) -> DataFrame | None:
-    """Boosted-tree forecasts of all targets; their jobs run side by side."""
+    features: DataFrame, *, cutoff: Column, rounds: int = TREE_ROUNDS, min_rows: int = V.TREE_MIN_ROWS
+) -> DataFrame:
+    """Boosted-tree forecasts of all targets at one cutoff, from rows strictly before it.
+
+    A target with fewer than ``min_rows`` complete rows has none.
+    """
+    due = features.filter(F.col("trade_date") <= cutoff).withColumns(
+        {"first": F.when(F.col("trade_date") == cutoff, 0), "of": F.lit(0), "until": F.lit(0)}
+    )
+    return _fit_trees(due, before=F.col("trade_date") < cutoff, rounds=rounds, min_rows=min_rows)[0]
 
-    def one(target: str) -> DataFrame | None:
-        return forecast_gbt(features, cutoff=cutoff, target=target, max_iter=max_iter, min_rows=min_rows)
 
-    with ThreadPoolExecutor(len(TARGETS)) as pool:
-        fitted = [rows for rows in pool.map(inheritable_thread_target(features.sparkSession)(one), TARGETS) if rows is not None]
-    return reduce(DataFrame.unionByName, fitted) if fitted else None
+def _fit_trees(due: DataFrame, *, before: Column, rounds: int, min_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Forecasts (symbol, trade_date, target_name, predicted_value, model_params), and the trees.
+
+    A row trains the windows ``of`` to ``until``, but window ``first``, which it
+    is a forecast of; a row without ``first`` is before all of them. Models are
+    windows times targets, and all are grown together. Relative targets are
+    rebuilt as ``today * (1 + predicted change)``, since trees cannot predict
+    beyond the values they were trained on.
+    """
+    rows = due.dropna(subset=FEATURES).withColumns({f: F.round(f, FEATURE_DIGITS) for f in FEATURES if f != "dow"})
+    rows = bins(stage(rows, "tree_rows"), features=FEATURES, before=before)
+    names = list(TARGETS)
+    labels = [F.nanvl(label, F.lit(None).cast("double")) for _, label, _ in TARGETS.values()]
+    entries = [
+        F.struct(F.lit(i).alias("target"), whole(F.round(label, FEATURE_DIGITS)).alias("label"), F.col(series).alias("today"))
+        for i, (label, (series, _, _)) in enumerate(zip(labels, TARGETS.values()))
+    ]
+    every = rows.select("symbol", "trade_date", "first", "_bins", F.explode(F.sequence("of", "until")).alias("window"), F.array(*entries).alias("entries"))
+    every = every.select("symbol", "trade_date", "window", "_bins", F.col("first").eqNullSafe(F.col("window")).alias("is_due"), F.inline("entries"))
+    every = every.withColumn("model", F.col("window") * len(names) + F.col("target"))
+    every = every.withColumn("is_training", ~F.col("is_due") & F.col("label").isNotNull()).filter("is_training OR is_due")
+    counts = every.groupBy("model").agg(F.count_if("is_training").alias("n")).filter(F.col("n") >= min_rows)
+    every = every.join(counts.select("model"), "model", "left_semi").select("symbol", "trade_date", "target", "today", "model", "_bins", "label", "is_training", "is_due")
+    made, trees = boost(every, rounds=rounds)
+    raw = F.col("prediction") / float(UNIT)
+    relative = F.array(*[F.lit(r) for _, _, r in TARGETS.values()])[F.col("target")]
+    return made.filter("is_due").select(
+        "symbol",
+        "trade_date",
+        F.array(*[F.lit(n) for n in names])[F.col("target")].alias("target_name"),
+        F.when(relative, F.col("today") * (1 + raw)).otherwise(raw).alias("predicted_value"),
+        F.when(relative, F.concat(F.lit("ret="), _signed(raw))).otherwise(F.concat(F.lit("pred="), fixed(raw, 4))).alias("model_params"),
+    ), trees
 
 
 def training_rows(features: DataFrame, *, cutoff: Column, min_rows: int = V.TREE_MIN_ROWS) -> DataFrame:
@@ -233,57 +249,6 @@ def training_rows(features: DataFrame, *, cutoff: Column, min_rows: int = V.TREE
     return before.agg(*known).select(F.inline(counts)).withColumn("is_trained", F.col("training_rows") >= min_rows)
 
 
-def _assembler():
-    return VectorAssembler(inputCols=FEATURES, outputCol="_x", handleInvalid="skip")
-
-
-def fit_gbt(
-    features: DataFrame,
-    *,
-    cutoff: Column,
-    target: str,
-    max_iter: int = 200,
-    min_rows: int = V.TREE_MIN_ROWS,
-):
-    """Train on complete rows strictly before ``cutoff``."""
-    label = TARGETS[target][1]
-    train = features.filter(F.col("trade_date") < cutoff).select(*FEATURES, label).dropna()
-    # Staged once: boosting scans the training rows in every round.
-    train = stage(train.withColumnRenamed(label, "_label"), f"train_{target}")
-    if train.count() < min_rows:
-        return None
-    assembled = _assembler().transform(train).select("_x", "_label")
-    gbt = GBTRegressor(
-        featuresCol="_x",
-        labelCol="_label",
-        maxDepth=3,
-        maxIter=max_iter,
-        stepSize=0.05,
-        subsamplingRate=0.8,
-        featureSubsetStrategy="0.8",
-        seed=42,
-    )
-    return gbt.fit(assembled)
-
-
-def predict_gbt(model, rows: DataFrame, *, target: str) -> DataFrame:
-    series, _, relative = TARGETS[target]
-    usable = rows.dropna(subset=FEATURES)
-    predicted = model.transform(_assembler().transform(usable))
-    raw = F.col("prediction")
-    if relative:
-        value, text = F.col(series) * (1 + raw), F.concat(F.lit("ret="), _signed(raw))
-    else:
-        value, text = raw, F.concat(F.lit("pred="), fixed(raw, 4))
-    return predicted.select(
-        "symbol",
-        "trade_date",
-        F.lit(target).alias("target_name"),
-        value.alias("predicted_value"),
-        text.alias("model_params"),
-    )
-
-
 def ensemble(forecasts: DataFrame, *, by: list[str], min_models: int = 2) -> DataFrame:
     """Mean of the models of each group, where at least ``min_models`` exist.
 
@@ -344,7 +309,7 @@ def forecast_round(
     cutoff: Column,
     target_date: Column,
     features: DataFrame | None = None,
-    max_iter: int = 200,
+    rounds: int = TREE_ROUNDS,
 ) -> DataFrame:
     """All models for one cutoff, using only rows up to it.
 
@@ -358,7 +323,7 @@ def forecast_round(
             _model("naive", F.col("last")), _model("ets", F.col("level"), _alpha_text(F.col("alpha")))
         ).alias("models"),
     )
-    trees = None if features is None else forecast_trees(features, cutoff=cutoff, max_iter=max_iter)
+    trees = None if features is None else forecast_trees(features, cutoff=cutoff, rounds=rounds)
     models = _join_trees(models, trees, ["symbol", "target_name"])
     return _model_rows(models.withColumns({"cutoff": cutoff, "target_date": target_date}))
 
@@ -438,21 +403,35 @@ def backtest_naive(
     )
 
 
-def _running_ets(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best alpha and its level after each value, all alphas side by side."""
+#: Symbols whose series are smoothed side by side.
+SYMBOLS_AT_ONCE = 256
+
+
+def _running_ets(values: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best alpha and its level after each value of many series, all alphas side by side.
+
+    ``values`` has the series' first days, then their second ones, and so on; of day i
+    the first ``active[i]`` series have one, the longest series coming first. A column
+    is a target.
+    """
     alphas = np.arange(1, V.ALPHA_STEPS + 1) / float(V.ALPHA_STEPS)
     keep = 1.0 - alphas
-    level = np.full(V.ALPHA_STEPS, values[0])
-    sse = np.zeros(V.ALPHA_STEPS)
-    best = np.empty(len(values))
-    out = np.empty(len(values))
-    for i, x in enumerate(values):
-        if i:
+    best, out = np.empty(values.shape), np.empty(values.shape)
+    level = sse = np.zeros((0, values.shape[1], V.ALPHA_STEPS))
+    begin = 0
+    for day, n in enumerate(active.tolist()):
+        x = values[begin : begin + n, :, None]
+        if day:
+            level, sse = level[:n], sse[:n]
             miss = x - level
-            sse += miss * miss
+            sse = sse + miss * miss
             level = alphas * x + keep * level
-        k = int(np.argmin(sse))
-        best[i], out[i] = alphas[k], level[k]
+        else:
+            level, sse = np.repeat(x, V.ALPHA_STEPS, axis=2), np.zeros((n, values.shape[1], V.ALPHA_STEPS))
+        k = np.argmin(sse, axis=2)
+        best[begin : begin + n] = alphas[k]
+        out[begin : begin + n] = np.take_along_axis(level, k[:, :, None], axis=2)[:, :, 0]
+        begin += n
     return best, out
 
 
@@ -461,29 +440,37 @@ def running_ets(panel: DataFrame) -> DataFrame:
 
     ``seen`` counts the symbol's rows so far and ``next_date`` is its next day.
 
-    The recursion has no built-in form with all of its intermediate states,
-    so each symbol's series (one row per day) folds in numpy once, rather
-    than once per cutoff.
+    The recursion has no built-in form with all of its intermediate states, so
+    series fold in numpy, once rather than once per cutoff. Groups of symbols
+    (about SYMBOLS_AT_ONCE, as many groups as the symbols need) go through their days
+    together, one step for all symbols, targets and alphas; nothing is
+    padded, so a group takes the room of its rows.
     """
     schema = "symbol string, trade_date date, seen int, next_date date, " + ", ".join(
         f"{name}_last double, {name}_alpha double, {name}_level double" for name in TARGETS
     )
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("trade_date")
+        pdf = pdf.sort_values(["symbol", "trade_date"], ignore_index=True)
+        days = pdf.groupby("symbol").cumcount().to_numpy()
+        length = pdf.groupby("symbol")["symbol"].transform("size").to_numpy()
+        order = np.lexsort((pdf["symbol"].to_numpy(dtype=str), -length, days))
+        best, level = _running_ets(pdf[_SERIES].to_numpy(dtype=float)[order], np.bincount(days))
+        back = np.argsort(order)
         out = {
             "symbol": pdf["symbol"],
             "trade_date": pdf["trade_date"],
-            "seen": np.arange(1, len(pdf) + 1),
-            "next_date": pdf["trade_date"].shift(-1),
+            "seen": days + 1,
+            "next_date": pdf.groupby("symbol")["trade_date"].shift(-1),
         }
-        for name, (series, _, _) in TARGETS.items():
-            values = pdf[series].to_numpy(dtype=float)
-            out[f"{name}_last"] = values
-            out[f"{name}_alpha"], out[f"{name}_level"] = _running_ets(values)
+        for i, name in enumerate(TARGETS):
+            out[f"{name}_last"] = pdf[_SERIES[i]]
+            out[f"{name}_alpha"], out[f"{name}_level"] = best[back, i], level[back, i]
         return pd.DataFrame(out)
 
-    return panel.select("symbol", "trade_date", *_SERIES).groupBy("symbol").applyInPandas(fold, schema)
+    groups = -(-panel.select("symbol").distinct().count() // SYMBOLS_AT_ONCE) or 1
+    rows = panel.select("symbol", "trade_date", *_SERIES, F.pmod(F.xxhash64("symbol"), F.lit(groups)).alias("_group"))
+    return rows.groupBy("_group").applyInPandas(lambda pdf: fold(pdf), schema)
 
 
 def backtest_ets(
@@ -529,40 +516,32 @@ def backtest(
 def backtest_gbt(
     panel: DataFrame,
     *,
+    refit_every: int,
     min_train: int = V.BACKTEST_MIN_TRAIN,
-    refit_every: int = 1,
-    max_iter: int = 200,
-    targets: Iterable[str] = tuple(TARGETS),
-) -> DataFrame | None:
+    rounds: int = TREE_ROUNDS,
+    min_rows: int = V.TREE_MIN_ROWS,
+) -> DataFrame:
     """Boosted-tree forecasts of every backtest cutoff.
 
-    Training is a Spark job per refit and target. ``refit_every`` steps share
-    a model, trained before the first of them, so no forecast ever sees its
-    own future.
+    ``refit_every`` steps share a model, trained before the first of them, so no
+    forecast ever sees its own future. The models of all windows and targets
+    grow together (``boosting``): a row stands once for each window that
+    follows it, and the number of jobs is that of one model.
     """
-    features = stage(make_features(panel), "features")
-    # one row per calendar day
-    steps = [
-        (r.cutoff, r.target_date)
-        for r in backtest_steps(panel, min_train).filter("is_step").orderBy("step").collect()
-    ]
-    out = None
-    for i in range(0, len(steps), refit_every):
-        chunk = steps[i : i + refit_every]
-        first, last = F.lit(chunk[0][0]), F.lit(chunk[-1][0])
-        due = features.filter(F.col("trade_date").between(first, last))
-        next_day = F.create_map(*[F.lit(d) for pair in chunk for d in pair])
-        for target in targets:
-            model = fit_gbt(features, cutoff=first, target=target, max_iter=max_iter)
-            if model is None:
-                continue
-            rows = predict_gbt(model, due, target=target)
-            rows = stage(
-                _finish(
-                    rows.withColumn("cutoff", F.col("trade_date")).withColumn("target_date", next_day[F.col("trade_date")]),
-                    "gbt",
-                ),
-                "trees",
-            )
-            out = rows if out is None else out.unionByName(rows)
-    return out
+    steps = backtest_steps(panel, min_train)
+    ends = steps.filter("is_step").agg(F.min("step").alias("first"), F.max("step").alias("last")).first()
+    if ends["first"] is None:
+        raise ValueError(f"history is too short: more than {min_train + 1} days are needed")
+    windows = (ends["last"] - ends["first"]) // refit_every + 1
+    own = F.floor((F.col("step") - ends["first"]) / refit_every).cast("int")
+    placed = steps.filter(F.col("step") <= ends["last"]).select(
+        F.col("cutoff").alias("trade_date"),
+        "target_date",
+        F.when(F.col("is_step"), own).alias("first"),
+        F.greatest(own, F.lit(0)).alias("of"),
+        F.lit(windows - 1).alias("until"),
+    )
+    due = make_features(panel).join(placed, "trade_date")
+    made, _ = _fit_trees(due, before=F.col("first").isNull(), rounds=rounds, min_rows=min_rows)
+    dated = made.join(placed.select("trade_date", "target_date"), "trade_date").withColumnRenamed("trade_date", "cutoff")
+    return _finish(dated, "gbt")

@@ -74,31 +74,113 @@ def _files(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Is there a table? One whose replacement was broken off is settled first."""
+def _move(fs, source, target) -> None:
+    """Rename, or fail: Hadoop only returns false, and moves into a folder that is there already."""
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _located(spark: SparkSession, path: str) -> str | None:
+    """Where the rows of a table are: under its name, or where a broken-off replacement has them whole."""
     fs, at = _files(spark, path)
     if fs.exists(at(path)):
-        return True
-    for other in (f"{path}.new/_SUCCESS", f"{path}.old/_SUCCESS"):
-        if fs.exists(at(other)):
-            return fs.rename(at(other).getParent(), at(path))
-    return False
+        return path
+    return next((p for p in (f"{path}.new", f"{path}.old") if fs.exists(at(f"{p}/_SUCCESS"))), None)
+
+
+def _pending(spark: SparkSession, path: str) -> tuple[list[str], str | None] | None:
+    """Months that a stored change of a table still replaces, and the first of those it replaces altogether."""
+    fs, at = _files(spark, path)
+    if not fs.exists(at(f"{path}.pending/_SUCCESS")) or fs.exists(at(f"{path}.pending/_DONE")):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(at(f"{path}.pending"))]
+    months = sorted(n[6:] for n in names if n.startswith("month="))
+    return months, next((n[6:] for n in names if n.startswith("_from-")), None)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a table? Looking changes nothing, so readers and a writer do not get into each other's way."""
+    return _located(spark, path) is not None or _pending(spark, path) is not None
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a table that exists, with their ``month`` (NULL if it is not stored by month).
+
+    A change that is stored whole counts already, whether or not its months
+    have been put in their place.
+    """
+    names = StructType.fromDDL(schema).names
+    reader = spark.read.schema(f"{schema}, month string")
+    found, change = _located(spark, path), _pending(spark, path)
+    rows = reader.parquet(found).select(*names, "month") if found else literal(spark, [], f"{schema}, month string")
+    if change is None:
+        return rows
+    months, first = change
+    if first is not None:
+        rows = rows.filter(F.col("month") < first)
+    rows = rows.filter(~F.col("month").isin(months))
+    return rows.unionByName(reader.parquet(f"{path}.pending").select(*names, "month")) if months else rows
+
+
+def _settle(spark: SparkSession, path: str) -> None:
+    """Finish what a broken-off writer left behind. Writers begin with it."""
+    fs, at = _files(spark, path)
+    found = _located(spark, path)
+    if found not in (None, path):
+        _move(fs, at(found), at(path))
+    _put(spark, path)
+    for rest in ("new", "old", "pending"):
+        fs.delete(at(f"{path}.{rest}"), True)
+
+
+def _put(spark: SparkSession, path: str) -> None:
+    """Put the months of a stored change in their place; doing it again gives the same."""
+    change = _pending(spark, path)
+    if change is None:
+        return
+    months, first = change
+    fs, at = _files(spark, path)
+    if months:
+        rows = spark.read.parquet(f"{path}.pending").withColumn("month", F.col("month").cast("string"))
+        _write_months(rows, path, "overwrite")
+    if first is not None and fs.exists(at(path)):
+        for status in fs.listStatus(at(path)):
+            name = status.getPath().getName()
+            if name.startswith("month=") and name[6:] >= first and name[6:] not in months:
+                fs.delete(status.getPath(), True)
+
+
+def _change(rows: DataFrame, path: str, first: str | None = None) -> None:
+    """Replace the months of ``rows``, and with ``first`` all others from that month on.
+
+    The change is stored beside the table first, and is valid from the moment it
+    is whole: what is left is to put its months in their place, which the next
+    writer does if this one dies. It stays there until then, for readers that
+    have begun with it. The table is settled before ``rows`` read it.
+    """
+    spark = rows.sparkSession
+    fs, at = _files(spark, path)
+    if first is not None:
+        fs.mkdirs(at(f"{path}.pending"))
+        fs.create(at(f"{path}.pending/_from-{first}")).close()
+    _write_months(rows, f"{path}.pending", "append")
+    _put(spark, path)
+    fs.create(at(f"{path}.pending/_DONE")).close()
 
 
 def _swap(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> None:
     """Write a new table beside the old one, then put it in its place.
 
     A job that dies leaves the old table, or both whole under other names;
-    ``table_exists`` then takes the new one.
+    ``_located`` then takes the new one.
     """
     spark = df.sparkSession
-    table_exists(spark, path)
+    _settle(spark, path)
     fs, at = _files(spark, path)
     write(df, f"{path}.new")
-    fs.delete(at(f"{path}.old"), True)
     if fs.exists(at(path)):
-        fs.rename(at(path), at(f"{path}.old"))
-    fs.rename(at(f"{path}.new"), at(path))
+        _move(fs, at(path), at(f"{path}.old"))
+    _move(fs, at(f"{path}.new"), at(path))
     fs.delete(at(f"{path}.old"), True)
 
 
@@ -106,8 +188,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table, or no rows of its schema before its first write."""
     if not table_exists(spark, path):
         return literal(spark, [], schema)
-    # a table stored by month has that column as well
-    return spark.read.schema(schema).parquet(path).select(*StructType.fromDDL(schema).names)
+    return _read(spark, path, schema).drop("month")
 
 
 def newest_stored(spark: SparkSession, path: str, schema: str, *, column: str):
@@ -118,7 +199,7 @@ def newest_stored(spark: SparkSession, path: str, schema: str, *, column: str):
     """
     if not table_exists(spark, path):
         return None
-    stored = spark.read.schema(f"{schema}, month string").parquet(path)
+    stored = _read(spark, path, schema)
     month = stored.agg(F.max("month").alias("month")).first()["month"]
     return stored.filter(F.col("month") == month).agg(F.max(column).alias("newest")).first()["newest"]
 
@@ -127,7 +208,7 @@ def read_since(spark: SparkSession, path: str, schema: str, *, date_col: str, si
     """Rows from ``since`` on of a table stored by month; older months are not read."""
     if not table_exists(spark, path):
         return literal(spark, [], schema)
-    stored = spark.read.schema(f"{schema}, month string").parquet(path)
+    stored = _read(spark, path, schema)
     return stored.filter((F.col("month") >= f"{since:%Y%m}") & (F.col(date_col) >= since)).drop("month")
 
 
@@ -142,7 +223,7 @@ def read_arrived(
     """
     if not table_exists(spark, path):
         return literal(spark, [], schema)
-    stored = spark.read.schema(f"{schema}, month string").parquet(path).drop("month")
+    stored = _read(spark, path, schema).drop("month")
     if after is None:
         return stored
     return stored.filter((F.col(date_col) >= since) | (F.col(arrived) >= after))
@@ -151,25 +232,17 @@ def read_arrived(
 def replace_from(spark: SparkSession, path: str, batch: DataFrame, *, month_of: str, since: date) -> None:
     """Replace all rows from the day ``since`` on; older months are neither read nor rewritten.
 
-    ``month_of`` is a date column or a yyyymmdd integer. The new months are
-    staged first, as in ``merge_table``; months left without rows are removed.
+    ``month_of`` is a date column or a yyyymmdd integer; ``batch`` does not read the table.
     """
+    _settle(spark, path)
     fields, first = batch.schema, f"{since:%Y%m}"
     if not table_exists(spark, path):
         overwrite_table(batch, path, month_of=month_of)
         return
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
     day = F.lit(since) if fields[month_of].dataType.typeName() == "date" else F.lit(int(f"{since:%Y%m%d}"))
-    stored = spark.read.schema(f"{ddl}, month string").parquet(path)
-    kept = stored.filter((F.col("month") == first) & (F.col(month_of) < day)).drop("month")
-    merged = stage(kept.unionByName(batch).withColumn("month", _month(fields, month_of)), "merged")
-    months = {r.month for r in merged.select("month").distinct().collect()}  # one row per month
-    _write_months(merged, path, "overwrite")
-    fs, at = _files(spark, path)
-    for status in fs.listStatus(at(path)):
-        name = status.getPath().getName()
-        if name.startswith("month=") and first <= name[6:] and name[6:] not in months:
-            fs.delete(status.getPath(), True)
+    kept = _read(spark, path, ddl).filter((F.col("month") == first) & (F.col(month_of) < day)).drop("month")
+    _change(kept.unionByName(batch).withColumn("month", _month(fields, month_of)), path, first)
 
 
 def overwrite_table(df: DataFrame, path: str, *, month_of: str | None = None) -> None:
@@ -208,8 +281,7 @@ def _touched(spark: SparkSession, path: str, batch: DataFrame, schema: str) -> D
         return literal(spark, [], schema)
     # one row per month
     months = [r.month for r in batch.select("month").distinct().collect()]
-    stored = spark.read.schema(f"{schema}, month string").parquet(path)
-    return stored.filter(F.col("month").isin(months)).drop("month")
+    return _read(spark, path, schema).filter(F.col("month").isin(months)).drop("month")
 
 
 def _write_months(rows: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
@@ -236,11 +308,16 @@ def append_to_log(
     """
     fields = StructType.fromDDL(schema)
     batch = stage(batch.withColumn("month", _month(fields, month_of)), "batch")
+    _settle(spark, path)
     log = _touched(spark, path, batch, schema)
     _, new_rows = append_new_only(log, batch.drop("month"), keys=keys, order_by=order_by)
-    new_rows = stage(new_rows.withColumn("month", _month(fields, month_of)), "new_rows")
-    _write_months(new_rows.select(*fields.names, "month"), path, "append")
-    return new_rows.drop("month")
+    new_rows = stage(new_rows, "new_rows")
+    months = new_rows.select(_month(fields, month_of).alias("month")).distinct()
+    added = new_rows.select(*fields.names).withColumn("month", _month(fields, month_of))
+    kept = log.withColumn("month", _month(fields, month_of)).join(months, "month", "left_semi")
+    if not new_rows.isEmpty():
+        _change(kept.select(*fields.names, "month").unionByName(added), path)
+    return new_rows
 
 
 def merge_table(
@@ -255,14 +332,13 @@ def merge_table(
     """Apply ``merge(target, batch)`` to a table partitioned by month.
 
     ``month_of`` is a date column of the key, or a yyyymmdd integer. Months
-    the batch does not touch are neither read nor rewritten. The merged
-    months are staged in the shared folder before they replace the old ones,
-    so a job that dies while merging leaves the table as it was; repeating
-    the same batch gives the same table.
+    the batch does not touch are neither read nor rewritten. A job that dies
+    leaves the table as it was, or as it is afterwards, in all its months
+    (``_change``); repeating the same batch gives the same table.
     """
     fields = StructType.fromDDL(schema)
     month = _month(fields, month_of)
     batch = stage(batch.select(*fields.names).withColumn("month", month), "batch")
+    _settle(spark, path)
     merged = merge(_touched(spark, path, batch, schema), batch.drop("month"))
-    merged = stage(merged.select(*fields.names).withColumn("month", month), "merged")
-    _write_months(merged, path, "overwrite")
+    _change(merged.select(*fields.names).withColumn("month", month), path)

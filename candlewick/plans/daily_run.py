@@ -264,7 +264,7 @@ def build_models(
     def store(name: str, df: DataFrame, layer: str = "marts", month_of: str | None = "date_key") -> DataFrame:
         path = _path(root, layer, name)
         overwrite_table(df, path, month_of=month_of)
-        marts[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        marts[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)  # put there whole just now
         return marts[name]
 
     known = read_or_empty(spark, _path(root, "marts", "dim_asset"), S.DIM_ASSET)
@@ -365,43 +365,50 @@ def check_marts(marts: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_forecasts(
-    spark: SparkSession, root: str, metrics: DataFrame, *, as_of: date, backtest: bool = False, trees: bool = True
+    spark: SparkSession,
+    root: str,
+    metrics: DataFrame,
+    *,
+    now: datetime,
+    backtest: bool = False,
+    trees: bool = True,
+    refit_every: int = 7,
 ) -> None:
     """Forecast tomorrow, or every past day, and store by key."""
-    panel = stage(M.completed_panel(metrics, F.lit(as_of)), "panel")
+    panel = stage(M.completed_panel(metrics, F.lit(now.date())), "panel")
     if backtest:
         if M.backtest_steps(panel).filter("is_step").isEmpty():
             raise ValueError(f"history is too short: more than {V.BACKTEST_MIN_TRAIN + 1} days are needed")
-        made = M.backtest(panel, trees=M.backtest_gbt(panel) if trees else None)
+        made = M.backtest(panel, trees=M.backtest_gbt(panel, refit_every=refit_every) if trees else None)
     else:
         cutoff, target_date = M.daily_cutoff(panel)
         features = stage(M.make_features(panel), "features") if trees else None
         made = M.forecast_round(panel, cutoff=cutoff, target_date=target_date, features=features)
-    rows = made.withColumn("predicted_value", F.round("predicted_value", 8))
+    rows = made.withColumns({"predicted_value": F.round("predicted_value", 8), "generated_at": F.lit(now).cast("timestamp")})
     merge_table(
         spark,
         _path(root, "marts", "fact_price_forecast"),
         rows.filter(F.col("predicted_value").isNotNull()),
-        schema=S.FORECASTS,
+        schema=S.STORED_FORECASTS,
         month_of="target_date",
         merge=partial(upsert, keys=forecasts.FORECAST_KEY, order_by=None),
     )
 
 
-def log_alerts(spark: SparkSession, root: str, alerts: DataFrame) -> DataFrame:
+def log_alerts(spark: SparkSession, root: str, alerts: DataFrame, *, now: datetime) -> DataFrame:
     """Log alerts not seen before and return their digest."""
     new = append_to_log(
         spark,
         _path(root, "marts", "market_alerts_log"),
-        reports.alert_log_rows(alerts),
-        schema=S.ALERT_LOG,
+        reports.alert_log_rows(alerts).withColumn("sent_at", F.lit(now).cast("timestamp")),
+        schema=S.STORED_ALERTS,
         month_of="alert_date",
         keys=reports.ALERT_KEY,
     )
     return reports.alert_digest(new)
 
 
-def write_summary(spark: SparkSession, root: str, marts: dict[str, DataFrame]) -> DataFrame:
+def write_summary(spark: SparkSession, root: str, marts: dict[str, DataFrame], *, now: datetime) -> DataFrame:
     """Store the summary of the newest day, one row per day."""
     latest = stage(reports.latest_prices(marts["asset_returns"]), "latest")
     day = latest.agg(F.max("date").alias("day")).first()["day"]
@@ -411,13 +418,14 @@ def write_summary(spark: SparkSession, root: str, marts: dict[str, DataFrame]) -
     rolled = stage(reports.alert_rollup(marts["fact_market_alerts"], as_of), "alerts")
     related = stage(reports.pair_type_correlation(marts["fact_asset_correlation"]), "correlations")
     text = reports.daily_summary(latest, rolled, related, as_of).select(
-        "summary_date", F.lit("daily").alias("period_type"), "summary_text", F.lit("fallback").alias("generated_by")
+        "summary_date", F.lit("daily").alias("period_type"), "summary_text", F.lit("fallback").alias("generated_by"),
+        F.lit(now).cast("timestamp").alias("created_at"),
     )
     path = _path(root, "marts", "market_summaries")
-    stored = read_or_empty(spark, path, S.SUMMARIES)
+    stored = read_or_empty(spark, path, S.STORED_SUMMARIES)
     replace_table(upsert(stored, text, keys=["summary_date", "period_type"], order_by=None), path)
     overwrite_table(reports.snapshot_lines(latest, rolled, related, as_of), _path(root, "reports", "snapshot_lines"))
-    return read_or_empty(spark, path, S.SUMMARIES)
+    return read_or_empty(spark, path, S.STORED_SUMMARIES)
 
 
 def run(
@@ -437,7 +445,7 @@ def run(
         raise ValueError("nothing was ingested")
     marts = build_models(spark, root, as_of=now.date(), tickers=tickers)
     report = check_marts(marts)
-    run_forecasts(spark, root, marts["binance_metrics"], as_of=now.date(), trees=trees)
-    digest = log_alerts(spark, root, marts["fact_market_alerts"])
-    summary = write_summary(spark, root, marts)
+    run_forecasts(spark, root, marts["binance_metrics"], now=now, trees=trees)
+    digest = log_alerts(spark, root, marts["fact_market_alerts"], now=now)
+    summary = write_summary(spark, root, marts, now=now)
     return marts | {"checks": report, "alert_digest": digest, "market_summaries": summary}

@@ -56,6 +56,10 @@ FORECASTS = (
 )
 ALERT_LOG = "asset_id string, alert_date date, alert_type string, alert_message string"
 SUMMARIES = "summary_date date, period_type string, summary_text string, generated_by string"
+# As stored by a run: with the time it was made or sent.
+STORED_FORECASTS = f"{FORECASTS}, generated_at timestamp"
+STORED_ALERTS = f"{ALERT_LOG}, sent_at timestamp"
+STORED_SUMMARIES = f"{SUMMARIES}, created_at timestamp"
 
 TREND_FACT = "asset_key bigint, date_key int, moving_avg_7d double, moving_avg_14d double, moving_avg_30d double"
 PRICE_FACT = (

@@ -9,8 +9,11 @@ from __future__ import annotations
 import re
 
 from candlewick.sources.config import ASSETS
+from candlewick.operators.boosting import BINS, CELLS, DEPTH, MIN_LEAF, RATE, SHRINK, UNIT
+from candlewick.operators.forecast import FEATURES
 from candlewick.operators.quality import Check, invariant_checks, mart_checks
-from queries import AS_OF, CUT, LOAD_FROM, MONTH_ROWS, NOW, RAW_CHECKS, TICK_ALERT
+from candlewick.values import BACKTEST_MIN_TRAIN, TREE_MIN_ROWS
+from queries import AS_OF, CUT, LOAD_FROM, MONTH_ROWS, NOW, RAW_CHECKS, REFIT_EVERY, TICK_ALERT, TREE_ROUNDS
 
 
 def r(x: str, digits: int) -> str:
@@ -518,6 +521,7 @@ ORACLE_SQL["fact_market_volatility"] = sql("SELECT " + cols(
     [], rounds(6, "coefficient_of_variation", "z_score"), ["asset_key", "date_key", "is_anomaly", "risk_level"])
     + " FROM s_w_volatility")
 ORACLE_SQL["fact_asset_correlation"] = sql("SELECT * FROM s_w_correlations")
+ORACLE_SQL["incremental_correlation"] = sql("SELECT * FROM s_w_correlations")
 ORACLE_SQL["asset_correlation"] = sql(
     "SELECT " + cols(["date"], None, ["* EXCLUDE (date)"]) + " FROM s_w_correlated")
 ORACLE_SQL["asset_correlation_wide"] = sql("""
@@ -724,17 +728,107 @@ step("s_training", " UNION ALL ".join(
 step("s_tree_rows", """
   SELECT symbol, trade_date, target_date, target_name, training_rows
   FROM s_complete, s_training, s_last_day WHERE trade_date = cutoff AND training_rows >= 300""")
-ORACLE_SQL["forecast_gbt"] = sql("""
-SELECT symbol, CAST(trade_date AS VARCHAR) AS trade_date, target_name, training_rows, true AS has_value, true AS text_ok
-FROM s_tree_rows""")
-_THERE = "symbol, CAST(cutoff AS VARCHAR) AS cutoff, CAST(target_date AS VARCHAR) AS target_date, target_name"
-ORACLE_SQL["forecast_round_trees"] = sql(f"""
-SELECT {_THERE}, 'naive' AS model_name, CAST(1 AS BIGINT) AS horizon_days, true AS has_value, CAST(NULL AS VARCHAR) AS members FROM s_round_naive
-UNION ALL SELECT {_THERE}, 'ets', CAST(1 AS BIGINT), true, NULL FROM s_round_ets
-UNION ALL SELECT symbol, CAST(trade_date AS VARCHAR), CAST(target_date AS VARCHAR), target_name, 'gbt', CAST(1 AS BIGINT), true, NULL FROM s_tree_rows
-UNION ALL SELECT {_THERE.replace('symbol, ', 'n.symbol, ').replace(', target_name', ', n.target_name').replace('(target_date', '(n.target_date')}, 'ensemble', CAST(1 AS BIGINT), true,
-  CASE WHEN t.symbol IS NULL THEN 'ets+naive' ELSE 'ets+gbt+naive' END
-FROM s_round_naive n LEFT JOIN s_tree_rows t ON t.symbol = n.symbol AND t.target_name = n.target_name""")
+
+
+def grow(p: str, due: str, before: str, rounds: int) -> None:
+    """Steps ``{p}_made``: boosted trees on the rows of ``due``, by the rules of ``boosting``."""
+    n = range(len(FEATURES))
+    fields = [r(c, 6) if c != "dow" else "CAST(dow AS DOUBLE)" for c in FEATURES]
+    labels = ["target_price_ret", "target_volatility", "target_volume_ret"]
+    units = [f"CASE WHEN isnan({c}) THEN NULL ELSE CAST(round({r(c, 6)} * {UNIT}) AS BIGINT) END" for c in labels]
+    step(f"{p}_rows", f"SELECT symbol, trade_date, first, of_, until, " + ", ".join(
+        [f"{x} AS f{i}" for i, x in enumerate(fields)] + [f"{x} AS l{i}" for i, x in enumerate(units)]
+        + [f"CAST({c} AS DOUBLE) AS t{i}" for i, c in enumerate(SERIES.values())]) + f" FROM {due}")
+    step(f"{p}_range", "SELECT " + ", ".join(f"min(f{i}) AS lo{i}, max(f{i}) AS hi{i}" for i in n) + f" FROM {p}_rows WHERE {before}")
+    step(f"{p}_cells", "SELECT t.*, " + ", ".join(
+        f"CASE WHEN hi{i} > lo{i} THEN greatest(0, least({CELLS - 1}, CAST(floor((f{i} - lo{i}) / (hi{i} - lo{i}) * {CELLS}) AS INTEGER))) ELSE 0 END AS c{i}"
+        for i in n) + f" FROM {p}_rows t, {p}_range")
+    step(f"{p}_counts", " UNION ALL ".join(f"SELECT {i} AS feature, c{i} AS cell, count(*) AS n FROM {p}_cells WHERE {before} GROUP BY c{i}" for i in n))
+    step(f"{p}_edges", f"""
+      SELECT feature, cell, (sum(n) OVER (PARTITION BY feature ORDER BY cell) - n) * {BINS} // sum(n) OVER (PARTITION BY feature) AS bin FROM {p}_counts""")
+    step(f"{p}_firsts", f"SELECT feature, bin, min(cell) AS cell FROM {p}_edges GROUP BY 1, 2")
+    step(f"{p}_starts", f"SELECT feature, list(cell) AS cells FROM {p}_firsts GROUP BY 1")
+    step(f"{p}_binned", f"SELECT t.*, [" + ", ".join(
+        f"greatest(0, len(list_filter((SELECT cells FROM {p}_starts WHERE feature = {i}), lambda x: x <= c{i})) - 1)" for i in n) + f"] AS b FROM {p}_cells t")
+    step(f"{p}_every", " UNION ALL ".join(f"""
+      SELECT symbol, trade_date, w * 3 + {i} AS model, {i} AS target, b, l{i} AS label, t{i} AS today, coalesce(first = w, false) AS due
+      FROM (SELECT *, unnest(range(of_, until + 1)) AS w FROM {p}_binned)""" for i in range(3)))
+    step(f"{p}_known", f"SELECT *, NOT due AND label IS NOT NULL AS training FROM {p}_every WHERE due OR label IS NOT NULL")
+    step(f"{p}_enough", f"SELECT model FROM {p}_known WHERE training GROUP BY 1 HAVING count(*) >= {TREE_MIN_ROWS}")
+    step(f"{p}_q0", f"SELECT *, CAST(0 AS BIGINT) AS pred, label AS res, 1 AS node FROM {p}_known WHERE model IN (SELECT model FROM {p}_enough)")
+
+    def score(total: str, rows: str) -> str:
+        return f"CAST({total} AS DOUBLE) * CAST({total} AS DOUBLE) / CAST({rows} + {SHRINK} AS DOUBLE)"
+
+    def leaf(total: str, rows: str) -> str:
+        part = f"(({rows} + {SHRINK}) * {RATE})"
+        return f"(({total}) - ((({total}) % {part}) + {part}) % {part}) // {part}"
+
+    right = "CASE WHEN g.feature IS NOT NULL AND b[g.feature + 1] > g.bin THEN 1 ELSE 0 END"
+    for k in range(rounds):
+        at = f"{p}_q{k}"
+        for level in range(DEPTH):
+            name = f"{p}_x{k}{level}"
+            step(f"{name}_sums", f"""
+              SELECT model, node, feature, bin, CAST(sum(res) AS BIGINT) AS s, count(*) AS n
+              FROM (SELECT model, node, res, unnest(range(0, {len(FEATURES)})) AS feature, unnest(b) AS bin FROM {at} WHERE training) GROUP BY ALL""")
+            step(f"{name}_sides", f"""
+              SELECT model, node, feature, bin, CAST(sum(s) OVER u AS BIGINT) AS ls, CAST(sum(n) OVER u AS BIGINT) AS ln,
+                CAST(sum(s) OVER w AS BIGINT) AS s, CAST(sum(n) OVER w AS BIGINT) AS n FROM {name}_sums
+              WINDOW u AS (PARTITION BY model, node, feature ORDER BY bin), w AS (PARTITION BY model, node, feature)""")
+            step(f"{name}_gains", f"""
+              SELECT *, CASE WHEN ln >= {MIN_LEAF} AND n - ln >= {MIN_LEAF} THEN greatest(0, {score('ls', 'ln')} + {score('(s - ls)', '(n - ln)')} - {score('s', 'n')})
+                ELSE 0 END AS gain FROM {name}_sides""")
+            step(f"{name}_split", f"""
+              SELECT model, node, CASE WHEN gain > 0 THEN feature END AS feature, CASE WHEN gain > 0 THEN bin END AS bin,
+                CASE WHEN gain > 0 THEN ls ELSE s END AS ls, CASE WHEN gain > 0 THEN ln ELSE n END AS ln,
+                CASE WHEN gain > 0 THEN s - ls ELSE 0 END AS rs, CASE WHEN gain > 0 THEN n - ln ELSE 0 END AS rn
+              FROM {name}_gains QUALIFY row_number() OVER (PARTITION BY model, node ORDER BY gain DESC, feature, bin) = 1""")
+            if level < DEPTH - 1:
+                step(f"{name}_down", f"SELECT t.* REPLACE (t.node * 2 + {right} AS node) FROM {at} t LEFT JOIN {name}_split g ON g.model = t.model AND g.node = t.node")
+                at = f"{name}_down"
+        step(f"{p}_moved{k}", f"""
+          SELECT t.*, coalesce(CASE WHEN {right} = 1 THEN {leaf('rs', 'rn')} ELSE {leaf('ls', 'ln')} END, 0) AS more
+          FROM {at} t LEFT JOIN {p}_x{k}{DEPTH - 1}_split g ON g.model = t.model AND g.node = t.node""")
+        step(f"{p}_q{k + 1}", f"SELECT * EXCLUDE (more) REPLACE (pred + more AS pred, res - more AS res, 1 AS node) FROM {p}_moved{k}")
+    raw = f"(CAST(pred AS DOUBLE) / {UNIT}.0)"
+    step(f"{p}_made", f"""
+      SELECT symbol, trade_date, ['price', 'volatility', 'volume'][target + 1] AS target_name,
+        CASE WHEN target = 1 THEN {raw} ELSE today * (1 + {raw}) END AS predicted_value,
+        CASE WHEN target = 1 THEN 'pred=' || {text(raw, 4)}
+          ELSE 'ret=' || CASE WHEN {raw} < 0 THEN '-' ELSE '+' END || {text(f'abs({raw})', 4)} END AS model_params
+      FROM {p}_q{rounds} WHERE due""")
+
+
+step("s_today", """
+  SELECT f.*, CASE WHEN trade_date = cutoff THEN 0 END AS first, 0 AS of_, 0 AS until FROM s_complete f, s_last_day""")
+grow("s_t", "s_today", "first IS NULL", TREE_ROUNDS)
+ORACLE_SQL["forecast_gbt"] = sql(f"""
+SELECT symbol, CAST(trade_date AS VARCHAR) AS trade_date, target_name, training_rows, {r('predicted_value', 4)} AS predicted_value, model_params
+FROM s_t_made JOIN s_training USING (target_name)""")
+step("s_round_gbt", """
+  SELECT symbol, trade_date AS cutoff, target_date, target_name, 'gbt' AS model_name, CAST(1 AS BIGINT) AS horizon_days, predicted_value, model_params
+  FROM s_t_made, s_last_day""")
+step("s_round_three", "SELECT * FROM s_round_naive UNION ALL SELECT * FROM s_round_ets UNION ALL SELECT * FROM s_round_gbt")
+step("s_round_mean", """
+  SELECT symbol, cutoff, target_date, target_name, 'ensemble' AS model_name, CAST(1 AS BIGINT) AS horizon_days,
+         list_sum(list(predicted_value ORDER BY model_name)) / count(*) AS predicted_value,
+         string_agg(model_name, '+' ORDER BY model_name) AS model_params
+  FROM s_round_three GROUP BY ALL HAVING count(*) >= 2""")
+ORACLE_SQL["forecast_round_trees"] = sql(f"SELECT {_FC} FROM s_round_three UNION ALL SELECT {_FC} FROM s_round_mean")
+step("s_days", """
+  SELECT trade_date, row_number() OVER (ORDER BY trade_date) - 1 AS step, lead(trade_date) OVER (ORDER BY trade_date) AS target_date
+  FROM (SELECT DISTINCT trade_date FROM s_panel)""")
+step("s_windows", f"""
+  SELECT *, CASE WHEN step >= {BACKTEST_MIN_TRAIN} THEN (step - {BACKTEST_MIN_TRAIN}) // {REFIT_EVERY} END AS first,
+    greatest(0, (step - {BACKTEST_MIN_TRAIN}) // {REFIT_EVERY}) AS of_, max((step - {BACKTEST_MIN_TRAIN}) // {REFIT_EVERY}) OVER () AS until
+  FROM s_days WHERE target_date IS NOT NULL""")
+step("s_walked", "SELECT f.*, first, of_, until FROM s_complete f JOIN s_windows USING (trade_date)")
+grow("s_g", "s_walked", "first IS NULL", TREE_ROUNDS)
+ORACLE_SQL["backtest_gbt"] = sql(f"""
+SELECT symbol, CAST(trade_date AS VARCHAR) AS cutoff, CAST(target_date AS VARCHAR) AS target_date, target_name, 'gbt' AS model_name,
+  CAST(1 AS BIGINT) AS horizon_days, {r('predicted_value', 4)} AS predicted_value, model_params
+FROM s_g_made JOIN s_days USING (trade_date)""")
 ORACLE_SQL["ensemble"] = sql(f"SELECT {_FC} FROM s_back_ensemble")
 ORACLE_SQL["backtest_naive"] = sql(f"SELECT {_FC} FROM s_back_naive")
 ORACLE_SQL["backtest_ets"] = sql(f"SELECT {_FC} FROM s_back_ets")

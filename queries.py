@@ -362,6 +362,16 @@ def _wide_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.asset_returns(feeds.market_comparison(unified, stocks, bindings.tickers(spark)))
 
 
+def incremental_correlation(spark, sf_dir):
+    """The stored fact of all days before the last twenty, and those days added to it."""
+    m = Market(spark, sf_dir)
+    returns = stage(m.returns, "returns")
+    days = [r.date for r in returns.select("date").distinct().orderBy(F.col("date").desc()).limit(20).collect()]
+    before = facts.fact_asset_correlation(returns.filter(F.col("date") < days[-1]), m.dim_asset, m.dim_date)
+    after = facts.fact_asset_correlation(returns, m.dim_asset, m.dim_date, since=days[-1])
+    return present(before.unionByName(after))
+
+
 def asset_correlation_wide(spark, sf_dir):
     """Newest correlation of every pair of the wide symbol set."""
     rolled = facts.pair_correlation(_wide_returns(spark, sf_dir))
@@ -827,33 +837,33 @@ def autocorrelation(spark, sf_dir):
     return present(rounded(a, 4, "autocorrelation", "abs_autocorrelation"))
 
 
+#: Rounds that the SQL twins of the tree queries follow, and steps between refits of the backtest.
+TREE_ROUNDS, REFIT_EVERY = 2, 40
+
+
 def forecast_gbt(spark, sf_dir):
     """Boosted trees for all targets on the last day of the panel."""
     panel = stage(forecast_market(spark, sf_dir).panel, "panel")
     cutoff, _ = M.daily_cutoff(panel)
     features = stage(M.make_features(panel), "features")
-    made = M.forecast_trees(features, cutoff=cutoff)
-    told = made.join(M.training_rows(features, cutoff=cutoff), "target_name").select(
-        "symbol", "trade_date", "target_name", "training_rows",
-        (F.col("predicted_value").isNotNull() & ~F.isnan("predicted_value")).alias("has_value"),
-        F.col("model_params").rlike(r"^(ret=[+-]|pred=-?)\d+\.\d{4}$").alias("text_ok"),
-    )
-    return present(told)
+    made = M.forecast_trees(features, cutoff=cutoff, rounds=TREE_ROUNDS)
+    told = made.join(M.training_rows(features, cutoff=cutoff), "target_name")
+    return present(rounded(told.select("symbol", "trade_date", "target_name", "training_rows", "predicted_value", "model_params"), 4, "predicted_value"))
 
 
 def forecast_round_trees(spark, sf_dir):
-    """One round with all models: which forecasts there are, and of what the ensemble consists."""
+    """One round with all models, trees and ensemble."""
     panel = stage(forecast_market(spark, sf_dir).panel, "panel")
     cutoff, target_date = M.daily_cutoff(panel)
     features = stage(M.make_features(panel), "features")
-    made = M.forecast_round(panel, cutoff=cutoff, target_date=target_date, features=features)
-    members = F.when(F.col("model_name") == "ensemble", F.col("model_params"))
-    return present(
-        made.select(
-            "symbol", "cutoff", "target_date", "target_name", "model_name", "horizon_days",
-            F.col("predicted_value").isNotNull().alias("has_value"), members.alias("members"),
-        )
-    )
+    made = M.forecast_round(panel, cutoff=cutoff, target_date=target_date, features=features, rounds=TREE_ROUNDS)
+    return present(rounded(made, 4, "predicted_value"))
+
+
+def backtest_gbt(spark, sf_dir):
+    """Walk-forward forecasts of boosted trees, refitted every forty steps."""
+    panel = stage(forecast_market(spark, sf_dir).panel, "panel")
+    return present(rounded(M.backtest_gbt(panel, refit_every=REFIT_EVERY, rounds=TREE_ROUNDS), 4, "predicted_value"))
 
 
 # --------------------------------------------------------- checks, reports
@@ -976,14 +986,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         top_gainers_losers, best_worst,
         dim_date, dim_source, scd2_initial, scd2_change, pit_join_query, pit_unmatched_query, return_pairs,
         fact_market_prices, fact_price_trends, fact_volume_analysis, fact_market_volatility,
-        fact_asset_correlation, asset_correlation, asset_correlation_wide, market_alerts,
+        fact_asset_correlation, incremental_correlation, asset_correlation, asset_correlation_wide, market_alerts,
         upsert_last_wins, upsert_arrival_order, delete_insert_query, append_new_only_query, unsent_alerts, alert_digest,
         high_water_mark_query, incremental_candles, incremental_per_key, incremental_facts, backfill_window,
         source_status, failed_symbols, run_status, run_log, load_errors, daily_run_twice,
         parse_parallel_arrays, parse_klines, parse_series_map, newest_series, column_mapping, quarantine_bad_rows,
         completed_panel, panel_profile, forecast_features, forecast_naive, ets_alpha, forecast_ets,
         forecast_round, ensemble, backtest_naive, backtest_ets, forecast_upsert, forecast_detail,
-        forecast_accuracy, leaderboard, autocorrelation, forecast_gbt, forecast_round_trees,
+        forecast_accuracy, leaderboard, autocorrelation, forecast_gbt, forecast_round_trees, backtest_gbt,
         dq_report, dq_raw, alert_rollup, pair_type_correlation, format_snapshot, snapshot_lines, daily_summary,
         stream_candles_query, stream_alert_dedupe,
     )

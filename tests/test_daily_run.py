@@ -137,7 +137,11 @@ def test_two_days_of_runs(spark, table, root):
     stored = read_or_empty(spark, f"{root}/marts/fact_price_forecast", S.FORECASTS)
     assert stored.select("target_date").distinct().collect()[0][0].isoformat() == "2024-03-01"
     assert stored.count() == 2 * 3 * 3
-    assert out["market_summaries"].count() == 1
+    assert [r.created_at for r in out["market_summaries"].collect()] == [now]
+    stamped = read_or_empty(spark, f"{root}/marts/fact_price_forecast", S.STORED_FORECASTS)
+    assert {r.generated_at for r in stamped.collect()} == {now}
+    log = read_or_empty(spark, f"{root}/marts/market_alerts_log", S.STORED_ALERTS)
+    assert {r.sent_at for r in log.collect()} == {now}
     sent = out["alert_digest"].filter("kind = 'line'").count()
     assert sent == out["fact_market_alerts"].count()
 

@@ -52,7 +52,7 @@ def panel(table, data):
 def test_ties_take_the_smallest_alpha(table):
     zeros = table(PANEL, *[("z", x, 0.0, 0.0, 0.0) for x in days("2024-01-01", 30)])
     assert {r.alpha for r in M.fit_ets(zeros).collect()} == {0.05}
-    assert M._running_ets(np.zeros(5))[0].tolist() == [0.05] * 5
+    assert M._running_ets(np.zeros((5, 1)), np.ones(5, dtype=int))[0].ravel().tolist() == [0.05] * 5
 
 
 def test_smoothing_matches_its_definition(panel, data):
@@ -138,13 +138,13 @@ def test_features_look_back_and_labels_one_row_ahead(panel, data):
 
 def test_trees_need_enough_rows(panel):
     features = M.make_features(panel)
-    assert M.forecast_gbt(features, cutoff=F.lit(d("2024-02-28")), target="price", max_iter=2) is None
+    assert M.forecast_trees(features, cutoff=F.lit(d("2024-02-28")), rounds=2).count() == 0
 
 
 def test_trees_join_the_round(panel):
     features = M.make_features(panel)
     cutoff = F.lit(d("2024-02-29"))
-    trees = M.forecast_trees(features, cutoff=cutoff, max_iter=2, min_rows=20)
+    trees = M.forecast_trees(features, cutoff=cutoff, rounds=2, min_rows=20)
     # only symbols with a row on the cutoff get one
     assert rows(trees.select("symbol").distinct()) == [("a",)]
     text = {r.target_name: r.model_params for r in trees.collect()}
@@ -159,8 +159,18 @@ def test_trees_join_the_round(panel):
 
 
 def test_tree_backtest_trains_before_each_step(panel):
-    full = M.backtest_gbt(panel, min_train=56, max_iter=2, targets=["price"])
-    assert full is None  # under 300 complete rows
+    full = M.backtest_gbt(panel, min_train=56, refit_every=1, rounds=2)
+    assert full.count() == 0  # under 300 complete rows
+    # every window alone, from what lies before it, gives the same as all of them together
+    together = M.backtest_gbt(panel, min_train=54, refit_every=2, rounds=2, min_rows=20)
+    features = M.make_features(panel)
+    made = {(r.symbol, r.cutoff, r.target_name): r.predicted_value for r in together.collect()}
+    firsts = sorted({c for _, c, _ in made})[::2]
+    assert len(firsts) > 1
+    for first in firsts[:1]:  # bins come from the rows before the first window
+        alone = M.forecast_trees(features.filter(F.col("trade_date") <= first), cutoff=F.lit(first), rounds=2, min_rows=20)
+        for r in alone.collect():
+            assert made[r.symbol, first, r.target_name] == r.predicted_value
 
 
 def _scored(table, forecast_rows, actual=(0.0, 2.0, 50.0)):
@@ -211,10 +221,40 @@ def test_stored_forecasts_are_replaced_by_key(table):
 
 def test_tree_backtest_joins_the_ensemble(table):
     panel = table(PANEL, *[(s, *row) for i, s in enumerate("abcd") for row in series(130, i)])
-    trees = M.backtest_gbt(panel, min_train=125, max_iter=2, refit_every=2, targets=["price"])
-    assert trees.count() == 4 * 4  # symbols x steps
+    trees = M.backtest_gbt(panel, min_train=125, rounds=2, refit_every=2)
+    assert trees.count() == 4 * 4 * 3  # symbols x steps x targets
+    trees = trees.filter("target_name = 'price'")
     assert trees.filter("target_date <> date_add(cutoff, 1)").count() == 0
     made = M.backtest(panel, min_train=125, trees=trees).filter("model_name = 'ensemble'")
     assert rows(made.groupBy("target_name", "model_params").count()) == [
         ("price", "ets+gbt+naive", 16), ("volatility", "ets+naive", 16), ("volume", "ets+naive", 16)
     ]
+
+
+def test_series_of_different_length_are_smoothed_side_by_side(table, monkeypatch):
+    """One long series among short ones, in one group and in several, as each alone."""
+    import numpy as np
+
+    panel = table(PANEL, *[(f"s{i}", *row) for i in range(9) for row in series(400 if i == 4 else 3 + 5 * i, i)])
+    data = {}
+    for r in panel.orderBy("symbol", "trade_date").collect():
+        data.setdefault(r.symbol, []).append((r.close_price, r.volatility_pct, r.quote_volume))
+    for at_once in (256, 2):
+        monkeypatch.setattr(M, "SYMBOLS_AT_ONCE", at_once)
+        got = {}
+        for r in M.running_ets(panel).orderBy("symbol", "trade_date").collect():
+            got.setdefault(r.symbol, []).append(r)
+        assert {s: len(x) for s, x in got.items()} == {s: len(x) for s, x in data.items()}
+        for symbol, values in data.items():
+            for target, name in enumerate(M.TARGETS):
+                level = sse = None
+                for i, (row, r) in enumerate(zip(values, got[symbol])):
+                    x, alphas = row[target], np.arange(1, 21) / 20.0
+                    if i:
+                        miss = x - level
+                        sse, level = sse + miss * miss, alphas * x + (1.0 - alphas) * level
+                    else:
+                        level, sse = np.full(20, x), np.zeros(20)
+                    k = int(np.argmin(sse))
+                    assert (r[f"{name}_alpha"], r[f"{name}_level"], r[f"{name}_last"]) == (alphas[k], level[k], x)
+                    assert r.seen == i + 1 and (r.next_date is None) == (i == len(values) - 1)

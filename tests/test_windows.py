@@ -117,3 +117,33 @@ def test_a_huge_return_does_not_stop_the_correlation(table):
     got = rolling_corr(df, by=["s"], order="day", x="x", y="y", rows={"c": 30}).orderBy("day").collect()
     for i in (30, 39, 45, 59):
         assert got[i].c == pytest.approx(pearson(x[max(0, i - 29) : i + 1], y[max(0, i - 29) : i + 1]), abs=1e-6)
+
+
+@pytest.mark.parametrize("size", [2e5, 1e17, 1e300])
+def test_any_finite_return_has_a_correlation(table, size):
+    rng = random.Random(6)
+    x = [round(rng.gauss(0, 1), 4) for _ in range(50)]
+    y = [round(a + rng.gauss(0, 1), 4) for a in x]
+    x[20], y[20] = size, -size
+    df = table("s string, day date, x double, y double", *[("a", t, a, b) for t, a, b in zip(days("2024-01-01", 50), x, y)])
+    got = rolling_corr(df, by=["s"], order="day", x="x", y="y", rows={"c": 10}).orderBy("day").collect()
+    for i in (15, 19, 30, 49):
+        assert got[i].c == pytest.approx(pearson(x[max(0, i - 9) : i + 1], y[max(0, i - 9) : i + 1]), abs=1e-9)
+    assert all(got[i].c == pytest.approx(-1.0, abs=1e-6) for i in range(21, 29))
+
+
+def test_limbs_are_exact_at_their_limit(table):
+    """Sums of products far beyond 64 bits, of values that differ in the last digit."""
+    from fractions import Fraction
+
+    base = 214748.0
+    x = [base + i % 3 / 10000 for i in range(200)]
+    y = [-base + i % 5 / 10000 for i in range(200)]
+    df = table("s string, day date, x double, y double", *[("a", t, a, b) for t, a, b in zip(days("2024-01-01", 200), x, y)])
+    got = rolling_corr(df, by=["s"], order="day", x="x", y="y", rows={"c": 90}, extreme=False).orderBy("day").collect()
+    for i in (5, 89, 150, 199):
+        a, b = ([round(v * 10000) for v in z[max(0, i - 89) : i + 1]] for z in (x, y))
+        n = len(a)
+        cov, va, vb = (n * sum(p * q for p, q in zip(u, v)) - sum(u) * sum(v) for u, v in ((a, b), (a, a), (b, b)))
+        want = float(Fraction(cov)) / (float(va) ** 0.5 * float(vb) ** 0.5)
+        assert got[i].c == pytest.approx(want, abs=1e-12)

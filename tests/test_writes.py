@@ -1,7 +1,9 @@
 from functools import partial
 
+import pytest
 from helpers import d, rows
 
+from candlewick.operators import writes
 from candlewick.operators.writes import (
     append_new_only,
     append_to_log,
@@ -11,6 +13,7 @@ from candlewick.operators.writes import (
     overwrite_table,
     read_or_empty,
     read_since,
+    replace_from,
     replace_slice,
     replace_table,
     upsert,
@@ -111,6 +114,8 @@ def test_a_replacement_that_broke_off_is_settled(spark, table, tmp_path):
     (tmp_path / "t").rename(tmp_path / "t.old")
     table("k int", (2,)).write.parquet(f"{path}.new")
     assert rows(read_or_empty(spark, path, "k int")) == [(2,)]
+    assert not (tmp_path / "t").exists()  # readers change nothing
+    replace_table(read_or_empty(spark, path, "k int"), path)
     # died while the new table was being written
     (tmp_path / "t.new").mkdir()
     assert rows(read_or_empty(spark, path, "k int")) == [(2,)]
@@ -128,3 +133,65 @@ def test_a_slice_is_replaced_alone(spark, table, tmp_path):
     assert rows(read_or_empty(spark, path, schema)) == [("a/b", 4), ("c", 3)]
     replace_slice(table(schema), path, run="c")
     assert rows(read_or_empty(spark, path, schema)) == [("a/b", 4)]
+
+
+@pytest.mark.parametrize("step", ["before", "change", "half", "all"])
+@pytest.mark.parametrize("kind", ["merge", "from", "log"])
+def test_a_change_that_broke_off_is_all_or_nothing(spark, table, tmp_path, monkeypatch, kind, step):
+    """Killed between any two steps, all months are old or all are new, for readers and for the next writer."""
+    path = str(tmp_path / "t")
+    days = ["2024-01-31", "2024-02-01", "2024-03-01"]
+    overwrite_table(table(SCHEMA, *[("a", d(x), 1, 0) for x in days]), path, month_of="day")
+    old = rows(read_or_empty(spark, path, SCHEMA), "k", "day", "v")
+    batch = table(SCHEMA, ("a", d("2024-01-31"), 2, 0), ("b", d("2024-02-02"), 3, 0))
+
+    def write():
+        if kind == "merge":
+            merge_table(spark, path, batch, schema=SCHEMA, month_of="day", merge=partial(upsert, keys=["k", "day"], order_by=None))
+        elif kind == "from":
+            replace_from(spark, path, batch, month_of="day", since=d("2024-01-31"))
+        else:
+            append_to_log(spark, path, batch, schema=SCHEMA, month_of="day", keys=["k", "day"])
+
+    new = {
+        "merge": [("a", d("2024-01-31"), 2), ("a", d("2024-02-01"), 1), ("a", d("2024-03-01"), 1), ("b", d("2024-02-02"), 3)],
+        "from": [("a", d("2024-01-31"), 2), ("b", d("2024-02-02"), 3)],
+        "log": sorted([*old, ("b", d("2024-02-02"), 3)]),
+    }[kind]
+    run, written = writes._write_months, []
+
+    def dying(df, to, *args):
+        written.append(to)
+        if step == "before" and len(written) == 1:
+            raise RuntimeError("killed")  # while the change is stored
+        if step in ("change", "half") and len(written) == 2:
+            if step == "half":
+                run(df.filter("month = '202402'"), to, *args)
+            raise RuntimeError("killed")  # while months are put in their place
+        run(df, to, *args)
+
+    monkeypatch.setattr(writes, "_write_months", dying)
+    if step == "all":
+        write()
+    else:
+        with pytest.raises(RuntimeError):
+            write()
+    monkeypatch.setattr(writes, "_write_months", run)
+    for _ in range(2):
+        assert rows(read_or_empty(spark, path, SCHEMA), "k", "day", "v") == (old if step == "before" else new)
+    assert newest_stored(spark, path, SCHEMA, column="day") == d("2024-02-02" if kind == "from" and step != "before" else "2024-03-01")
+    write()
+    assert rows(read_or_empty(spark, path, SCHEMA), "k", "day", "v") == new
+    overwrite_table(table(SCHEMA, ("z", d("2024-05-01"), 9, 0)), path, month_of="day")
+    assert rows(read_or_empty(spark, path, SCHEMA), "k") == [("z",)]
+
+
+def test_a_failed_move_is_an_error_and_loses_nothing(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(table("k int", (1,)), path)
+    fs, at = writes._files(spark, path)
+    with pytest.raises(Exception):  # the local file system raises, others return false
+        writes._move(fs, at(f"{path}.none"), at(f"{path}.other"))
+    with pytest.raises(OSError):
+        writes._move(fs, at(path), at(str(tmp_path)))
+    assert rows(read_or_empty(spark, path, "k int")) == [(1,)]
