@@ -22,6 +22,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -29,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm import text as T
-from candlewick.llm.wordcache import GENERATION, LONGEST, WordCache
 
 SIZE = 1024
 OPEN_WINDOWS = 64
@@ -37,39 +37,38 @@ END_TOKEN = 0
 #: Partitions whose last pieces are merged in one task.
 MERGE_PARTITIONS = 256
 
-#: Fixed value: the pattern by which byte-level BPE cuts a text.
-CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Below this character all Unicode versions agree on what a letter, a digit or a space is.
-LATIN_END = "\u0250"
+#: Bytes of text whose different words are encoded together.
+RUN_BYTES = 16 << 20
+#: Words whose ids are gathered at once.
+GATHERED = 1 << 18
+#: Words joined to one text for the tokenizer, and such texts handed over at once.
+JOINED, AT_ONCE = 200, 64
 
 _loaded: dict[str, "ByteEncoder"] = {}
 #: A space that does not begin a word: there the tokenizer's own cuts may differ.
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
+#: How byte-level vocabularies write a space.
+_SPACE = "\u0120"
 
 
 class ByteEncoder:
     """Ids of a byte-level BPE tokenizers file, as little-endian unsigned 32-bit bytes.
 
-    The tokenizer always cuts before a single space that begins a word, so a
-    text is encoded word by word, and a word only once while it is cached. A
-    new word of Latin letters, digits and signs is cut by the tokenizer's own
-    pattern and goes to its merges directly; everything else, and texts with
-    other runs of white space, to its whole pipeline.
+    The tokenizer always cuts before a single space that begins a word. So the
+    different words of a run of texts are encoded once, joined to texts of
+    their own, whose ids are parted where a token begins with a space; the ids of
+    the run are then gathered from those of its words. Nothing is kept from one
+    run to the next. Texts with other runs of white space are encoded whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cut = regex.compile(CUT).findall
-        letters = {b: pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(b))[0][0] for b in range(128)}
-        two = {c: pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(128, ord(LATIN_END))}
-        self.letters = letters | two
-        self.parts: dict[str, bytes] = {}
-        self.words = WordCache(lambda words: [self.word(" " + w) for w in words])
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.begins[[i for token, i in vocab.items() if token.startswith(_SPACE)]] = True
 
     @classmethod
     def load(cls, path: str) -> "ByteEncoder":
@@ -77,28 +76,91 @@ class ByteEncoder:
             _loaded[path] = cls(path)
         return _loaded[path]
 
-    def whole(self, value: str) -> bytes:
-        return array("I", self.tokenizer.encode(value, add_special_tokens=False).ids).tobytes()
-
-    def word(self, value: str) -> bytes:
-        if not value or max(value) >= LATIN_END or any(t in value for t in self.special):
-            return self.whole(value)
-        out = []
-        for part in self.cut(value):
-            if (ids := self.parts.get(part)) is None:
-                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(part.translate(self.letters))]).tobytes()
-                if len(part) <= LONGEST:
-                    if len(self.parts) >= GENERATION:
-                        self.parts = {}
-                    self.parts[part] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def ids(self, value: str) -> bytes:
-        if _ODD_SPACE.search(value):
-            return self.whole(value)
-        first, *rest = value.split(" ")
-        return self.word(first) + b"".join(self.words.all(rest))
+    def whole(self, values: list[str]) -> list[np.ndarray]:
+        done = []
+        for i in range(0, len(values), AT_ONCE):
+            done += [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(values[i : i + AT_ONCE], add_special_tokens=False)]
+        return done
+
+    def words(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that follow a space, end to end, and how many each has."""
+        groups = [values[i : i + JOINED] for i in range(0, len(values), JOINED)]
+        ids, sizes = [], []
+        for group, got in zip(groups, self.whole(["".join(" " + w for w in g) for g in groups])):
+            at = np.flatnonzero(self.begins[got])
+            if len(at) == len(group):
+                ids.append(got)
+                sizes.append(np.diff(at, append=len(got)))
+            else:
+                alone = self.whole([" " + w for w in group])
+                ids += alone
+                sizes.append(np.array([len(x) for x in alone]))
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+    def run(self, data: np.ndarray, offs: np.ndarray) -> Iterator[bytes]:
+        """Ids of texts with single spaces."""
+        space = data == 0x20
+        at = np.flatnonzero(space)
+        first = np.arange(len(offs)) + np.searchsorted(at, offs)  # number of each text's first word
+        first[-1] = len(at) + len(offs) - 1
+        sizes = np.zeros(first[-1] + 1, dtype=np.int64)
+        sizes[1:] = np.sort(np.concatenate([at, offs[1:]]), kind="stable")  # ends of the words
+        sizes[1:] -= np.sort(np.concatenate([offs[:-1], at + 1]), kind="stable")
+        np.cumsum(sizes, out=sizes)
+        kept = data[~space]
+        encoded = pa.Array.from_buffers(pa.large_string(), len(sizes) - 1, [None, pa.py_buffer(sizes), pa.py_buffer(kept)]).dictionary_encode()
+        del space, at, sizes, kept
+        listed, codes = encoded.dictionary, encoded.indices.to_numpy()
+        # a first word has no space before it, so it is a word of its own
+        inner = np.ones(len(codes), dtype=bool)
+        inner[first[:-1]] = False
+        after = np.flatnonzero(np.bincount(codes[inner], minlength=len(listed)))
+        heads = np.unique(codes[first[:-1]])
+        ids, counts = self.words(listed.take(pa.array(after)).to_pylist())
+        alone = self.whole(listed.take(pa.array(heads)).to_pylist())
+        place = np.zeros((2, len(listed)), dtype=np.int32)
+        place[0, after] = np.arange(len(after))
+        place[1, heads] = len(after) + np.arange(len(heads))
+        ids = np.concatenate([ids, *alone])
+        counts = np.concatenate([counts, np.array([len(x) for x in alone], dtype=np.int64)])
+        begin = np.cumsum(counts) - counts
+        i = 0
+        while i < len(first) - 1:
+            j = max(i + 1, int(np.searchsorted(first, first[i] + GATHERED, "right")) - 1)
+            lo, hi = first[i], first[j]
+            entry = np.where(inner[lo:hi], place[0, codes[lo:hi]], place[1, codes[lo:hi]])
+            many = counts[entry]
+            upto = np.zeros(len(many) + 1, dtype=np.int64)
+            np.cumsum(many, out=upto[1:])
+            got = ids[np.repeat(begin[entry] - upto[:-1], many) + np.arange(upto[-1])]
+            cuts = upto[first[i : j + 1] - lo].tolist()
+            yield from (got[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:]))
+            i = j
+
+    def encode(self, values: list[str]) -> Iterator[bytes]:
+        """Ids of each text, in order."""
+        return self.batch(pa.array(values, pa.large_string()))
+
+    def batch(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text of a column, in order; a null is an empty text."""
+        _, offs = T.utf8(texts)
+        i = 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(offs, offs[i] + RUN_BYTES, "right")) - 1)
+            yield from self._encoded([x or "" for x in texts.slice(i, j - i).to_pylist()])
+            i = j
+
+    def _encoded(self, values: list[str]) -> list[bytes]:
+        odd = [_ODD_SPACE.search(v) is not None for v in values]
+        out = [b""] * len(values)
+        for k, ids in zip([k for k, o in enumerate(odd) if o], self.whole([v for v, o in zip(values, odd) if o])):
+            out[k] = ids.tobytes()
+        rest = [k for k, o in enumerate(odd) if not o]
+        if rest:
+            data, offs = T.utf8(pa.array([values[k] for k in rest], pa.large_string()))
+            for k, ids in zip(rest, self.run(data[offs[0] : offs[-1]], offs - offs[0])):
+                out[k] = ids
+        return out
 
 
 Piece = tuple  # doc_id, start, tokens of the document, ids as bytes
@@ -204,8 +266,9 @@ def _pack(path: str, size: int, most: int, end: int | None, with_ids: bool):
         packer, rows = Packer(size, most), []
         stop = b"" if end is None else array("I", [end]).tobytes()
         for batch in batches:
-            for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                rows += packer.add(doc_id, encoder.ids(value or "") + stop)
+            texts = batch.column("text")
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.batch(texts)):
+                rows += packer.add(doc_id, ids + stop)
                 if len(rows) > 4000:
                     yield _batch(rows, part, False, with_ids)
                     rows = []
@@ -220,7 +283,7 @@ def _pack(path: str, size: int, most: int, end: int | None, with_ids: bool):
         if last:
             yield _batch([(*p, 0, i) for i, p in enumerate(last)], part, True, True)
 
-    return run
+    return lambda batches: T.given_back(run(batches))
 
 
 def _merge(size: int, with_ids: bool):
@@ -245,7 +308,6 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, open_windows: int =
     found = T.staged(rows.mapInArrow(_pack(tokenizer, size, open_windows, end_token, with_ids), PIECES), "pieces")
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     left = found.where("sequence_id IS NULL").withColumn("team", F.floor(F.col("part") / merge))
-    schema = ", ".join(f for f in PIECES.split(", ") if not f.startswith("part "))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
     tail = left.groupBy("team").applyInPandas(_merge(size, with_ids), schema)
     return found.where("sequence_id IS NOT NULL").select(cols).unionByName(tail.select(cols))

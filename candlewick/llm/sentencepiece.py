@@ -76,6 +76,13 @@ class Pieces:
             _loaded[path] = cls([(m.id_to_piece(i), m.get_score(i), k) for i, k in enumerate(kinds)])
         return _loaded[path]
 
+    def released(self, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a task; the words it kept are given back when it ends, as its process goes on to others."""
+        try:
+            yield from rows
+        finally:
+            self.words.clear()
+
     def path(self, word: str) -> list[int]:
         """Ids of the best path over a word."""
         n = len(word)
@@ -126,6 +133,9 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.load(model)
+        yield from pieces.released(rows(pieces, batches))
+
+    def rows(pieces: Pieces, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [None if x is None else pieces.encode(x) for x in batch.column("value").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(ids, pa.binary())], names=["row", "ids"])
@@ -159,6 +169,9 @@ def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.load(model)
+        yield from pieces.released(rows(pieces, batches))
+
+    def rows(pieces: Pieces, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, crc, same = [], [], []
             for value in batch.column("text").to_pylist():

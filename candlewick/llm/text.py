@@ -36,17 +36,35 @@ PLAIN = ~_table([0x20, *range(0x09, 0x0E)])
 ALNUM = _table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+#: Powers that a worker keeps: enough for pieces of up to 2 MB, 32 MB in all. Longer texts make their own.
+KEPT_POWERS = 1 << 21
+
+
+def _power_table(size: int) -> dict[str, np.ndarray]:
+    table = {}
+    for name, base in (("up", _BASE), ("down", _INVERSE)):
+        steps = np.full(size, base, dtype=np.uint64)
+        steps[0] = 1
+        table[name] = np.cumprod(steps, dtype=np.uint64)
+    return table
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse, modulo 2^64."""
-    if len(_powers["up"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+    table = _powers
+    if len(table["up"]) < n:
+        table = _power_table(min(1 << (n - 1).bit_length(), KEPT_POWERS) if n <= KEPT_POWERS else n)
+        if n <= KEPT_POWERS:
+            _powers.update(table)
+    return table["up"][:n], table["down"][:n]
+
+
+def given_back(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task, after which Arrow's unused memory goes back to the system: the worker goes on to other tasks."""
+    try:
+        yield from rows
+    finally:
+        pa.default_memory_pool().release_unused()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -160,6 +178,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def done_with(*tables: DataFrame) -> None:
+    """Delete staged tables once all that was made of them is staged itself. They cannot be read afterwards."""
+    for table in tables:
+        spark = table.sparkSession
+        for file in table.inputFiles()[:1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder.getParent(), True)
+
+
 def totals(values: np.ndarray, ranges: np.ndarray) -> np.ndarray:
     """Sum of the values of each range."""
     sums = np.zeros(len(values) + 1, dtype=np.int64)

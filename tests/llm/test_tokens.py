@@ -8,7 +8,7 @@ import pytest
 
 from candlewick.llm import packing as P
 from candlewick.llm import sentencepiece as SP
-from candlewick.llm.wordcache import WordCache
+from candlewick.llm.wordcache import ENTRY, WordCache
 
 tokenizers = pytest.importorskip("public_tokenizers")
 BPE, PIECES = tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model")
@@ -20,19 +20,36 @@ def strange(n):
     return ["".join(rnd.choice(" \n\ta'sb1.! 　éß") for _ in range(rnd.randint(0, 30))) for _ in range(n)]
 
 
+def whole(encoder, texts):
+    return [array("I", e.ids).tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_words_are_encoded_as_in_their_text():
     encoder = P.ByteEncoder(BPE)
-    for text in HARD + strange(3000):
-        assert encoder.ids(text) == encoder.whole(text), text
+    texts = HARD + strange(3000) + ["word " * 400_000 + "end"]
+    for text, got, want in zip(texts, encoder.encode(texts), whole(encoder, texts)):
+        assert got == want, text[:80]
+    # one at a time, and many runs
+    assert [b"".join(encoder.encode([t])) for t in HARD] == whole(encoder, HARD)
+
+
+def test_runs_of_texts_do_not_matter(monkeypatch):
+    encoder, texts = P.ByteEncoder(BPE), strange(300)
+    monkeypatch.setattr(P, "RUN_BYTES", 40)
+    monkeypatch.setattr(P, "JOINED", 3)
+    assert list(encoder.encode(texts)) == whole(encoder, texts)
+    assert list(encoder.encode([])) == []
 
 
 def test_word_cache_is_bounded():
     calls = []
-    cache = WordCache(lambda words: calls.append(len(words)) or [w.encode() for w in words], generation=10, longest=3)
+    cache = WordCache(lambda words: calls.append(len(words)) or [w.encode() for w in words], most=10 * (ENTRY + 4), longest=3)
     for i in range(200):
         assert cache.all(["a", str(i), "long word"]) == [b"a", str(i).encode(), b"long word"]
         assert len(cache.young) + len(cache.old) < 30
     assert sum(calls) <= 420
+    cache.clear()
+    assert not cache.young and not cache.old and cache.all(["b"]) == [b"b"]
 
 
 def packed(documents, docs, **options):
@@ -59,7 +76,7 @@ def test_every_token_lies_in_one_piece(documents, windows):
     for r in rows:
         own[r.doc_id].append(r)
     for i, text in docs:
-        ids = encoder.whole(text or "") + struct.pack("<I", 0)
+        ids = whole(encoder, [text or ""])[0] + struct.pack("<I", 0)
         pieces = sorted(own[i], key=lambda r: r.start)
         assert b"".join(bytes(r.ids) for r in pieces) == ids
         assert [r.start for r in pieces] == [sum(p.length for p in pieces[:k]) for k in range(len(pieces))]
