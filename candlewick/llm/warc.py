@@ -142,6 +142,59 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "1
     return T.staged(rows.mapInArrow(_writer(folder, date, file_bytes), "file string, bytes long, records long"), "manifest")
 
 
+class Buffered:
+    """A file read onwards in chunks: what is read once is sliced, and what lies beyond the chunk may be skipped."""
+
+    def __init__(self, stream):
+        self.stream, self.base, self.data, self.at, self.bytes_read = stream, 0, b"", 0, 0
+
+    def seek(self, offset: int) -> None:
+        self.at = offset
+
+    def read(self, most: int, least: int = 64) -> bytes:
+        """Up to ``most`` bytes from here on; fewer than ``least`` only at the end of the file."""
+        here = self.at - self.base
+        if not 0 <= here <= len(self.data):
+            self.stream.seek(self.at)
+            self.base, self.data, here = self.at, b"", 0
+        while len(self.data) - here < least:
+            more = self.stream.read(CHUNK)
+            self.bytes_read += len(more)
+            self.base, self.data, here = self.base + here, self.data[here:] + more, 0
+            if not more:
+                break
+        out = self.data[here : here + most]
+        self.at += len(out)
+        return out
+
+
+def first_member(stream: Buffered, begin: int, end: int) -> int:
+    """Where the first record in a range of a file begins; ``end`` if none does."""
+    at = begin
+    while at < end:
+        stream.seek(at)
+        part = stream.read(CHUNK)
+        found = part.find(b"\x1f\x8b\x08")
+        if found < 0:
+            if len(part) < 3:
+                return end
+            at += len(part) - 2
+            continue
+        at += found
+        if at >= end:
+            return end
+        try:
+            record = Member(stream, at)
+            while len(record.data) < 5 and record.more():
+                pass
+            if record.data[:5] == b"WARC/":
+                return at
+        except (zlib.error, EOFError):
+            pass
+        at += 1
+    return end
+
+
 class Member:
     """One gzip member of an open file, inflated as far as asked for."""
 
@@ -234,7 +287,9 @@ _TESTS = {
 
 
 class Files(InputPartition):
-    def __init__(self, files: list[tuple[str, int]]):
+    """Ranges of files: path, begin, end. The records that begin in a range belong to it."""
+
+    def __init__(self, files: list[tuple[str, int, int]]):
         self.files = files
 
 
@@ -253,11 +308,13 @@ class WarcReader(DataSourceReader):
         files = sorted((x.path, x.size) for x in found if x.type == pafs.FileType.File and x.size and not os.path.basename(x.path).startswith((".", "_")))
         out, held = [], 0
         for path, size in files:
-            if not out or held + size > self.task_bytes:
-                out.append([])
-                held = 0
-            out[-1].append((path, size))
-            held += size
+            for begin in range(0, size, self.task_bytes):
+                end = min(size, begin + self.task_bytes)
+                if not out or held + end - begin > self.task_bytes:
+                    out.append([])
+                    held = 0
+                out[-1].append((path, begin, end))
+                held += end - begin
         return [Files(x) for x in out] or [Files([])]
 
     def _wanted(self, row: dict) -> bool:
@@ -312,11 +369,12 @@ class WarcReader(DataSourceReader):
             return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kinds.get(n, pa.string())) for n in names], names=names)
 
         rows, held = [], 0
-        for path, size in partition.files:
+        for path, begin, end in partition.files:
             system, _ = file_system(self.path)
-            with system.open_input_file(path) as stream:
-                at = 0
-                while at < size:
+            with system.open_input_file(path) as opened:
+                stream = Buffered(opened)
+                at = begin and first_member(stream, begin, end)
+                while at < end:
                     record = Member(stream, at)
                     row = self._row(record, path)
                     at = record.end()

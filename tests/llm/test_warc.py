@@ -1,4 +1,5 @@
 import gzip
+import os
 import re
 
 import pytest
@@ -81,6 +82,36 @@ def test_unwanted_payloads_are_not_inflated(tmp_path, monkeypatch):
     assert sum(b.num_rows for b in rows) == 3 and len(inflated) <= 6
 
 
+def test_files_are_read_once(tmp_path, monkeypatch):
+    data = b"".join(W.member(W.record("response", f"<{i}>", b"%d" % i * 200, "http://x", "d", None)) for i in range(2000))
+    (tmp_path / "x.warc.gz").write_bytes(data)
+    made = []
+    init = W.Buffered.__init__
+    monkeypatch.setattr(W.Buffered, "__init__", lambda self, stream: made.append(self) or init(self, stream))
+    for payload in ("keep", "skip"):
+        made.clear()
+        reader = W.WarcReader({"path": str(tmp_path), "payload": payload})
+        rows = [b for p in reader.partitions() for b in reader.read(p)]
+        assert sum(b.num_rows for b in rows) == 2000
+        assert sum(m.bytes_read for m in made) <= 1.1 * len(data)
+
+
+@pytest.mark.parametrize("own_lengths", [True, False])
+def test_large_archives_are_split_between_tasks(tmp_path, own_lengths):
+    import gzip
+
+    records = [W.record("response", f"<{i}>", os.urandom(50 + 977 * (i % 9)), "http://x", "d", None) for i in range(120)]
+    records.insert(60, W.record("response", "<long>", os.urandom(60_000) + b"\x1f\x8b\x08" * 50, "http://x", "d", None))
+    data = b"".join(W.member(r) if own_lengths else gzip.compress(r) for r in records)
+    (tmp_path / "x.warc.gz").write_bytes(data)
+    reader = W.WarcReader({"path": str(tmp_path), "task_bytes": "7000"})
+    parts = reader.partitions()
+    assert len(parts) > len(data) // 7000
+    rows = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert len(rows) == 121 and sorted(r["record_id"] for r in rows) == sorted([f"<{i}>" for i in range(120)] + ["<long>"])
+    assert [r["offset"] for r in rows] == sorted(r["offset"] for r in rows)
+
+
 def test_damage_is_an_error(spark, tmp_path):
     record = W.record("response", "<a>", b"abc", None, "d", None)
     (tmp_path / "x.warc.gz").write_bytes(W.member(record.replace(b"abc", b"abd")))
