@@ -140,6 +140,7 @@ class Scanner:
         hashes = T.word_hashes(data, starts, ends)
         order = np.argsort(hashes)
         self.hashes, self.numbers = hashes[order], order
+        self.single = np.array([number[w[0]] for w in words[: self.phrases] if len(w) == 1], dtype=np.int64)
         # phrases whose last word a run in this state may be, shortest first
         self.whole: list[list[tuple[int, int]]] = [[] for _ in self.automaton.size]
         for p in range(self.phrases):
@@ -155,8 +156,8 @@ class Scanner:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.numbers[at], -1)
 
-    def scan(self, runs: list[tuple[int, list[int]]]) -> tuple[list[tuple[int, int]], dict[int, float], list[tuple[int, int, int]]]:
-        """Of runs of known words (first word's place, words): base places (phrase, place), cover per template, spans."""
+    def scan(self, runs: list[tuple[int, list[int]]]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, float]]]:
+        """Of runs of known words (first word's place, words): base places (phrase, place), and spans (template, first word, end, cover)."""
         a, base = self.automaton, []
         matches: dict[int, list[tuple[int, int, int]]] = {}  # template: place in text, in template, words
         for first, words in runs:
@@ -169,30 +170,60 @@ class Scanner:
                             matches.setdefault(t, []).append((first + i - length, end - length, length))
                 state, length = after, grown
                 base += [(p, first + i + 1 - size) for size, p in self.whole[state] if size <= length]
-        covers, spans = {}, []
+        spans = []
         for t, found in matches.items():
-            best, span = chain(found)
-            covers[t] = best / self.sizes[t]
-            spans.append((t, *span))
-        return base, covers, spans
+            spans += [(t, first, end, covered / self.sizes[t]) for covered, first, end in chains(found, self.sizes[t], self.cover * self.sizes[t])]
+        return base, spans
 
 
-def chain(matches: list[tuple[int, int, int]]) -> tuple[int, tuple[int, int]]:
-    """Most template words that matches in the order of both sequences cover, and their span in the text.
+def chains(matches: list[tuple[int, int, int]], size: int, least: float) -> list[tuple[int, int, int]]:
+    """(template words covered, first text word, end) of the best chain, and of others beside it of ``least`` words or more.
 
-    Matches are few: a text has as many as it has pieces of licences.
+    ``matches`` are (place in text, place in template, words). Words of the text
+    belong to the first match that holds them. Chains share no words of the text and
+    come in its order.
     """
-    matches = sorted(set(matches))
-    best: list[tuple[int, int]] = []
+    parts, upto = [], 0
+    for x, y, n in sorted(set(matches)):
+        cut = max(0, upto - x)
+        if cut < n:
+            parts.append((x + cut, y + cut, n - cut))
+            upto = x + n
+    out, todo = [], [parts]
+    while todo:
+        part = todo.pop()
+        found = chain(part, size)
+        if found and (not out or found[0] >= least):
+            out.append(found)
+            todo += [[m for m in part if m[0] + m[2] <= found[1]], [m for m in part if m[0] >= found[2]]]
+    return sorted(out, key=lambda c: c[1])
+
+
+def chain(matches: list[tuple[int, int, int]], size: int) -> tuple[int, int, int] | None:
+    """The chain in the order of both sequences that covers most of a template; the first of several.
+
+    ``matches`` are in text order and share no words there. For each place in the
+    template the best chain that ends there is kept, so a match looks at ``size``
+    places, and not at the matches before it. A match that has the same place and
+    length as an earlier one changes nothing unless some place did since, and a
+    place changes ``size`` times at most: long texts of one phrase cost a lookup each.
+    """
+    best, start, seen, version = [0] * (size + 1), [0] * (size + 1), {}, 0
+    top = None
     for x, y, n in matches:
-        most = (n, x)
-        for (x0, y0, n0), (covered, start) in zip(matches, best):
-            skip = max(0, x0 + n0 - x, y0 + n0 - y)
-            if x0 < x and y0 < y and skip < n and covered + n - skip > most[0]:
-                most = (covered + n - skip, start)
-        best.append(most)
-    i = max(range(len(best)), key=lambda k: (best[k][0], -k))
-    return best[i][0], (best[i][1], matches[i][0] + matches[i][2])
+        if seen.get((y, n)) == version:
+            continue
+        end, covered, first = y + n, n, x
+        for k in range(1, end):
+            if best[k] and best[k] + min(n, end - k) > covered:
+                covered, first = best[k] + min(n, end - k), start[k]
+        if covered > best[end]:
+            best[end], start[end] = covered, first
+            version += 1
+            if top is None or covered > top[0]:
+                top = (covered, first, x + n)
+        seen[y, n] = version
+    return top
 
 
 OUT = "n_words long, places array<struct<phrase:int,word:bigint>>, spans array<struct<template:int,label:string,first:bigint,last:bigint,cover:double>>"
@@ -213,7 +244,7 @@ def _scan(scanner_args: tuple):
                     next_to = good[1:] & good[:-1] & (text[1:] == text[:-1])
                     alone[1:] &= ~next_to
                     alone[:-1] &= ~next_to
-                at = np.flatnonzero(good & ~alone)
+                at = np.flatnonzero(good & (~alone | np.isin(known, scanner.single)))
                 places, spans = [[] for _ in range(j - i)], [[] for _ in range(j - i)]
                 if len(at):
                     new = np.ones(len(at), dtype=bool)
@@ -224,9 +255,9 @@ def _scan(scanner_args: tuple):
                         row = int(text[at[a]])
                         runs.setdefault(row, []).append((int(at[a] - ranges[row]), known[at[a:b]].tolist()))
                     for row, own in runs.items():
-                        base, covers, found = scanner.scan(own)
+                        base, found = scanner.scan(own)
                         places[row] = [{"phrase": p, "word": w} for p, w in base]
-                        spans[row] = [{"template": t, "label": scanner.labels[t], "first": a, "last": b - 1, "cover": covers[t]} for t, a, b in found]
+                        spans[row] = [{"template": t, "label": scanner.labels[t], "first": a, "last": b - 1, "cover": cover} for t, a, b, cover in found]
                 kinds = (pa.list_(pa.struct([("phrase", pa.int32()), ("word", pa.int64())])), pa.list_(pa.struct([("template", pa.int32()), ("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("cover", pa.float64())])))
                 yield pa.RecordBatch.from_arrays([batch.column("doc").slice(i, j - i), pa.array(np.diff(ranges).astype(np.int64)), pa.array(places, kinds[0]), pa.array(spans, kinds[1])], names=["doc", "n_words", "places", "spans"])
 

@@ -95,6 +95,49 @@ def test_templates_are_found_whole_edited_and_cut(documents):
     assert rows[4].spans == [] or max(s.cover for s in rows[4].spans) < 0.5
 
 
+def test_every_copy_of_a_notice_is_a_span(documents):
+    notice = " ".join(f"w{i}" for i in range(30))
+    text = f"x y {notice} other words {notice} {notice} w3 w4 z"
+    rows = L.scan_licenses(documents([(1, text), (2, "alone word"), (3, "MIT. none, alone")]), phrases=[("mit", "mit"), ("alone word", "aw")], templates=[("t", notice)], least_match=3, least_cover=0.5).collect()
+    got = {r.doc.doc_id: r for r in rows}
+    assert [(s["first"], s["last"], s["cover"]) for s in got[1].spans] == [(2, 31, 1.0), (34, 63, 1.0), (64, 93, 1.0)]
+    assert got[2].base_labels == ["aw"] and got[3].base_labels == ["mit"]  # a phrase of one word between unknown ones
+
+
+def test_chains_against_all_subsets():
+    import itertools
+    import random
+
+    rnd = random.Random(4)
+    for _ in range(200):
+        parts, x = [], 0
+        for _ in range(rnd.randint(1, 7)):
+            x += rnd.randint(0, 3)
+            n = rnd.randint(1, 6)
+            parts.append((x, rnd.randint(0, 20 - n), n))
+            x += n
+        most = 0
+        for k in range(1, len(parts) + 1):
+            for some in itertools.combinations(parts, k):
+                end, covered = 0, 0
+                for _, y, n in some:
+                    covered += max(0, y + n - max(y, end)) if y + n > end else -10**6
+                    end = y + n
+                most = max(most, covered)
+        assert L.chain(parts, 20)[0] == most
+
+
+def test_long_repetitive_texts_take_linear_time(documents):
+    import time
+
+    began = time.monotonic()
+    text = "of the software " * 260_000  # some 4 MB
+    rows = L.scan_licenses(documents([(1, text), (2, text[:16]), (2, text[:16]), (3, None)])).collect()
+    assert time.monotonic() - began < 60
+    assert sorted((r.doc.doc_id, r.n_words) for r in rows) == [(1, 780_000), (2, 3), (2, 3), (3, 0)]
+    assert L.scan_licenses(documents([(1, "x")]).where("false")).count() == 0
+
+
 def test_automaton_accepts_all_runs_and_no_other():
     rnd = random.Random(3)
     for _ in range(30):
