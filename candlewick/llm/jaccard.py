@@ -61,7 +61,9 @@ VERIFY_COST = 0.05
 PRUNINGS = 2
 #: Documents of a list from which it is a long one, and of a part of a block.
 SHORT_LIST = 64
-PART = 256
+PART = 768
+#: Set members of a part: fewer documents make a part where they are long.
+PART_TOKENS = 1_500_000
 #: Comparisons with one document that a task makes.
 TASK_ROWS = 2000
 #: A link between a and b, and numbers of documents that a and b link with.
@@ -97,7 +99,7 @@ def _sketch(counters: int, slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(counters, dtype=np.int64)
         for batch in batches:
-            for _, _, part, ends in T.pieces(*T.utf8(batch.column("text")), most=8 << 20):
+            for _, _, part, ends in T.pieces(*T.utf8(batch.column("text")), most=(2 << 20) - 1):
                 total += np.bincount(_counter(_word_hashes(part, ends)[0], counters), minlength=counters)
         if total.any():
             parts = np.minimum(total, 2**32 - 1).astype(np.uint32).reshape(slices, -1)
@@ -199,7 +201,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, task_rows: int = T
 
 
 def tile_links(
-    docs: list[int], sets: list[np.ndarray], parts: list[int], percent: int, weights: list[int], homes: list[int | None], width: int = 1 << 14
+    docs: list[int], sets: list[np.ndarray], parts: list[int], percent: int, weights: list[int], homes: list[int | None], room: int = 1 << 23
 ) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Links that connect what is similar among documents of one part, or of two different ones.
 
@@ -219,6 +221,7 @@ def tile_links(
     both = np.zeros((left, len(sets) - cut), dtype=np.float64)
     by = np.argsort(number, kind="stable")
     number, row = number[by], row[by]
+    width = max(1, room // len(sets))
     for a in range(0, len(names), width):  # a slice of the tokens at a time
         lo, hi = np.searchsorted(number, [a, a + width])
         has = np.zeros((len(sets), min(width, len(names) - a)), dtype=np.float32)
@@ -266,12 +269,14 @@ def _tiles(percent: int):
 
 
 def block_links(blocks: DataFrame, sets: DataFrame, percent: int, part: int = PART) -> DataFrame:
-    """Links within blocks (doc, block, home): each pair of a block's parts is one task's work."""
-    counts = blocks.groupBy("block").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    """Links within blocks (doc, block, home): each pair of a block's parts is one task's work, and a set goes to as many tasks as its block has parts."""
+    measured = blocks.select("doc", "block").join(sets.select("doc", "tokens"), "doc")
+    parts = F.greatest(F.ceil(F.count("*") / part), F.ceil(F.sum("tokens") / PART_TOKENS))
+    counts = measured.groupBy("block").agg(parts.cast("int").alias("parts"))
     rows = blocks.join(counts, "block").withColumn("part", F.pmod(F.xxhash64("doc"), "parts").cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
     tiles = rows.select("doc", "block", "home", "part", F.explode(meets).alias("m"))
-    tiles = tiles.select("doc", "home", "part", (F.col("m.i") == F.col("m.j")).alias("within"), F.xxhash64("block", "m.i", "m.j").alias("tile")).join(sets, "doc")
+    tiles = tiles.select("doc", "home", "part", (F.col("m.i") == F.col("m.j")).alias("within"), F.xxhash64("block", "m.i", "m.j").alias("tile")).join(sets.drop("tokens"), "doc")
     return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles(percent), LINKS)
 
 
@@ -294,14 +299,18 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
     most_of = F.greatest(F.lit(most), F.floor(F.col("size") / LONG_PART))
     sizes = reps.select("doc", "size", need.alias("need"), F.least(need, most_of).alias("most"))
     entries = reps.select("doc", F.posexplode("tokens").alias("pos", "token"))
+    spent: list[DataFrame] = []
     for _ in range(PRUNINGS):
         # a token of one document links nothing, nor does a document with fewer tokens of others than a pair has to share
         counts = T.staged(entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "counts")
         entries = T.staged(entries.select("doc", "pos", "token").join(counts, "token"), "entries")
         able = entries.groupBy("doc").agg(F.count("*").alias("shared")).join(sizes, "doc")
         able = T.staged(able.where("shared >= most").select("doc", "size", "need", "most"), "able")
+        T.done_with(*spent)
+        spent = [counts, entries, able]
         entries = entries.join(able, "doc")
     entries = T.staged(entries, "entries")
+    T.done_with(*spent)
 
     # the l of least estimated cost, for each document
     first = F.col("size") - F.col("need")
@@ -319,7 +328,9 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
     # tokens of the same documents are one list, of so much weight
     same = lists.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("sum"), F.min("doc").alias("centre"))
     same = same.where("n > 1").groupBy("n", "sum", "centre").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    spent = [entries, levels, lists]
     lists = T.staged(lists.join(T.staged(same.drop("sum"), "same"), "token"), "lists")
+    T.done_with(*spent)
     crowd = lists.where(F.col("n") > short)
     blocks = components(crowd.select(F.col("doc").alias("a"), F.col("centre").alias("b"))).withColumnsRenamed({"node": "doc", "root": "block"})
     blocks = T.staged(blocks, "blocks")
@@ -348,9 +359,12 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
     wanted = pairs.select("doc").union(pairs.select("centre")).union(blocks.select("doc")).distinct()
     wanted = wanted.join(twins, "doc", "left").select("doc", F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
     own = texts.select(F.col("doc_id").alias("doc"), "text").join(T.staged(wanted, "wanted"), "doc").dropDuplicates(["doc"])
-    sets = T.staged(own.mapInArrow(_sets(shared, n), "doc long, weight long, members binary"), "members")
+    sets = own.mapInArrow(_sets(shared, n), "doc long, weight long, members binary")
+    sets = T.staged(sets.withColumn("tokens", F.length("members") / 8), "members")
+    T.done_with(lists)
     links = verified(pairs, sets, percent).unionByName(block_links(blocks, sets, percent, part))
     links = T.staged(links, "links")
+    T.done_with(sets, pairs, families)
     roots = components(links.select("a", "b"))
     ends = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("n_a").alias("n")), F.struct(F.col("b").alias("rep"), F.col("n_b").alias("n"))))
     others = links.select(ends.alias("e")).select("e.rep", "e.n").groupBy("rep").agg(F.sum("n").alias("others"))

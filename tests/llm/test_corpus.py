@@ -57,7 +57,7 @@ def test_pipeline(spark):
         after = {r.doc_id: r for r in docs.collect()}
         kept[name] = len(after)
         if name == "near_duplicates":
-            assert set(after) == {i for i, c in classes([(i, r.text) for i, r in before.items()]).items() if i == c[1]}
+            assert set(after) == {i for i, c in classes([(i, r.text) for i, r in before.items()], corpus_pipeline.PERCENT, corpus_pipeline.SHINGLE).items() if i == c[1]}
         if name == "substring_dedup":
             want = removed([(i, r.text) for i, r in before.items()], 50)
             for i, r in after.items():

@@ -6,15 +6,15 @@ from candlewick.llm import jaccard as J
 from candlewick.llm.components import components
 
 
-def shingles(text):
+def shingles(text, n=3):
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
-    if len(words) < 3:
+    if len(words) < n:
         return frozenset([tuple(words)] if words else [])
-    return frozenset(zip(words, words[1:], words[2:]))
+    return frozenset(zip(*(words[i:] for i in range(n))))
 
 
-def classes(docs, percent=90):
-    sets = {i: shingles(t) for i, t in docs}
+def classes(docs, percent=90, n=3):
+    sets = {i: shingles(t, n) for i, t in docs}
     root = {i: i for i in sets}
 
     def find(x):
