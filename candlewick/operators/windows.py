@@ -106,7 +106,10 @@ def rolling_corr(
     series = _series(by, order)
     seen = {name: F.least(F.row_number().over(series), F.lit(n)).cast("bigint") for name, n in (counts or {}).items()}
     if extreme:
-        return df.withColumns(seen | {name: _frame_corr(F.col(x), F.col(y), series.rowsBetween(1 - n, 0)) for name, n in rows.items()})
+        out = df.withColumns(seen)
+        for name, n in rows.items():
+            out = _frame_corr(out, F.col(x), F.col(y), series.rowsBetween(1 - n, 0), name)
+        return out
 
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     mask = F.lit(WHOLE_LIMIT - 1).cast("bigint")
@@ -148,26 +151,24 @@ def rolling_corr(
     return framed.withColumns({name: corr(n) for name, n in rows.items()}).drop("_x", "_y", *moments, *before)
 
 
-def _frame_corr(x: Column, y: Column, frame) -> Column:
-    """Pearson correlation of a frame from its values, scaled by the largest of each side."""
-    both = F.collect_list(F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))).over(frame)
-
-    def scaled(side: str) -> Column:
-        values = F.transform(both, lambda r: r[side])
-        largest = F.array_max(F.transform(values, F.abs))
-        return F.transform(values, lambda v: F.coalesce(v / F.nullif(largest, F.lit(0.0)), F.lit(0.0)))
+def _frame_corr(df: DataFrame, x: Column, y: Column, frame, name: str) -> DataFrame:
+    """Add the Pearson correlation of a frame from its values, scaled by the largest of each side."""
+    known = F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
+    both = F.col("_both")
 
     def total(values: Column) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
 
-    def centred(values: Column) -> Column:
-        mean = total(values) / F.size(both)
-        return F.transform(values, lambda v: v - mean)
-
-    dx, dy = centred(scaled("x")), centred(scaled("y"))
-    vx, vy = total(F.transform(dx, lambda v: v * v)), total(F.transform(dy, lambda v: v * v))
-    product = total(F.zip_with(dx, dy, lambda a, b: a * b))
-    return F.when(F.size(both) > 0, product / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0)))
+    df = df.withColumn("_both", F.collect_list(known).over(frame))
+    for side in "xy":
+        largest = F.array_max(F.transform(both, lambda r: F.abs(r[side])))
+        df = df.withColumn(f"_m{side}", F.nullif(largest, F.lit(0.0)))
+        df = df.withColumn(f"_d{side}", F.transform(both, lambda r: F.coalesce(r[side] / F.col(f"_m{side}"), F.lit(0.0))))
+        df = df.withColumn(f"_m{side}", total(F.col(f"_d{side}")) / F.nullif(F.size(both), F.lit(0)))
+        df = df.withColumn(f"_d{side}", F.transform(f"_d{side}", lambda v: v - F.col(f"_m{side}")))
+    vx, vy = (total(F.transform(f"_d{side}", lambda v: v * v)) for side in "xy")
+    product = total(F.zip_with("_dx", "_dy", lambda a, b: a * b))
+    return df.withColumn(name, product / F.nullif(F.sqrt(vx) * F.sqrt(vy), F.lit(0.0))).drop("_both", "_mx", "_my", "_dx", "_dy")
 
 
 def autocorrelation(df: DataFrame, *, by: str, order: str, col: str, lags: list[int]) -> DataFrame:
