@@ -38,7 +38,7 @@ END_TOKEN = 0
 MERGE_PARTITIONS = 256
 
 #: Bytes of text whose different words are encoded together.
-RUN_BYTES = 16 << 20
+RUN_BYTES = 8 << 20
 #: Words whose ids are gathered at once.
 GATHERED = 1 << 18
 #: Words joined to one text for the tokenizer, and such texts handed over at once.
