@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import text as T
 from candlewick.llm.components import components
-from candlewick.llm.repeats import by_group
+from candlewick.llm.repeats import by_group, sliced
 
 GRAM = 3
 PERCENT = 90
@@ -64,6 +64,8 @@ SHORT_LIST = 64
 PART = 768
 #: Set members of a part: fewer documents make a part where they are long.
 PART_TOKENS = 1_500_000
+#: Tokens of a tile that are sorted at a time.
+TILE_TOKENS = 1 << 18
 #: Comparisons with one document that a task makes.
 TASK_ROWS = 2000
 #: A link between a and b, and numbers of documents that a and b link with.
@@ -105,7 +107,7 @@ def _sketch(counters: int, slices: int):
             parts = np.minimum(total, 2**32 - 1).astype(np.uint32).reshape(slices, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "counts"])
 
-    return run
+    return lambda batches: T.given_back(run(batches))
 
 
 def _add(rows: pd.DataFrame) -> pd.DataFrame:
@@ -148,7 +150,7 @@ def _prefixes(shared, n: int, percent: int, most: int):
                     names=["doc_id", "size", "one", "two", "tokens"],
                 )
 
-    return run
+    return lambda batches: T.given_back(run(batches))
 
 
 def _sets(shared, n: int):
@@ -160,13 +162,13 @@ def _sets(shared, n: int):
                 own = [np.unique(tokens[a:b]).tobytes() for a, b in zip(ranges[:-1].tolist(), ranges[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column("doc").slice(i, j - i), batch.column("weight").slice(i, j - i), pa.array(own, pa.binary())], names=["doc", "weight", "members"])
 
-    return run
+    return lambda batches: T.given_back(run(batches))
 
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, held, many = None, None, 0
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             cols = (batch.column(c).to_pylist() for c in ("centre", "salt", "doc", "weight", "members"))
             for c, salt, doc, weight, members in zip(*cols):
@@ -181,7 +183,7 @@ def _verify(percent: int):
             if out:
                 yield _links(out)
 
-    return run
+    return lambda batches: T.given_back(run(batches))
 
 
 def _links(rows: list[tuple]) -> pa.RecordBatch:
@@ -200,8 +202,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, task_rows: int = T
     return rows.mapInArrow(_verify(percent), LINKS)
 
 
+def _shared_tokens(sets: list[np.ndarray], most: int = TILE_TOKENS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens of two sets or more, as numbers from 0 in order, each with its set: a range of about ``most`` tokens at a time.
+
+    The sets are sorted. The ranges' bounds come from tokens drawn at random; any bounds give the same pairs.
+    """
+    ends = np.cumsum([len(x) for x in sets])
+    total = int(ends[-1])
+    drawn = np.random.default_rng(5).integers(0, max(1, total), 64 * (total // most))
+    own = np.searchsorted(ends, drawn, "right")
+    bounds = np.unique(np.sort(np.array([sets[i][at - ends[i]] for i, at in zip(own.tolist(), drawn.tolist())], dtype=np.uint64))[64::64])
+    cuts = [[0, *np.searchsorted(x, bounds).tolist(), len(x)] for x in sets]
+    for k in range(len(bounds) + 1):
+        tokens = np.concatenate([x[c[k] : c[k + 1]] for x, c in zip(sets, cuts)])
+        row = np.repeat(np.arange(len(sets)), [c[k + 1] - c[k] for c in cuts])
+        by = np.argsort(tokens, kind="stable")
+        tokens, row = tokens[by], row[by]
+        edge = np.concatenate([[True], tokens[1:] != tokens[:-1], [True]])
+        shared = ~(edge[:-1] & edge[1:])[: len(tokens)]
+        if shared.any():
+            yield np.cumsum(edge[:-1][shared]) - 1, row[shared]
+
+
 def tile_links(
-    docs: list[int], sets: list[np.ndarray], parts: list[int], percent: int, weights: list[int], homes: list[int | None], room: int = 1 << 23
+    docs: list[int], sets: list[np.ndarray], parts: list[int], percent: int, weights: list[int], homes: list[int | None], room: int = 1 << 21
 ) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Links that connect what is similar among documents of one part, or of two different ones.
 
@@ -211,22 +235,15 @@ def tile_links(
     order = np.argsort(parts, kind="stable")
     docs, sets = [docs[i] for i in order], [sets[i] for i in order]
     cut = int(np.searchsorted(np.array(parts)[order], max(parts))) if min(parts) < max(parts) else 0
-    tokens = np.concatenate(sets)
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    _, number, times = np.unique(tokens, return_inverse=True, return_counts=True)
-    shared = times[number] > 1
-    names, number = np.unique(number[shared], return_inverse=True)
-    row = row[shared]
     left = len(sets) if cut == 0 else cut
     both = np.zeros((left, len(sets) - cut), dtype=np.float64)
-    by = np.argsort(number, kind="stable")
-    number, row = number[by], row[by]
     width = max(1, room // len(sets))
-    for a in range(0, len(names), width):  # a slice of the tokens at a time
-        lo, hi = np.searchsorted(number, [a, a + width])
-        has = np.zeros((len(sets), min(width, len(names) - a)), dtype=np.float32)
-        has[row[lo:hi], number[lo:hi] - a] = 1
-        both += has[:left] @ has[cut:].T
+    for number, row in _shared_tokens(sets):
+        for a in range(0, int(number[-1]) + 1, width):  # a slice of the tokens at a time
+            lo, hi = np.searchsorted(number, [a, a + width])
+            has = np.zeros((len(sets), min(width, int(number[-1]) + 1 - a)), dtype=np.float32)
+            has[row[lo:hi], number[lo:hi] - a] = 1
+            both += has[:left] @ has[cut:].T
     sizes = np.array([len(x) for x in sets])
     similar = 100 * both >= percent * (sizes[:left, None] + sizes[None, cut:] - both)
     root = list(range(len(sets)))
@@ -238,11 +255,12 @@ def tile_links(
         return x
 
     out = []
-    for x, y in np.argwhere(similar).tolist():
-        p, q = find(x), find(y + cut)
-        if p != q:
-            root[q] = p
-            out.append((docs[x], docs[y + cut]))
+    for x in range(left):
+        for y in np.flatnonzero(similar[x]).tolist():
+            p, q = find(x), find(y + cut)
+            if p != q:
+                root[q] = p
+                out.append((docs[x], docs[y + cut]))
     weight = np.array(weights, dtype=np.int64)[order]
     home = np.array([homes[i] or 0 for i in order], dtype=np.int64)
     housed = np.array([homes[i] is not None for i in order])
@@ -265,7 +283,7 @@ def _tiles(percent: int):
             if out:
                 yield _links(out)
 
-    return run
+    return lambda batches: T.given_back(run(batches))
 
 
 def block_links(blocks: DataFrame, sets: DataFrame, percent: int, part: int = PART) -> DataFrame:

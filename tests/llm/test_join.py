@@ -1,9 +1,13 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from candlewick.llm import jaccard as J
 from candlewick.llm.components import components
+from candlewick.llm.repeats import by_group, sliced
 
 
 def shingles(text, n=3):
@@ -91,3 +95,26 @@ def test_numbers_of_links_against_brute_force(documents, short, part):
     rows = J.similar_classes(documents(docs + docs[:3] + [(None, docs[0][1])]), short=short, part=part).collect()
     assert {(r.doc_id, r.n_links) for r in rows} == {*want.items(), (None, 0)}
     assert {r.doc_id: r.component_id for r in rows if r.doc_id is not None} == {i: c for i, (_, c) in classes(docs).items()}
+
+
+@pytest.mark.parametrize("two_parts", [False, True])
+def test_large_tile_takes_little_memory(two_parts):
+    rng = np.random.default_rng(3)
+    bases = [np.unique(rng.integers(0, 2**63, 3000).astype(np.uint64)) for _ in range(4)]
+    sets = [np.sort(rng.permutation(np.concatenate([bases[i % 4], bases[3][:50]]))[:-20]) for i in range(480)]
+    sets = [np.unique(x) for x in sets]
+    docs, parts = list(range(480)), [(i // 240 if two_parts else 0) for i in range(480)]
+    tracemalloc.start()
+    links, counts = J.tile_links(docs, sets, parts, 90, [1] * 480, [None] * 480)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(a % 4 == b % 4 for a, b in links) and len(links) == 480 - 4
+    assert counts == [(i, 60 if two_parts else 119) for i in range(480)]
+    assert peak < 60e6  # the tokens alone are 11 MB
+
+
+def test_rows_become_objects_in_slices():
+    rows = pa.table({"tile": pa.array([i // 300 for i in range(1000)], pa.int64()), "members": [bytes(20_000)] * 1000}).to_batches()
+    parts = list(sliced(iter(rows)))
+    assert max(p.num_rows for p in parts) <= 210 and pa.Table.from_batches(parts).equals(pa.Table.from_batches(rows))
+    assert [len(g["tile"]) for g in by_group(iter(rows), "tile")] == [300, 300, 300, 100]
