@@ -150,7 +150,7 @@ def _extract(buckets: int):
                     names=["doc_id", "label", "words", "stats"],
                 )
 
-    return run
+    return lambda batches: T.given_back(run(batches))
 
 
 def _inputs(docs: DataFrame) -> list:
@@ -186,7 +186,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
     typed = [F.col(f"`{c}`").cast("string").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*typed).alias("doc"), _inputs(docs)[1])  # the text goes to Python once
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(lambda batches: T.given_back(run(batches)), f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
 
 
 def held_out(doc_id):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import jaccard, packing, quality, rules, suffix_tree
-from candlewick.llm.text import staged
+from candlewick.llm.text import small_batches, staged
 
 #: Near copies are of this similarity or more, over shingles of so many words. (op5 has values of its own.)
 SHINGLE = 5
@@ -26,17 +26,20 @@ PERCENT = 80
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the classifier scores below its threshold."""
+    small_batches(spark)
     model = quality.quality_model(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
     return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select("doc.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what fails a rule."""
+    small_batches(spark)
     return rules.quality_rules(docs).where("kept").select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest doc_id of each group; different texts of one doc_id are documents of their own."""
+    small_batches(spark)
     key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("text").cast("string")))
     keyed = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text", key.alias("key"))
     found = jaccard.similar_classes(keyed.select(F.col("key").alias("doc_id"), "text"), n=SHINGLE, percent=PERCENT)
@@ -53,6 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove passages that an earlier document has; other texts stay as they are."""
+    small_batches(spark)
     found = suffix_tree.substring_dedup(docs)
     text = F.when(F.size("spans") > 0, F.col("kept_text")).otherwise(F.col("doc.text"))
     new = {"text": text, "n_chars": F.when(F.size("spans") > 0, F.length("kept_text").cast("long")).otherwise(F.col("doc.n_chars"))}
@@ -61,6 +65,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences with their tokens: ``ids`` as little-endian unsigned 32-bit bytes."""
+    small_batches(spark)
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -70,3 +70,48 @@ def test_packed_corpus_holds_the_tokens(spark, documents):
     for i, text in docs:
         ids = memoryview(b"".join(x for _, x in sorted(pieces[i]))).cast("I").tolist()
         assert ids[-1] == 0 and tokenizer.decode(ids[:-1], skip_special_tokens=False) == (text or "")
+
+
+def test_rows_go_to_python_in_small_batches(spark, documents):
+    from candlewick.llm import text as T
+
+    docs = documents([(i, "word " * 1000) for i in range(6000)]).coalesce(1)
+    pipeline.quality_rules(spark, docs.limit(1), "")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["bytes", "n"])
+
+    got = docs.mapInArrow(sizes, "bytes long, n long").collect()
+    assert sum(r.n for r in got) == 6000 and max(r.bytes for r in got) < 1.5 * T.BATCH_BYTES
+
+
+def test_a_task_gives_the_heap_back():
+    import gc
+    import re
+    import sys
+
+    from candlewick.llm import text as T
+
+    if not sys.platform.startswith("linux"):
+        pytest.skip("memory is read from /proc")
+
+    def held():
+        return int(re.search(r"VmRSS:\s+(\d+)", open("/proc/self/status").read())[1]) / 1024
+
+    def task():
+        import numpy as np
+
+        arrays = [np.ones(8192, np.uint8) for _ in range(20000)]
+        kept.append(arrays[-1])  # in use above the others, so that the heap's end cannot move down
+        yield 1
+
+    kept, before = [], held()
+    run = T.given_back(task())
+    next(run)
+    assert held() > before + 100
+    assert list(run) == []
+    gc.collect()
+    assert held() < before + 60
