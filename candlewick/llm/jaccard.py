@@ -14,8 +14,12 @@ its tokens; a pair then has to share as many tokens as the smaller of its two l.
 Equal sets are one document from the start, and tokens that the same documents
 have are one list. Lists are of two kinds. Pairs of a short list are counted
 over all lists, and those that share enough tokens are candidates. Documents of
-long lists are groups of near copies: they form blocks, and so do families of
-candidates that have many pairs. A block is cut into parts, and each pair of
+long lists are a crowd: near copies, or texts that share no more than a common
+passage. The crowd's pairs are looked for once more, in an order of its own: all
+its tokens are counted, and those that many of its documents have go last, by
+their counts. So a common passage leaves the prefixes of what is different
+otherwise. Documents whose lists are long even then form blocks, and so do
+families of candidates that have many pairs. A block is cut into parts, and each pair of
 parts is compared in one task, which returns no more links than connect its
 documents, and for each document the number of those it links with. The other
 candidates are verified pair by pair. So the rows that
@@ -62,6 +66,8 @@ PRUNINGS = 2
 #: Documents of a list from which it is a long one, and of a part of a block.
 SHORT_LIST = 64
 PART = 768
+#: Tokens of the crowd that are put in an order of their own, at most: the most frequent ones.
+HEAVY = 1 << 17
 #: Set members of a part: fewer documents make a part where they are long.
 PART_TOKENS = 1_500_000
 #: Tokens of a tile that are sorted at a time.
@@ -165,6 +171,50 @@ def _sets(shared, n: int):
     return lambda batches: T.given_back(run(batches))
 
 
+def _token_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches):
+        own = [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int64()))], names=["tokens"])
+
+
+def heavy_tokens(sets: DataFrame, short: int, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens in more than ``short`` of the sets, in order, and the logarithm of their counts: of the greatest counts, ``most`` tokens at most."""
+    lists = sets.select("members").mapInArrow(lambda batches: T.given_back(_token_lists(batches)), "tokens array<long>")
+    counts = lists.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > short)
+    counts = T.staged(counts.withColumn("bin", F.floor(4 * F.log2("n")).cast("int")), "heavy")
+    least, total = None, 0
+    for row in counts.groupBy("bin").agg(F.count("*").alias("tokens")).orderBy(F.desc("bin")).collect():
+        total += row["tokens"]
+        if total > most:
+            break
+        least = row["bin"]
+    rows = counts.where(F.col("bin") >= least).select("token", "bin").toArrow() if least is not None else None
+    T.done_with(counts)
+    if rows is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+    tokens = rows["token"].to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], rows["bin"].to_numpy()[order].astype(np.uint8)
+
+
+def _reordered(shared, percent: int, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy, bins = shared.value
+        for batch in sliced(batches):
+            firsts, sizes = [], []
+            for members in batch.column("members").to_pylist():
+                own = np.frombuffer(members, np.uint64)
+                size = len(own)
+                if len(heavy):
+                    at = np.minimum(np.searchsorted(heavy, own), len(heavy) - 1)
+                    own = own[np.argsort(np.where(heavy[at] == own, bins[at], 0), kind="stable")]
+                sizes.append(size)
+                firsts.append(own[: size - (percent * size + 99) // 100 + max(most, size // LONG_PART)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))], names=["doc", "size", "tokens"])
+
+    return lambda batches: T.given_back(run(batches))
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, held, many = None, None, 0
@@ -298,26 +348,16 @@ def block_links(blocks: DataFrame, sets: DataFrame, percent: int, part: int = PA
     return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles(percent), LINKS)
 
 
-def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most: int = MOST_SHARED, short: int = SHORT_LIST, part: int = PART) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of every row: the smallest doc_id that links reach, and how many other documents are similar."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(frequency_classes(texts).tobytes())
-    found = T.staged(
-        texts.mapInArrow(_prefixes(shared, n, percent, most), "doc_id long, size long, one long, two long, tokens array<long>"),
-        "prefixes",
-    )
-    whole = found.where("doc_id IS NOT NULL AND size > 0")
-    reps = T.staged(
-        whole.groupBy("size", "one", "two").agg(F.min("doc_id").alias("doc"), F.min_by("tokens", "doc_id").alias("tokens")), "sets"
-    )
-    twins = whole.select("size", "one", "two", "doc_id").distinct().groupBy("size", "one", "two").agg(F.count("*").alias("weight")).where("weight > 1")
-    twins = T.staged(twins.join(reps.select("size", "one", "two", "doc"), ["size", "one", "two"]).select("doc", "weight"), "twins")
+def token_lists(prefixes: DataFrame, percent: int, most: int) -> DataFrame:
+    """(token, weight, n, centre, doc, size, l): the n documents of each token, from prefixes (doc, size, tokens), which are deleted.
+
+    Each document's prefix ends at the l of least estimated cost. Tokens of the same documents are one list, of so much weight.
+    """
     need = F.floor((percent * F.col("size") + 99) / 100).cast("long")
     most_of = F.greatest(F.lit(most), F.floor(F.col("size") / LONG_PART))
-    sizes = reps.select("doc", "size", need.alias("need"), F.least(need, most_of).alias("most"))
-    entries = reps.select("doc", F.posexplode("tokens").alias("pos", "token"))
-    spent: list[DataFrame] = []
+    sizes = T.staged(prefixes.select("doc", "size", need.alias("need"), F.least(need, most_of).alias("most")), "sizes")
+    entries = prefixes.select("doc", F.posexplode("tokens").alias("pos", "token"))
+    spent: list[DataFrame] = [prefixes]
     for _ in range(PRUNINGS):
         # a token of one document links nothing, nor does a document with fewer tokens of others than a pair has to share
         counts = T.staged(entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "counts")
@@ -328,7 +368,7 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
         spent = [counts, entries, able]
         entries = entries.join(able, "doc")
     entries = T.staged(entries, "entries")
-    T.done_with(*spent)
+    T.done_with(*spent, sizes)
 
     # the l of least estimated cost, for each document
     first = F.col("size") - F.col("need")
@@ -343,16 +383,17 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
     lists = entries.select("doc", "size", "need", "pos", "token").join(levels, "doc").where(F.col("pos") < first + F.col("l"))
     lists = T.staged(lists.select("token", "doc", "size", "l"), "lists")
 
-    # tokens of the same documents are one list, of so much weight
     same = lists.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("sum"), F.min("doc").alias("centre"))
     same = same.where("n > 1").groupBy("n", "sum", "centre").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
-    spent = [entries, levels, lists]
-    lists = T.staged(lists.join(T.staged(same.drop("sum"), "same"), "token"), "lists")
+    same = T.staged(same.drop("sum"), "same")
+    spent = [entries, levels, lists, same]
+    lists = T.staged(lists.join(same, "token"), "lists")
     T.done_with(*spent)
-    crowd = lists.where(F.col("n") > short)
-    blocks = components(crowd.select(F.col("doc").alias("a"), F.col("centre").alias("b"))).withColumnsRenamed({"node": "doc", "root": "block"})
-    blocks = T.staged(blocks, "blocks")
+    return lists
+
 
+def candidates(lists: DataFrame, blocks: DataFrame, percent: int, short: int) -> DataFrame:
+    """Pairs (centre, doc) that share enough tokens of short lists and are not of one block (doc, block)."""
     rows = lists.where(F.col("n") <= short).join(blocks, "doc", "left").select("token", "weight", "doc", "size", "l", "block")
     other = rows.select("token", *[F.col(c).alias(f"o_{c}") for c in ("doc", "size", "l", "block")])
     near = (F.col("size") * percent <= F.col("o_size") * 100) & (F.col("o_size") * percent <= F.col("size") * 100)
@@ -360,8 +401,53 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
     pairs = rows.join(other, "token").where((F.col("o_doc") < F.col("doc")) & near & apart)
     # documents that share a long list are of one block, so what others share is in short ones
     pairs = pairs.groupBy(F.col("o_doc").alias("centre"), "doc").agg(F.sum("weight").alias("shared"), F.min(F.least("l", "o_l")).alias("least"))
-    pairs = pairs.where("shared >= least")
-    pairs = T.staged(pairs.select("centre", "doc"), "pairs")
+    return T.staged(pairs.where("shared >= least").select("centre", "doc"), "pairs")
+
+
+def crowd_lists(crowd: DataFrame, percent: int, most: int, short: int) -> DataFrame:
+    """``token_lists`` of the sets (doc, members) of a crowd, which are deleted; tokens that many of them have come last."""
+    shared = crowd.sparkSession.sparkContext.broadcast(heavy_tokens(crowd, short))
+    prefixes = crowd.select("doc", "members").mapInArrow(_reordered(shared, percent, most), "doc long, size long, tokens array<long>")
+    prefixes = T.staged(prefixes, "sets")
+    T.done_with(crowd)
+    return token_lists(prefixes, percent, most)
+
+
+def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most: int = MOST_SHARED, short: int = SHORT_LIST, part: int = PART) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of every row: the smallest doc_id that links reach, and how many other documents are similar."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    shared = spark.sparkContext.broadcast(frequency_classes(texts).tobytes())
+    prefixes = T.staged(
+        texts.mapInArrow(_prefixes(shared, n, percent, most), "doc_id long, size long, one long, two long, tokens array<long>"),
+        "prefixes",
+    )
+    found = T.staged(prefixes.drop("tokens"), "found")
+    whole = "doc_id IS NOT NULL AND size > 0"
+    sets = prefixes.where(whole).groupBy("size", "one", "two").agg(F.min("doc_id").alias("doc"), F.min_by("tokens", "doc_id").alias("tokens"))
+    sets = T.staged(sets, "sets")
+    T.done_with(prefixes)
+    reps = T.staged(sets.drop("tokens"), "reps")
+    twins = found.where(whole).distinct().groupBy("size", "one", "two").agg(F.count("*").alias("weight")).where("weight > 1")
+    twins = T.staged(twins.join(reps, ["size", "one", "two"]).select("doc", "weight"), "twins")
+
+    def members(wanted: DataFrame, name: str) -> DataFrame:
+        own = texts.select(F.col("doc_id").alias("doc"), "text").join(T.staged(wanted, "wanted"), "doc").dropDuplicates(["doc"])
+        own = own.mapInArrow(_sets(shared, n), "doc long, weight long, members binary")
+        return T.staged(own.withColumn("tokens", F.length("members") / 8), name)
+
+    lists = token_lists(sets.select("doc", "size", "tokens"), percent, most)
+    crowd = T.staged(lists.where(F.col("n") > short).select("doc").distinct().withColumn("block", F.lit(0).cast("long")), "crowd")
+    pairs = candidates(lists, crowd, percent, short)
+    T.done_with(lists)
+    blocks = crowd
+    if not crowd.isEmpty():
+        lists = crowd_lists(members(crowd.select("doc", F.lit(1).cast("long").alias("weight")), "crowd_sets"), percent, most, short)
+        again = lists.where(F.col("n") > short)
+        blocks = components(again.select(F.col("doc").alias("a"), F.col("centre").alias("b"))).withColumnsRenamed({"node": "doc", "root": "block"})
+        blocks = T.staged(blocks, "blocks")
+        pairs = pairs.unionByName(candidates(lists, blocks, percent, short))
+        T.done_with(lists)
 
     # a family of candidates is compared as a block if that sends fewer sets than its pairs
     families = T.staged(components(pairs.select(F.col("doc").alias("a"), F.col("centre").alias("b"))), "families")
@@ -376,19 +462,15 @@ def similar_classes(docs: DataFrame, n: int = GRAM, percent: int = PERCENT, most
 
     wanted = pairs.select("doc").union(pairs.select("centre")).union(blocks.select("doc")).distinct()
     wanted = wanted.join(twins, "doc", "left").select("doc", F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
-    own = texts.select(F.col("doc_id").alias("doc"), "text").join(T.staged(wanted, "wanted"), "doc").dropDuplicates(["doc"])
-    sets = own.mapInArrow(_sets(shared, n), "doc long, weight long, members binary")
-    sets = T.staged(sets.withColumn("tokens", F.length("members") / 8), "members")
-    T.done_with(lists)
+    sets = members(wanted, "members")
     links = verified(pairs, sets, percent).unionByName(block_links(blocks, sets, percent, part))
     links = T.staged(links, "links")
     T.done_with(sets, pairs, families)
     roots = components(links.select("a", "b"))
     ends = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("n_a").alias("n")), F.struct(F.col("b").alias("rep"), F.col("n_b").alias("n"))))
     others = links.select(ends.alias("e")).select("e.rep", "e.n").groupBy("rep").agg(F.sum("n").alias("others"))
-    out = found.select("doc_id", "size", "one", "two")
     keys = reps.select("size", "one", "two", F.col("doc").alias("rep"))
-    out = out.join(keys, ["size", "one", "two"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    out = found.join(keys, ["size", "one", "two"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     own_class = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id"))
     out = out.join(others, "rep", "left").join(twins.withColumnRenamed("doc", "rep"), "rep", "left")
     n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("others", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1).otherwise(0)

@@ -1,5 +1,6 @@
 import random
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ import pytest
 from candlewick.llm import jaccard as J
 from candlewick.llm.components import components
 from candlewick.llm.repeats import by_group, sliced
+from candlewick.session import _staging_dir
 
 
 def shingles(text, n=3):
@@ -97,6 +99,65 @@ def test_numbers_of_links_against_brute_force(documents, short, part):
     assert {r.doc_id: r.component_id for r in rows if r.doc_id is not None} == {i: c for i, (_, c) in classes(docs).items()}
 
 
+def common_passage(seed, groups, n):
+    """Small groups of near copies; all texts have a passage of rare words."""
+    rnd = random.Random(seed)
+    passage = " ".join(f"rare{i}" for i in range(24))
+    out = []
+    for _ in range(groups):
+        words = [f"w{rnd.randint(0, 30)}" for _ in range(70)]
+        for _ in range(n):
+            own = list(words)
+            own[rnd.randrange(len(own))] = f"w{rnd.randint(0, 30)}"
+            out.append(" ".join(own[:35]) + f" {passage} " + " ".join(own[35:]))
+    rnd.shuffle(out)
+    return list(enumerate(out))
+
+
+def blocks_seen(monkeypatch):
+    """The numbers of documents of the blocks that are compared."""
+    seen = []
+    links = J.block_links
+
+    def spy(blocks, *args):
+        seen.extend(r["count"] for r in blocks.groupBy("block").count().collect())
+        return links(blocks, *args)
+
+    monkeypatch.setattr(J, "block_links", spy)
+    return seen
+
+
+def test_common_passage_makes_no_block(documents, monkeypatch):
+    docs, seen = common_passage(3, 16, 3), blocks_seen(monkeypatch)
+    rows = J.similar_classes(documents(docs), short=6).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == classes(docs)
+    assert max(seen, default=0) <= 3  # all 48 in one block before
+
+
+def test_token_tables_are_deleted(documents, spark):
+    staged = lambda: {p for p in Path(_staging_dir(spark).removeprefix("file:")).glob("*/*") if any(p.iterdir())}
+    before = staged()
+    J.similar_classes(documents(common_passage(6, 8, 2)), short=6).collect()
+    names = {p.name for p in staged() - before}
+    assert "found" in names and not names & {"prefixes", "sets", "crowd_sets", "heavy", "counts", "entries", "lists", "members"}
+
+
+def test_crowd_with_groups_of_its_own(documents, monkeypatch):
+    """Groups longer than a short list are found in spite of the passage, each in a block of its own."""
+    docs, seen = common_passage(4, 4, 9) + [(100 + i, t) for i, t in common_passage(5, 9, 2)], blocks_seen(monkeypatch)
+    rows = J.similar_classes(documents(docs), short=6).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == classes(docs)
+    assert 4 <= max(seen) <= 9
+
+
+@pytest.mark.parametrize("most", [4, 1000])
+def test_most_frequent_tokens_of_a_crowd(spark, most):
+    sets = [np.array([i, 100, *([200] if i < 9 else []), *([300] if i < 5 else [])], np.int64) for i in range(40)]
+    tokens, bins = J.heavy_tokens(spark.createDataFrame([(x.tobytes(),) for x in sets], "members binary"), 5, most)
+    assert dict(zip(tokens.tolist(), bins.tolist())) == {100: int(4 * np.log2(40)), 200: int(4 * np.log2(9))}
+    assert len(J.heavy_tokens(spark.createDataFrame([(x.tobytes(),) for x in sets], "members binary"), 5, 0)[0]) == 0
+
+
 @pytest.mark.parametrize("two_parts", [False, True])
 def test_large_tile_takes_little_memory(two_parts):
     rng = np.random.default_rng(3)
