@@ -66,6 +66,8 @@ PRUNINGS = 2
 #: Documents of a list from which it is a long one, and of a part of a block.
 SHORT_LIST = 64
 PART = 768
+#: Tokens of the crowd that one task counts.
+SLICE_TOKENS = 1 << 20
 #: Tokens of the crowd that are put in an order of their own, at most: the most frequent ones.
 HEAVY = 1 << 17
 #: Set members of a part: fewer documents make a part where they are long.
@@ -171,21 +173,44 @@ def _sets(shared, n: int):
     return lambda batches: T.given_back(run(batches))
 
 
-def _token_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
-        own = [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int64()))], names=["tokens"])
+def _token_counts(slices: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            data, ends = T.utf8(batch.column("members"))
+            tokens, counts = np.unique(np.frombuffer(data[ends[0] : ends[-1]].tobytes(), np.uint64), return_counts=True)
+            own = (tokens % np.uint64(slices)).astype(np.int64)
+            order = np.argsort(own, kind="stable")
+            tokens, counts = tokens[order], counts[order].astype(np.uint32)
+            some, begins = np.unique(own[order], return_index=True)
+            cuts = [*zip(begins.tolist(), [*begins[1:].tolist(), len(tokens)])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int64()), pa.array([tokens[i:j].tobytes() for i, j in cuts], pa.binary()), pa.array([counts[i:j].tobytes() for i, j in cuts], pa.binary())],
+                names=["slice", "tokens", "counts"],
+            )
+
+    return lambda batches: T.given_back(run(batches))
+
+
+def _frequent(rows: pd.DataFrame, short: int) -> pd.DataFrame:
+    tokens = np.concatenate([np.frombuffer(x, np.int64) for x in rows["tokens"]])
+    order = np.argsort(tokens)
+    tokens = tokens[order]
+    starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+    n = np.add.reduceat(np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"]])[order].astype(np.int64), starts)
+    return pd.DataFrame({"token": tokens[starts][n > short], "n": n[n > short]})
 
 
 def heavy_tokens(sets: DataFrame, short: int, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
     """Tokens in more than ``short`` of the sets, in order, and the logarithm of their counts: of the greatest counts, ``most`` tokens at most."""
-    lists = sets.select("members").mapInArrow(lambda batches: T.given_back(_token_lists(batches)), "tokens array<long>")
-    counts = lists.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > short)
+    total = sets.agg(F.sum(F.length("members") / 8).cast("long")).first()[0] or 0
+    slices = max(SLICES, total // SLICE_TOKENS)
+    parts = sets.select("members").mapInArrow(_token_counts(slices), "slice long, tokens binary, counts binary")
+    counts = parts.groupBy("slice").applyInPandas(lambda rows: _frequent(rows, short), "token long, n long")
     counts = T.staged(counts.withColumn("bin", F.floor(4 * F.log2("n")).cast("int")), "heavy")
-    least, total = None, 0
+    least, many = None, 0
     for row in counts.groupBy("bin").agg(F.count("*").alias("tokens")).orderBy(F.desc("bin")).collect():
-        total += row["tokens"]
-        if total > most:
+        many += row["tokens"]
+        if many > most:
             break
         least = row["bin"]
     rows = counts.where(F.col("bin") >= least).select("token", "bin").toArrow() if least is not None else None
